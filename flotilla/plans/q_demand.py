@@ -1 +1 @@
-"""placeholder"""
+"""Workload D queries (filled in below)."""

@@ -1 +1,94 @@
-"""placeholder"""
+"""Workloads B and C queries: state table, upsert, fold, move log, batches."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from flotilla.operators import snapshots as S
+from flotilla.operators import state as ST
+from flotilla.plans.catalog import register
+from flotilla.plans.q_snapshots import DAY_FILTER, STATE_CTE, state_of
+from flotilla.plans.sqltext import POSITION_DOUBLES, positions_sql
+from flotilla.session import fresh_path
+from flotilla.sources import tables
+from flotilla.sources.fixture import FOLD_DAY, SNAPSHOT_ID, positions
+
+# The reference's write batch size.
+WRITE_BATCH = 400
+
+_ALL = dict(doubles=POSITION_DOUBLES, timestamps=["timestamp"], dates=["ingest_date"])
+_FOLD_COLS = ["matricula", "event_id", "uoid", "realTime", "epochTime", "latitud", "longitud"]
+
+FOLD_CTES = STATE_CTE + f""",
+entries AS (SELECT DISTINCT uoid, realTime AS e_rt FROM positions WHERE {DAY_FILTER}),
+snap AS (SELECT * EXCLUDE (rk) FROM (SELECT *, row_number() OVER (PARTITION BY uoid, matricula
+         ORDER BY realTime NULLS FIRST, event_id) AS rk FROM positions
+         WHERE uoid IN (SELECT uoid FROM entries)) WHERE rk = 1),
+obs AS (SELECT s.*, 1 AS k, e.e_rt AS e_rt, s.uoid AS e_u FROM snap s JOIN entries e ON s.uoid = e.uoid
+        WHERE s.matricula IN (SELECT matricula FROM state)),
+u AS (SELECT *, 0 AS k, CAST(NULL AS VARCHAR) AS e_rt, CAST(NULL AS VARCHAR) AS e_u FROM state
+      UNION ALL BY NAME SELECT * FROM obs),
+l AS (SELECT *, lag(latitud) OVER w AS old_lat, lag(longitud) OVER w AS old_lon, row_number() OVER w AS pos
+      FROM u WINDOW w AS (PARTITION BY matricula ORDER BY k, e_rt NULLS FIRST, e_u NULLS FIRST)),
+ch AS (SELECT * FROM l WHERE pos = 1 OR latitud IS DISTINCT FROM old_lat OR longitud IS DISTINCT FROM old_lon)"""
+
+
+@register("state_fold", positions_sql(
+    f"SELECT {', '.join(_FOLD_COLS)} FROM (SELECT *, row_number() OVER (PARTITION BY matricula "
+    "ORDER BY k DESC, e_rt DESC NULLS LAST, e_u DESC NULLS LAST) AS fk FROM ch) WHERE fk = 1",
+    FOLD_CTES, doubles=["latitud", "longitud"]))
+def state_fold(spark, sf_dir):
+    """State after replaying every snapshot of the day (known plates only)."""
+    pos = positions(spark, sf_dir)
+    return ST.fold_state(state_of(spark, sf_dir), pos, FOLD_DAY, add_new=False).select(*_FOLD_COLS)
+
+
+@register("movement_log", positions_sql(
+    "SELECT matricula, e_u AS entry_uoid, e_rt AS entry_realTime, event_id, old_lat AS old_latitud, "
+    "old_lon AS old_longitud, latitud AS new_latitud, longitud AS new_longitud FROM ch WHERE pos > 1",
+    FOLD_CTES, doubles=["old_latitud", "old_longitud", "new_latitud", "new_longitud"]))
+def movement_log(spark, sf_dir):
+    """Every accepted position change of the fold."""
+    pos = positions(spark, sf_dir)
+    return ST.movement_log(state_of(spark, sf_dir), pos, FOLD_DAY, add_new=False)
+
+
+_UPSERT_CTE = STATE_CTE + f""",
+upd AS (SELECT * EXCLUDE (rk) FROM (SELECT *, row_number() OVER (PARTITION BY uoid, matricula
+        ORDER BY realTime NULLS FIRST, event_id) AS rk FROM positions WHERE uoid = '{SNAPSHOT_ID}') WHERE rk = 1)"""
+
+
+@register("state_upsert", positions_sql(
+    "SELECT * FROM upd UNION ALL SELECT * FROM state WHERE matricula NOT IN (SELECT matricula FROM upd)",
+    _UPSERT_CTE, **_ALL))
+def state_upsert(spark, sf_dir):
+    """K4: upsert the de-duplicated snapshot into the state; written to a new
+    version path and read back."""
+    state = state_of(spark, sf_dir)
+    snap = S.dedupe_snapshots(S.snapshot_by_id(positions(spark, sf_dir), SNAPSHOT_ID))
+    out = fresh_path(spark, "state")
+    ST.upsert_state(state, snap).write.parquet(out)
+    return spark.read.parquet(out)
+
+
+@register("state_read", positions_sql("SELECT * FROM state", STATE_CTE, **_ALL))
+def state_read(spark, sf_dir):
+    """The state table read back, one row per plate."""
+    out = fresh_path(spark, "state")
+    state_of(spark, sf_dir).write.parquet(out)
+    return spark.read.parquet(out)
+
+
+@register("state_count", positions_sql("SELECT count(*) AS vehicles FROM state", STATE_CTE))
+def state_count(spark, sf_dir):
+    """A10: number of vehicles in the state."""
+    return state_of(spark, sf_dir).agg(F.count(F.lit(1)).alias("vehicles"))
+
+
+@register("chunk_rows", positions_sql(
+    f"SELECT event_id, (row_number() OVER (ORDER BY idVehiculo NULLS FIRST, epochTime, event_id) - 1) "
+    f"// {WRITE_BATCH} AS batch_id FROM positions"))
+def chunk_rows(spark, sf_dir):
+    """K7: 400-row write batches over the whole table (every row, last batch too)."""
+    p = positions(spark, sf_dir).select("event_id", "idVehiculo", "epochTime")
+    return tables.chunk_rows(p, WRITE_BATCH).select("event_id", "batch_id")
