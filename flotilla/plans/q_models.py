@@ -1 +1,155 @@
-"""Workload D queries (filled in below)."""
+"""Workload D model queries: predictions, error tables, CV summary."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from flotilla.operators import evaluate as E
+from flotilla.operators import models as M
+from flotilla.plans.catalog import register
+from flotilla.plans.q_demand import KEYED_CTE
+from flotilla.plans.sqltext import ols_ctes, positions_sql
+from flotilla.plans.studies import KEY, demand_study, features_from, study_input
+
+_F3 = M.MODEL_FEATURES
+
+MOTO_CTES = KEYED_CTE + """,
+train AS (SELECT * FROM split WHERE is_train AND tipoVehiculo = 'moto'),
+test AS (SELECT * FROM split WHERE NOT is_train AND tipoVehiculo = 'moto')"""
+
+
+def _pred_cte(alpha: float) -> str:
+    return (MOTO_CTES + ",\n" + ols_ctes("train", _F3, "numTrips", alpha) + """,
+pred AS (SELECT row_key, "hour", clusterId, numAvailable, cast(numTrips AS DOUBLE) AS Real,
+         b + w1 * "hour" + w2 * clusterId + w3 * numAvailable AS Prediction FROM test, coef)""")
+
+
+_OUT = ["row_key", "hour", "clusterId", "numAvailable", "Real", "Prediction"]
+_ERR_SQL = "Real - Prediction AS Err, abs(Real - Prediction) / numAvailable AS ErrPorcentage"
+
+
+def _linear(spark, sf_dir, kind="linear"):
+    return demand_study(features_from(spark, sf_dir), "moto", _F3, "numTrips", kind)
+
+
+@register("linear_trips", positions_sql(
+    "SELECT * FROM pred", _pred_cte(0.0), doubles=["Real", "Prediction"]))
+def linear_trips(spark, sf_dir):
+    """M5: least squares on the moto training rows, predictions for the test rows."""
+    return _linear(spark, sf_dir).select(*_OUT)
+
+
+@register("prediction_errors", positions_sql(
+    f"SELECT row_key, Real, Prediction, {_ERR_SQL} FROM pred", _pred_cte(0.0),
+    doubles=["Real", "Prediction", "Err", "ErrPorcentage"]))
+def prediction_errors(spark, sf_dir):
+    """Err and ErrPorcentage of the linear model."""
+    return _linear(spark, sf_dir).select(KEY, "Real", "Prediction", "Err", "ErrPorcentage")
+
+
+@register("prediction_errors_rounded", positions_sql(
+    "SELECT row_key, Real, round_even(Prediction, 0) AS Prediction, "
+    "Real - round_even(Prediction, 0) AS Err FROM pred", _pred_cte(0.0),
+    doubles=["Real", "Prediction", "Err"]))
+def prediction_errors_rounded(spark, sf_dir):
+    """Predictions rounded half-to-even, then the error."""
+    p = _linear(spark, sf_dir).withColumn("Prediction", E.round_half_even(F.col("Prediction")))
+    return E.errors(p, available=None).select(KEY, "Real", "Prediction", "Err")
+
+
+@register("error_by_real", positions_sql(
+    "SELECT Real, avg(numAvailable) AS numAvailable, avg(Prediction) AS Prediction FROM pred GROUP BY Real",
+    _pred_cte(0.0), doubles=["Real", "numAvailable", "Prediction"]))
+def error_by_real(spark, sf_dir):
+    """A5: mean availability and prediction per true value."""
+    return E.mean_by(_linear(spark, sf_dir), "Real", ["numAvailable", "Prediction"])
+
+
+_HIST_SQL = """, e AS (SELECT Real - Prediction AS v FROM pred),
+r AS (SELECT CASE WHEN min(v) = max(v) THEN min(v) - 5e-1 ELSE min(v) END AS lo0,
+             CASE WHEN min(v) = max(v) THEN max(v) + 5e-1 ELSE max(v) END AS hi0 FROM e),
+c AS (SELECT least(cast(floor((v - lo0) / (hi0 - lo0) * {bins}) AS BIGINT) + 1, {bins}) AS bin, count(*) AS n
+      FROM e, r GROUP BY 1),
+ids AS (SELECT range AS bin FROM range(1, {bins} + 1))"""
+
+
+@register("error_histogram", positions_sql(
+    "SELECT ids.bin AS bin, lo0 + (ids.bin - 1) * ((hi0 - lo0) / 4e2) AS lo, "
+    "lo0 + ids.bin * ((hi0 - lo0) / 4e2) AS hi, coalesce(c.n, 0) AS n "
+    "FROM ids CROSS JOIN r LEFT JOIN c ON ids.bin = c.bin",
+    _pred_cte(0.0) + _HIST_SQL.format(bins=E.HIST_BINS_FINE), doubles=["lo", "hi"]))
+def error_histogram(spark, sf_dir):
+    """400-bin histogram of the linear model's errors."""
+    return E.histogram(_linear(spark, sf_dir), "Err", E.HIST_BINS_FINE)
+
+
+@register("ridge_trips", positions_sql(
+    f"SELECT row_key, Real, Prediction, {_ERR_SQL} FROM pred", _pred_cte(M.RIDGE_ALPHA),
+    doubles=["Real", "Prediction", "Err", "ErrPorcentage"]))
+def ridge_trips(spark, sf_dir):
+    """M6: ridge (alpha 0.5) -- predicting with the ridge model itself."""
+    return _linear(spark, sf_dir, "ridge").select(KEY, "Real", "Prediction", "Err", "ErrPorcentage")
+
+
+@register("ridge_r2", positions_sql(
+    "SELECT 1 - sum((Real - Prediction) * (Real - Prediction)) / "
+    "(sum(Real * Real) - sum(Real) * sum(Real) / count(*)) AS r2 FROM pred",
+    _pred_cte(M.RIDGE_ALPHA), doubles=["r2"]))
+def ridge_r2(spark, sf_dir):
+    """M6: R^2 of the ridge model on the test rows, as one aggregate."""
+    p = _linear(spark, sf_dir, "ridge")
+    ss_res = F.sum((F.col("Real") - F.col("Prediction")) ** 2)
+    ss_tot = F.sum(F.col("Real") ** 2) - F.sum("Real") * F.sum("Real") / F.count(F.lit(1))
+    return p.agg((F.lit(1.0) - ss_res / ss_tot).alias("r2"))
+
+
+# Model fits without a closed form: rows-only checks.
+
+@register("tree_trips")
+def tree_trips(spark, sf_dir):
+    """M2 / M4: decision tree on all types; prediction = P(numTrips = 1) rounded."""
+    return demand_study(features_from(spark, sf_dir), None, _F3, "numTrips", "tree")
+
+
+@register("tree_trips_moto")
+def tree_trips_moto(spark, sf_dir):
+    """M2: decision tree on the moto rows, class predictions."""
+    return demand_study(features_from(spark, sf_dir), "moto", _F3, "numTrips", "tree_class")
+
+
+@register("tree_yes_no")
+def tree_yes_no(spark, sf_dir):
+    """M3: does a trip happen -- binary tree, P(yes) rounded."""
+    return demand_study(features_from(spark, sf_dir), None, _F3, "tripYesNo", "tree")
+
+
+@register("bagging_trips")
+def bagging_trips(spark, sf_dir):
+    """M7: 10 bootstrap trees on the moto rows, trip counts."""
+    return demand_study(features_from(spark, sf_dir), "moto", _F3, "numTrips", "bagging")
+
+
+@register("bagging_yes_no")
+def bagging_yes_no(spark, sf_dir):
+    """M7: bagged trees for the yes/no label, all types."""
+    return demand_study(features_from(spark, sf_dir), None, _F3, "tripYesNo", "bagging")
+
+
+@register("bagging_yes_no_no_avail")
+def bagging_yes_no_no_avail(spark, sf_dir):
+    """M7: the same without numAvailable as a feature (no ErrPorcentage)."""
+    return demand_study(features_from(spark, sf_dir), None, M.FEATURES_NO_AVAILABILITY, "tripYesNo",
+                        "bagging", with_pct=False)
+
+
+@register("cv_mae_summary")
+def cv_mae_summary(spark, sf_dir):
+    """10 x 3 repeated K-fold of the bagged trees on the moto
+    training rows; mean and population std of the negative MAE."""
+    data = E.with_split(study_input(features_from(spark, sf_dir), "moto"), [KEY]) \
+        .where(F.col("is_train")).cache()
+    scores = M.cross_validate(data, _F3, "numTrips", [KEY], kind="bagging")
+    data.unpersist()
+    s = spark.createDataFrame(scores, "repeat int, fold int, neg_mae double")
+    return s.agg(F.avg("neg_mae").alias("mean_neg_mae"), F.stddev_pop("neg_mae").alias("std_neg_mae"),
+                 F.count(F.lit(1)).alias("n_scores"))
