@@ -4,9 +4,11 @@ The reference numbers every position in one global order and self-joins
 row *k* with row *k-1*. Here the previous row is attached directly, in one
 pass over the data, with no single-task window:
 
-* rows are split into (vehicle, time bucket) groups, so one vehicle holding
-  a large share of all rows is still spread over many tasks (a bucket holds
-  at most ``bucket_seconds`` x poll rate rows of one vehicle);
+* a vehicle holding more than ``hot_rows`` rows (found by a cheap count
+  per vehicle) is split into (vehicle, time bucket) groups, so one vehicle
+  holding a large share of all rows is still spread over many tasks (a
+  bucket holds at most ``bucket_seconds`` x poll rate rows); every other
+  vehicle is one group;
 * the last row of every bucket (``max_by``, partially aggregated before the
   shuffle) gives a one-row-per-bucket summary; the previous non-empty
   bucket's last row is found on that summary (per vehicle, or in the global
@@ -29,16 +31,29 @@ from flotilla.operators.ordered import lag_in_global_order, offset_in_global_ord
 # Width of a pairing bucket. At one poll per second a vehicle has at most
 # 3600 rows per bucket, whatever its share of the table.
 DEFAULT_BUCKET_SECONDS = 3600
+# A vehicle with more rows than this is split into time buckets; others are
+# paired in one window group (one task sorts at most this many rows).
+DEFAULT_HOT_ROWS = 200_000
 DEFAULT_ORDER = ("epochTime", "event_id")
 
 
 def _bucketed(df: DataFrame, entity: str, time_col: str, bucket_seconds: int,
-              keep: Sequence[str]) -> DataFrame:
-    return df.select(
-        F.col(entity).alias("_ent"),
-        F.floor(F.col(time_col) / F.lit(bucket_seconds)).cast("bigint").alias("_b"),
-        F.struct(*[F.col(c) for c in keep]).alias("_row"),
-    )
+              keep: Sequence[str], hot_rows: int | None) -> DataFrame:
+    """(_ent, _b, _row). ``_b`` is the time bucket for vehicles holding more
+    than ``hot_rows`` rows and NULL (one group) for all others; with
+    ``hot_rows=None`` every vehicle is bucketed."""
+    bucket = F.floor(F.col(time_col) / F.lit(bucket_seconds)).cast("bigint")
+    if hot_rows is None:
+        src, b = df, bucket
+    else:
+        # At most (rows / hot_rows) vehicles can exceed hot_rows: the
+        # broadcast list is bounded by construction, whatever the table size.
+        hot = (df.groupBy(F.col(entity).alias("_hot_ent")).agg(F.count(F.lit(1)).alias("_n"))
+                 .where(F.col("_n") > F.lit(hot_rows)).select("_hot_ent", F.lit(True).alias("_hot")))
+        src = df.join(F.broadcast(hot), df[entity].eqNullSafe(hot["_hot_ent"]), "left")
+        b = F.when(F.col("_hot"), bucket)
+    return src.select(F.col(entity).alias("_ent"), b.alias("_b"),
+                      F.struct(*[F.col(c) for c in keep]).alias("_row"))
 
 
 def _row_key(order: Sequence[str]) -> Column:
@@ -54,6 +69,7 @@ def attach_previous(df: DataFrame, entity: str = "idVehiculo",
                     order: Sequence[str] = DEFAULT_ORDER, time_col: str = "epochTime",
                     scope: str = "vehicle", prev_col: str = "prev",
                     bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+                    hot_rows: int | None = DEFAULT_HOT_ROWS,
                     n_ranges: int | None = None) -> DataFrame:
     """All columns of ``df`` plus ``prev_col``: the previous row as a struct.
 
@@ -61,17 +77,25 @@ def attach_previous(df: DataFrame, entity: str = "idVehiculo",
     (NULL for a vehicle's first row). scope='global': previous row in the
     order (entity NULLS FIRST, *order*), across vehicle borders -- the
     reference's single global numbering.
+
+    Vehicles above ``hot_rows`` rows are split into ``bucket_seconds``
+    buckets; ``hot_rows=None`` splits every vehicle.
     """
     if scope not in ("vehicle", "global"):
         raise ValueError(f"scope must be 'vehicle' or 'global', not {scope!r}")
     cols = df.columns
-    base = _bucketed(df, entity, time_col, bucket_seconds, cols)
-    # Last row of every (entity, bucket): map-side partial aggregation first.
-    tails = base.groupBy("_ent", "_b").agg(F.max_by("_row", _row_key(order)).alias("_tail"))
+    base = _bucketed(df, entity, time_col, bucket_seconds, cols, hot_rows)
     if scope == "vehicle":
+        # Only split vehicles need carry-in rows: the last row of the
+        # previous non-empty bucket (partial aggregation before the shuffle).
+        tails = (base.where(F.col("_b").isNotNull())
+                     .groupBy("_ent", "_b").agg(F.max_by("_row", _row_key(order)).alias("_tail")))
         carry = tails.select("_ent", "_b", F.lag("_tail").over(
             Window.partitionBy("_ent").orderBy("_b")).alias("_in"))
     else:
+        # Every group needs the last row of the group before it in the
+        # global order, found on the one-row-per-group summary.
+        tails = base.groupBy("_ent", "_b").agg(F.max_by("_row", _row_key(order)).alias("_tail"))
         carry = lag_in_global_order(tails, ["_ent", "_b"], "_tail", "_in", n_ranges)
     carry = carry.where(F.col("_in").isNotNull()).select(
         "_ent", "_b", F.lit(True).alias("_carry"), F.col("_in").alias("_row"))
@@ -86,19 +110,22 @@ def row_numbers(df: DataFrame, entity: str = "idVehiculo",
                 order: Sequence[str] = DEFAULT_ORDER, time_col: str = "epochTime",
                 scope: str = "global", out: str = "tempField",
                 bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+                hot_rows: int | None = DEFAULT_HOT_ROWS,
                 n_ranges: int | None = None) -> DataFrame:
     """``ROW_NUMBER()`` over (entity NULLS FIRST, *order*) globally, or per entity.
 
-    Counts per (entity, bucket) are prefix-summed on the summary; each
-    bucket's offset enters its partition as a carry-in row, so the numbers
-    come from a running sum inside the bucket.
+    Counts per group (vehicle, or vehicle-bucket for split vehicles) are
+    prefix-summed on the summary; each group's offset enters its partition
+    as a carry-in row, so the numbers come from a running sum inside it.
     """
     cols = df.columns
-    base = _bucketed(df, entity, time_col, bucket_seconds, cols)
-    counts = base.groupBy("_ent", "_b").agg(F.count(F.lit(1)).alias("_n"))
+    base = _bucketed(df, entity, time_col, bucket_seconds, cols, hot_rows)
     if scope == "global":
+        counts = base.groupBy("_ent", "_b").agg(F.count(F.lit(1)).alias("_n"))
         offs = offset_in_global_order(counts, ["_ent", "_b"], "_n", "_off", n_ranges)
     elif scope == "vehicle":
+        counts = base.where(F.col("_b").isNotNull()).groupBy("_ent", "_b") \
+                     .agg(F.count(F.lit(1)).alias("_n"))
         offs = counts.withColumn("_off", F.coalesce(F.sum("_n").over(
             Window.partitionBy("_ent").orderBy("_b")
             .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))

@@ -9,6 +9,7 @@ from flotilla.operators import models as M
 from flotilla.plans.catalog import register
 from flotilla.plans.q_demand import KEYED_CTE
 from flotilla.plans.sqltext import ols_ctes, positions_sql
+from flotilla.session import cut_lineage
 from flotilla.plans.studies import KEY, demand_study, features_from, study_input
 
 _F3 = M.MODEL_FEATURES
@@ -146,10 +147,9 @@ def bagging_yes_no_no_avail(spark, sf_dir):
 def cv_mae_summary(spark, sf_dir):
     """10 x 3 repeated K-fold of the bagged trees on the moto
     training rows; mean and population std of the negative MAE."""
-    data = E.with_split(study_input(features_from(spark, sf_dir), "moto"), [KEY]) \
-        .where(F.col("is_train")).cache()
+    data = cut_lineage(E.with_split(study_input(features_from(spark, sf_dir), "moto"), [KEY])
+                       .where(F.col("is_train")))
     scores = M.cross_validate(data, _F3, "numTrips", [KEY], kind="bagging")
-    data.unpersist()
     s = spark.createDataFrame(scores, "repeat int, fold int, neg_mae double")
     return s.agg(F.avg("neg_mae").alias("mean_neg_mae"), F.stddev_pop("neg_mae").alias("std_neg_mae"),
                  F.count(F.lit(1)).alias("n_scores"))

@@ -12,6 +12,7 @@ from flotilla.plans.sqltext import POSITION_DOUBLES, positions_sql
 from flotilla.session import fresh_path
 from flotilla.sources import tables
 from flotilla.sources.fixture import FOLD_DAY, SNAPSHOT_ID, positions
+from flotilla.streaming import live_state as LS
 
 # The reference's write batch size.
 WRITE_BATCH = 400
@@ -19,13 +20,15 @@ WRITE_BATCH = 400
 _ALL = dict(doubles=POSITION_DOUBLES, timestamps=["timestamp"], dates=["ingest_date"])
 _FOLD_COLS = ["matricula", "event_id", "uoid", "realTime", "epochTime", "latitud", "longitud"]
 
-FOLD_CTES = STATE_CTE + f""",
+
+def fold_ctes(add_new: bool = False) -> str:
+    known = "" if add_new else "\n        WHERE s.matricula IN (SELECT matricula FROM state)"
+    return STATE_CTE + f""",
 entries AS (SELECT DISTINCT uoid, realTime AS e_rt FROM positions WHERE {DAY_FILTER}),
 snap AS (SELECT * EXCLUDE (rk) FROM (SELECT *, row_number() OVER (PARTITION BY uoid, matricula
          ORDER BY realTime NULLS FIRST, event_id) AS rk FROM positions
          WHERE uoid IN (SELECT uoid FROM entries)) WHERE rk = 1),
-obs AS (SELECT s.*, 1 AS k, e.e_rt AS e_rt, s.uoid AS e_u FROM snap s JOIN entries e ON s.uoid = e.uoid
-        WHERE s.matricula IN (SELECT matricula FROM state)),
+obs AS (SELECT s.*, 1 AS k, e.e_rt AS e_rt, s.uoid AS e_u FROM snap s JOIN entries e ON s.uoid = e.uoid{known}),
 u AS (SELECT *, 0 AS k, CAST(NULL AS VARCHAR) AS e_rt, CAST(NULL AS VARCHAR) AS e_u FROM state
       UNION ALL BY NAME SELECT * FROM obs),
 l AS (SELECT *, lag(latitud) OVER w AS old_lat, lag(longitud) OVER w AS old_lon, row_number() OVER w AS pos
@@ -33,10 +36,12 @@ l AS (SELECT *, lag(latitud) OVER w AS old_lat, lag(longitud) OVER w AS old_lon,
 ch AS (SELECT * FROM l WHERE pos = 1 OR latitud IS DISTINCT FROM old_lat OR longitud IS DISTINCT FROM old_lon)"""
 
 
-@register("state_fold", positions_sql(
-    f"SELECT {', '.join(_FOLD_COLS)} FROM (SELECT *, row_number() OVER (PARTITION BY matricula "
-    "ORDER BY k DESC, e_rt DESC NULLS LAST, e_u DESC NULLS LAST) AS fk FROM ch) WHERE fk = 1",
-    FOLD_CTES, doubles=["latitud", "longitud"]))
+FOLD_CTES = fold_ctes(add_new=False)
+_FINAL_SQL = (f"SELECT {', '.join(_FOLD_COLS)} FROM (SELECT *, row_number() OVER (PARTITION BY matricula "
+              "ORDER BY k DESC, e_rt DESC NULLS LAST, e_u DESC NULLS LAST) AS fk FROM ch) WHERE fk = 1")
+
+
+@register("state_fold", positions_sql(_FINAL_SQL, FOLD_CTES, doubles=["latitud", "longitud"]))
 def state_fold(spark, sf_dir):
     """State after replaying every snapshot of the day (known plates only)."""
     pos = positions(spark, sf_dir)
@@ -92,3 +97,28 @@ def chunk_rows(spark, sf_dir):
     """K7: 400-row write batches over the whole table (every row, last batch too)."""
     p = positions(spark, sf_dir).select("event_id", "idVehiculo", "epochTime")
     return tables.chunk_rows(p, WRITE_BATCH).select("event_id", "batch_id")
+
+
+@register("state_fold_add_new", positions_sql(_FINAL_SQL, fold_ctes(add_new=True),
+                                              doubles=["latitud", "longitud"]))
+def state_fold_add_new(spark, sf_dir):
+    """T1 with D8's add_new=True: plates first seen during the day are inserted."""
+    pos = positions(spark, sf_dir)
+    return ST.fold_state(state_of(spark, sf_dir), pos, FOLD_DAY, add_new=True).select(*_FOLD_COLS)
+
+
+@register("live_state", positions_sql(_FINAL_SQL, fold_ctes(add_new=True),
+                                      doubles=["latitud", "longitud"]))
+def live_state(spark, sf_dir):
+    """T4: the day's snapshots arrive as files in two drops; a file stream
+    with foreachBatch folds each micro-batch into a versioned state."""
+    base = fresh_path(spark, "live")
+    pos = positions(spark, sf_dir)
+    LS.write_initial_state(state_of(spark, sf_dir), base)
+    day = pos.where(S.day_filter(FOLD_DAY))
+    noon = F.lit(f"{FOLD_DAY} 12:00:00")
+    feed = f"{base}/feed"
+    for drop in (F.col("realTime") < noon, F.col("realTime") >= noon):   # whole 6 h snapshots
+        day.where(drop).write.mode("append").parquet(feed)
+        LS.run_available(spark, feed, base, pos.schema)
+    return LS.read_state(spark, base).select(*_FOLD_COLS)

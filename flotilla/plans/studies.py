@@ -19,6 +19,7 @@ from flotilla.operators import models as M
 from flotilla.operators import snapshots as S
 from flotilla.operators import state as ST
 from flotilla.operators.trips import extract_trips
+from flotilla.session import cut_lineage
 from flotilla.sources import fixture, tables
 
 KEY = "row_key"
@@ -68,8 +69,12 @@ def study_input(features: DataFrame, vehicle_type: str | None = None,
 def demand_study(features: DataFrame, vehicle_type: str | None, feature_cols: Sequence[str],
                  label: str, kind: str, seed: int = 1, with_pct: bool = True) -> DataFrame:
     """M9: one parameterised study. Returns the test rows with Real,
-    Prediction, Err (and ErrPorcentage)."""
-    data = E.with_split(study_input(features, vehicle_type), [KEY])
+    Prediction, Err (and ErrPorcentage).
+
+    The study table (cleaned hourly features: small next to the positions)
+    is checkpointed to the shared folder first: the fit makes several passes
+    and each would otherwise recompute pairing, trips and features."""
+    data = cut_lineage(E.with_split(study_input(features, vehicle_type), [KEY]))
     train = data.where(F.col("is_train")).drop("is_train")
     test = data.where(~F.col("is_train")).drop("is_train")
     _, pred = M.fit_predict(train, test, feature_cols, label, kind, seed=seed)
