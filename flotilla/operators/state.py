@@ -55,12 +55,15 @@ def _observations(positions: DataFrame, day: str, keep: str) -> DataFrame:
                                          F.col("uoid").alias("u"))).drop("_entry_rt")
 
 
-def _changes(state: DataFrame, positions: DataFrame, day: str, add_new: bool,
+def _changes(state: DataFrame, positions: DataFrame, day: str | None, add_new: bool,
              keep: str, plate: str) -> DataFrame:
+    """State rows and accepted changes, one window pass per plate.
+
+    The state is referenced once: whether a plate is known comes from the
+    same per-plate window (is there a seq-0 row?) instead of a second join.
+    """
     cols = state.columns
     obs = _observations(positions, day, keep).select(*cols, _SEQ)
-    if not add_new:
-        obs = obs.join(state.select(plate), plate, "left_semi")
     init = state.withColumn(_SEQ, F.struct(F.lit(0).alias("k"), F.lit(None).cast("string").alias("rt"),
                                            F.lit(None).cast("string").alias("u")))
     w = Window.partitionBy(plate).orderBy(_SEQ)
@@ -68,6 +71,9 @@ def _changes(state: DataFrame, positions: DataFrame, day: str, add_new: bool,
          .withColumn("_old_lat", F.lag("latitud").over(w))
          .withColumn("_old_lon", F.lag("longitud").over(w))
          .withColumn("_first", F.row_number().over(w) == 1))
+    if not add_new:
+        # The first row of a known plate is its state row (seq 0 sorts first).
+        u = u.withColumn("_known", F.first(F.col(f"{_SEQ}.k") == 0).over(w)).where(F.col("_known"))
     same = F.col("latitud").eqNullSafe(F.col("_old_lat")) & F.col("longitud").eqNullSafe(F.col("_old_lon"))
     return u.where(F.col("_first") | ~same)
 

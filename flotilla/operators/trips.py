@@ -18,13 +18,13 @@ _BOTH = ["energia", "latitud", "longitud", "epochTime", "realTime", "geo", "clus
 
 
 def position_pairs(positions: DataFrame, pairing: str = "vehicle",
-                   bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                   bucket_seconds: int = DEFAULT_BUCKET_SECONDS, extra: tuple = ()) -> DataFrame:
     """(start, end) pairs of consecutive positions as two structs ``s`` and ``e``.
 
     pairing='vehicle' pairs within a vehicle; 'global' reproduces the
     reference's single ordering in which pairs cross vehicle borders.
     """
-    keep = [c for c in ["event_id", *POSITION_COLUMNS] if c in positions.columns]
+    keep = [c for c in ["event_id", *POSITION_COLUMNS] if c in positions.columns] + list(extra)
     paired = attach_previous(positions.select(*keep), scope=pairing, prev_col="s",
                              order=DEFAULT_ORDER, bucket_seconds=bucket_seconds)
     return paired.where(F.col("s").isNotNull()).select(
@@ -60,6 +60,33 @@ def shape_trips(pairs: DataFrame, compat: bool = False, min_km: float = MIN_TRIP
 
 def extract_trips(positions: DataFrame, pairing: str = "vehicle", compat: bool = False,
                   min_km: float = MIN_TRIP_KM, with_ids: bool = False,
-                  bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
-    """Workload A end to end: positions -> trips (one row per movement)."""
-    return shape_trips(position_pairs(positions, pairing, bucket_seconds), compat, min_km, with_ids)
+                  bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+                  carry_in: DataFrame | None = None) -> DataFrame:
+    """Workload A end to end: positions -> trips (one row per movement).
+
+    ``carry_in``: for an incremental run over a time range, the last row of
+    each vehicle before the range (e.g. the state table, or
+    :func:`last_rows_before`). Its rows only serve as start rows, so the
+    first position of a vehicle in the range pairs with its true
+    predecessor and consecutive ranges together give the same trips as one
+    run over everything.
+    """
+    if carry_in is None or pairing != "vehicle":
+        if carry_in is not None:
+            raise ValueError("carry_in applies to per-vehicle pairing")
+        return shape_trips(position_pairs(positions, pairing, bucket_seconds), compat, min_km, with_ids)
+    keep = [c for c in ["event_id", *POSITION_COLUMNS] if c in positions.columns]
+    both = (positions.select(*keep, F.lit(False).alias("_carried"))
+            .unionByName(carry_in.select(*keep, F.lit(True).alias("_carried"))))
+    pairs = position_pairs(both, pairing, bucket_seconds, extra=("_carried",))
+    pairs = pairs.where(~F.col("e._carried"))
+    return shape_trips(pairs, compat, min_km, with_ids)
+
+
+def last_rows_before(positions: DataFrame, start: str, entity: str = "idVehiculo") -> DataFrame:
+    """Last row of every vehicle with a poll before ``start`` (partial
+    ``max_by`` aggregate; one row per vehicle)."""
+    early = positions.where(F.col("timestamp") < F.lit(start).cast("timestamp_ntz"))
+    row = F.struct(*[F.col(c) for c in early.columns])
+    key = F.struct(*[F.col(c) for c in DEFAULT_ORDER])
+    return early.groupBy(entity).agg(F.max_by(row, key).alias("_r")).select("_r.*")

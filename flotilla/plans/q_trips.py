@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 
 from flotilla.functions.geo import pair_distance_km, pair_distance_sql
 from flotilla.operators import pairs as P
-from flotilla.operators.trips import extract_trips, position_pairs
+from flotilla.operators.trips import extract_trips, last_rows_before, position_pairs
 from flotilla.plans.catalog import register
-from flotilla.plans.sqltext import pairs_cte, positions_sql, trips_sql
-from flotilla.sources.fixture import positions
+from flotilla.plans.present import sql_present
+from flotilla.plans.sqltext import TRIP_DOUBLES, TRIP_TIMESTAMPS, pairs_cte, positions_sql, trips_sql
+from flotilla.sources.fixture import RANGE_END, RANGE_START, positions
 
 _KEYS = ["event_id", "idVehiculo", "epochTime"]
 
@@ -32,6 +33,24 @@ def trips_global_compat(spark, sf_dir):
     return extract_trips(positions(spark, sf_dir), pairing="global", compat=True)
 
 
+@register("trips_incremental", sql_present(
+    f"SELECT * FROM ({trips_sql('vehicle', present=False)}) t WHERE cast(timestamp_end AS DATE) "
+    f"BETWEEN DATE '{RANGE_START}' AND DATE '{RANGE_END}'",
+    doubles=TRIP_DOUBLES, timestamps=TRIP_TIMESTAMPS))
+def trips_incremental(spark, sf_dir):
+    """Incremental run over a date range: only that range is paired, with
+    each vehicle's last earlier row carried in -- equal to the trips of a
+    run over everything that end inside the range."""
+    rng = positions(spark, sf_dir, RANGE_START, RANGE_END)
+    carry = last_rows_before(positions(spark, sf_dir, end=_day_before(RANGE_START)), RANGE_START)
+    return extract_trips(rng, carry_in=carry)
+
+
+def _day_before(day: str) -> str:
+    import datetime as dt
+    return (dt.date.fromisoformat(day) - dt.timedelta(days=1)).isoformat()
+
+
 _PAIRS_SQL = positions_sql(
     "SELECT idVehiculo, s_event_id AS event_id_start, event_id AS event_id_end, "
     "s_epochTime AS epochTime_start, epochTime AS epochTime_end FROM pairs WHERE rn > 1",

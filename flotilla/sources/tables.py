@@ -40,14 +40,22 @@ def read_positions(spark: SparkSession, path: str, start: str | None = None,
 
 # -------------------------------------------------------------------- trips
 
-def write_trips(trips: DataFrame, path: str, rerun_safe: bool = True) -> None:
+def processed_at() -> Column:
+    """Processing time as HH:mm:ss (the reference's print_time), an audit column."""
+    return F.date_format(F.current_timestamp(), "HH:mm:ss")
+
+
+def write_trips(trips: DataFrame, path: str, rerun_safe: bool = True, audit: bool = False) -> None:
     """Trips partitioned by start date.
 
     rerun_safe=True: dynamic partition overwrite -- the dates present in
     ``trips`` are replaced, other dates stay. False: plain append (the
     reference, which duplicates rows when a range is processed twice).
+    audit=True adds ``processed_at``.
     """
     out = trips.withColumn("trip_date", F.to_date("timestamp_start"))
+    if audit:
+        out = out.withColumn("processed_at", processed_at())
     w = out.write.partitionBy("trip_date")
     if rerun_safe:
         w.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)

@@ -83,3 +83,22 @@ def test_write_keyed_batches(spark, tmp_path):
     tables.write_keyed_batches(df, "matricula", sink, batch_size=400)
     lines = [ln for p in out.iterdir() for ln in p.read_text().splitlines()]
     assert len(lines) == 1000
+
+
+def test_incremental_trips_equal_full_run(spark):
+    from flotilla.operators.trips import last_rows_before
+    full = extract_trips(positions(spark, SF_SMALL), with_ids=True)
+    start, end = "2024-01-05", "2024-01-20"
+    rng = positions(spark, SF_SMALL, start, end)
+    inc = extract_trips(rng, with_ids=True, carry_in=last_rows_before(positions(spark, SF_SMALL), start))
+    want = full.where(F.to_date("timestamp_end").between(start, end)).select("event_id_start", "event_id_end")
+    got = inc.select("event_id_start", "event_id_end")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_audit_column(spark):
+    trips = extract_trips(positions(spark, SF_SMALL))
+    path = fresh_path(spark, "trips-audit")
+    tables.write_trips(trips, path, audit=True)
+    v = tables.read_trips(spark, path).select("processed_at").first()[0]
+    assert len(v) == 8 and v[2] == ":" and v[5] == ":"
