@@ -5,7 +5,8 @@ row *k* with row *k-1*. Here the previous row is attached directly, in one
 pass over the data, with no single-task window:
 
 * a vehicle holding more than ``hot_rows`` rows (found by a cheap count
-  per vehicle) is split into (vehicle, time bucket) groups, so one vehicle
+  per vehicle, checkpointed and size-checked before it is broadcast) is
+  split into (vehicle, time bucket) groups, so one vehicle
   holding a large share of all rows is still spread over many tasks (a
   bucket holds at most ``bucket_seconds`` x poll rate rows); every other
   vehicle is one group;
@@ -27,6 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flotilla.operators.ordered import lag_in_global_order, offset_in_global_order
+from flotilla.session import cut_lineage
 
 # Width of a pairing bucket. At one poll per second a vehicle has at most
 # 3600 rows per bucket, whatever its share of the table.
@@ -34,24 +36,39 @@ DEFAULT_BUCKET_SECONDS = 3600
 # A vehicle with more rows than this is split into time buckets; others are
 # paired in one window group (one task sorts at most this many rows).
 DEFAULT_HOT_ROWS = 200_000
+# Largest hot-vehicle list that is broadcast; beyond it every vehicle is split.
+MAX_HOT_BROADCAST = 100_000
 DEFAULT_ORDER = ("epochTime", "event_id")
 
 
+def hot_entities(df: DataFrame, entity: str, hot_rows: int) -> DataFrame:
+    """Entities holding more than ``hot_rows`` rows, checkpointed to the
+    shared folder (computed once: a one-column scan with map-side counts)."""
+    hot = (df.groupBy(F.col(entity).alias("_hot_ent")).agg(F.count(F.lit(1)).alias("_n"))
+             .where(F.col("_n") > F.lit(hot_rows)).select("_hot_ent", F.lit(True).alias("_hot")))
+    return cut_lineage(hot)
+
+
 def _bucketed(df: DataFrame, entity: str, time_col: str, bucket_seconds: int,
               keep: Sequence[str], hot_rows: int | None) -> DataFrame:
     """(_ent, _b, _row). ``_b`` is the time bucket for vehicles holding more
     than ``hot_rows`` rows and NULL (one group) for all others; with
-    ``hot_rows=None`` every vehicle is bucketed."""
+    ``hot_rows=None`` every vehicle is bucketed.
+
+    The hot list is broadcast only behind a size check: none hot -> no join
+    at all; up to MAX_HOT_BROADCAST -> broadcast join; more -> every vehicle
+    is bucketed, no broadcast.
+    """
     bucket = F.floor(F.col(time_col) / F.lit(bucket_seconds)).cast("bigint")
-    if hot_rows is None:
-        src, b = df, bucket
-    else:
-        # At most (rows / hot_rows) vehicles can exceed hot_rows: the
-        # broadcast list is bounded by construction, whatever the table size.
-        hot = (df.groupBy(F.col(entity).alias("_hot_ent")).agg(F.count(F.lit(1)).alias("_n"))
-                 .where(F.col("_n") > F.lit(hot_rows)).select("_hot_ent", F.lit(True).alias("_hot")))
-        src = df.join(F.broadcast(hot), df[entity].eqNullSafe(hot["_hot_ent"]), "left")
-        b = F.when(F.col("_hot"), bucket)
+    src, b = df, bucket
+    if hot_rows is not None:
+        hot = hot_entities(df, entity, hot_rows)
+        n_hot = hot.count()
+        if n_hot == 0:
+            b = F.lit(None).cast("bigint")
+        elif n_hot <= MAX_HOT_BROADCAST:
+            src = df.join(F.broadcast(hot), df[entity].eqNullSafe(hot["_hot_ent"]), "left")
+            b = F.when(F.col("_hot"), bucket)
     return src.select(F.col(entity).alias("_ent"), b.alias("_b"),
                       F.struct(*[F.col(c) for c in keep]).alias("_row"))
 

@@ -72,3 +72,13 @@ def test_first_row_of_vehicle(spark):
     glob = {r[0]: r[1] for r in attach_previous(df, scope="global")
             .select("event_id", "prev.event_id").collect()}
     assert glob == {1: None, 2: 1, 3: 2}   # B's first row pairs with A's last
+
+
+@pytest.mark.parametrize("scope", ["vehicle", "global"])
+def test_hot_list_over_limit_buckets_everyone(spark, monkeypatch, scope):
+    import flotilla.operators.pairs as P
+    monkeypatch.setattr(P, "MAX_HOT_BROADCAST", 3)          # 15 hot vehicles > 3: no broadcast
+    p = positions(spark, SF_SMALL).select(*KEYS)
+    got = attach_previous(p, scope=scope, hot_rows=0, bucket_seconds=86400)
+    got = {r[0]: r[1] for r in got.select("event_id", F.col("prev.event_id")).collect()}
+    assert got == _brute_prev(p, scope)
