@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from flotilla.operators import evaluate as E
@@ -26,11 +26,23 @@ KEY = "row_key"
 
 
 def trip_job(positions: DataFrame, out_path: str | None = None, pairing: str = "vehicle",
-             compat: bool = False) -> DataFrame:
-    """Workload A. With ``out_path`` the trips are written rerun-safe."""
-    trips = extract_trips(positions, pairing=pairing, compat=compat)
+             compat: bool = False, metrics: dict | None = None) -> DataFrame:
+    """Workload A. With ``out_path`` the trips are written rerun-safe.
+
+    ``metrics`` (a dict) receives the pipeline counters of the write
+    (rows in, trips written, mean distance) through ``DataFrame.observe``:
+    collected as a side effect of the write, no extra pass over the data.
+    """
+    obs_in, obs_out = Observation("positions"), Observation("trips")
+    pos = positions.observe(obs_in, F.count(F.lit(1)).alias("rows_in"))
+    trips = extract_trips(pos, pairing=pairing, compat=compat)
     if out_path:
-        tables.write_trips(trips, out_path, rerun_safe=True)
+        observed = trips.observe(obs_out, F.count(F.lit(1)).alias("trips"),
+                                 F.avg("distancia").alias("mean_km"))
+        tables.write_trips(observed, out_path, rerun_safe=True)
+        if metrics is not None:
+            metrics.update(obs_in.get)
+            metrics.update(obs_out.get)
     return trips
 
 

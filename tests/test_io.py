@@ -102,3 +102,10 @@ def test_audit_column(spark):
     tables.write_trips(trips, path, audit=True)
     v = tables.read_trips(spark, path).select("processed_at").first()[0]
     assert len(v) == 8 and v[2] == ":" and v[5] == ":"
+
+
+def test_trip_job_metrics(spark):
+    from flotilla.plans.studies import trip_job
+    m = {}
+    trip_job(positions(spark, SF_SMALL), out_path=fresh_path(spark, "trips-job"), metrics=m)
+    assert m["trips"] == 702 and m["rows_in"] == 1000 and m["mean_km"] > 0.1
