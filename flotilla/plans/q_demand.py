@@ -143,7 +143,7 @@ def train_test_split(spark, sf_dir):
 
 
 @register("cv_fold_sizes", positions_sql(
-    "SELECT r AS repeat, " + hash_bucket_sql("concat(cast(r AS VARCHAR), '|', row_key)", 10)
+    "SELECT cast(r AS BIGINT) AS repeat, " + hash_bucket_sql("concat(cast(r AS VARCHAR), '|', row_key)", 10)
     + " AS fold, count(*) AS n FROM split, (SELECT unnest([0, 1, 2]) AS r) reps "
     "WHERE tipoVehiculo = 'moto' AND is_train GROUP BY ALL", KEYED_CTE))
 def cv_fold_sizes(spark, sf_dir):
