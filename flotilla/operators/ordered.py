@@ -9,7 +9,7 @@ compute the same results with a range-partitioned sort instead:
 2. The window runs per range (``partitionBy(range id)``).
 3. Each range's boundary value (last row / total) forms a table of at most
    ``n`` rows; its own prefix is computed there and broadcast back. That
-   table's size is bounded by ``n``, a configuration constant, never by data.
+   table's size is bounded by ``n`` (at most ``MAX_RANGES``), never by data.
 
 The inputs used here are already summaries (one row per vehicle-bucket), so
 the extra exchange is small.
@@ -21,10 +21,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _RID = "_range_id"
+# Ranges of a summary; also the bound of the broadcast boundary table.
+MAX_RANGES = 1024
 
 
 def _ranges(df: DataFrame, order: list[str], n: int | None) -> DataFrame:
-    n = n or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = n or min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), MAX_RANGES)
     return df.repartitionByRange(n, *[F.col(c).asc_nulls_first() for c in order]) \
              .withColumn(_RID, F.spark_partition_id())
 

@@ -19,11 +19,12 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
-                app_name: str = "flotilla") -> SparkSession:
+                app_name: str = "flotilla", extra: dict[str, str] | None = None) -> SparkSession:
     """Builder with the settings every job here relies on.
 
     AQE re-plans joins and coalesces shuffle partitions at runtime, the skew
-    join split is on, and the UI server stays off.
+    join split is on, and the UI server stays off. ``extra`` takes e.g.
+    :func:`cluster_settings` for a cluster run.
     """
     builder = (
         SparkSession.builder.appName(app_name)
@@ -38,11 +39,40 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         builder = builder.master(master)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    for k, v in (extra or {}).items():
+        builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
 
+def cluster_settings(input_bytes: int, total_cores: int,
+                     target_partition_bytes: int = 256 * 1024 ** 2) -> dict[str, str]:
+    """Partition sizing for a cluster run.
+
+    Scan splits of ``target_partition_bytes``; the initial shuffle
+    partition count is large enough that each holds about that much of the
+    input (the position table is the largest shuffled input; its rows keep
+    their size through pairing), at least 3 waves of the cluster's cores.
+    AQE then coalesces small partitions to the same advisory size and splits
+    skewed join partitions. E.g. 100 TB on 1000 x 16 cores -> 256 MB splits,
+    about 410k shuffle partitions.
+    """
+    shuffle = max(3 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        # Exchange files that outlive a lost executor are served by the
+        # external shuffle service / decommissioning on the cluster.
+        "spark.decommission.enabled": "true",
+        "spark.storage.decommission.shuffleBlocks.enabled": "true",
+    }
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder (``spark.checkpoint.dir``).
 
