@@ -5,7 +5,7 @@ row *k* with row *k-1*. Here the previous row is attached directly, in one
 pass over the data, with no single-task window:
 
 * a vehicle holding more than ``hot_rows`` rows (found by a cheap count
-  per vehicle, checkpointed and size-checked before it is broadcast) is
+  per vehicle, counted and size-checked before it is broadcast) is
   split into (vehicle, time bucket) groups, so one vehicle
   holding a large share of all rows is still spread over many tasks (a
   bucket holds at most ``bucket_seconds`` x poll rate rows); every other
@@ -28,7 +28,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flotilla.operators.ordered import lag_in_global_order, offset_in_global_order
-from flotilla.session import cut_lineage
 
 # Width of a pairing bucket. At one poll per second a vehicle has at most
 # 3600 rows per bucket, whatever its share of the table.
@@ -42,11 +41,10 @@ DEFAULT_ORDER = ("epochTime", "event_id")
 
 
 def hot_entities(df: DataFrame, entity: str, hot_rows: int) -> DataFrame:
-    """Entities holding more than ``hot_rows`` rows, checkpointed to the
-    shared folder (computed once: a one-column scan with map-side counts)."""
-    hot = (df.groupBy(F.col(entity).alias("_hot_ent")).agg(F.count(F.lit(1)).alias("_n"))
-             .where(F.col("_n") > F.lit(hot_rows)).select("_hot_ent", F.lit(True).alias("_hot")))
-    return cut_lineage(hot)
+    """Entities holding more than ``hot_rows`` rows: a one-column scan with
+    map-side counts (deterministic, so recomputing it gives the same list)."""
+    return (df.groupBy(F.col(entity).alias("_hot_ent")).agg(F.count(F.lit(1)).alias("_n"))
+              .where(F.col("_n") > F.lit(hot_rows)).select("_hot_ent", F.lit(True).alias("_hot")))
 
 
 def _bucketed(df: DataFrame, entity: str, time_col: str, bucket_seconds: int,

@@ -84,7 +84,7 @@ def demand_study(features: DataFrame, vehicle_type: str | None, feature_cols: Se
     Prediction, Err (and ErrPorcentage).
 
     The study table (cleaned hourly features: small next to the positions)
-    is checkpointed to the shared folder first: the fit makes several passes
+    is written to the shared folder and read back first: the fit makes several passes
     and each would otherwise recompute pairing, trips and features."""
     data = cut_lineage(E.with_split(study_input(features, vehicle_type), [KEY]))
     train = data.where(F.col("is_train")).drop("is_train")

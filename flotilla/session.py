@@ -113,7 +113,11 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return os.path.join(base, "flotilla", f"{label}-{uuid.uuid4().hex}")
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss)."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, label: str = "cut") -> DataFrame:
+    """Cut the lineage: write ``df`` as a Parquet table in a new location below
+    the shared folder and read it back. One job computes ``df`` once (an
+    eager ``checkpoint()`` computes it twice: once to count, once to save);
+    the table survives executor loss and later stages start from it."""
+    path = fresh_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
