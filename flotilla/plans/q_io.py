@@ -13,7 +13,7 @@ from flotilla.plans.sqltext import POSITION_DOUBLES, TRIP_DOUBLES, TRIP_TIMESTAM
 from flotilla.schema import POSITION_COLUMNS, POSITION_REQUIRED
 from flotilla.session import fresh_path
 from flotilla.sources import tables
-from flotilla.sources.fixture import RANGE_END, RANGE_START, SNAPSHOT_ID, positions
+from flotilla.sources.fixture import RANGE_END, RANGE_START, SNAPSHOT_ID, positions, snapshot_positions
 
 _ALL = dict(doubles=POSITION_DOUBLES, timestamps=["timestamp"], dates=["ingest_date"])
 _RANGE_SQL = positions_sql(
@@ -40,7 +40,7 @@ def positions_table_range(spark, sf_dir):
 def snapshot_copy(spark, sf_dir):
     """K2: append a snapshot's rows to the copy table (19 declared columns)."""
     path = fresh_path(spark, "snapshot_copy")
-    snap = S.snapshot_by_id(positions(spark, sf_dir), SNAPSHOT_ID).select(*POSITION_COLUMNS, "ingest_date")
+    snap = snapshot_positions(spark, sf_dir, SNAPSHOT_ID).select(*POSITION_COLUMNS, "ingest_date")
     tables.write_positions(snap, path, mode="append")
     return spark.read.parquet(path).select(*POSITION_COLUMNS, "ingest_date")
 
@@ -71,7 +71,7 @@ _JSON_SELECT = ", ".join(
 def snapshot_json_roundtrip(spark, sf_dir):
     """K3 + P6: snapshot as JSON lines (timestamp as text) and read back."""
     path = fresh_path(spark, "json")
-    snap = S.snapshot_by_id(positions(spark, sf_dir), SNAPSHOT_ID).select(*_JSON_COLS)
+    snap = snapshot_positions(spark, sf_dir, SNAPSHOT_ID).select(*_JSON_COLS)
     tables.write_json(snap, path)
     schema = tables.to_json_ready(snap).schema
     return tables.read_json(spark, path, schema)

@@ -9,7 +9,7 @@ from flotilla.operators.state import initial_state
 from flotilla.plans.catalog import register
 from flotilla.plans.sqltext import POSITION_DOUBLES, positions_sql
 from flotilla.schema import NUMERIC_TO_DOUBLE
-from flotilla.sources.fixture import FOLD_DAY, SNAPSHOT_ID, STATE_CUTOFF, positions
+from flotilla.sources.fixture import FOLD_DAY, SNAPSHOT_ID, STATE_CUTOFF, positions, snapshot_positions
 
 # The two vehicles of the reference's eyeballing query.
 SUBSET_VEHICLES = ("V000001", "V000002")
@@ -33,7 +33,7 @@ def state_of(spark, sf_dir):
 @register("snapshot_by_id", positions_sql(f"SELECT * FROM positions WHERE uoid = '{SNAPSHOT_ID}'", **_ALL))
 def snapshot_by_id(spark, sf_dir):
     """All rows of one snapshot."""
-    return S.snapshot_by_id(positions(spark, sf_dir), SNAPSHOT_ID)
+    return snapshot_positions(spark, sf_dir, SNAPSHOT_ID)
 
 
 @register("positions_numeric_cast", positions_sql(
@@ -80,7 +80,7 @@ def nth_snapshot(spark, sf_dir):
     f"SELECT count(*) AS snapshot_rows FROM positions WHERE uoid = '{SNAPSHOT_ID}'"))
 def snapshot_count(spark, sf_dir):
     """A2: COUNT(*) of a snapshot."""
-    return S.snapshot_by_id(positions(spark, sf_dir), SNAPSHOT_ID).agg(
+    return snapshot_positions(spark, sf_dir, SNAPSHOT_ID).agg(
         F.count(F.lit(1)).alias("snapshot_rows"))
 
 
@@ -104,7 +104,7 @@ def snapshot_dedupe(spark, sf_dir):
     STATE_CTE))
 def snapshot_movements(spark, sf_dir):
     """Every row of the snapshot classified against the stored state."""
-    snap = S.snapshot_by_id(positions(spark, sf_dir), SNAPSHOT_ID)
+    snap = snapshot_positions(spark, sf_dir, SNAPSHOT_ID)
     return S.compare_with_state(snap, state_of(spark, sf_dir)).select("event_id", "matricula", "movement")
 
 
@@ -117,7 +117,7 @@ def snapshot_movements(spark, sf_dir):
     "GROUP BY movement", STATE_CTE))
 def snapshot_movement_counts(spark, sf_dir):
     """Moved / same / new plates of the de-duplicated snapshot."""
-    snap = S.dedupe_snapshots(S.snapshot_by_id(positions(spark, sf_dir), SNAPSHOT_ID))
+    snap = S.dedupe_snapshots(snapshot_positions(spark, sf_dir, SNAPSHOT_ID))
     cmp = S.compare_with_state(snap, state_of(spark, sf_dir))
     return cmp.groupBy("movement").agg(F.count(F.lit(1)).alias("plates"))
 
@@ -127,7 +127,7 @@ def snapshot_movement_counts(spark, sf_dir):
     "AND NOT EXISTS (SELECT 1 FROM state s WHERE s.matricula = p.matricula)", STATE_CTE))
 def new_vehicles(spark, sf_dir):
     """Snapshot rows of plates the state does not know."""
-    snap = S.snapshot_by_id(positions(spark, sf_dir), SNAPSHOT_ID)
+    snap = snapshot_positions(spark, sf_dir, SNAPSHOT_ID)
     return S.new_vehicles(snap, state_of(spark, sf_dir)).select("event_id", "matricula")
 
 

@@ -11,7 +11,7 @@ from flotilla.plans.q_snapshots import DAY_FILTER, STATE_CTE, state_of
 from flotilla.plans.sqltext import POSITION_DOUBLES, positions_sql
 from flotilla.session import fresh_path
 from flotilla.sources import tables
-from flotilla.sources.fixture import FOLD_DAY, SNAPSHOT_ID, positions
+from flotilla.sources.fixture import FOLD_DAY, SNAPSHOT_ID, positions, snapshot_positions
 from flotilla.streaming import live_state as LS
 
 # The reference's write batch size.
@@ -70,7 +70,7 @@ def state_upsert(spark, sf_dir):
     """K4: upsert the de-duplicated snapshot into the state; written to a new
     version path and read back."""
     state = state_of(spark, sf_dir)
-    snap = S.dedupe_snapshots(S.snapshot_by_id(positions(spark, sf_dir), SNAPSHOT_ID))
+    snap = S.dedupe_snapshots(snapshot_positions(spark, sf_dir, SNAPSHOT_ID))
     out = fresh_path(spark, "state")
     ST.upsert_state(state, snap).write.parquet(out)
     return spark.read.parquet(out)

@@ -109,3 +109,13 @@ def test_trip_job_metrics(spark):
     m = {}
     trip_job(positions(spark, SF_SMALL), out_path=fresh_path(spark, "trips-job"), metrics=m)
     assert m["trips"] == 702 and m["rows_in"] == 1000 and m["mean_km"] > 0.1
+
+
+def test_snapshot_scan_pushes_time_range(spark):
+    from flotilla.operators.snapshots import snapshot_by_id
+    from flotilla.sources.fixture import snapshot_positions
+    snap = snapshot_positions(spark, SF_SMALL, "S00079011")
+    plan = snap._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(ts,2024-01-30T18:00)" in plan and "LessThan(ts,2024-01-31T00:00)" in plan
+    want = snapshot_by_id(positions(spark, SF_SMALL), "S00079011")
+    assert sorted(r.event_id for r in snap.collect()) == sorted(r.event_id for r in want.collect())
