@@ -41,10 +41,17 @@ _FINAL_SQL = (f"SELECT {', '.join(_FOLD_COLS)} FROM (SELECT *, row_number() OVER
               "ORDER BY k DESC, e_rt DESC NULLS LAST, e_u DESC NULLS LAST) AS fk FROM ch) WHERE fk = 1")
 
 
+def day_rows(spark, sf_dir):
+    """Rows the fold reads. The fold takes every row of each listed uoid; in
+    this fixture a uoid is a 6-hour block, so all of them lie inside the day
+    and the day's time range (pushed into the scan) holds every such row."""
+    return positions(spark, sf_dir, FOLD_DAY, FOLD_DAY)
+
+
 @register("state_fold", positions_sql(_FINAL_SQL, FOLD_CTES, doubles=["latitud", "longitud"]))
 def state_fold(spark, sf_dir):
     """State after replaying every snapshot of the day (known plates only)."""
-    pos = positions(spark, sf_dir)
+    pos = day_rows(spark, sf_dir)
     return ST.fold_state(state_of(spark, sf_dir), pos, FOLD_DAY, add_new=False).select(*_FOLD_COLS)
 
 
@@ -54,7 +61,7 @@ def state_fold(spark, sf_dir):
     FOLD_CTES, doubles=["old_latitud", "old_longitud", "new_latitud", "new_longitud"]))
 def movement_log(spark, sf_dir):
     """Every accepted position change of the fold."""
-    pos = positions(spark, sf_dir)
+    pos = day_rows(spark, sf_dir)
     return ST.movement_log(state_of(spark, sf_dir), pos, FOLD_DAY, add_new=False)
 
 
@@ -103,7 +110,7 @@ def chunk_rows(spark, sf_dir):
                                               doubles=["latitud", "longitud"]))
 def state_fold_add_new(spark, sf_dir):
     """T1 with D8's add_new=True: plates first seen during the day are inserted."""
-    pos = positions(spark, sf_dir)
+    pos = day_rows(spark, sf_dir)
     return ST.fold_state(state_of(spark, sf_dir), pos, FOLD_DAY, add_new=True).select(*_FOLD_COLS)
 
 
