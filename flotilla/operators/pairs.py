@@ -168,7 +168,7 @@ def union_shift(df: DataFrame, rn: str = "tempField", **kw) -> DataFrame:
 def pairs_by_group(shifted: DataFrame, rn: str = "tempField",
                    order: Sequence[str] = DEFAULT_ORDER) -> DataFrame:
     """GroupByKey on the shifted numbering: rows per key, ordered explicitly
-    (Beam gives no order; here start = the earlier row). Each key holds at
+    (a grouped list has no order; here start = the earlier row). Each key holds at
     most two rows, so the groups are bounded."""
     key = F.struct(*[F.col(c) for c in order])
     return shifted.groupBy(rn).agg(
