@@ -64,22 +64,24 @@ def histogram(df: DataFrame, col: str, bins: int = HIST_BINS) -> DataFrame:
     """Equal-width histogram like numpy: rows (bin, lo, hi, n) for bins 1..bins.
 
     Range = [min, max]; the last bin is closed on the right; an all-equal
-    column uses [v - 0.5, v + 0.5]. min and max are scalar subqueries (one
-    global partial aggregate each, planned as literals); counts per bin are
-    one more aggregate; empty bins come from the bin ids.
+    column uses [v - 0.5, v + 0.5]. Two passes: min and max come from one
+    global aggregate (map-side partials, two numbers reach the driver and
+    enter the plan as literals), then the counts per bin; empty bins come
+    from the bin ids.
     """
     vals = df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull())
-    mn = vals.agg(F.min("v")).scalar()
-    mx = vals.agg(F.max("v")).scalar()
-    lo0 = F.when(mn == mx, mn - F.lit(0.5)).otherwise(mn)
-    hi0 = F.when(mn == mx, mx + F.lit(0.5)).otherwise(mx)
-    width = (hi0 - lo0) / F.lit(float(bins))
-    idx = F.floor((F.col("v") - lo0) / (hi0 - lo0) * F.lit(bins)).cast("bigint") + 1
+    mn, mx = vals.agg(F.min("v"), F.max("v")).first()
+    ids = df.sparkSession.range(1, bins + 1).withColumnRenamed("id", "bin")
+    if mn is None:
+        return ids.select("bin", F.lit(None).cast("double").alias("lo"),
+                          F.lit(None).cast("double").alias("hi"), F.lit(0).cast("bigint").alias("n")) \
+                  .where(F.lit(False))
+    lo0, hi0 = (mn - 0.5, mx + 0.5) if mn == mx else (mn, mx)
+    width = (hi0 - lo0) / bins
+    idx = F.floor((F.col("v") - F.lit(lo0)) / F.lit(hi0 - lo0) * F.lit(bins)).cast("bigint") + 1
     counts = vals.select(F.least(idx, F.lit(bins).cast("bigint")).alias("bin")) \
                  .groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
-    ids = df.sparkSession.range(1, bins + 1).withColumnRenamed("id", "bin")
     return (ids.join(counts, "bin", "left")
-               .where(mn.isNotNull())
-               .select("bin", (lo0 + (F.col("bin") - 1) * width).alias("lo"),
-                       (lo0 + F.col("bin") * width).alias("hi"),
+               .select("bin", (F.lit(lo0) + (F.col("bin") - 1) * F.lit(width)).alias("lo"),
+                       (F.lit(lo0) + F.col("bin") * F.lit(width)).alias("hi"),
                        F.coalesce(F.col("n"), F.lit(0)).alias("n")))

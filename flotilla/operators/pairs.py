@@ -48,27 +48,29 @@ def hot_entities(df: DataFrame, entity: str, hot_rows: int) -> DataFrame:
 
 
 def _bucketed(df: DataFrame, entity: str, time_col: str, bucket_seconds: int,
-              keep: Sequence[str], hot_rows: int | None) -> DataFrame:
-    """(_ent, _b, _row). ``_b`` is the time bucket for vehicles holding more
-    than ``hot_rows`` rows and NULL (one group) for all others; with
-    ``hot_rows=None`` every vehicle is bucketed.
+              keep: Sequence[str], hot_rows: int | None) -> tuple[DataFrame, bool]:
+    """((_ent, _b, _row), split). ``_b`` is the time bucket for vehicles
+    holding more than ``hot_rows`` rows and NULL (one group) for all others;
+    with ``hot_rows=None`` every vehicle is bucketed. ``split`` is False when
+    no vehicle is bucketed.
 
     The hot list is broadcast only behind a size check: none hot -> no join
     at all; up to MAX_HOT_BROADCAST -> broadcast join; more -> every vehicle
     is bucketed, no broadcast.
     """
     bucket = F.floor(F.col(time_col) / F.lit(bucket_seconds)).cast("bigint")
-    src, b = df, bucket
+    src, b, split = df, bucket, True
     if hot_rows is not None:
         hot = hot_entities(df, entity, hot_rows)
         n_hot = hot.count()
         if n_hot == 0:
-            b = F.lit(None).cast("bigint")
+            b, split = F.lit(None).cast("bigint"), False
         elif n_hot <= MAX_HOT_BROADCAST:
             src = df.join(F.broadcast(hot), df[entity].eqNullSafe(hot["_hot_ent"]), "left")
             b = F.when(F.col("_hot"), bucket)
-    return src.select(F.col(entity).alias("_ent"), b.alias("_b"),
+    base = src.select(F.col(entity).alias("_ent"), b.alias("_b"),
                       F.struct(*[F.col(c) for c in keep]).alias("_row"))
+    return base, split
 
 
 def _row_key(order: Sequence[str]) -> Column:
@@ -99,7 +101,11 @@ def attach_previous(df: DataFrame, entity: str = "idVehiculo",
     if scope not in ("vehicle", "global"):
         raise ValueError(f"scope must be 'vehicle' or 'global', not {scope!r}")
     cols = df.columns
-    base = _bucketed(df, entity, time_col, bucket_seconds, cols, hot_rows)
+    base, split = _bucketed(df, entity, time_col, bucket_seconds, cols, hot_rows)
+    if scope == "vehicle" and not split:
+        # No hot vehicle: one window group per vehicle, one exchange.
+        w = Window.partitionBy("_ent").orderBy(*[F.col(f"_row.{c}").asc_nulls_first() for c in order])
+        return base.withColumn(prev_col, F.lag("_row").over(w)).select("_row.*", prev_col)
     if scope == "vehicle":
         # Only split vehicles need carry-in rows: the last row of the
         # previous non-empty bucket (partial aggregation before the shuffle).
@@ -134,7 +140,10 @@ def row_numbers(df: DataFrame, entity: str = "idVehiculo",
     as a carry-in row, so the numbers come from a running sum inside it.
     """
     cols = df.columns
-    base = _bucketed(df, entity, time_col, bucket_seconds, cols, hot_rows)
+    base, split = _bucketed(df, entity, time_col, bucket_seconds, cols, hot_rows)
+    if scope == "vehicle" and not split:
+        w = Window.partitionBy("_ent").orderBy(*[F.col(f"_row.{c}").asc_nulls_first() for c in order])
+        return base.withColumn(out, F.row_number().over(w).cast("bigint")).select("_row.*", out)
     if scope == "global":
         counts = base.groupBy("_ent", "_b").agg(F.count(F.lit(1)).alias("_n"))
         offs = offset_in_global_order(counts, ["_ent", "_b"], "_n", "_off", n_ranges)
