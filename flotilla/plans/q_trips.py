@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from flotilla.functions.geo import pair_distance_km, pair_distance_sql
@@ -40,14 +42,15 @@ def trips_global_compat(spark, sf_dir):
 def trips_incremental(spark, sf_dir):
     """Incremental run over a date range: only that range is paired, with
     each vehicle's last earlier row carried in -- equal to the trips of a
-    run over everything that end inside the range."""
+    run over everything that end inside the range. Here the carry-in is
+    derived from the history before the range; a production run takes it
+    from the state table (one row per vehicle) instead of rescanning."""
     rng = positions(spark, sf_dir, RANGE_START, RANGE_END)
     carry = last_rows_before(positions(spark, sf_dir, end=_day_before(RANGE_START)), RANGE_START)
     return extract_trips(rng, carry_in=carry)
 
 
 def _day_before(day: str) -> str:
-    import datetime as dt
     return (dt.date.fromisoformat(day) - dt.timedelta(days=1)).isoformat()
 
 
