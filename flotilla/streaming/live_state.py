@@ -24,14 +24,11 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 
 from flotilla.operators.state import fold_state
-
-
-def version_path(base: str, version: int) -> str:
-    return os.path.join(base, "state", f"v={version:010d}")
+from flotilla.sources.state_store import latest_version, read_version, version_path, write_version
 
 
 def write_initial_state(state: DataFrame, base: str) -> None:
-    state.write.mode("overwrite").parquet(version_path(base, 0))
+    write_version(state, base, 0)
 
 
 def _fold_batch(base: str, plate: str):
@@ -39,7 +36,7 @@ def _fold_batch(base: str, plate: str):
         spark = batch.sparkSession
         prev = spark.read.parquet(version_path(base, batch_id))
         new = fold_state(prev, batch.select(*prev.columns), day=None, add_new=True, plate=plate)
-        new.write.mode("overwrite").parquet(version_path(base, batch_id + 1))
+        write_version(new, base, batch_id + 1)
     return run
 
 
@@ -57,16 +54,5 @@ def run_available(spark: SparkSession, feed_path: str, base: str, schema,
     return latest_version(spark, base)
 
 
-def latest_version(spark: SparkSession, base: str) -> int:
-    """Newest state version present under ``base`` (Hadoop FS listing)."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(os.path.join(base, "state"))
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    versions = [int(s.getPath().getName()[2:]) for s in fs.listStatus(root)
-                if s.getPath().getName().startswith("v=")]
-    return max(versions)
-
-
 def read_state(spark: SparkSession, base: str, version: int | None = None) -> DataFrame:
-    v = latest_version(spark, base) if version is None else version
-    return spark.read.parquet(version_path(base, v))
+    return read_version(spark, base, version)
