@@ -8,8 +8,9 @@ pass over the data, with no single-task window:
   per vehicle, counted and size-checked before it is broadcast) is
   split into (vehicle, time bucket) groups, so one vehicle
   holding a large share of all rows is still spread over many tasks (a
-  bucket holds at most ``bucket_seconds`` x poll rate rows); every other
-  vehicle is one group;
+  bucket holds at most ``bucket_seconds`` x poll rate rows); a timestamp
+  of such a vehicle holding more than ``hot_rows`` rows (copies of one poll)
+  is cut further by its tie-breaker; every other vehicle is one group;
 * the last row of every bucket (``max_by``, partially aggregated before the
   shuffle) gives a one-row-per-bucket summary; the previous non-empty
   bucket's last row is found on that summary (per vehicle, or in the global
@@ -26,6 +27,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from flotilla.operators.ordered import lag_in_global_order, offset_in_global_order
 
@@ -38,6 +40,7 @@ DEFAULT_HOT_ROWS = 200_000
 # Largest hot-vehicle list that is broadcast; beyond it every vehicle is split.
 MAX_HOT_BROADCAST = 100_000
 DEFAULT_ORDER = ("epochTime", "event_id")
+_MAX_LONG = 2 ** 63 - 1
 
 
 def hot_entities(df: DataFrame, entity: str, hot_rows: int) -> DataFrame:
@@ -47,29 +50,68 @@ def hot_entities(df: DataFrame, entity: str, hot_rows: int) -> DataFrame:
               .where(F.col("_n") > F.lit(hot_rows)).select("_hot_ent", F.lit(True).alias("_hot")))
 
 
+def hot_timestamps(df: DataFrame, entity: str, time_col: str, hot_rows: int) -> DataFrame:
+    """Per vehicle, the sorted timestamps shared by more than ``hot_rows``
+    rows (floods of copies of one poll). Counts per (vehicle, timestamp)
+    combine map-side; the list holds at most rows / ``hot_rows`` values."""
+    return (df.groupBy(F.col(entity).alias("_ht_ent"), F.col(time_col).alias("_ht_t"))
+              .agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > F.lit(hot_rows))
+              .groupBy("_ht_ent").agg(F.array_sort(F.collect_list("_ht_t")).alias("_hts")))
+
+
 def _bucketed(df: DataFrame, entity: str, time_col: str, bucket_seconds: int,
-              keep: Sequence[str], hot_rows: int | None) -> tuple[DataFrame, bool]:
-    """((_ent, _b, _row), split). ``_b`` is the time bucket for vehicles
-    holding more than ``hot_rows`` rows and NULL (one group) for all others;
-    with ``hot_rows=None`` every vehicle is bucketed. ``split`` is False when
-    no vehicle is bucketed.
-
-    The hot list is broadcast only behind a size check: none hot -> no join
-    at all; up to MAX_HOT_BROADCAST -> broadcast join; more -> every vehicle
-    is bucketed, no broadcast.
+              keep: Sequence[str], hot_rows: int | None,
+              order: Sequence[str] = DEFAULT_ORDER) -> tuple[DataFrame, bool]:
+    """((_ent, _b, _row), split).
+
+    ``_b`` is NULL (one group) for ordinary vehicles. For vehicles holding
+    more than ``hot_rows`` rows (every vehicle when ``hot_rows=None``) it is
+    a struct (w, a, c) that grows with the (time, tie-breaker) order:
+
+    * w = time bucket of ``bucket_seconds``;
+    * rows at a *hot timestamp* h (more than ``hot_rows`` rows of the vehicle
+      at exactly h, e.g. copies): a = h, c = tie-breaker div ``hot_rows``;
+    * other rows at time t: a = the latest hot timestamp before t (NULL if
+      none), c = the largest bigint.
+
+    So a bucket is cut at hot timestamps, and a flood at one timestamp is cut
+    by its (unique) tie-breaker: every group stays bounded. ``split`` is
+    False when no vehicle is split.
+
+    Both lists are broadcast only behind a size check: none -> no join;
+    up to MAX_HOT_BROADCAST vehicles -> broadcast join; more hot vehicles ->
+    every vehicle is split, no broadcast.
     """
-    bucket = F.floor(F.col(time_col) / F.lit(bucket_seconds)).cast("bigint")
-    src, b, split = df, bucket, True
+    t = F.col(time_col)
+    w = F.floor(t / F.lit(bucket_seconds)).cast("bigint")
+    src, is_hot, split = df, F.lit(True), True
     if hot_rows is not None:
         hot = hot_entities(df, entity, hot_rows)
         n_hot = hot.count()
         if n_hot == 0:
-            b, split = F.lit(None).cast("bigint"), False
+            split = False
         elif n_hot <= MAX_HOT_BROADCAST:
-            src = df.join(F.broadcast(hot), df[entity].eqNullSafe(hot["_hot_ent"]), "left")
-            b = F.when(F.col("_hot"), bucket)
+            src = src.join(F.broadcast(hot), src[entity].eqNullSafe(hot["_hot_ent"]), "left")
+            is_hot = F.col("_hot").isNotNull()
+    a = F.lit(None).cast("bigint")
+    c = F.lit(_MAX_LONG).cast("bigint")
+    tie = order[-1]
+    tie_integral = isinstance(df.schema[tie].dataType, (T.LongType, T.IntegerType, T.ShortType))
+    if split and tie_integral and tie != time_col:
+        hts = hot_timestamps(df, entity, time_col, hot_rows or DEFAULT_HOT_ROWS)
+        n_ht = hts.count()
+        if 0 < n_ht <= MAX_HOT_BROADCAST:
+            src = src.join(F.broadcast(hts), src[entity].eqNullSafe(hts["_ht_ent"]), "left")
+            at_hot = F.coalesce(F.array_contains(F.col("_hts"), t), F.lit(False))
+            before = F.array_max(F.filter(F.col("_hts"), lambda h: h < t))
+            a = F.when(at_hot, t.cast("bigint")).otherwise(before.cast("bigint"))
+            c = F.when(at_hot, F.floor(F.col(tie) / F.lit(hot_rows or DEFAULT_HOT_ROWS)).cast("bigint")) \
+                 .otherwise(c)
+    b = F.struct(w.alias("w"), a.alias("a"), c.alias("c"))
+    b = F.when(is_hot, b) if split else F.lit(None).cast(
+        "struct<w:bigint,a:bigint,c:bigint>")
     base = src.select(F.col(entity).alias("_ent"), b.alias("_b"),
-                      F.struct(*[F.col(c) for c in keep]).alias("_row"))
+                      F.struct(*[F.col(x) for x in keep]).alias("_row"))
     return base, split
 
 
@@ -101,7 +143,7 @@ def attach_previous(df: DataFrame, entity: str = "idVehiculo",
     if scope not in ("vehicle", "global"):
         raise ValueError(f"scope must be 'vehicle' or 'global', not {scope!r}")
     cols = df.columns
-    base, split = _bucketed(df, entity, time_col, bucket_seconds, cols, hot_rows)
+    base, split = _bucketed(df, entity, time_col, bucket_seconds, cols, hot_rows, order)
     if scope == "vehicle" and not split:
         # No hot vehicle: one window group per vehicle, one exchange.
         w = Window.partitionBy("_ent").orderBy(*[F.col(f"_row.{c}").asc_nulls_first() for c in order])
@@ -140,7 +182,7 @@ def row_numbers(df: DataFrame, entity: str = "idVehiculo",
     as a carry-in row, so the numbers come from a running sum inside it.
     """
     cols = df.columns
-    base, split = _bucketed(df, entity, time_col, bucket_seconds, cols, hot_rows)
+    base, split = _bucketed(df, entity, time_col, bucket_seconds, cols, hot_rows, order)
     if scope == "vehicle" and not split:
         w = Window.partitionBy("_ent").orderBy(*[F.col(f"_row.{c}").asc_nulls_first() for c in order])
         return base.withColumn(out, F.row_number().over(w).cast("bigint")).select("_row.*", out)

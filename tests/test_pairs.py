@@ -82,3 +82,17 @@ def test_hot_list_over_limit_buckets_everyone(spark, monkeypatch, scope):
     got = attach_previous(p, scope=scope, hot_rows=0, bucket_seconds=86400)
     got = {r[0]: r[1] for r in got.select("event_id", F.col("prev.event_id")).collect()}
     assert got == _brute_prev(p, scope)
+
+
+def test_timestamp_flood_is_split_into_bounded_groups(spark):
+    from flotilla.operators.pairs import _bucketed
+    rows = [(i, "A", 100) for i in range(50)] + [(50 + i, "A", 100 + i) for i in range(10)] \
+        + [(60 + i, "B", 7 * i) for i in range(5)]
+    df = spark.createDataFrame(rows, "event_id long, idVehiculo string, epochTime long")
+    base, split = _bucketed(df, "idVehiculo", "epochTime", 3600, df.columns, hot_rows=5)
+    assert split
+    sizes = base.groupBy("_ent", "_b").count().collect()
+    assert max(r["count"] for r in sizes if r["_ent"] == "A") <= 10      # 50 copies -> groups of <= 5
+    assert [r["count"] for r in sizes if r["_ent"] == "B"] == [5]         # B is not hot: one group
+    got = {r[0]: r[1] for r in attach_previous(df, hot_rows=5).select("event_id", "prev.event_id").collect()}
+    assert got[1] == 0 and got[50] == 49 and got[60] is None

@@ -84,3 +84,19 @@ def test_fold_equals_replay(spark, state, obs, add_new):
     assert got == want
     if not add_new:
         assert movement_log(sdf, odf, "2024-01-10").count() == want_moves
+
+
+FLOODS = st.lists(st.tuples(st.sampled_from(["A", "B", None]), st.integers(0, 4)), min_size=1, max_size=40)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(rows=FLOODS, scope=st.sampled_from(["vehicle", "global"]), hot_rows=st.sampled_from([0, 1, 2, 5]))
+def test_pairing_with_timestamp_floods(spark, rows, scope, hot_rows):
+    """Many rows of one vehicle at one timestamp: the flood is cut by event_id."""
+    df = spark.createDataFrame([(i, v, t) for i, (v, t) in enumerate(rows)],
+                               "event_id long, idVehiculo string, epochTime long")
+    want_prev, want_num = _brute(rows, scope)
+    got = attach_previous(df, scope=scope, hot_rows=hot_rows, bucket_seconds=2, n_ranges=3)
+    assert {r[0]: r[1] for r in got.select("event_id", "prev.event_id").collect()} == want_prev
+    nums = row_numbers(df, scope=scope, hot_rows=hot_rows, bucket_seconds=2, n_ranges=3)
+    assert {r[0]: r[1] for r in nums.select("event_id", "tempField").collect()} == want_num
