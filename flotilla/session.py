@@ -73,38 +73,35 @@ def cluster_settings(input_bytes: int, total_cores: int,
     }
 
 
+_FALLBACK_DIR: str | None = None
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder (``spark.checkpoint.dir``).
+    """The cluster's shared folder: ``spark.checkpoint.dir`` of the session,
+    else the context's checkpoint folder.
 
-    When the session names none (tests, local runs) a fresh folder is made and
-    registered, so later calls and ``DataFrame.checkpoint`` use the same one.
+    When neither is set (tests, local runs) a fresh folder is made once per
+    process and registered as the context's checkpoint folder (the config
+    key itself cannot be changed on a running session).
     """
+    global _FALLBACK_DIR
     path = spark.conf.get(CHECKPOINT_CONF, None)
-    if not path:
-        try:
-            path = spark.sparkContext.getCheckpointDir()
-        except Exception:  # pragma: no cover - Spark Connect has no context
-            path = None
-    if not path:
-        path = tempfile.mkdtemp(prefix="flotilla-ckpt-")
-        spark.conf.set(CHECKPOINT_CONF, path)
-        try:
-            spark.sparkContext.setCheckpointDir(path)
-        except Exception:  # pragma: no cover
-            pass
-    elif path and not _context_has_dir(spark):
-        try:
-            spark.sparkContext.setCheckpointDir(path)
-        except Exception:  # pragma: no cover
-            pass
-    return path
-
-
-def _context_has_dir(spark: SparkSession) -> bool:
+    if path:
+        return path
+    try:
+        ctx_dir = spark.sparkContext.getCheckpointDir()
+    except Exception:  # pragma: no cover - Spark Connect has no context
+        ctx_dir = None
+    if _FALLBACK_DIR and ctx_dir and _FALLBACK_DIR in ctx_dir:
+        return _FALLBACK_DIR
+    if ctx_dir:
+        return ctx_dir
+    _FALLBACK_DIR = tempfile.mkdtemp(prefix="flotilla-ckpt-")
     try:
-        return bool(spark.sparkContext.getCheckpointDir())
+        spark.sparkContext.setCheckpointDir(_FALLBACK_DIR)
     except Exception:  # pragma: no cover
-        return True
+        pass
+    return _FALLBACK_DIR
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
