@@ -69,7 +69,10 @@ def histogram(df: DataFrame, col: str, bins: int = HIST_BINS) -> DataFrame:
     enter the plan as literals), then the counts per bin; empty bins come
     from the bin ids.
     """
-    vals = df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull())
+    # NULL and NaN are left out (NaN sorts above every number in Spark and
+    # would become the maximum; numpy refuses such a range).
+    vals = df.select(F.col(col).cast("double").alias("v")) \
+             .where(F.col("v").isNotNull() & ~F.isnan("v"))
     mn, mx = vals.agg(F.min("v"), F.max("v")).first()
     ids = df.sparkSession.range(1, bins + 1).withColumnRenamed("id", "bin")
     if mn is None:

@@ -64,3 +64,9 @@ def test_split_is_deterministic(spark):
     a = E.with_split(df, ["k"]).where("is_train").count()
     b = E.with_split(df.repartition(7), ["k"]).where("is_train").count()
     assert a == b and 1350 < a < 1650
+
+
+def test_histogram_skips_nan(spark):
+    df = spark.createDataFrame([(1.0,), (2.0,), (float("nan"),), (None,)], "x double")
+    got = E.histogram(df, "x", 2).orderBy("bin").collect()
+    assert [r["n"] for r in got] == [1, 1] and got[-1]["hi"] == 2.0
