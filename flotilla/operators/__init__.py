@@ -1,0 +1 @@
+"""DataFrame -> DataFrame operators: pairing, trips, snapshots, state, features, evaluation, models."""

@@ -1,0 +1 @@
+"""Structured Streaming: the live state fold over arriving snapshot files."""
