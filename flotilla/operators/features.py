@@ -53,12 +53,22 @@ def _keyed(df: DataFrame, ts: str, cluster: str, lat: str, lon: str, extra: list
                      F.col(lon).alias("clusterLongitude"), *extra).drop("date")
 
 
-def cluster_hour_features(positions: DataFrame, trips: DataFrame) -> DataFrame:
-    """The feature view: one row per (servicio, type, date, hour, cluster)."""
-    seen = (_keyed(positions, "timestamp", "clusterId", "clusterLatitude", "clusterLongitude",
+def cluster_hour_features(positions: DataFrame, trips: DataFrame, approx_rsd: float | None = None) -> DataFrame:
+    """The feature view: one row per (servicio, type, date, hour, cluster).
+
+    ``numAvailable`` is exact by default (distinct (key, vehicle) pairs,
+    de-duplicated map-side, then counted). ``approx_rsd`` switches to one
+    HyperLogLog aggregate (``approx_count_distinct``) with that relative
+    standard deviation: one shuffle less at scale, counts approximate.
+    """
+    keyed = _keyed(positions, "timestamp", "clusterId", "clusterLatitude", "clusterLongitude",
                    [F.col("idVehiculo")])
-            .distinct()                                   # one row per vehicle and key
-            .groupBy(*FEATURE_KEYS).agg(F.count("idVehiculo").alias("_avail")))
+    if approx_rsd is None:
+        seen = (keyed.distinct()                                   # one row per vehicle and key
+                .groupBy(*FEATURE_KEYS).agg(F.count("idVehiculo").alias("_avail")))
+    else:
+        seen = keyed.groupBy(*FEATURE_KEYS).agg(
+            F.approx_count_distinct("idVehiculo", approx_rsd).alias("_avail"))
     moved = (_keyed(trips, "timestamp_start", "clusterId_start", "clusterLatitude_start",
                     "clusterLongitude_start", [])
              .groupBy(*FEATURE_KEYS).agg(F.count(F.lit(1)).alias("_trips")))

@@ -70,3 +70,17 @@ def test_histogram_skips_nan(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (float("nan"),), (None,)], "x double")
     got = E.histogram(df, "x", 2).orderBy("bin").collect()
     assert [r["n"] for r in got] == [1, 1] and got[-1]["hi"] == 2.0
+
+
+def test_feature_view_approx_availability(spark):
+    from conftest import SF_SMALL
+    from flotilla.operators.trips import extract_trips
+    from flotilla.sources.fixture import positions
+    p = positions(spark, SF_SMALL)
+    t = extract_trips(p, "vehicle", compat=True)
+    keys = FT.FEATURE_KEYS
+    exact = {tuple(r[k] for k in keys): r["numAvailable"] for r in FT.cluster_hour_features(p, t).collect()}
+    approx = {tuple(r[k] for k in keys): r["numAvailable"]
+              for r in FT.cluster_hour_features(p, t, approx_rsd=0.01).collect()}
+    assert exact.keys() == approx.keys()
+    assert all(abs(exact[k] - approx[k]) <= max(1, 0.05 * exact[k]) for k in exact)
