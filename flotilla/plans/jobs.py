@@ -72,7 +72,7 @@ def run_fold(spark: SparkSession, a) -> dict:
 def run_features(spark: SparkSession, a) -> dict:
     pos = tables.read_positions(spark, a.positions, a.start, a.end)
     trips = extract_trips(pos, "vehicle", compat=True)
-    FT.cluster_hour_features(pos, trips).write.mode("overwrite").parquet(a.out)
+    FT.cluster_hour_features(pos, trips, approx_rsd=a.approx_rsd).write.mode("overwrite").parquet(a.out)
     return {}
 
 
@@ -123,6 +123,7 @@ def parser() -> argparse.ArgumentParser:
     e.add_argument("--out", required=True)
     e.add_argument("--start")
     e.add_argument("--end")
+    e.add_argument("--approx-rsd", type=float, help="approximate numAvailable with this relative error")
     e.set_defaults(fn=run_features)
 
     m = sub.add_parser("study")
