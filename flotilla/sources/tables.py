@@ -15,15 +15,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flotilla.operators.pairs import row_numbers
-from flotilla.schema import POSITION_SCHEMA
+from flotilla.schema import POSITION_REQUIRED, POSITION_SCHEMA, TRIP_REQUIRED
 
 JSON_TS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
 # ---------------------------------------------------------------- positions
 
-def write_positions(df: DataFrame, path: str, mode: str = "append") -> None:
-    """Position rows partitioned by ingestion date (the snapshot copy sink)."""
+def write_positions(df: DataFrame, path: str, mode: str = "append",
+                    rejects_path: str | None = None) -> None:
+    """Position rows partitioned by ingestion date (the snapshot copy sink).
+    With ``rejects_path``, rows missing a REQUIRED column go there instead."""
+    if rejects_path:
+        df, bad = split_required(df, [c for c in POSITION_REQUIRED if c in df.columns])
+        bad.write.mode("append").parquet(rejects_path)
     df.write.mode(mode).partitionBy("ingest_date").parquet(path)
 
 
@@ -45,14 +50,19 @@ def processed_at() -> Column:
     return F.date_format(F.current_timestamp(), "HH:mm:ss")
 
 
-def write_trips(trips: DataFrame, path: str, rerun_safe: bool = True, audit: bool = False) -> None:
+def write_trips(trips: DataFrame, path: str, rerun_safe: bool = True, audit: bool = False,
+                rejects_path: str | None = None) -> None:
     """Trips partitioned by start date.
 
     rerun_safe=True: dynamic partition overwrite -- the dates present in
     ``trips`` are replaced, other dates stay. False: plain append (the
     reference, which duplicates rows when a range is processed twice).
-    audit=True adds ``processed_at``.
+    audit=True adds ``processed_at``. With ``rejects_path``, trips missing a
+    REQUIRED column are written there instead of the table.
     """
+    if rejects_path:
+        trips, bad = split_required(trips, [c for c in TRIP_REQUIRED if c in trips.columns])
+        bad.write.mode("append").parquet(rejects_path)
     out = trips.withColumn("trip_date", F.to_date("timestamp_start"))
     if audit:
         out = out.withColumn("processed_at", processed_at())

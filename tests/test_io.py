@@ -119,3 +119,13 @@ def test_snapshot_scan_pushes_time_range(spark):
     assert "GreaterThanOrEqual(ts,2024-01-30T18:00)" in plan and "LessThan(ts,2024-01-31T00:00)" in plan
     want = snapshot_by_id(positions(spark, SF_SMALL), "S00079011")
     assert sorted(r.event_id for r in snap.collect()) == sorted(r.event_id for r in want.collect())
+
+
+def test_write_with_rejects(spark):
+    trips = extract_trips(positions(spark, SF_SMALL))
+    broken = trips.withColumn("uoid", F.when(F.col("distancia") > 2, F.lit(None)).otherwise(F.col("uoid")))
+    path, rej = fresh_path(spark, "trips-req"), fresh_path(spark, "trips-rej")
+    tables.write_trips(broken, path, rejects_path=rej)
+    n_bad = trips.where(F.col("distancia") > 2).count()
+    assert spark.read.parquet(rej).count() == n_bad > 0
+    assert tables.read_trips(spark, path).count() == 702 - n_bad
