@@ -48,3 +48,19 @@ def test_features_and_study_jobs(spark, warehouse):
     jobs.main(["study", "--features", feats, "--out", out, "--model", "bagging",
                "--label", "tripYesNo"], spark=spark)
     assert spark.read.parquet(out).count() > 0
+
+
+def test_trip_job_with_state_carry_in(spark, warehouse):
+    from pyspark.sql import functions as F
+    pos, _ = warehouse
+    state = fresh_path(spark, "jobs-state-carry")
+    state_store.write_version(initial_state(tables.read_positions(spark, pos), STATE_CUTOFF), state, 0)
+    out = fresh_path(spark, "jobs-trips-carry")
+    jobs.main(["trips", "--positions", pos, "--out", out, "--start", "2024-01-06", "--state", state],
+              spark=spark)
+    from flotilla.operators.trips import extract_trips
+    want = extract_trips(tables.read_positions(spark, pos)).where(
+        F.col("timestamp_end") >= F.lit("2024-01-06").cast("timestamp_ntz"))
+    cols = ["idVehiculo", "epochTime_start", "epochTime_end"]
+    got = spark.read.parquet(out).select(*cols)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select(*cols).collect()))
