@@ -29,7 +29,10 @@ def write_positions(df: DataFrame, path: str, mode: str = "append",
     if rejects_path:
         df, bad = split_required(df, [c for c in POSITION_REQUIRED if c in df.columns])
         bad.write.mode("append").parquet(rejects_path)
-    df.write.mode(mode).partitionBy("ingest_date").parquet(path)
+    # REBALANCE by the partition column: AQE groups a date's rows into
+    # advisory-size partitions (a hot date is split, small ones merged), so
+    # each date gets a few large files instead of one file per task.
+    df.hint("rebalance", "ingest_date").write.mode(mode).partitionBy("ingest_date").parquet(path)
 
 
 def read_positions(spark: SparkSession, path: str, start: str | None = None,
@@ -66,6 +69,7 @@ def write_trips(trips: DataFrame, path: str, rerun_safe: bool = True, audit: boo
     out = trips.withColumn("trip_date", F.to_date("timestamp_start"))
     if audit:
         out = out.withColumn("processed_at", processed_at())
+    out = out.hint("rebalance", "trip_date")      # a few large files per date (see write_positions)
     w = out.write.partitionBy("trip_date")
     if rerun_safe:
         w.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
