@@ -39,6 +39,8 @@ DEFAULT_BUCKET_SECONDS = 3600
 DEFAULT_HOT_ROWS = 200_000
 # Largest hot-vehicle list that is broadcast; beyond it every vehicle is split.
 MAX_HOT_BROADCAST = 100_000
+# Largest number of hot timestamps (over all vehicles) that is broadcast.
+MAX_HOT_TIMESTAMPS = 1_000_000
 DEFAULT_ORDER = ("epochTime", "event_id")
 _MAX_LONG = 2 ** 63 - 1
 
@@ -99,8 +101,10 @@ def _bucketed(df: DataFrame, entity: str, time_col: str, bucket_seconds: int,
     tie_integral = isinstance(df.schema[tie].dataType, (T.LongType, T.IntegerType, T.ShortType))
     if split and tie_integral and tie != time_col:
         hts = hot_timestamps(df, entity, time_col, hot_rows or DEFAULT_HOT_ROWS)
-        n_ht = hts.count()
-        if 0 < n_ht <= MAX_HOT_BROADCAST:
+        n_ht, n_ts = hts.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("_hts")), F.lit(0))).first()
+        # Broadcast only a checked list; beyond the caps the time buckets
+        # alone still give exact pairs (floods are then not cut further).
+        if 0 < n_ht <= MAX_HOT_BROADCAST and n_ts <= MAX_HOT_TIMESTAMPS:
             src = src.join(F.broadcast(hts), src[entity].eqNullSafe(hts["_ht_ent"]), "left")
             at_hot = F.coalesce(F.array_contains(F.col("_hts"), t), F.lit(False))
             before = F.array_max(F.filter(F.col("_hts"), lambda h: h < t))

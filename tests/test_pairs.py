@@ -96,3 +96,12 @@ def test_timestamp_flood_is_split_into_bounded_groups(spark):
     assert [r["count"] for r in sizes if r["_ent"] == "B"] == [5]         # B is not hot: one group
     got = {r[0]: r[1] for r in attach_previous(df, hot_rows=5).select("event_id", "prev.event_id").collect()}
     assert got[1] == 0 and got[50] == 49 and got[60] is None
+
+
+def test_flood_list_over_cap_still_exact(spark, monkeypatch):
+    import flotilla.operators.pairs as P
+    monkeypatch.setattr(P, "MAX_HOT_TIMESTAMPS", 0)        # no flood list broadcast
+    rows = [(i, "A", 100) for i in range(30)] + [(30 + i, "A", 101 + i) for i in range(5)]
+    df = spark.createDataFrame(rows, "event_id long, idVehiculo string, epochTime long")
+    got = {r[0]: r[1] for r in attach_previous(df, hot_rows=5).select("event_id", "prev.event_id").collect()}
+    assert got == {i: (i - 1 if i else None) for i in range(35)}
