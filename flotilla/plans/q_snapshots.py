@@ -11,7 +11,7 @@ from flotilla.plans.sqltext import POSITION_DOUBLES, positions_sql
 from flotilla.schema import NUMERIC_TO_DOUBLE
 from flotilla.sources.fixture import FOLD_DAY, SNAPSHOT_ID, STATE_CUTOFF, positions, snapshot_positions
 
-# The two vehicles of the reference's eyeballing query.
+# Two fixture vehicles (present at every scale) for the two-vehicle query.
 SUBSET_VEHICLES = ("V000001", "V000002")
 FIRST_N = 4
 TOP_N = 100
