@@ -14,6 +14,8 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -27,43 +29,84 @@ from flotilla.session import cut_lineage, fresh_path
 MAGIC = b"FLTOK8\x01\x00"
 CHUNK_IDS = 1 << 20
 SLICE_BYTES = 2 << 20
-#: Pieces whose ids a task remembers before it starts anew.
-CACHE_PIECES = 200_000
+#: Pieces whose ids a task remembers before it forgets the rarer half.
+CACHE_PIECES = 800_000
 #: White space before a space: such a text isn't cut at its spaces.
 _WIDE = re.compile(r"\s ")
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letter by which a byte-level vocabulary shows each byte: printable
+    Latin-1 characters stand for themselves, the others follow from U+0100."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in set(plain)]
+    return {b: chr(b) for b in plain} | {b: chr(0x100 + i) for i, b in enumerate(others)}
+
+
 class Encoder:
     """Ids of whole texts, by way of the ids of their pieces.
 
     The byte-level pattern never joins what stands on the two sides of a
     place where a space follows a character that isn't white space, so the ids
     of a text are those of its pieces between such places, in order. Pieces
-    repeat much more than texts; their ids are remembered.
+    repeat much more than texts; the ids of the more frequent are remembered.
+    A new piece that is one word of Latin letters, with at most a full stop or
+    comma after it, goes straight to the library's model, any other through
+    the whole tokenizer.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
-        self.model = Tokenizer.from_file(path)
-        self.model.encode_special_tokens = True  # their strings in a text are ordinary text
-        self._reset()
-
-    def _reset(self) -> None:
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.model = self.tokenizer.model
+        self.letters = _byte_letters()
+        self.stops = {c: self.tokenizer.encode(c, add_special_tokens=False).ids for c in ".,"}
         self.known: dict[str, int] = {}   # pieces after a space
         self.first: dict[str, int] = {}   # pieces at a text's begin
         self.flat = np.zeros(1 << 16, np.uint32)
-        self.start = np.zeros(1 << 14, np.int64)
-        self.count = np.zeros(1 << 14, np.int64)
+        self.start, self.count, self.hits = (np.zeros(1 << 14, np.int64) for _ in range(3))
         self.pieces = self.used = 0
 
+    def _forget(self) -> None:
+        """Keep the more frequent half of the pieces."""
+        keep = np.sort(np.argpartition(self.hits[:self.pieces], self.pieces // 2)[self.pieces // 2:])
+        place = np.full(self.pieces, -1, np.int64)
+        place[keep] = np.arange(len(keep))
+        start, n = self.start[keep], self.count[keep]
+        ends = np.cumsum(n)
+        self.flat = self.flat[np.arange(ends[-1]) + np.repeat(start - ends + n, n)]
+        self.start, self.count, self.hits = ends - n, n, self.hits[keep] // 2
+        self.pieces, self.used = len(keep), int(ends[-1])
+        self.known, self.first = ({k: int(place[v]) for k, v in d.items() if place[v] >= 0} for d in (self.known, self.first))
+
+    def _word(self, word: str, prefix: str) -> list[int]:
+        return [t.id for t in self.model.tokenize((prefix + word).encode().decode("latin-1").translate(self.letters))]
+
+    def _ids(self, names: list[str], prefix: str) -> list[list[int]]:
+        out, words, rest = [None] * len(names), {}, []
+        for i, x in enumerate(names):
+            stop = x[-1:] if x[-1:] in self.stops else ""
+            word = x[:-1] if stop else x
+            if word.isalpha() and (word.isascii() or max(word) < "\u0250"):
+                ids = words.get(word)
+                if ids is None:
+                    ids = words[word] = self._word(word, prefix)
+                out[i] = ids + self.stops[stop] if stop else ids
+            else:
+                rest.append(i)
+        for i, e in zip(rest, self.tokenizer.encode_batch_fast([prefix + names[i] for i in rest], add_special_tokens=False)):
+            out[i] = e.ids
+        return out
+
     def _learn(self, names: list[str], where: dict[str, int], prefix: str) -> None:
-        ids = [e.ids for e in self.model.encode_batch_fast([prefix + x for x in names], add_special_tokens=False)]
+        ids = self._ids(names, prefix)
         n = [len(x) for x in ids]
         total = sum(n)
         while self.used + total > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
         while self.pieces + len(names) > len(self.start):
-            self.start, self.count = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.count))
+            self.start, self.count, self.hits = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.count, self.hits))
         self.flat[self.used:self.used + total] = np.fromiter((i for x in ids for i in x), np.uint32, total)
         new = slice(self.pieces, self.pieces + len(names))
         self.count[new] = n
@@ -72,10 +115,18 @@ class Encoder:
         self.pieces += len(names)
         self.used += total
 
+    def _codes(self, names: list[str], where: dict[str, int], prefix: str) -> np.ndarray:
+        codes = np.fromiter(map(where.get, names, repeat(-1)), np.int64, len(names))
+        new = np.flatnonzero(codes < 0)
+        if len(new):
+            self._learn(list({names[i] for i in new}), where, prefix)
+            codes[new] = [where[names[i]] for i in new]
+        return codes
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(all ids, ids of each text)."""
         if self.pieces > CACHE_PIECES:
-            self._reset()
+            self._forget()
         split, first, rest, rest_n = [], [], [], []
         for i, t in enumerate(texts):
             if _WIDE.search(t) is None:
@@ -84,15 +135,13 @@ class Encoder:
                 first.append(head)
                 rest_n.append(len(tail))
                 rest += tail
-        for names, where, prefix in ((first, self.first, ""), (rest, self.known, " ")):
-            if missing := list(set(names) - where.keys()):
-                self._learn(missing, where, prefix)
         codes = np.empty(len(first) + len(rest), np.int64)
         heads = np.cumsum(np.array(rest_n, np.int64) + 1) - np.array(rest_n, np.int64) - 1
         is_head = np.zeros(len(codes), bool)
         is_head[heads] = True
-        codes[is_head] = np.fromiter(map(self.first.__getitem__, first), np.int64, len(first))
-        codes[~is_head] = np.fromiter(map(self.known.__getitem__, rest), np.int64, len(rest))
+        codes[is_head] = self._codes(first, self.first, "")
+        codes[~is_head] = self._codes(rest, self.known, " ")
+        self.hits[:self.pieces] += np.bincount(codes, minlength=self.pieces)
         n = self.count[codes]
         ends = np.cumsum(n)
         total = int(ends[-1]) if len(ends) else 0
@@ -109,12 +158,18 @@ class Encoder:
         for i in split:
             parts[i] = ids[at:at + lengths[i]]
             at += lengths[i]
-        for i, e in zip(whole, self.model.encode_batch_fast([texts[i] for i in whole], add_special_tokens=False)):
+        for i, e in zip(whole, self.tokenizer.encode_batch_fast([texts[i] for i in whole], add_special_tokens=False)):
             parts[i] = np.array(e.ids, np.uint32)
             lengths[i] = len(e.ids)
         return np.concatenate(parts) if parts else ids, lengths
 
 
+@lru_cache(maxsize=1)
+def encoder(path: str) -> Encoder:
+    """The worker's encoder: what it remembers serves the worker's later tasks too."""
+    return Encoder(path)
+
+
 def with_end(ids: np.ndarray, lengths: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """The same with ``end_id`` after each document."""
     total = lengths + 1
@@ -181,7 +236,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
     folder = fresh_path(docs.sparkSession, "tokens")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, out, name = None, None, None
+        model, out, name = None, None, None
         n_docs = n_ids = 0
         held: list[tuple[list, np.ndarray, np.ndarray]] = []
 
@@ -192,10 +247,10 @@ def write_tokens(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
         for batch in batches:
             for doc_ids, texts in _slices(batch):
                 if out is None:
-                    encoder, name = Encoder(tokenizer), attempt_name(folder, "ids", ".tok8")
+                    model, name = encoder(tokenizer), attempt_name(folder, "ids", ".tok8")
                     out = open_output(name)
                     out.write(MAGIC)
-                ids, lengths = with_end(*encoder.encode(texts), end_id)
+                ids, lengths = with_end(*model.encode(texts), end_id)
                 held.append((doc_ids, lengths, ids))
                 n_docs, n_ids = n_docs + len(doc_ids), n_ids + len(ids)
                 if sum(len(h[2]) for h in held) >= CHUNK_IDS:
