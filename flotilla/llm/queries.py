@@ -7,7 +7,7 @@ from collections.abc import Callable
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from flotilla.llm import linededup, tokens_out, urls, warc
+from flotilla.llm import jaccard, linededup, tokens_out, urls, warc
 
 #: The rule list of the url query.
 URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
@@ -36,6 +36,11 @@ def op5_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens_out.read_tokens(tokens_out.write_tokens(table(spark, sf_dir, "documents"), byte_bpe(), end_id=0))
 
 
+def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's shingle count and component of links of similarity 0.8."""
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of at least 1 code point found in at least 10 documents go."""
     out = linededup.line_dedup(table(spark, sf_dir, "documents"), min_docs=10, min_chars=1)
@@ -100,6 +105,7 @@ FROM p LEFT JOIN g ON p.html = g.html
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_url_filter": op2_url_filter,
     "op5_tokens": op5_tokens,
+    "op7_jaccard": op7_jaccard,
     "op8_line_dedup": op8_line_dedup,
     "op10_warc": op10_warc,
 }

@@ -28,7 +28,7 @@ from flotilla.session import cut_lineage, fresh_path
 
 MAGIC = b"FLTOK8\x01\x00"
 CHUNK_IDS = 1 << 20
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 #: Pieces whose ids a task remembers before it forgets the rarer half.
 CACHE_PIECES = 800_000
 #: White space before a space: such a text isn't cut at its spaces.
