@@ -7,7 +7,8 @@ from collections.abc import Callable
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from flotilla.llm import jaccard, linededup, tokens_out, urls, warc
+from flotilla.llm import jaccard, langid, linededup, quality, tokens_out, urls, warc
+from flotilla.llm.shared import held_out
 
 #: The rule list of the url query.
 URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
@@ -36,6 +37,14 @@ def op5_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens_out.read_tokens(tokens_out.write_tokens(table(spark, sf_dir, "documents"), byte_bpe(), end_id=0))
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predict the language of every document; fit on the rows that aren't held out."""
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(docs.filter(~held_out(F.col("doc_id"))))
+    out = langid.predict(docs, model, keep=[F.col("doc_id")])
+    return out.select("row.doc_id", held_out(F.col("row.doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's shingle count and component of links of similarity 0.8."""
     return jaccard.near_duplicates(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
@@ -47,6 +56,16 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("row.doc_id", "n_lines", "n_dropped", F.sha2(F.col("row.text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score every document's quality; fit on the labels that aren't held out."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    learn = ~held_out(F.col("doc_id"))
+    model = quality.fit(docs.filter(learn), labels.filter(learn))
+    out = quality.score(docs, model, keep=[F.col("doc_id")])
+    return out.select("row.doc_id", held_out(F.col("row.doc_id")).alias("held_out"), "score",
+                      (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def _ids_of_urns(urns: pd.Series) -> pd.Series:
     return pd.Series([warc.urn_to_id(u) for u in urns], dtype="Int64")
 
@@ -105,8 +124,10 @@ FROM p LEFT JOIN g ON p.html = g.html
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_url_filter": op2_url_filter,
     "op5_tokens": op5_tokens,
+    "op6_language": op6_language,
     "op7_jaccard": op7_jaccard,
     "op8_line_dedup": op8_line_dedup,
+    "op9_quality": op9_quality,
     "op10_warc": op10_warc,
 }
 
