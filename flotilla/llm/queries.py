@@ -7,7 +7,7 @@ from collections.abc import Callable
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from flotilla.llm import jaccard, langid, linededup, quality, tokens_out, urls, warc
+from flotilla.llm import decontaminate, jaccard, langid, linededup, packing, quality, tokens_out, topk, urls, warc
 from flotilla.llm.shared import held_out
 
 #: The rule list of the url query.
@@ -25,6 +25,12 @@ def byte_bpe() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 highest inner products of every 20th vector with all others."""
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", topk.integer_vectors(F.col("embedding")).alias("vec"))
+    return topk.top_k(rows, rows.filter("vec_id % 20 = 0"), k=20, id_col="vec_id")
+
+
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Judge every page's url by the rule list."""
     index = urls.build_index(spark.createDataFrame(URL_RULES, "host string, path string, verdict string"))
@@ -32,6 +38,19 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.url_filter(pages, index).select("page_id", "judged.host", "judged.path", "judged.rule", "judged.verdict")
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The benchmark items that leaked into each document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
+    return (out.select("row.doc_id", F.explode("matches").alias("m"))
+            .groupBy("doc_id", "m.item_id").agg(F.max("m.score").alias("score"), F.max("m.question_overlap").alias("overlap")))
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Length buckets and token-budget batches of all documents, by their words."""
+    return packing.pack(table(spark, sf_dir, "documents"), packing.word_count(F.col("text")))
+
+
 def op5_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the ids of every document in Simple-8b files, read the files back."""
     return tokens_out.read_tokens(tokens_out.write_tokens(table(spark, sf_dir, "documents"), byte_bpe(), end_id=0))
@@ -122,7 +141,10 @@ FROM p LEFT JOIN g ON p.html = g.html
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_topk": op1_topk,
     "op2_url_filter": op2_url_filter,
+    "op3_decontaminate": op3_decontaminate,
+    "op4_packing": op4_packing,
     "op5_tokens": op5_tokens,
     "op6_language": op6_language,
     "op7_jaccard": op7_jaccard,

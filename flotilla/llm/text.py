@@ -44,10 +44,15 @@ def _power(n: int) -> np.ndarray:
     return _powers
 
 
-def words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of every word, number of words of each text)."""
+#: Bytes of words that are runs of letters and digits (bytes over 127 are letters).
+TERMS = np.where(np.array([c > 127 or chr(c).isalnum() for c in range(256)]), _LETTER, np.uint64(0))
+
+
+def words(texts: list[bytes], letters: np.ndarray = _LETTER) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of every word, number of words of each text). ``letters`` gives the
+    value of each byte, 0 for what separates words."""
     raw = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
-    space = _SPACE[raw]
+    space = letters[raw] == 0
     begin = ~space
     begin[1:] &= space[:-1]
     starts = np.flatnonzero(begin)
@@ -58,7 +63,7 @@ def words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     first = int(starts[0])
     length = np.diff(np.append(starts, len(raw)))
     place = np.arange(first, len(raw)) - np.repeat(starts, length)
-    values = _LETTER[raw[first:]] * _power(int(length.max()))[place]
+    values = letters[raw[first:]] * _power(int(length.max()))[place]
     return mix(np.add.reduceat(values, starts - first)), counts
 
 
