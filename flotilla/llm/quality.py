@@ -101,35 +101,43 @@ def features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def train(rows: list[tuple[np.ndarray, np.ndarray, int]], epochs: int, seed: int = 7) -> tuple[np.ndarray, float]:
     """FTRL-proximal over sparse rows (feature, value, label); the last weight is the bias."""
-    size = (1 << FEATURE_BITS) + 1
-    z, n = np.zeros(size), np.zeros(size)
-    bias = size - 1
+    seen = np.unique(np.concatenate([r[0] for r in rows])) if rows else np.zeros(0, np.uint32)
+    bias = len(seen)
+    z, n = np.zeros(bias + 1), np.zeros(bias + 1)
+    short = [(np.append(np.searchsorted(seen, feature), bias), np.append(value.astype(np.float64), 1.0), label) for feature, value, label in rows]
     rng = np.random.default_rng(seed)
 
-    def weights(i):
-        out = -(z[i] - np.sign(z[i]) * L1) / ((BETA + np.sqrt(n[i])) / ALPHA + L2)
-        return np.where((np.abs(z[i]) <= L1) & (i != bias), 0.0, out)
+    def weights(zi, root):
+        w = (np.copysign(L1, zi) - zi) / ((BETA + root) / ALPHA + L2)
+        free = w[-1] if abs(zi[-1]) > L1 else -zi[-1] / ((BETA + root[-1]) / ALPHA + L2)
+        w[np.abs(zi) <= L1] = 0.0
+        w[-1] = free  # the bias isn't held at zero
+        return w
 
     for _ in range(epochs):
-        for r in rng.permutation(len(rows)):
-            feature, value, label = rows[r]
-            i = np.append(feature.astype(np.int64), bias)
-            x = np.append(value, 1.0)
-            w = weights(i)
+        for r in rng.permutation(len(short)):
+            i, x, label = short[r]
+            ni = n[i]
+            root = np.sqrt(ni)
+            zi = z[i]
+            w = weights(zi, root)
             g = (1 / (1 + np.exp(-np.clip(w @ x, -35, 35))) - label) * x
-            sigma = (np.sqrt(n[i] + g * g) - np.sqrt(n[i])) / ALPHA
-            z[i] += g - sigma * w
-            n[i] += g * g
-    w = weights(np.arange(size))
-    return w[:-1].astype(np.float32), float(w[-1])
+            ni += g * g
+            z[i] = zi + g - (np.sqrt(ni) - root) / ALPHA * w
+            n[i] = ni
+    w = weights(z, np.sqrt(n))
+    out = np.zeros(1 << FEATURE_BITS, np.float32)
+    out[seen] = w[:-1]
+    return out, float(w[-1])
 
 
 def fit(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str = "doc_id", label_col: str = "quality",
-        max_rows: int = 8_000, epochs: int = 2) -> QualityModel:
+        max_rows: int = 8_000, updates: int = 16_000, max_epochs: int = 20) -> QualityModel:
     """Fit on at most about ``max_rows`` labelled documents.
 
     A document is in the sample when a hash of its id is below ``max_rows`` over
-    the number of labels; with fewer labels all take part. Rows without an id,
+    the number of labels; with fewer labels all take part. The sample is passed
+    over until about ``updates`` updates are made, at most ``max_epochs`` times. Rows without an id,
     a label (0 or 1) or text teach nothing; an id labelled both ways counts by
     its smaller label. Without any label the model scores everything 0.5.
     """
@@ -159,7 +167,7 @@ def fit(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str
             for i, label, feature, value in zip(*(b.column(k).to_pylist() for k in ("id", "label", "feature", "value"))):
                 rows.append((i, np.frombuffer(feature, np.uint32), np.frombuffer(value, np.float32), label))
         rows.sort(key=lambda r: (r[0], r[1].tobytes()))  # the result doesn't depend on the order of arrival
-        w, bias = train([r[1:] for r in rows], epochs) if rows else (np.zeros(1 << FEATURE_BITS, np.float32), 0.0)
+        w, bias = train([r[1:] for r in rows], min(max_epochs, -(-updates // len(rows)))) if rows else (np.zeros(1 << FEATURE_BITS, np.float32), 0.0)
         yield pa.RecordBatch.from_arrays([pa.array([w.tobytes()]), pa.array([bias]), pa.array([len(rows)])], names=["w", "bias", "n"])
 
     from pyspark.sql.types import StructField, StructType
