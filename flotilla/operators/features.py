@@ -14,8 +14,6 @@ columns are known. Our definition (kept in one place, here):
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -115,6 +113,3 @@ def size_by_type(df: DataFrame, ncols: int, col: str = "tipoVehiculo") -> DataFr
     return df.groupBy(col).agg(F.count(F.lit(1)).alias("n_rows"),
                                (F.count(F.lit(1)) * F.lit(ncols)).alias("size"))
 
-
-def select_features(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    return df.select(*cols)

@@ -29,20 +29,45 @@ FEATURES_NO_AVAILABILITY = ["hour", "clusterId"]
 RIDGE_ALPHA = 0.5
 # Spark's deepest tree (sklearn's trees are unbounded; 31 is rejected).
 MAX_DEPTH = 30
-# Enough bins that every distinct small-integer feature value is a split candidate.
-MAX_BINS = 256
+# Fewest bins of a tree; see :func:`bins_of`.
+MIN_BINS = 32
 BAGGING_TREES = 10
 
 
 def _prepared(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
-    va = VectorAssembler(inputCols=list(features), outputCol="_features", handleInvalid="skip")
+    """Features as a vector. A NULL feature fails the study: rows are never
+    dropped in silence (fill or filter them before)."""
+    va = VectorAssembler(inputCols=list(features), outputCol="_features", handleInvalid="error")
     return va.transform(df).withColumn("_label", F.col(label).cast("double"))
 
 
-def make_estimator(kind: str, train: DataFrame | None = None, seed: int = 1, alpha: float = RIDGE_ALPHA):
+def bins_of(train: DataFrame, features: Sequence[str]) -> int:
+    """Bins with which every distinct value of every feature is a split
+    candidate, so the splits are those of an exact tree: the largest number of
+    distinct values, counted."""
+    n = train.agg(*[F.countDistinct(c).alias(c) for c in features]).first()
+    return max(MIN_BINS, *[int(x) for x in n])
+
+
+def classes_of(train: DataFrame) -> list[float]:
+    """The distinct labels, ascending: one per trip count that occurs."""
+    return [r[0] for r in train.select("_label").distinct().orderBy("_label").collect()]
+
+
+def indexed(train: DataFrame, classes: Sequence[float]) -> DataFrame:
+    """Labels as places in ``classes``, with their number in the column's
+    metadata: Spark takes a bare label for a class number and stops at 100."""
+    place = F.array_position(F.array(*[F.lit(c) for c in classes]), F.col("_label")) - 1
+    meta = {"ml_attr": {"type": "nominal", "name": "_class", "vals": [str(c) for c in classes]}}
+    return train.withColumn("_class", place.cast("double").alias("_class", metadata=meta))
+
+
+def make_estimator(kind: str, train: DataFrame | None = None, seed: int = 1, alpha: float = RIDGE_ALPHA,
+                   max_bins: int = MIN_BINS):
+    """Trees stop at Spark's depth of 30 (the reference's are unbounded)."""
     if kind in ("tree", "tree_class"):
-        return DecisionTreeClassifier(featuresCol="_features", labelCol="_label", maxDepth=MAX_DEPTH,
-                                      maxBins=MAX_BINS, impurity="gini", seed=seed,
+        return DecisionTreeClassifier(featuresCol="_features", labelCol="_class", maxDepth=MAX_DEPTH,
+                                      maxBins=max_bins, impurity="gini", seed=seed,
                                       predictionCol="_pred", probabilityCol="_prob",
                                       rawPredictionCol="_raw")
     if kind == "linear":
@@ -57,34 +82,38 @@ def make_estimator(kind: str, train: DataFrame | None = None, seed: int = 1, alp
     if kind == "bagging":
         return RandomForestRegressor(featuresCol="_features", labelCol="_label", numTrees=BAGGING_TREES,
                                      featureSubsetStrategy="all", bootstrap=True, subsamplingRate=1.0,
-                                     maxDepth=MAX_DEPTH, maxBins=MAX_BINS, seed=seed,
+                                     maxDepth=MAX_DEPTH, maxBins=max_bins, seed=seed,
                                      predictionCol="_pred")
     raise ValueError(f"unknown model {kind!r}")
 
 
 def fit_predict(train: DataFrame, test: DataFrame, features: Sequence[str], label: str,
-                kind: str, seed: int = 1, alpha: float = RIDGE_ALPHA) -> tuple[object, DataFrame]:
-    """Fit on ``train``; return (model, test rows + Real + Prediction).
+                kind: str, seed: int = 1, alpha: float = RIDGE_ALPHA,
+                max_bins: int | None = None) -> tuple[object, DataFrame]:
+    """Fit on ``train``; return (model, test rows + Real + Prediction). ``max_bins``
+    of the trees is derived from the data unless given.
 
     kind='tree': the reference's prediction is P(class 1) rounded half-to-even
     (``predict_proba(X)[:, 1].round(0)``); 'tree_class' gives the class.
     """
     tr = _prepared(train, features, label)
     te = _prepared(test, features, label)
-    model = make_estimator(kind, tr, seed, alpha).fit(tr)
+    bins = max_bins or (bins_of(train, features) if kind in ("tree", "tree_class", "bagging") else MIN_BINS)
+    classes = classes_of(tr) if kind in ("tree", "tree_class") else []
+    model = make_estimator(kind, tr, seed, alpha, bins).fit(indexed(tr, classes) if classes else tr)
     out = model.transform(te)
     if kind == "tree":
-        pred = round_half_even(F.get(vector_to_array("_prob"), 1))
+        # The probability of label 1, wherever it lies among the classes.
+        one = F.get(vector_to_array("_prob"), classes.index(1.0)) if 1.0 in classes else F.lit(0.0)
+        pred = round_half_even(one)
+    elif kind == "tree_class":
+        pred = F.get(F.array(*[F.lit(c) for c in classes]), F.col("_pred").cast("int"))
     else:
         pred = F.col("_pred")
     res = out.withColumn("Real", F.col("_label")).withColumn("Prediction", pred.cast("double"))
     return model, res.drop("_features", "_label", "_raw", "_prob", "_pred")
 
 
-def r2_score(pred: DataFrame) -> float:
-    return RegressionEvaluator(labelCol="Real", predictionCol="Prediction", metricName="r2").evaluate(pred)
-
-
 def cross_validate(df: DataFrame, features: Sequence[str], label: str, key_cols: Sequence[str],
                    kind: str = "bagging", folds: int = CV_FOLDS, repeats: int = CV_REPEATS,
                    seed: int = 1, parallel: int = 4) -> list[tuple[int, int, float]]:
@@ -94,12 +123,13 @@ def cross_validate(df: DataFrame, features: Sequence[str], label: str, key_cols:
     Each fit is a distributed job; up to ``parallel`` fits run concurrently.
     """
     base = _prepared(df, features, label)
+    bins = bins_of(df, features)
     ev = RegressionEvaluator(labelCol="_label", predictionCol="_pred", metricName="mae")
 
     def one(rf):
         r, f = rf
         d = with_folds(base, key_cols, folds, repeat=r, out="_fold")
-        model = make_estimator(kind, d.where(F.col("_fold") != f), seed + r, RIDGE_ALPHA) \
+        model = make_estimator(kind, d.where(F.col("_fold") != f), seed + r, RIDGE_ALPHA, bins) \
             .fit(d.where(F.col("_fold") != f))
         return r, f, -ev.evaluate(model.transform(d.where(F.col("_fold") == f)))
 

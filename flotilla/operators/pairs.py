@@ -4,21 +4,22 @@ The reference numbers every position in one global order and self-joins
 row *k* with row *k-1*. Here the previous row is attached directly, in one
 pass over the data, with no single-task window:
 
-* a vehicle holding more than ``hot_rows`` rows (found by a cheap count
-  per vehicle, counted and size-checked before it is broadcast) is
-  split into (vehicle, time bucket) groups, so one vehicle
-  holding a large share of all rows is still spread over many tasks (a
-  bucket holds at most ``bucket_seconds`` x poll rate rows); a timestamp
-  of such a vehicle holding more than ``hot_rows`` rows (copies of one poll)
-  is cut further by its tie-breaker; every other vehicle is one group;
-* the last row of every bucket (``max_by``, partially aggregated before the
-  shuffle) gives a one-row-per-bucket summary; the previous non-empty
-  bucket's last row is found on that summary (per vehicle, or in the global
-  order with :mod:`flotilla.operators.ordered`);
-* that row is injected as a *carry-in* row at the head of the next bucket,
-  so a plain ``lag`` inside each bucket yields the previous row everywhere.
-
-Row numbers use the same shape with counts instead of last rows.
+* a vehicle with at most ``hot_rows`` rows is one window group;
+* the rows of vehicles with more are sorted into ranges of about ``hot_rows``
+  rows by (vehicle, *order*), the whole tie-break tuple included, so neither a
+  vehicle that holds most of the table nor a flood of copies at one timestamp
+  makes a large group. The ranges are written once with their ids, for these
+  vehicles only. There is no list of hot values and nothing is broadcast by
+  hint;
+* the last row of every group (``max_by``, partially aggregated before the
+  shuffle) gives a one-row-per-group summary; the previous group's last row is
+  found on that summary (per vehicle, or in the global order with
+  :mod:`flotilla.operators.ordered`);
+* that row is injected as a *carry-in* row at the head of the next group,
+  so a plain ``lag`` inside each group yields the previous row everywhere.
+
+Row numbers use the same shape with counts instead of last rows. Rows that
+are equal in the whole order (repeated rows) keep an arbitrary but single order.
 """
 
 from __future__ import annotations
@@ -27,96 +28,52 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from flotilla.operators.ordered import lag_in_global_order, offset_in_global_order
+from flotilla.operators.ordered import fixed_ranges, lag_in_global_order, offset_in_global_order
 
-# Width of a pairing bucket. At one poll per second a vehicle has at most
-# 3600 rows per bucket, whatever its share of the table.
-DEFAULT_BUCKET_SECONDS = 3600
-# A vehicle with more rows than this is split into time buckets; others are
-# paired in one window group (one task sorts at most this many rows).
+# A vehicle with more rows than this is split into ranges of about this many;
+# others are paired in one window group (one task sorts at most this many rows).
 DEFAULT_HOT_ROWS = 200_000
-# Largest hot-vehicle list that is broadcast; beyond it every vehicle is split.
-MAX_HOT_BROADCAST = 100_000
-# Largest number of hot timestamps (over all vehicles) that is broadcast.
-MAX_HOT_TIMESTAMPS = 1_000_000
-DEFAULT_ORDER = ("epochTime", "event_id")
-_MAX_LONG = 2 ** 63 - 1
+# The order of a vehicle's positions; columns a table doesn't have are left out.
+DEFAULT_ORDER = ("epochTime", "realTime", "uoid", "event_id")
 
 
-def hot_entities(df: DataFrame, entity: str, hot_rows: int) -> DataFrame:
-    """Entities holding more than ``hot_rows`` rows: a one-column scan with
-    map-side counts (deterministic, so recomputing it gives the same list)."""
-    return (df.groupBy(F.col(entity).alias("_hot_ent")).agg(F.count(F.lit(1)).alias("_n"))
-              .where(F.col("_n") > F.lit(hot_rows)).select("_hot_ent", F.lit(True).alias("_hot")))
+def order_in(df: DataFrame, order: Sequence[str] = DEFAULT_ORDER) -> list[str]:
+    """The columns of ``order`` that ``df`` has."""
+    return [c for c in order if c in df.columns]
 
 
-def hot_timestamps(df: DataFrame, entity: str, time_col: str, hot_rows: int) -> DataFrame:
-    """Per vehicle, the sorted timestamps shared by more than ``hot_rows``
-    rows (floods of copies of one poll). Counts per (vehicle, timestamp)
-    combine map-side; the list holds at most rows / ``hot_rows`` values."""
-    return (df.groupBy(F.col(entity).alias("_ht_ent"), F.col(time_col).alias("_ht_t"))
-              .agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > F.lit(hot_rows))
-              .groupBy("_ht_ent").agg(F.array_sort(F.collect_list("_ht_t")).alias("_hts")))
+def hot_entities(df: DataFrame, entity: str, hot_rows: int) -> DataFrame:
+    """Entities holding more than ``hot_rows`` rows, with their number of rows: a
+    one-column scan with map-side counts."""
+    return (df.groupBy(F.col(entity).alias("_hot_ent")).agg(F.count(F.lit(1)).alias("_n"))
+              .where(F.col("_n") > F.lit(hot_rows)))
 
 
-def _bucketed(df: DataFrame, entity: str, time_col: str, bucket_seconds: int,
-              keep: Sequence[str], hot_rows: int | None,
-              order: Sequence[str] = DEFAULT_ORDER) -> tuple[DataFrame, bool]:
+def _bucketed(df: DataFrame, entity: str, keep: Sequence[str], hot_rows: int | None,
+              order: Sequence[str], n_ranges: int | None = None) -> tuple[DataFrame, bool]:
     """((_ent, _b, _row), split).
 
-    ``_b`` is NULL (one group) for ordinary vehicles. For vehicles holding
-    more than ``hot_rows`` rows (every vehicle when ``hot_rows=None``) it is
-    a struct (w, a, c) that grows with the (time, tie-breaker) order:
-
-    * w = time bucket of ``bucket_seconds``;
-    * rows at a *hot timestamp* h (more than ``hot_rows`` rows of the vehicle
-      at exactly h, e.g. copies): a = h, c = tie-breaker div ``hot_rows``;
-    * other rows at time t: a = the latest hot timestamp before t (NULL if
-      none), c = the largest bigint.
-
-    So a bucket is cut at hot timestamps, and a flood at one timestamp is cut
-    by its (unique) tie-breaker: every group stays bounded. ``split`` is
-    False when no vehicle is split.
-
-    Both lists are broadcast only behind a size check: none -> no join;
-    up to MAX_HOT_BROADCAST vehicles -> broadcast join; more hot vehicles ->
-    every vehicle is split, no broadcast.
+    ``_b`` is NULL (one group) for vehicles of at most ``hot_rows`` rows and the
+    id of the row's range for the others (for all with ``hot_rows=None``); it
+    grows with the order within a vehicle. ``split`` is False when no vehicle
+    is split.
     """
-    t = F.col(time_col)
-    w = F.floor(t / F.lit(bucket_seconds)).cast("bigint")
-    src, is_hot, split = df, F.lit(True), True
-    if hot_rows is not None:
-        hot = hot_entities(df, entity, hot_rows)
-        n_hot = hot.count()
-        if n_hot == 0:
-            split = False
-        elif n_hot <= MAX_HOT_BROADCAST:
-            src = src.join(F.broadcast(hot), src[entity].eqNullSafe(hot["_hot_ent"]), "left")
-            is_hot = F.col("_hot").isNotNull()
-    a = F.lit(None).cast("bigint")
-    c = F.lit(_MAX_LONG).cast("bigint")
-    tie = order[-1]
-    tie_integral = isinstance(df.schema[tie].dataType, (T.LongType, T.IntegerType, T.ShortType))
-    if split and tie_integral and tie != time_col:
-        hts = hot_timestamps(df, entity, time_col, hot_rows or DEFAULT_HOT_ROWS)
-        n_ht, n_ts = hts.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("_hts")), F.lit(0))).first()
-        # Broadcast only a checked list; beyond the caps the time buckets
-        # alone still give exact pairs (floods are then not cut further).
-        if 0 < n_ht <= MAX_HOT_BROADCAST and n_ts <= MAX_HOT_TIMESTAMPS:
-            src = src.join(F.broadcast(hts), src[entity].eqNullSafe(hts["_ht_ent"]), "left")
-            at_hot = F.coalesce(F.array_contains(F.col("_hts"), t), F.lit(False))
-            before = F.array_max(F.filter(F.col("_hts"), lambda h: h < t))
-            a = F.when(at_hot, t.cast("bigint")).otherwise(before.cast("bigint"))
-            c = F.when(at_hot, F.floor(F.col(tie) / F.lit(hot_rows or DEFAULT_HOT_ROWS)).cast("bigint")) \
-                 .otherwise(c)
-    b = F.struct(w.alias("w"), a.alias("a"), c.alias("c"))
-    b = F.when(is_hot, b) if split else F.lit(None).cast(
-        "struct<w:bigint,a:bigint,c:bigint>")
-    base = src.select(F.col(entity).alias("_ent"), b.alias("_b"),
-                      F.struct(*[F.col(x) for x in keep]).alias("_row"))
-    return base, split
+    base = df.select(F.col(entity).alias("_ent"), F.struct(*[F.col(x) for x in keep]).alias("_row"))
+    by = ["_ent", *[F.col(f"_row.{c}") for c in order]]
+    if hot_rows is None:
+        return fixed_ranges(base, by, n_ranges, "_b").select("_ent", F.col("_b").cast("bigint").alias("_b"), "_row"), True
+    hot = hot_entities(df, entity, hot_rows)
+    total = hot.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
+    none = F.lit(None).cast("bigint").alias("_b")
+    if total == 0:
+        return base.select("_ent", none, "_row"), False
+    hot = hot.select("_hot_ent")
+    same = F.col("_ent").eqNullSafe(F.col("_hot_ent"))
+    n = n_ranges or -(-total // max(1, hot_rows))
+    ranged = fixed_ranges(base.join(hot, same, "left_semi"), by, int(n), "_b")
+    cold = base.join(hot, same, "left_anti").select("_ent", none, "_row")
+    return cold.unionByName(ranged.select("_ent", F.col("_b").cast("bigint").alias("_b"), "_row")), True
 
 
 def _row_key(order: Sequence[str]) -> Column:
@@ -129,9 +86,8 @@ def _bucket_window(order: Sequence[str]):
 
 
 def attach_previous(df: DataFrame, entity: str = "idVehiculo",
-                    order: Sequence[str] = DEFAULT_ORDER, time_col: str = "epochTime",
+                    order: Sequence[str] = DEFAULT_ORDER,
                     scope: str = "vehicle", prev_col: str = "prev",
-                    bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
                     hot_rows: int | None = DEFAULT_HOT_ROWS,
                     n_ranges: int | None = None) -> DataFrame:
     """All columns of ``df`` plus ``prev_col``: the previous row as a struct.
@@ -141,13 +97,13 @@ def attach_previous(df: DataFrame, entity: str = "idVehiculo",
     order (entity NULLS FIRST, *order*), across vehicle borders -- the
     reference's single global numbering.
 
-    Vehicles above ``hot_rows`` rows are split into ``bucket_seconds``
-    buckets; ``hot_rows=None`` splits every vehicle.
+    Vehicles above ``hot_rows`` rows are split into ranges; ``hot_rows=None``
+    splits every vehicle.
     """
     if scope not in ("vehicle", "global"):
         raise ValueError(f"scope must be 'vehicle' or 'global', not {scope!r}")
-    cols = df.columns
-    base, split = _bucketed(df, entity, time_col, bucket_seconds, cols, hot_rows, order)
+    order = order_in(df, order)
+    base, split = _bucketed(df, entity, df.columns, hot_rows, order, n_ranges)
     if scope == "vehicle" and not split:
         # No hot vehicle: one window group per vehicle, one exchange.
         w = Window.partitionBy("_ent").orderBy(*[F.col(f"_row.{c}").asc_nulls_first() for c in order])
@@ -174,19 +130,18 @@ def attach_previous(df: DataFrame, entity: str = "idVehiculo",
 
 
 def row_numbers(df: DataFrame, entity: str = "idVehiculo",
-                order: Sequence[str] = DEFAULT_ORDER, time_col: str = "epochTime",
+                order: Sequence[str] = DEFAULT_ORDER,
                 scope: str = "global", out: str = "tempField",
-                bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
                 hot_rows: int | None = DEFAULT_HOT_ROWS,
                 n_ranges: int | None = None) -> DataFrame:
     """``ROW_NUMBER()`` over (entity NULLS FIRST, *order*) globally, or per entity.
 
-    Counts per group (vehicle, or vehicle-bucket for split vehicles) are
+    Counts per group (vehicle, or range of a split vehicle) are
     prefix-summed on the summary; each group's offset enters its partition
     as a carry-in row, so the numbers come from a running sum inside it.
     """
-    cols = df.columns
-    base, split = _bucketed(df, entity, time_col, bucket_seconds, cols, hot_rows, order)
+    order = order_in(df, order)
+    base, split = _bucketed(df, entity, df.columns, hot_rows, order, n_ranges)
     if scope == "vehicle" and not split:
         w = Window.partitionBy("_ent").orderBy(*[F.col(f"_row.{c}").asc_nulls_first() for c in order])
         return base.withColumn(out, F.row_number().over(w).cast("bigint")).select("_row.*", out)
@@ -225,7 +180,7 @@ def pairs_by_group(shifted: DataFrame, rn: str = "tempField",
     """GroupByKey on the shifted numbering: rows per key, ordered explicitly
     (a grouped list has no order; here start = the earlier row). Each key holds at
     most two rows, so the groups are bounded."""
-    key = F.struct(*[F.col(c) for c in order])
+    key = F.struct(*[F.col(c) for c in order_in(shifted, order)])
     return shifted.groupBy(rn).agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.min_by("event_id", key).alias("start_event_id"),

@@ -66,7 +66,8 @@ def dedupe_snapshots(rows: DataFrame, keep: str = "first",
     """One row per (uoid, plate).
 
     keep='first' keeps the smallest realTime (the reference fills a dict in
-    realTime DESC order, so the last write -- the oldest row -- wins);
+    realTime DESC order, so the last write -- the oldest row -- wins; equal
+    times by the row id, where there is one);
     keep='last' keeps the newest. An aggregate rather than a window: the
     partial aggregation collapses a hot (uoid, plate) group before the
     shuffle.
@@ -75,7 +76,7 @@ def dedupe_snapshots(rows: DataFrame, keep: str = "first",
         raise ValueError("keep must be 'first' or 'last'")
     cols = rows.columns
     row = F.struct(*[F.col(c) for c in cols])
-    ok = F.struct(*[F.col(c) for c in order])
+    ok = F.struct(*[F.col(c) for c in order if c in cols])
     pick = F.min_by(row, ok) if keep == "first" else F.max_by(row, ok)
     return rows.groupBy(*keys).agg(pick.alias("_r")).select("_r.*")
 

@@ -26,18 +26,22 @@ _SEQ = "_seq"
 
 def initial_state(positions: DataFrame, cutoff: str, plate: str = PLATE) -> DataFrame:
     """Last row per plate among rows ingested on or before ``cutoff``
-    (newest epochTime; ties to the smaller event_id)."""
-    rows = positions.where(F.col("ingest_date") <= F.lit(cutoff).cast("date"))
+    (newest epochTime, then realTime and uoid; ties to the smaller row id, where
+    there is one). Rows without a plate can't be keyed and are left out."""
+    rows = positions.where((F.col("ingest_date") <= F.lit(cutoff).cast("date")) & F.col(plate).isNotNull())
     row = F.struct(*[F.col(c) for c in rows.columns])
-    newest = F.struct(F.col("epochTime"), (-F.col("event_id")).alias("tie"))
+    newest = F.struct(*[F.col(c) for c in ("epochTime", "realTime", "uoid") if c in rows.columns],
+                      *[(-F.col("event_id")).alias("tie")] if "event_id" in rows.columns else [])
     return rows.groupBy(plate).agg(F.max_by(row, newest).alias("_r")).select("_r.*")
 
 
 def upsert_state(state: DataFrame, updates: DataFrame, plate: str = PLATE,
                  add_new: bool = True) -> DataFrame:
     """Whole-row overwrite by plate. ``updates`` must be unique per plate
-    (see :func:`dedupe_snapshots`). add_new=False only replaces known plates."""
-    upd = updates.select(*state.columns)
+    (see :func:`dedupe_snapshots`). add_new=False only replaces known plates.
+    Updates without a plate have no key: they are rejected (left out), so a
+    rerun never adds them again."""
+    upd = updates.select(*state.columns).where(F.col(plate).isNotNull())
     if not add_new:
         upd = upd.join(state.select(plate), plate, "left_semi")
     return upd.unionByName(state.join(upd.select(plate), plate, "left_anti"))
@@ -48,15 +52,16 @@ def _observations(positions: DataFrame, day: str, keep: str) -> DataFrame:
     carries the de-duplicated rows of its whole uoid, like the reference's
     per-entry query; ordered by ``_seq`` = (1, entry realTime, uoid)."""
     entries = snapshot_list(positions, day).select("uoid", F.col("realTime").alias("_entry_rt"))
-    rows = positions.join(entries.select("uoid").distinct(), "uoid", "left_semi")
+    # A row per poll of the day; rows without a plate can't move anything.
+    rows = positions.where(F.col(PLATE).isNotNull()).join(entries.select("uoid").distinct(), "uoid", "left_semi")
     snap = dedupe_snapshots(rows, keep=keep)
     obs = snap.join(entries, "uoid")
     return obs.withColumn(_SEQ, F.struct(F.lit(1).alias("k"), F.col("_entry_rt").alias("rt"),
                                          F.col("uoid").alias("u"))).drop("_entry_rt")
 
 
-def _changes(state: DataFrame, positions: DataFrame, day: str | None, add_new: bool,
-             keep: str, plate: str) -> DataFrame:
+def changes(state: DataFrame, positions: DataFrame, day: str | None, add_new: bool = False,
+            keep: str = "first", plate: str = PLATE) -> DataFrame:
     """State rows and accepted changes, one window pass per plate.
 
     The state is referenced once: whether a plate is known comes from the
@@ -85,16 +90,24 @@ def fold_state(state: DataFrame, positions: DataFrame, day: str, add_new: bool =
     add_new=False (the fold script): unknown plates are ignored.
     add_new=True: a plate's first sighting inserts it.
     """
-    ch = _changes(state, positions, day, add_new, keep, plate)
-    row = F.struct(*[F.col(c) for c in state.columns])
+    return state_of(changes(state, positions, day, add_new, keep, plate), state.columns, plate)
+
+
+def state_of(ch: DataFrame, columns: list[str], plate: str = PLATE) -> DataFrame:
+    """The state after the accepted changes."""
+    row = F.struct(*[F.col(c) for c in columns])
     return ch.groupBy(plate).agg(F.max_by(row, F.col(_SEQ)).alias("_r")).select("_r.*")
 
 
 def movement_log(state: DataFrame, positions: DataFrame, day: str, add_new: bool = False,
                  keep: str = "first", plate: str = PLATE) -> DataFrame:
     """Every accepted position change: old and new position, snapshot entry."""
-    ch = _changes(state, positions, day, add_new, keep, plate)
+    return log_of(changes(state, positions, day, add_new, keep, plate), plate)
+
+
+def log_of(ch: DataFrame, plate: str = PLATE) -> DataFrame:
+    """The accepted changes as a log."""
     return ch.where(~F.col("_first")).select(
         plate, F.col(f"{_SEQ}.u").alias("entry_uoid"), F.col(f"{_SEQ}.rt").alias("entry_realTime"),
-        "event_id", F.col("_old_lat").alias("old_latitud"), F.col("_old_lon").alias("old_longitud"),
+        *[c for c in ("event_id",) if c in ch.columns], F.col("_old_lat").alias("old_latitud"), F.col("_old_lon").alias("old_longitud"),
         F.col("latitud").alias("new_latitud"), F.col("longitud").alias("new_longitud"))

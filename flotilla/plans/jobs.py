@@ -10,69 +10,87 @@ positions table.
 On a cluster: ``spark-submit --py-files flotilla.zip flotilla/plans/jobs.py <job> ...``
 with ``--input-bytes`` / ``--cores`` to size the partitions.
 
-``--state`` is a versioned state folder (:mod:`flotilla.sources.state_store`):
-the snapshot and fold jobs read its newest version and write the next one.
+``--state`` is a folder with a versioned plate state
+(:mod:`flotilla.sources.state_store`): the snapshot and fold jobs read its
+newest version and write the next one, and a rerun repeats its own step. The
+trips job keeps each vehicle's last seen row there (:mod:`flotilla.sources.last_seen`).
 """
 
 from __future__ import annotations
 
 import argparse
+import datetime as _dt
 import json
 
-from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from flotilla.operators import features as FT
 from flotilla.operators import models as M
 from flotilla.operators import snapshots as S
 from flotilla.operators import state as ST
-from flotilla.operators.trips import extract_trips
+from flotilla.operators.trips import last_rows, last_rows_before, trip_starts
 from flotilla.plans.studies import demand_study, trip_job
-from flotilla.session import cluster_settings, get_session
-from flotilla.sources import state_store, tables
+from flotilla.session import cluster_settings, cut_lineage, get_session
+from flotilla.sources import last_seen, state_store, tables
 
 
 def run_trips(spark: SparkSession, a) -> dict:
+    """Trips that end in the range. The row before the range of each vehicle comes
+    from the last-seen table of the run before (``--state``: this run leaves its
+    own there), or else from a scan of the positions before the range."""
     pos = tables.read_positions(spark, a.positions, a.start, a.end)
     metrics: dict = {}
-    if a.state and a.start:
-        # Carry-in: each vehicle's last known row before the range, from the state.
-        carry = state_store.read_version(spark, a.state).where(
-            F.col("timestamp") < F.lit(a.start).cast("timestamp_ntz"))
-        trips = extract_trips(pos, pairing=a.pairing, compat=a.compat, carry_in=carry)
-        tables.write_trips(trips, a.out, rerun_safe=True, audit=a.audit)
-    else:
-        trip_job(pos, a.out, pairing=a.pairing, compat=a.compat, metrics=metrics)
+    carry = None
+    if a.start and a.pairing == "vehicle":
+        before = (_dt.date.fromisoformat(a.start) - _dt.timedelta(days=1)).isoformat()
+        if a.state:
+            carry = last_seen.read(spark, a.state, before)
+        else:
+            carry = last_rows_before(tables.read_positions(spark, a.positions, None, before), a.start)
+    trip_job(pos, a.out, pairing=a.pairing, compat=a.compat, metrics=metrics, carry_in=carry, audit=a.audit,
+             dates=(a.start, a.end) if a.start and a.end else None, rejects_path=a.rejects or f"{a.out.rstrip('/')}-rejects")
+    if a.state and a.end and a.pairing == "vehicle":
+        seen = pos if carry is None else pos.unionByName(carry.select(*pos.columns))
+        last_seen.write(last_rows(seen), a.state, a.end)
     return metrics
 
 
+def _ingested(spark: SparkSession, a, day: str) -> DataFrame:
+    """Positions ingested from ``day`` on, for ``--margin`` days: a scan of these
+    partitions only."""
+    end = _dt.date.fromisoformat(day) + _dt.timedelta(days=a.margin)
+    start = _dt.date.fromisoformat(day) - _dt.timedelta(days=a.margin)
+    return tables.read_positions(spark, a.positions, start.isoformat(), end.isoformat())
+
+
 def run_snapshot(spark: SparkSession, a) -> dict:
-    pos = tables.read_positions(spark, a.positions)
-    version = state_store.latest_version(spark, a.state)
-    state = state_store.read_version(spark, a.state, version)
+    pos = _ingested(spark, a, a.day) if a.day else tables.read_positions(spark, a.positions)
+    step = f"snapshot:{a.uoid}"
+    source, target = state_store.begin_step(spark, a.state, step)
+    state = state_store.read_version(spark, a.state, source)
     snap = S.cast_numeric(S.snapshot_by_id(pos, a.uoid)).select(*state.columns)
     S.compare_with_state(snap, state).write.mode("overwrite").parquet(a.out)
     new = ST.upsert_state(state, S.dedupe_snapshots(snap, keep=a.keep))
-    path = state_store.write_version(new, a.state, version + 1)
-    return {"state_version": version + 1, "state_path": path}
+    path = state_store.write_version(new, a.state, target, step)
+    return {"state_version": target, "state_path": path}
 
 
 def run_fold(spark: SparkSession, a) -> dict:
-    # The fold reads every row of each listed uoid, wherever it lies.
-    pos = tables.read_positions(spark, a.positions)
-    version = state_store.latest_version(spark, a.state)
-    state = state_store.read_version(spark, a.state, version)
+    # Every row of each uoid listed that day, if ingested within the margin.
+    pos = _ingested(spark, a, a.day)
+    step = f"fold:{a.day}"
+    source, target = state_store.begin_step(spark, a.state, step)
+    state = state_store.read_version(spark, a.state, source)
     pos = pos.select(*state.columns)
-    ST.movement_log(state, pos, a.day, add_new=a.add_new).write.mode("overwrite").parquet(a.out)
-    new = ST.fold_state(state, pos, a.day, add_new=a.add_new)
-    path = state_store.write_version(new, a.state, version + 1)
-    return {"state_version": version + 1, "state_path": path}
+    changes = cut_lineage(ST.changes(state, pos, a.day, add_new=a.add_new), "fold-changes")  # once, for both results
+    ST.log_of(changes).write.mode("overwrite").parquet(a.out)
+    path = state_store.write_version(ST.state_of(changes, state.columns), a.state, target, step)
+    return {"state_version": target, "state_path": path}
 
 
 def run_features(spark: SparkSession, a) -> dict:
     pos = tables.read_positions(spark, a.positions, a.start, a.end)
-    trips = extract_trips(pos, "vehicle", compat=True)
-    FT.cluster_hour_features(pos, trips, approx_rsd=a.approx_rsd).write.mode("overwrite").parquet(a.out)
+    FT.cluster_hour_features(pos, trip_starts(pos, compat=True), approx_rsd=a.approx_rsd).write.mode("overwrite").parquet(a.out)
     return {}
 
 
@@ -96,7 +114,8 @@ def parser() -> argparse.ArgumentParser:
     t.add_argument("--out", required=True)
     t.add_argument("--start")
     t.add_argument("--end")
-    t.add_argument("--state", help="versioned state folder used as carry-in")
+    t.add_argument("--state", help="folder of the last-seen rows used as carry-in")
+    t.add_argument("--rejects", help="folder of trips that miss a REQUIRED column (default: <out>-rejects)")
     t.add_argument("--pairing", choices=["vehicle", "global"], default="vehicle")
     t.add_argument("--compat", action="store_true")
     t.add_argument("--audit", action="store_true")
@@ -107,6 +126,8 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--state", required=True)
     s.add_argument("--uoid", required=True)
     s.add_argument("--out", required=True)
+    s.add_argument("--day", help="ingestion day of the snapshot: prunes the scan")
+    s.add_argument("--margin", type=int, default=1, help="days around --day that are read")
     s.add_argument("--keep", choices=["first", "last"], default="first")
     s.set_defaults(fn=run_snapshot)
 
@@ -116,6 +137,7 @@ def parser() -> argparse.ArgumentParser:
     f.add_argument("--day", required=True)
     f.add_argument("--out", required=True)
     f.add_argument("--add-new", action="store_true")
+    f.add_argument("--margin", type=int, default=1, help="days around --day that are read")
     f.set_defaults(fn=run_fold)
 
     e = sub.add_parser("features")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from flotilla.operators import evaluate as E
+from flotilla.operators import features as FT
 from flotilla.operators import models as M
 from flotilla.plans.catalog import register
 from flotilla.plans.q_demand import KEYED_CTE
@@ -92,15 +93,43 @@ def ridge_trips(spark, sf_dir):
     return _linear(spark, sf_dir, "ridge").select(KEY, "Real", "Prediction", "Err", "ErrPorcentage")
 
 
+@register("error_histogram_default", positions_sql(
+    "SELECT ids.bin AS bin, lo0 + (ids.bin - 1) * ((hi0 - lo0) / 1e1) AS lo, "
+    "lo0 + ids.bin * ((hi0 - lo0) / 1e1) AS hi, coalesce(c.n, 0) AS n "
+    "FROM ids CROSS JOIN r LEFT JOIN c ON ids.bin = c.bin",
+    _pred_cte(0.0) + _HIST_SQL.format(bins=E.HIST_BINS), doubles=["lo", "hi"]))
+def error_histogram_default(spark, sf_dir):
+    """The default 10-bin histogram of the linear model's errors."""
+    return E.histogram(_linear(spark, sf_dir), "Err")
+
+
+@register("error_percent_histogram", positions_sql(
+    "SELECT ids.bin AS bin, lo0 + (ids.bin - 1) * ((hi0 - lo0) / 4e2) AS lo, "
+    "lo0 + ids.bin * ((hi0 - lo0) / 4e2) AS hi, coalesce(c.n, 0) AS n "
+    "FROM ids CROSS JOIN r LEFT JOIN c ON ids.bin = c.bin",
+    _pred_cte(0.0) + _HIST_SQL.format(bins=E.HIST_BINS_FINE).replace(
+        "Real - Prediction AS v", "abs(Real - Prediction) / numAvailable AS v"), doubles=["lo", "hi"]))
+def error_percent_histogram(spark, sf_dir):
+    """400-bin histogram of the linear model's ErrPorcentage."""
+    return E.histogram(_linear(spark, sf_dir), "ErrPorcentage", E.HIST_BINS_FINE)
+
+
+@register("count_by_real", positions_sql(
+    "SELECT Real, count(Prediction) AS Prediction, count(*) AS Err FROM pred GROUP BY Real",
+    _pred_cte(0.0), doubles=["Real"]))
+def count_by_real(spark, sf_dir):
+    """A4 on a result: rows per true value."""
+    return FT.count_by(_linear(spark, sf_dir).select("Real", "Prediction", "Err"), "Real")
+
+
 @register("ridge_r2", positions_sql(
-    "SELECT 1 - sum((Real - Prediction) * (Real - Prediction)) / "
-    "(sum(Real * Real) - sum(Real) * sum(Real) / count(*)) AS r2 FROM pred",
+    "SELECT 1 - sum((Real - Prediction) * (Real - Prediction)) / (var_pop(Real) * count(*)) AS r2 FROM pred",
     _pred_cte(M.RIDGE_ALPHA), doubles=["r2"]))
 def ridge_r2(spark, sf_dir):
     """M6: R^2 of the ridge model on the test rows, as one aggregate."""
     p = _linear(spark, sf_dir, "ridge")
     ss_res = F.sum((F.col("Real") - F.col("Prediction")) ** 2)
-    ss_tot = F.sum(F.col("Real") ** 2) - F.sum("Real") * F.sum("Real") / F.count(F.lit(1))
+    ss_tot = F.var_pop("Real") * F.count(F.lit(1))
     return p.agg((F.lit(1.0) - ss_res / ss_tot).alias("r2"))
 
 
@@ -143,13 +172,93 @@ def bagging_yes_no_no_avail(spark, sf_dir):
                         "bagging", with_pct=False)
 
 
-@register("cv_mae_summary")
-def cv_mae_summary(spark, sf_dir):
-    """10 x 3 repeated K-fold of the bagged trees on the moto
-    training rows; mean and population std of the negative MAE."""
-    data = cut_lineage(E.with_split(study_input(features_from(spark, sf_dir), "moto"), [KEY])
+# What SQL can check of these fits: the rows predicted, their true values and
+# the errors' arithmetic.
+
+_FITS = {
+    "tree_trips": (tree_trips, "", "numTrips", True),
+    "tree_trips_moto": (tree_trips_moto, " AND tipoVehiculo = 'moto'", "numTrips", True),
+    "tree_yes_no": (tree_yes_no, "", "CASE WHEN numTrips > 0 THEN 1 ELSE 0 END", True),
+    "bagging_trips": (bagging_trips, " AND tipoVehiculo = 'moto'", "numTrips", True),
+    "bagging_yes_no": (bagging_yes_no, "", "CASE WHEN numTrips > 0 THEN 1 ELSE 0 END", True),
+    "bagging_yes_no_no_avail": (bagging_yes_no_no_avail, "", "CASE WHEN numTrips > 0 THEN 1 ELSE 0 END", False),
+}
+
+
+def _checked(fit, percent: bool):
+    def run(spark, sf_dir):
+        p = fit(spark, sf_dir)
+        err = F.abs(F.col("Err") - (F.col("Real") - F.col("Prediction"))) < 1e-9
+        pct = F.abs(F.col("ErrPorcentage") * F.col("numAvailable") - F.abs("Err")) < 1e-6 if percent else F.lit(True)
+        return p.select(KEY, "Real", err.alias("err_ok"), pct.alias("pct_ok"))
+    run.__doc__ = "Rows, true values and error arithmetic of the fit."
+    return run
+
+
+for _name, (_fit, _where, _label, _percent) in _FITS.items():
+    register(f"{_name}_check", positions_sql(
+        f"SELECT row_key, cast({_label} AS DOUBLE) AS Real, TRUE AS err_ok, TRUE AS pct_ok "
+        f"FROM split WHERE NOT is_train{_where}", KEYED_CTE, doubles=["Real"]))(_checked(_fit, _percent))
+
+
+@register("bagging_trips_rounded")
+def bagging_trips_rounded(spark, sf_dir):
+    """Bagged predictions rounded half-to-even, with Err and ErrPorcentage."""
+    p = bagging_trips(spark, sf_dir).withColumn("Prediction", E.round_half_even(F.col("Prediction")))
+    return E.errors(p).select(KEY, "Real", "Prediction", "Err", "ErrPorcentage")
+
+
+@register("bagging_yes_no_rounded")
+def bagging_yes_no_rounded(spark, sf_dir):
+    """The same for the yes/no label."""
+    p = bagging_yes_no(spark, sf_dir).withColumn("Prediction", E.round_half_even(F.col("Prediction")))
+    return E.errors(p).select(KEY, "Real", "Prediction", "Err", "ErrPorcentage")
+
+
+def _tables_of(fit, percent: bool):
+    """Error tables of a fit in one long form: 400-bin histograms of Err and
+    ErrPorcentage, and mean availability and prediction by true value."""
+    def run(spark, sf_dir):
+        p = cut_lineage(fit(spark, sf_dir), "predictions")
+        parts = [E.histogram(p, c, E.HIST_BINS_FINE).select(F.lit(c).alias("name"), F.col("lo").alias("at"), F.col("n").cast("double").alias("value"))
+                 for c in ["Err", *["ErrPorcentage"] * percent]]
+        mean = E.mean_by(p, "Real", ["numAvailable", "Prediction"])
+        parts += [mean.select(F.lit(f"mean {c}").alias("name"), F.col("Real").alias("at"), F.col(c).alias("value")) for c in ("numAvailable", "Prediction")]
+        out = parts[0]
+        for x in parts[1:]:
+            out = out.unionByName(x)
+        return out
+    run.__doc__ = "A5 / A9: the error tables of the fit."
+    return run
+
+
+for _name, (_fit, _where, _label, _percent) in _FITS.items():
+    register(f"{_name}_error_tables")(_tables_of(_fit, _percent))
+
+
+def _cv(spark, sf_dir, vehicle_type, features, label):
+    data = cut_lineage(E.with_split(study_input(features_from(spark, sf_dir), vehicle_type), [KEY])
                        .where(F.col("is_train")))
-    scores = M.cross_validate(data, _F3, "numTrips", [KEY], kind="bagging")
+    scores = M.cross_validate(data, features, label, [KEY], kind="bagging")
     s = spark.createDataFrame(scores, "repeat int, fold int, neg_mae double")
     return s.agg(F.avg("neg_mae").alias("mean_neg_mae"), F.stddev_pop("neg_mae").alias("std_neg_mae"),
                  F.count(F.lit(1)).alias("n_scores"))
+
+
+@register("cv_mae_summary")
+def cv_mae_summary(spark, sf_dir):
+    """10 x 3 repeated K-fold of the bagged trees on the moto
+    training rows; mean and population std of the negative MAE."""
+    return _cv(spark, sf_dir, "moto", _F3, "numTrips")
+
+
+@register("cv_mae_summary_yes_no")
+def cv_mae_summary_yes_no(spark, sf_dir):
+    """M8: the same for the yes/no label on all types."""
+    return _cv(spark, sf_dir, None, _F3, "tripYesNo")
+
+
+@register("cv_mae_summary_yes_no_no_avail")
+def cv_mae_summary_yes_no_no_avail(spark, sf_dir):
+    """M8: the same without numAvailable."""
+    return _cv(spark, sf_dir, None, M.FEATURES_NO_AVAILABILITY, "tripYesNo")

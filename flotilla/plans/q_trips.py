@@ -63,7 +63,7 @@ _PAIRS_SQL = positions_sql(
 @register("position_pairs", _PAIRS_SQL)
 def position_pairs_q(spark, sf_dir):
     """Each position with the previous one of the same vehicle."""
-    pr = position_pairs(positions(spark, sf_dir), "vehicle")
+    pr = position_pairs(positions(spark, sf_dir), "vehicle", columns=())
     return pr.select(F.col("e.idVehiculo").alias("idVehiculo"),
                      F.col("s.event_id").alias("event_id_start"),
                      F.col("e.event_id").alias("event_id_end"),
@@ -81,7 +81,7 @@ _HAV_SQL = positions_sql(
 @register("haversine_pairs", _HAV_SQL)
 def haversine_pairs(spark, sf_dir):
     """Distance of every per-vehicle pair, strict and compat, unfiltered."""
-    pr = position_pairs(positions(spark, sf_dir), "vehicle")
+    pr = position_pairs(positions(spark, sf_dir), "vehicle", columns=("latitud", "longitud"))
     args = (F.col("s.latitud"), F.col("s.longitud"), F.col("e.latitud"), F.col("e.longitud"))
     return pr.select(F.col("s.event_id").alias("event_id_start"),
                      F.col("e.event_id").alias("event_id_end"),

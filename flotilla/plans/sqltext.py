@@ -3,17 +3,13 @@
 from __future__ import annotations
 
 from flotilla.functions.geo import pair_distance_sql
+from flotilla.operators.trips import _BOTH, _FROM_START
 from flotilla.plans.present import sql_present
 from flotilla.schema import POSITION_COLUMNS, TRIP_COLUMNS
 from flotilla.sources.fixture import duckdb_with
 
 PAIR_ORDER = "epochTime, event_id"
 
-_FROM_START = ["servicio", "idVehiculo", "matricula", "precio", "tipo", "categoria",
-               "imagen", "uoid", "tipoVehiculo"]
-_BOTH = ["energia", "latitud", "longitud", "epochTime", "realTime", "geo", "clusterId",
-         "clusterLatitude", "clusterLongitude", "timestamp"]
-
 TRIP_DOUBLES = ["distancia"] + [f"{c}_{s}" for c in ("energia", "latitud", "longitud",
                                                      "clusterLatitude", "clusterLongitude")
                                 for s in ("start", "end")]
@@ -98,13 +94,6 @@ CLEAN_CTE = """clean AS (SELECT servicio, tipoVehiculo, weekday, "hour", cluster
          coalesce(numTrips, 0) AS numTrips FROM features
          WHERE weekday = 'Thursday' AND numAvailable <> 0)"""
 
-CLEAN_KEYS = ["servicio", "tipoVehiculo", "weekday", "hour", "clusterId"]
-
-
-def row_key_sql(cols) -> str:
-    return "concat_ws('|', " + ", ".join(f"coalesce(cast(\"{c}\" AS VARCHAR), '')" for c in cols) + ")"
-
-
 def hash_bucket_sql(key: str, modulo: int) -> str:
     return f"(('0x' || substr(md5({key}), 1, 8))::BIGINT % {modulo})"
 

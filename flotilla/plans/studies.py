@@ -18,7 +18,7 @@ from flotilla.operators import features as FT
 from flotilla.operators import models as M
 from flotilla.operators import snapshots as S
 from flotilla.operators import state as ST
-from flotilla.operators.trips import extract_trips
+from flotilla.operators.trips import extract_trips, trip_starts
 from flotilla.session import cut_lineage
 from flotilla.sources import fixture, tables
 
@@ -26,8 +26,11 @@ KEY = "row_key"
 
 
 def trip_job(positions: DataFrame, out_path: str | None = None, pairing: str = "vehicle",
-             compat: bool = False, metrics: dict | None = None) -> DataFrame:
-    """Workload A. With ``out_path`` the trips are written rerun-safe.
+             compat: bool = False, metrics: dict | None = None, carry_in: DataFrame | None = None,
+             dates: tuple[str, str] | None = None, audit: bool = False,
+             rejects_path: str | None = None) -> DataFrame:
+    """Workload A. With ``out_path`` the trips are written rerun-safe, by end
+    date (see :func:`flotilla.sources.tables.write_trips`).
 
     ``metrics`` (a dict) receives the pipeline counters of the write
     (rows in, trips written, mean distance) through ``DataFrame.observe``:
@@ -35,11 +38,12 @@ def trip_job(positions: DataFrame, out_path: str | None = None, pairing: str = "
     """
     obs_in, obs_out = Observation("positions"), Observation("trips")
     pos = positions.observe(obs_in, F.count(F.lit(1)).alias("rows_in"))
-    trips = extract_trips(pos, pairing=pairing, compat=compat)
+    trips = extract_trips(pos, pairing=pairing, compat=compat, carry_in=carry_in,
+                          with_date=bool(out_path))
     if out_path:
         observed = trips.observe(obs_out, F.count(F.lit(1)).alias("trips"),
                                  F.avg("distancia").alias("mean_km"))
-        tables.write_trips(observed, out_path, rerun_safe=True)
+        tables.write_trips(observed, out_path, rerun_safe=True, dates=dates, audit=audit, rejects_path=rejects_path)
         if metrics is not None:
             metrics.update(obs_in.get)
             metrics.update(obs_out.get)
@@ -63,7 +67,7 @@ def fold_job(positions: DataFrame, state: DataFrame, day: str, add_new: bool = F
 
 def features_of(positions: DataFrame) -> DataFrame:
     """The feature view from positions and their (per-vehicle, compat) trips."""
-    return FT.cluster_hour_features(positions, extract_trips(positions, "vehicle", compat=True))
+    return FT.cluster_hour_features(positions, trip_starts(positions, compat=True))
 
 
 def features_from(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -64,22 +64,3 @@ POSITION_SCHEMA = T.StructType([
     T.StructField("seats", T.DoubleType(), True),
     T.StructField("ingest_date", T.DateType(), True),
 ])
-
-FEATURE_SCHEMA = T.StructType([
-    T.StructField("servicio", T.StringType(), True),
-    T.StructField("tipoVehiculo", T.StringType(), True),
-    T.StructField("year", T.IntegerType(), True),
-    T.StructField("month", T.IntegerType(), True),
-    T.StructField("day", T.IntegerType(), True),
-    T.StructField("weekday", T.StringType(), True),
-    T.StructField("hour", T.IntegerType(), True),
-    T.StructField("clusterId", T.LongType(), True),
-    T.StructField("clusterLatitude", T.DoubleType(), True),
-    T.StructField("clusterLongitude", T.DoubleType(), True),
-    T.StructField("numAvailable", T.LongType(), True),
-    T.StructField("numTrips", T.LongType(), True),
-])
-
-
-def ddl(schema: T.StructType) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)

@@ -80,9 +80,10 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder: ``spark.checkpoint.dir`` of the session,
     else the context's checkpoint folder.
 
-    When neither is set (tests, local runs) a fresh folder is made once per
-    process and registered as the context's checkpoint folder (the config
-    key itself cannot be changed on a running session).
+    When neither is set, a local master (tests, a laptop) gets a fresh folder,
+    made once per process and registered as the context's checkpoint folder (the config
+    key itself cannot be changed on a running session); on a cluster, where a
+    local folder would scatter the data, that is an error.
     """
     global _FALLBACK_DIR
     path = spark.conf.get(CHECKPOINT_CONF, None)
@@ -96,6 +97,8 @@ def shared_dir(spark: SparkSession) -> str:
         return _FALLBACK_DIR
     if ctx_dir:
         return ctx_dir
+    if not spark.sparkContext.master.startswith("local") or "cluster" in spark.sparkContext.master:
+        raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that the driver and all executors share")
     _FALLBACK_DIR = tempfile.mkdtemp(prefix="flotilla-ckpt-")
     try:
         spark.sparkContext.setCheckpointDir(_FALLBACK_DIR)

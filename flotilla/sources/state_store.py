@@ -1,13 +1,16 @@
 """Versioned vehicle-state table: one Parquet directory per version.
 
 Writers never overwrite the version they read: an update reads version *k*
-and writes version *k + 1*. A rerun of the same step rewrites *k + 1*
-(overwrite), so retries are idempotent, and readers always see a complete
-version.
+and writes version *k + 1*, which records the step that made it (a day's
+fold, a snapshot, a micro-batch). A rerun of the newest step starts from the
+version before it again and rewrites the same version, so retries are
+idempotent; a rerun of an older step is refused, because later versions were
+built on it. Readers always see a complete version.
 """
 
 from __future__ import annotations
 
+import json
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,12 +20,47 @@ def version_path(base: str, version: int) -> str:
     return os.path.join(base, "state", f"v={version:010d}")
 
 
-def write_version(state: DataFrame, base: str, version: int) -> str:
+def _file(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def write_version(state: DataFrame, base: str, version: int, step: str | None = None, **more) -> str:
+    """Write a version and note its step (and whatever else the step records)."""
     path = version_path(base, version)
     state.write.mode("overwrite").parquet(path)
+    note, fs = _file(state.sparkSession, os.path.join(path, "_STEP"))
+    out = fs.create(note, True)
+    out.write(bytearray(json.dumps({"step": step, **more}).encode()))
+    out.close()
     return path
 
 
+def step_of(spark: SparkSession, base: str, version: int) -> dict:
+    """What :func:`write_version` noted of a version."""
+    note, fs = _file(spark, os.path.join(version_path(base, version), "_STEP"))
+    if not fs.exists(note):
+        return {"step": None}
+    source = fs.open(note)
+    text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8")
+    source.close()
+    return json.loads(text)
+
+
+def begin_step(spark: SparkSession, base: str, step: str) -> tuple[int, int]:
+    """(version to read, version to write) for ``step``."""
+    have = versions(spark, base)
+    if not have:
+        raise FileNotFoundError(f"no state version under {base}")
+    made = [v for v in have if step_of(spark, base, v)["step"] == step]
+    if not made:
+        return have[-1], have[-1] + 1
+    if made[-1] != have[-1]:
+        raise ValueError(f"{step} made version {made[-1]}, and {have[-1]} was built on it: remove the later versions first")
+    return have[-2], have[-1]
+
+
 def versions(spark: SparkSession, base: str) -> list[int]:
     """Versions present under ``base`` (Hadoop FS listing, any file system)."""
     jvm = spark.sparkContext._jvm

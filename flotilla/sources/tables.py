@@ -8,13 +8,15 @@ a date range replaces those dates instead of appending duplicates.
 
 from __future__ import annotations
 
+import datetime as _dt
+import json as _json
 from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flotilla.operators.pairs import row_numbers
+from flotilla.operators.pairs import DEFAULT_ORDER, row_numbers
 from flotilla.schema import POSITION_REQUIRED, POSITION_SCHEMA, TRIP_REQUIRED
 
 JSON_TS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
@@ -25,10 +27,11 @@ JSON_TS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 def write_positions(df: DataFrame, path: str, mode: str = "append",
                     rejects_path: str | None = None) -> None:
     """Position rows partitioned by ingestion date (the snapshot copy sink).
-    With ``rejects_path``, rows missing a REQUIRED column go there instead."""
+    With ``rejects_path``, rows missing a REQUIRED column go there instead, in
+    the same mode (an append run twice repeats both)."""
     if rejects_path:
         df, bad = split_required(df, [c for c in POSITION_REQUIRED if c in df.columns])
-        bad.write.mode("append").parquet(rejects_path)
+        bad.write.mode(mode).parquet(rejects_path)
     # REBALANCE by the partition column: AQE groups a date's rows into
     # advisory-size partitions (a hot date is split, small ones merged), so
     # each date gets a few large files instead of one file per task.
@@ -54,27 +57,53 @@ def processed_at() -> Column:
 
 
 def write_trips(trips: DataFrame, path: str, rerun_safe: bool = True, audit: bool = False,
-                rejects_path: str | None = None) -> None:
-    """Trips partitioned by start date.
-
-    rerun_safe=True: dynamic partition overwrite -- the dates present in
-    ``trips`` are replaced, other dates stay. False: plain append (the
+                rejects_path: str | None = None, dates: tuple[str, str] | None = None) -> None:
+    """Trips partitioned by end date: ``trip_date``, the ingestion date of the end
+    row where the trips have it, else the date of ``timestamp_end``.
+
+    A run over a range of dates owns exactly the trips that end in it: a trip
+    that began earlier (its start row was carried in) belongs to the run of its
+    end date, so no run touches another's partitions.
+
+    rerun_safe=True: the dates present in ``trips`` are replaced, other dates
+    stay. With ``dates`` (inclusive start and end) every date of that range is
+    replaced, those without trips too: their old rows are removed first, and
+    trips that end outside the range are an error. False: plain append (the
     reference, which duplicates rows when a range is processed twice).
     audit=True adds ``processed_at``. With ``rejects_path``, trips missing a
-    REQUIRED column are written there instead of the table.
+    REQUIRED column go there instead of the table, by the same dates.
     """
+    out = trips if "trip_date" in trips.columns else trips.withColumn("trip_date", F.to_date("timestamp_end"))
+    if dates:
+        outside = ~F.col("trip_date").between(F.lit(dates[0]).cast("date"), F.lit(dates[1]).cast("date"))
+        out = out.where(F.when(outside, F.raise_error(F.lit("a trip ends outside the range"))).otherwise(F.lit(True)))
+    parts = [(out, path)]
     if rejects_path:
-        trips, bad = split_required(trips, [c for c in TRIP_REQUIRED if c in trips.columns])
-        bad.write.mode("append").parquet(rejects_path)
-    out = trips.withColumn("trip_date", F.to_date("timestamp_start"))
-    if audit:
-        out = out.withColumn("processed_at", processed_at())
-    out = out.hint("rebalance", "trip_date")      # a few large files per date (see write_positions)
-    w = out.write.partitionBy("trip_date")
-    if rerun_safe:
-        w.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
-    else:
-        w.mode("append").parquet(path)
+        good, bad = split_required(out, [c for c in TRIP_REQUIRED if c in trips.columns])
+        parts = [(good, path), (bad, rejects_path)]
+    for df, target in parts:
+        if audit:
+            df = df.withColumn("processed_at", processed_at())
+        df = df.hint("rebalance", "trip_date")      # a few large files per date (see write_positions)
+        w = df.write.partitionBy("trip_date")
+        if not rerun_safe:
+            w.mode("append").parquet(target)
+            continue
+        w.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(target)
+        if dates:
+            _drop_other_dates(trips.sparkSession, df, target, dates)
+
+
+def _drop_other_dates(spark: SparkSession, written: DataFrame, path: str, dates: tuple[str, str]) -> None:
+    """Remove the partitions of the range's dates that got no rows (at most one per day)."""
+    have = {str(r[0]) for r in written.select("trip_date").distinct().collect()}
+    jvm = spark.sparkContext._jvm
+    day, end = _dt.date.fromisoformat(dates[0]), _dt.date.fromisoformat(dates[1])
+    while day <= end:
+        if day.isoformat() not in have:
+            old = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/trip_date={day.isoformat()}")
+            old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(old, True)
+        day += _dt.timedelta(days=1)
 
 
 def read_trips(spark: SparkSession, path: str) -> DataFrame:
@@ -108,9 +137,14 @@ def read_json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame
 # -------------------------------------------------------------- legacy text
 
 def _py_literal(c: Column, t: T.DataType) -> Column:
-    """A column rendered the way Python's repr renders a value in a dict."""
+    """A column rendered the way Python's repr renders a value in a dict, with
+    backslashes, quotes, braces and line ends escaped, so a record stays one line
+    and a closing brace always ends it."""
     if isinstance(t, T.StringType):
-        v = F.concat(F.lit("'"), c, F.lit("'"))
+        text = F.regexp_replace(c, r"\\", r"\\\\")
+        for char, escape in (("'", "\\x27"), ('"', "\\x22"), ("{", "\\x7b"), ("}", "\\x7d"), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
+            text = F.replace(text, F.lit(char), F.lit(escape))
+        v = F.concat(F.lit("'"), text, F.lit("'"))
     elif isinstance(t, T.BooleanType):
         v = F.when(c, F.lit("True")).otherwise(F.lit("False"))
     else:
@@ -126,18 +160,29 @@ def write_legacy_text(df: DataFrame, path: str) -> None:
     df.select(F.concat(F.lit("{"), *parts, F.lit("}")).alias("value")).write.text(path)
 
 
-def read_legacy_text(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Parse dict-repr text: split on '}', quotes ' -> ", True/False/None ->
-    JSON, decode with ``from_json``; the empty tail piece is dropped.
-    Flat records only (no braces or apostrophes inside values)."""
+def read_legacy_text(spark: SparkSession, path: str, schema: T.StructType, corrupt: str | None = None) -> DataFrame:
+    """Parse dict-repr text: split on '}', single-quoted strings and
+    True/False/None -> JSON, decode with ``from_json``; the empty tail piece is
+    dropped. A record that doesn't parse (an unescaped quote or brace in a value)
+    fails the read, as the reference does; with ``corrupt`` it is kept as a row
+    whose raw text is in that column and whose other columns are NULL."""
     raw = spark.read.option("lineSep", "}").text(path)
     body = F.regexp_replace(F.col("value"), r"^\s+|\s+$", "")  # trim() keeps newlines
-    js = F.regexp_replace(body, "'", '"')
-    js = F.regexp_replace(js, r"\bTrue\b", "true")
-    js = F.regexp_replace(js, r"\bFalse\b", "false")
-    js = F.regexp_replace(js, r"\bNone\b", "null")
-    parsed = F.from_json(F.concat(js, F.lit("}")), schema)
-    return raw.where(body.startswith("{")).select(parsed.alias("r")).select("r.*")
+    js = F.regexp_replace(body, r"\\x([0-9a-f]{2})", r"\\u00$1")
+    js = F.regexp_replace(js, "'", '"')
+    js = F.regexp_replace(js, r"(: )True\b", "$1true")
+    js = F.regexp_replace(js, r"(: )False\b", "$1false")
+    js = F.regexp_replace(js, r"(: )None\b", "$1null")
+    bad = "_corrupt_record"
+    kind = T.StructType([*schema.fields, T.StructField(bad, T.StringType(), True)])
+    parsed = F.from_json(F.concat(js, F.lit("}")), kind, {"columnNameOfCorruptRecord": bad})
+    rows = raw.where(body != "").select(F.col("value").alias("_raw"), body.alias("_body"), parsed.alias("r"))
+    broken = F.col(f"r.{bad}").isNotNull() | F.col("r").isNull() | ~F.col("_body").startswith("{")
+    if corrupt:
+        names = [F.when(~broken, F.col(f"r.{f.name}")).alias(f.name) for f in schema.fields]
+        return rows.select(*names, F.when(broken, F.col("_raw")).alias(corrupt))
+    checked = rows.withColumn("r", F.when(broken, F.raise_error(F.concat(F.lit("not a record: "), F.col("_raw")))).otherwise(F.col("r")))
+    return checked.select(*[F.col(f"r.{f.name}").alias(f.name) for f in schema.fields])
 
 
 # ---------------------------------------------------------- REQUIRED fields
@@ -158,11 +203,10 @@ def split_required(df: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, DataF
 # ------------------------------------------------------------ write batches
 
 def chunk_rows(df: DataFrame, size: int, entity: str = "idVehiculo",
-               order: Sequence[str] = ("epochTime", "event_id"), time_col: str = "epochTime",
-               scope: str = "global") -> DataFrame:
+               order: Sequence[str] = DEFAULT_ORDER, scope: str = "global") -> DataFrame:
     """``batch_id`` = (row number - 1) div ``size`` in a total order, computed
     distributed (see :func:`flotilla.operators.pairs.row_numbers`)."""
-    n = row_numbers(df, entity=entity, order=order, time_col=time_col, scope=scope, out="_rn")
+    n = row_numbers(df, entity=entity, order=order, scope=scope, out="_rn")
     return n.withColumn("batch_id", F.expr(f"(_rn - 1) div {int(size)}")).drop("_rn")
 
 
@@ -170,14 +214,16 @@ def write_keyed_batches(df: DataFrame, key: str, write_batch: Callable[[list], N
                         batch_size: int = 400) -> None:
     """Send rows to an external keyed store in batches of ``batch_size`` per
     task (``foreachPartition``). ``write_batch`` receives a list of
-    (key, row-dict) pairs; rows without a key get a random id. Every row is
-    written, including the last partial batch."""
+    (key, row-dict) pairs. A row without a key gets a digest of its values, the
+    same in every attempt, so a retried task overwrites what it wrote before
+    (equal rows without a key are one document). Every row is written,
+    including the last partial batch."""
     def run(rows):
-        import uuid
+        import hashlib
         buf = []
         for r in rows:
             d = r.asDict(recursive=True)
-            buf.append((d.get(key) or uuid.uuid4().hex, d))
+            buf.append((d.get(key) or hashlib.sha1(_json.dumps(d, sort_keys=True, default=str).encode()).hexdigest(), d))
             if len(buf) >= batch_size:
                 write_batch(buf)
                 buf = []

@@ -11,10 +11,12 @@ keeps the last accepted position), so it does not matter how the arriving
 files are grouped into micro-batches, as long as every snapshot arrives
 whole and after the previous one.
 
-State versions: batch *k* reads version *k* and writes version *k + 1*
-(overwrite). A retried batch recomputes the same version, so the sink is
-idempotent; the query's checkpoint (in the shared folder) records which
-files were consumed.
+State versions: a batch reads the newest version and writes the next one
+under the step (query, batch), so a retried batch recomputes the same version
+and the batch jobs may write versions in between. A version also notes the
+newest snapshot entry folded so far: a file that arrives late can't
+overwrite what came after it, its entries are left out. The query's
+checkpoint (in the shared folder) records which files were consumed.
 """
 
 from __future__ import annotations
@@ -22,9 +24,10 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from flotilla.operators.state import fold_state
-from flotilla.sources.state_store import latest_version, read_version, version_path, write_version
+from flotilla.sources.state_store import begin_step, latest_version, read_version, step_of, versions, write_version
 
 
 def write_initial_state(state: DataFrame, base: str) -> None:
@@ -34,12 +37,29 @@ def write_initial_state(state: DataFrame, base: str) -> None:
 def _fold_batch(base: str, plate: str):
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        prev = spark.read.parquet(version_path(base, batch_id))
-        new = fold_state(prev, batch.select(*prev.columns), day=None, add_new=True, plate=plate)
-        write_version(new, base, batch_id + 1)
+        query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        source, target = begin_step(spark, base, f"live:{query}:{batch_id}")
+        prev = read_version(spark, base, source)
+        through = _through(spark, base, source)
+        entry = F.struct(F.col("realTime").alias("rt"), F.col("uoid").alias("u"))
+        rows = batch.select(*prev.columns)
+        if through:
+            rows = rows.where(entry > F.struct(F.lit(through[0]).alias("rt"), F.lit(through[1]).alias("u")))
+        newest = rows.agg(F.max(entry).alias("e")).first().e
+        new = fold_state(prev, rows, day=None, add_new=True, plate=plate)
+        write_version(new, base, target, f"live:{query}:{batch_id}", through=[newest.rt, newest.u] if newest else through)
     return run
 
 
+def _through(spark: SparkSession, base: str, version: int) -> list | None:
+    """The newest entry that live batches have folded, as of ``version``."""
+    for v in sorted((v for v in versions(spark, base) if v <= version), reverse=True):
+        note = step_of(spark, base, v)
+        if note.get("through"):
+            return note["through"]
+    return None
+
+
 def run_available(spark: SparkSession, feed_path: str, base: str, schema,
                   plate: str = "matricula") -> int:
     """Process every snapshot file not yet consumed (trigger availableNow)

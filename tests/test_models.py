@@ -38,3 +38,18 @@ def test_tree_and_bagging_run(thursday):
     for kind in ("tree", "tree_class", "bagging"):
         _, pred = M.fit_predict(data, data, M.MODEL_FEATURES, "numTrips", kind)
         assert pred.where("Prediction IS NULL").count() == 0
+
+
+def test_more_than_a_hundred_classes(spark):
+    df = spark.range(600).selectExpr("id % 150 AS numTrips", "id % 150 AS hour", "id % 7 AS clusterId", "id % 5 AS numAvailable")
+    _, pred = M.fit_predict(df, df, M.MODEL_FEATURES, "numTrips", "tree_class")
+    assert pred.where("Prediction <> Real").count() == 0
+    _, one = M.fit_predict(df.where("numTrips <> 0"), df, M.MODEL_FEATURES, "numTrips", "tree")
+    got = {r.Real: r.Prediction for r in one.collect()}
+    assert got[1.0] == 1.0 and got[2.0] == 0.0 and got[149.0] == 0.0
+
+
+def test_null_feature_fails(spark):
+    df = spark.createDataFrame([(1, 2, 3, 1), (2, None, 3, 0)], "hour int, clusterId int, numAvailable int, numTrips int")
+    with pytest.raises(Exception):
+        M.fit_predict(df, df, M.MODEL_FEATURES, "numTrips", "linear")[1].collect()

@@ -21,10 +21,10 @@ def _brute_prev(p, scope):
 
 
 @pytest.mark.parametrize("scope", ["vehicle", "global"])
-@pytest.mark.parametrize("hot_rows,bucket", [(None, 3600), (0, 86400), (200_000, 3600), (50, 7 * 86400)])
-def test_attach_previous_matches_window(spark, scope, hot_rows, bucket):
+@pytest.mark.parametrize("hot_rows", [None, 0, 200_000, 50])
+def test_attach_previous_matches_window(spark, scope, hot_rows):
     p = positions(spark, SF_SMALL).select(*KEYS)
-    got = attach_previous(p, scope=scope, hot_rows=hot_rows, bucket_seconds=bucket, n_ranges=3)
+    got = attach_previous(p, scope=scope, hot_rows=hot_rows, n_ranges=3)
     got = {r[0]: r[1] for r in got.select("event_id", F.col("prev.event_id")).collect()}
     assert got == _brute_prev(p, scope)
 
@@ -74,34 +74,39 @@ def test_first_row_of_vehicle(spark):
     assert glob == {1: None, 2: 1, 3: 2}   # B's first row pairs with A's last
 
 
-@pytest.mark.parametrize("scope", ["vehicle", "global"])
-def test_hot_list_over_limit_buckets_everyone(spark, monkeypatch, scope):
-    import flotilla.operators.pairs as P
-    monkeypatch.setattr(P, "MAX_HOT_BROADCAST", 3)          # 15 hot vehicles > 3: no broadcast
-    p = positions(spark, SF_SMALL).select(*KEYS)
-    got = attach_previous(p, scope=scope, hot_rows=0, bucket_seconds=86400)
-    got = {r[0]: r[1] for r in got.select("event_id", F.col("prev.event_id")).collect()}
-    assert got == _brute_prev(p, scope)
-
-
-def test_timestamp_flood_is_split_into_bounded_groups(spark):
+def test_flood_is_split_into_bounded_groups(spark):
+    """A vehicle with most rows, most of them at one timestamp, is cut by the whole
+    order, and the others stay whole."""
     from flotilla.operators.pairs import _bucketed
-    rows = [(i, "A", 100) for i in range(50)] + [(50 + i, "A", 100 + i) for i in range(10)] \
-        + [(60 + i, "B", 7 * i) for i in range(5)]
+    rows = [(i, "A", 100) for i in range(500)] + [(500 + i, "A", 100 + i) for i in range(10)] \
+        + [(600 + i, "B", 7 * i) for i in range(5)]
     df = spark.createDataFrame(rows, "event_id long, idVehiculo string, epochTime long")
-    base, split = _bucketed(df, "idVehiculo", "epochTime", 3600, df.columns, hot_rows=5)
+    base, split = _bucketed(df, "idVehiculo", df.columns, 50, ["epochTime", "event_id"])
     assert split
     sizes = base.groupBy("_ent", "_b").count().collect()
-    assert max(r["count"] for r in sizes if r["_ent"] == "A") <= 10      # 50 copies -> groups of <= 5
-    assert [r["count"] for r in sizes if r["_ent"] == "B"] == [5]         # B is not hot: one group
-    got = {r[0]: r[1] for r in attach_previous(df, hot_rows=5).select("event_id", "prev.event_id").collect()}
-    assert got[1] == 0 and got[50] == 49 and got[60] is None
-
-
-def test_flood_list_over_cap_still_exact(spark, monkeypatch):
-    import flotilla.operators.pairs as P
-    monkeypatch.setattr(P, "MAX_HOT_TIMESTAMPS", 0)        # no flood list broadcast
-    rows = [(i, "A", 100) for i in range(30)] + [(30 + i, "A", 101 + i) for i in range(5)]
-    df = spark.createDataFrame(rows, "event_id long, idVehiculo string, epochTime long")
-    got = {r[0]: r[1] for r in attach_previous(df, hot_rows=5).select("event_id", "prev.event_id").collect()}
-    assert got == {i: (i - 1 if i else None) for i in range(35)}
+    assert max(r["count"] for r in sizes if r["_ent"] == "A") <= 150
+    assert [(r["_b"], r["count"]) for r in sizes if r["_ent"] == "B"] == [(None, 5)]
+    got = {r[0]: r[1] for r in attach_previous(df, hot_rows=50).select("event_id", "prev.event_id").collect()}
+    assert got[1] == 0 and got[500] == 499 and got[600] is None
+
+
+def test_flood_without_an_integer_tie_breaker(spark):
+    """No row id: floods are cut by realTime and uoid, text columns."""
+    rows = [("A", 100, f"r{i // 10:03d}", f"u{i:04d}") for i in range(300)]
+    df = spark.createDataFrame(rows, "idVehiculo string, epochTime long, realTime string, uoid string")
+    for scope in ("vehicle", "global"):
+        got = {r[0]: r[1] for r in attach_previous(df, hot_rows=20, scope=scope).select("uoid", "prev.uoid").collect()}
+        assert got == {f"u{i:04d}": (f"u{i - 1:04d}" if i else None) for i in range(300)}
+
+
+@pytest.mark.parametrize("reuse", ["true", "false"])
+def test_global_order_does_not_depend_on_exchange_reuse(spark, reuse):
+    df = spark.range(0, 400_000, numPartitions=8).select(F.xxhash64("id").alias("k"), F.lit(1).alias("w"))
+    spark.conf.set("spark.sql.exchange.reuse", reuse)
+    try:
+        off = offset_in_global_order(df, ["k"], "w", "off", 40).agg(F.countDistinct("off"), F.min("off"), F.max("off")).first()
+        assert tuple(off) == (400_000, 0, 399_999)
+        lag = lag_in_global_order(df, ["k"], "k", "p", 40)
+        assert lag.agg(F.countDistinct("p"), F.count(F.when(F.col("p") >= F.col("k"), 1))).first()[:] == (399_999, 0)
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")

@@ -28,14 +28,14 @@ def _brute(rows, scope):
 
 @settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
 @given(rows=ROWS, scope=st.sampled_from(["vehicle", "global"]),
-       hot_rows=st.sampled_from([None, 0, 3, 1000]), bucket=st.sampled_from([60, 3600, 86400]))
-def test_pairing_and_numbering(spark, rows, scope, hot_rows, bucket):
+       hot_rows=st.sampled_from([None, 0, 3, 1000]))
+def test_pairing_and_numbering(spark, rows, scope, hot_rows):
     df = spark.createDataFrame([(i, v, t) for i, (v, t) in enumerate(rows)],
                                "event_id long, idVehiculo string, epochTime long")
     want_prev, want_num = _brute(rows, scope)
-    got = attach_previous(df, scope=scope, hot_rows=hot_rows, bucket_seconds=bucket, n_ranges=3)
+    got = attach_previous(df, scope=scope, hot_rows=hot_rows, n_ranges=3)
     assert {r[0]: r[1] for r in got.select("event_id", "prev.event_id").collect()} == want_prev
-    nums = row_numbers(df, scope=scope, hot_rows=hot_rows, bucket_seconds=bucket, n_ranges=3)
+    nums = row_numbers(df, scope=scope, hot_rows=hot_rows, n_ranges=3)
     assert {r[0]: r[1] for r in nums.select("event_id", "tempField").collect()} == want_num
 
 
@@ -96,7 +96,7 @@ def test_pairing_with_timestamp_floods(spark, rows, scope, hot_rows):
     df = spark.createDataFrame([(i, v, t) for i, (v, t) in enumerate(rows)],
                                "event_id long, idVehiculo string, epochTime long")
     want_prev, want_num = _brute(rows, scope)
-    got = attach_previous(df, scope=scope, hot_rows=hot_rows, bucket_seconds=2, n_ranges=3)
+    got = attach_previous(df, scope=scope, hot_rows=hot_rows, n_ranges=3)
     assert {r[0]: r[1] for r in got.select("event_id", "prev.event_id").collect()} == want_prev
-    nums = row_numbers(df, scope=scope, hot_rows=hot_rows, bucket_seconds=2, n_ranges=3)
+    nums = row_numbers(df, scope=scope, hot_rows=hot_rows, n_ranges=3)
     assert {r[0]: r[1] for r in nums.select("event_id", "tempField").collect()} == want_num
