@@ -146,7 +146,7 @@ def _py_literal(c: Column, t: T.DataType) -> Column:
             text = F.replace(text, F.lit(char), F.lit(escape))
         v = F.concat(F.lit("'"), text, F.lit("'"))
     elif isinstance(t, T.BooleanType):
-        v = F.when(c, F.lit("True")).otherwise(F.lit("False"))
+        v = F.when(c, F.lit("True")).when(~c, F.lit("False"))
     else:
         v = c.cast("string")
     return F.coalesce(v, F.lit("None"))

@@ -129,3 +129,34 @@ def test_write_with_rejects(spark):
     n_bad = trips.where(F.col("distancia") > 2).count()
     assert spark.read.parquet(rej).count() == n_bad > 0
     assert tables.read_trips(spark, path).count() == 702 - n_bad
+
+
+def test_legacy_text_with_quotes_and_braces(spark):
+    import pytest
+    schema = "name string, n long, ok boolean"
+    rows = [("O'Brien", 1, True), ("a}b{c", 2, False), ('say "x"\\y', 3, None), ("None True\nline\ttab", 4, True), (None, None, None), ("", 5, True)]
+    path = fresh_path(spark, "legacy-hard")
+    df = spark.createDataFrame(rows, schema)
+    tables.write_legacy_text(df, path)
+    assert sorted(map(tuple, tables.read_legacy_text(spark, path, df.schema).collect()), key=repr) == sorted(rows, key=repr)
+    raw = fresh_path(spark, "legacy-raw")
+    spark.createDataFrame([("{'name': 'O'Brien', 'n': 1, 'ok': True}",), ("{'name': 'fine', 'n': 2, 'ok': False}",)], "value string").coalesce(1).write.text(raw)
+    with pytest.raises(Exception, match="not a record"):
+        tables.read_legacy_text(spark, raw, df.schema).collect()
+    got = tables.read_legacy_text(spark, raw, df.schema, corrupt="bad").collect()
+    assert sorted((r.name, r.n, r.bad is None) for r in got if r.bad is None) == [("fine", 2, True)] and len(got) == 2
+
+
+def test_a_retried_batch_writes_the_same_keys(spark):
+    import json
+    path = fresh_path(spark, "keyed")
+    os.makedirs(path)
+
+    def put(batch):
+        for key, row in batch:
+            with open(os.path.join(path, key), "w") as f:
+                f.write(json.dumps(row, default=str))
+    df = spark.createDataFrame([("a", 1), (None, 2), (None, 3)], "key string, v int")
+    for _ in range(2):
+        tables.write_keyed_batches(df, "key", put, batch_size=2)
+    assert len(os.listdir(path)) == 3

@@ -103,3 +103,29 @@ def test_compare_with_state(spark):
     got = S.compare_with_state(snaps.where(F.col("uoid") == "U3"), state)
     assert {r["matricula"]: r["movement"] for r in got.collect()} == {
         "A": "moved", "B": "same", "C": "new", "D": "same"}
+
+
+def test_rows_without_a_plate_are_never_added(spark):
+    state, snaps = _edge(spark)
+    updates = spark.createDataFrame([_row(None, 50, "U9", "13:00:00", P1), _row("A", 51, "U9", "13:00:00", P2)], SCHEMA)
+    once = ST.upsert_state(state, updates)
+    twice = ST.upsert_state(once, updates)
+    assert once.count() == twice.count() == 4 and once.where("matricula IS NULL").count() == 0
+    assert ST.fold_state(state, snaps.unionByName(updates), FOLD_DAY, add_new=True).where("matricula IS NULL").count() == 0
+
+
+def test_a_late_snapshot_does_not_overwrite(spark):
+    from flotilla.session import fresh_path
+    from flotilla.sources import state_store
+    from flotilla.streaming import live_state
+    state, snaps = _edge(spark)
+    base, feed = fresh_path(spark, "late"), fresh_path(spark, "late-feed")
+    live_state.write_initial_state(state, base)
+    snaps.where("uoid <> 'U2'").coalesce(1).write.mode("append").parquet(feed)
+    live_state.run_available(spark, feed, base, snaps.schema)
+    before = sorted(map(tuple, state_store.read_version(spark, base).collect()), key=repr)
+    state_store.write_version(state_store.read_version(spark, base), base, state_store.latest_version(spark, base) + 1, "snapshot:x")  # a job in between
+    snaps.where("uoid = 'U2'").coalesce(1).write.mode("append").parquet(feed)  # older than U3
+    live_state.run_available(spark, feed, base, snaps.schema)
+    assert state_store.versions(spark, base) == [0, 1, 2, 3]
+    assert sorted(map(tuple, state_store.read_version(spark, base).collect()), key=repr) == before
