@@ -15,7 +15,8 @@ SLOW = {"cv_mae_summary_yes_no", "cv_mae_summary_yes_no_no_avail"}
 # are too few (the closed form divides by a zero determinant), so these
 # keys are compared at sf0.01.
 REGRESSION = {"linear_trips", "prediction_errors", "prediction_errors_rounded", "error_by_real",
-              "error_histogram", "ridge_trips", "ridge_r2"}
+              "error_histogram", "error_histogram_default", "error_percent_histogram", "count_by_real",
+              "ridge_trips", "ridge_r2"}
 
 
 @pytest.fixture(scope="module")
