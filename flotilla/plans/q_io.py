@@ -10,12 +10,12 @@ from flotilla.operators import snapshots as S
 from flotilla.operators.trips import extract_trips, last_rows
 from flotilla.plans.catalog import register
 from flotilla.plans.present import sql_present
-from flotilla.plans.q_snapshots import STATE_CTE, state_of
+from flotilla.plans.q_snapshots import STATE_CTE, snapshot_positions, state_of
 from flotilla.plans.sqltext import POSITION_DOUBLES, TRIP_DOUBLES, TRIP_TIMESTAMPS, positions_sql, trips_sql
-from flotilla.schema import POSITION_COLUMNS, POSITION_REQUIRED
+from flotilla.schema import NUMERIC_TO_DOUBLE, POSITION_COLUMNS, POSITION_REQUIRED
 from flotilla.session import fresh_path
 from flotilla.sources import tables
-from flotilla.sources.fixture import RANGE_END, RANGE_START, SNAPSHOT_ID, positions, snapshot_positions
+from flotilla.sources.fixture import RANGE_END, RANGE_START, SNAPSHOT_ID, positions
 
 _ALL = dict(doubles=POSITION_DOUBLES, timestamps=["timestamp"], dates=["ingest_date"])
 _RANGE_SQL = positions_sql(
@@ -114,6 +114,32 @@ def legacy_state_text_read(spark, sf_dir):
     return tables.read_legacy_text(spark, path, st.schema)
 
 
+_HOLES = {"geo": 7, "clusterId": 11}  # every so many rows lack the column
+
+
+@register("required_field_check_holes", positions_sql(
+    "SELECT (" + " AND ".join(f"event_id % {_HOLES[c]} <> 0" if c in _HOLES else f'"{c}" IS NOT NULL' for c in POSITION_REQUIRED)
+    + ") AS required_ok, count(*) AS n_rows FROM positions GROUP BY 1"))
+def required_field_check_holes(spark, sf_dir):
+    """K5 on rows that lack REQUIRED columns: both groups, written and read back."""
+    p = positions(spark, sf_dir).withColumns({c: F.when(F.col("event_id") % n != 0, F.col(c)) for c, n in _HOLES.items()})
+    good, bad = fresh_path(spark, "required"), fresh_path(spark, "rejects")
+    tables.write_positions(p, good, mode="overwrite", rejects_path=bad)
+    both = spark.read.parquet(good).select(F.lit(True).alias("required_ok")).unionByName(spark.read.parquet(bad).select(F.lit(False).alias("required_ok")))
+    return both.groupBy("required_ok").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@register("positions_decimal_read", _RANGE_SQL)
+def positions_decimal_read(spark, sf_dir):
+    """S1 / P5 on a table at rest with NUMERIC columns as decimal(38,9): read with
+    the declared types, a range of it."""
+    path = fresh_path(spark, "decimals")
+    p = positions(spark, sf_dir)
+    stored = p.withColumns({c: F.col(c).cast("decimal(38,9)") for c in [*NUMERIC_TO_DOUBLE, "clusterLatitude", "clusterLongitude"]})
+    tables.write_positions(stored, path)
+    return tables.read_positions(spark, path, RANGE_START, RANGE_END).select(*p.columns)
+
+
 @register("required_field_check", positions_sql(
     "SELECT (" + " AND ".join(f'"{c}" IS NOT NULL' for c in POSITION_REQUIRED)
     + ") AS required_ok, count(*) AS n_rows FROM positions GROUP BY 1"))

@@ -9,7 +9,7 @@ from flotilla.operators.state import initial_state
 from flotilla.plans.catalog import register
 from flotilla.plans.sqltext import POSITION_DOUBLES, positions_sql
 from flotilla.schema import NUMERIC_TO_DOUBLE
-from flotilla.sources.fixture import FOLD_DAY, SNAPSHOT_ID, STATE_CUTOFF, positions, snapshot_positions
+from flotilla.sources.fixture import FOLD_DAY, SNAPSHOT_ID, STATE_CUTOFF, positions
 
 # Two fixture vehicles (present at every scale) for the two-vehicle query.
 SUBSET_VEHICLES = ("V000001", "V000002")
@@ -26,10 +26,23 @@ DAY_FILTER = (f"\"timestamp\" >= TIMESTAMP '{FOLD_DAY}' AND "
               f"\"timestamp\" < TIMESTAMP '{FOLD_DAY}' + INTERVAL 1 DAY")
 
 
+# A state that doesn't know every plate: those ending in 0 or 5 are new to it.
+YOUNG_STATE_CTE = STATE_CTE.replace("state AS (", "all_state AS (") + (
+    ", state AS (SELECT * FROM all_state WHERE right(matricula, 1) NOT IN ('0', '5'))")
+
+
 def state_of(spark, sf_dir):
     return initial_state(positions(spark, sf_dir), STATE_CUTOFF)
 
 
+def young_state_of(spark, sf_dir):
+    return state_of(spark, sf_dir).where(~F.substring("matricula", -1, 1).isin("0", "5"))
+
+
+def snapshot_positions(spark, sf_dir, uoid):
+    return S.snapshot_by_id(positions(spark, sf_dir), uoid)
+
+
 @register("snapshot_by_id", positions_sql(f"SELECT * FROM positions WHERE uoid = '{SNAPSHOT_ID}'", **_ALL))
 def snapshot_by_id(spark, sf_dir):
     """All rows of one snapshot."""
@@ -131,6 +144,30 @@ def new_vehicles(spark, sf_dir):
     return S.new_vehicles(snap, state_of(spark, sf_dir)).select("event_id", "matricula")
 
 
+_COUNTS_SQL = (
+    "SELECT movement, count(*) AS plates FROM (SELECT CASE WHEN s.matricula IS NULL THEN 'new' "
+    "WHEN p.latitud IS NOT DISTINCT FROM s.latitud AND p.longitud IS NOT DISTINCT FROM s.longitud "
+    "THEN 'same' ELSE 'moved' END AS movement FROM (SELECT * FROM (SELECT *, row_number() OVER "
+    "(PARTITION BY uoid, matricula ORDER BY realTime NULLS FIRST, event_id) AS rk FROM positions "
+    f"WHERE uoid = '{SNAPSHOT_ID}') WHERE rk = 1) p LEFT JOIN state s ON p.matricula = s.matricula) GROUP BY movement")
+
+
+@register("snapshot_movement_counts_young_state", positions_sql(_COUNTS_SQL, YOUNG_STATE_CTE))
+def snapshot_movement_counts_young_state(spark, sf_dir):
+    """T3 against a state that lacks plates: all three classes can occur."""
+    snap = S.dedupe_snapshots(snapshot_positions(spark, sf_dir, SNAPSHOT_ID))
+    return S.compare_with_state(snap, young_state_of(spark, sf_dir)).groupBy("movement").agg(F.count(F.lit(1)).alias("plates"))
+
+
+@register("new_vehicles_young_state", positions_sql(
+    f"SELECT event_id, matricula FROM positions p WHERE uoid >= '{SNAPSHOT_ID}' "
+    "AND NOT EXISTS (SELECT 1 FROM state s WHERE s.matricula = p.matricula)", YOUNG_STATE_CTE))
+def new_vehicles_young_state(spark, sf_dir):
+    """J3 against a state that lacks plates, all snapshots from one on."""
+    snap = positions(spark, sf_dir).where(F.col("uoid") >= SNAPSHOT_ID)
+    return S.new_vehicles(snap, young_state_of(spark, sf_dir)).select("event_id", "matricula")
+
+
 @register("vehicles_subset", positions_sql(
     f"SELECT * FROM positions WHERE idVehiculo IN {SUBSET_VEHICLES!r} "
     "ORDER BY idVehiculo, epochTime, event_id LIMIT 2", **_ALL))

@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 from flotilla.operators import snapshots as S
 from flotilla.operators import state as ST
 from flotilla.plans.catalog import register
-from flotilla.plans.q_snapshots import DAY_FILTER, STATE_CTE, state_of
+from flotilla.plans.q_snapshots import (
+    DAY_FILTER, STATE_CTE, YOUNG_STATE_CTE, snapshot_positions, state_of, young_state_of,
+)
 from flotilla.plans.sqltext import POSITION_DOUBLES, positions_sql
 from flotilla.session import fresh_path
 from flotilla.sources import tables
-from flotilla.sources.fixture import FOLD_DAY, SNAPSHOT_ID, positions, snapshot_positions
+from flotilla.sources.fixture import FOLD_DAY, SNAPSHOT_ID, positions
 from flotilla.streaming import live_state as LS
 
 # The reference's write batch size.
@@ -21,9 +23,9 @@ _ALL = dict(doubles=POSITION_DOUBLES, timestamps=["timestamp"], dates=["ingest_d
 _FOLD_COLS = ["matricula", "event_id", "uoid", "realTime", "epochTime", "latitud", "longitud"]
 
 
-def fold_ctes(add_new: bool = False) -> str:
+def fold_ctes(add_new: bool = False, state: str = STATE_CTE) -> str:
     known = "" if add_new else "\n        WHERE s.matricula IN (SELECT matricula FROM state)"
-    return STATE_CTE + f""",
+    return state + f""",
 entries AS (SELECT DISTINCT uoid, realTime AS e_rt FROM positions WHERE {DAY_FILTER}),
 snap AS (SELECT * EXCLUDE (rk) FROM (SELECT *, row_number() OVER (PARTITION BY uoid, matricula
          ORDER BY realTime NULLS FIRST, event_id) AS rk FROM positions
@@ -41,17 +43,10 @@ _FINAL_SQL = (f"SELECT {', '.join(_FOLD_COLS)} FROM (SELECT *, row_number() OVER
               "ORDER BY k DESC, e_rt DESC NULLS LAST, e_u DESC NULLS LAST) AS fk FROM ch) WHERE fk = 1")
 
 
-def day_rows(spark, sf_dir):
-    """Rows the fold reads. The fold takes every row of each listed uoid; in
-    this fixture a uoid is a 6-hour block, so all of them lie inside the day
-    and the day's time range (pushed into the scan) holds every such row."""
-    return positions(spark, sf_dir, FOLD_DAY, FOLD_DAY)
-
-
 @register("state_fold", positions_sql(_FINAL_SQL, FOLD_CTES, doubles=["latitud", "longitud"]))
 def state_fold(spark, sf_dir):
     """State after replaying every snapshot of the day (known plates only)."""
-    pos = day_rows(spark, sf_dir)
+    pos = positions(spark, sf_dir)
     return ST.fold_state(state_of(spark, sf_dir), pos, FOLD_DAY, add_new=False).select(*_FOLD_COLS)
 
 
@@ -61,7 +56,7 @@ def state_fold(spark, sf_dir):
     FOLD_CTES, doubles=["old_latitud", "old_longitud", "new_latitud", "new_longitud"]))
 def movement_log(spark, sf_dir):
     """Every accepted position change of the fold."""
-    pos = day_rows(spark, sf_dir)
+    pos = positions(spark, sf_dir)
     return ST.movement_log(state_of(spark, sf_dir), pos, FOLD_DAY, add_new=False)
 
 
@@ -110,10 +105,24 @@ def chunk_rows(spark, sf_dir):
                                               doubles=["latitud", "longitud"]))
 def state_fold_add_new(spark, sf_dir):
     """T1 with D8's add_new=True: plates first seen during the day are inserted."""
-    pos = day_rows(spark, sf_dir)
+    pos = positions(spark, sf_dir)
     return ST.fold_state(state_of(spark, sf_dir), pos, FOLD_DAY, add_new=True).select(*_FOLD_COLS)
 
 
+@register("state_fold_young_state", positions_sql(
+    _FINAL_SQL, fold_ctes(state=YOUNG_STATE_CTE), doubles=["latitud", "longitud"]))
+def state_fold_young_state(spark, sf_dir):
+    """T1 over a state that lacks plates: they are ignored."""
+    return ST.fold_state(young_state_of(spark, sf_dir), positions(spark, sf_dir), FOLD_DAY).select(*_FOLD_COLS)
+
+
+@register("state_fold_add_new_young_state", positions_sql(
+    _FINAL_SQL, fold_ctes(True, YOUNG_STATE_CTE), doubles=["latitud", "longitud"]))
+def state_fold_add_new_young_state(spark, sf_dir):
+    """T1 with add_new over a state that lacks plates: they are inserted."""
+    return ST.fold_state(young_state_of(spark, sf_dir), positions(spark, sf_dir), FOLD_DAY, add_new=True).select(*_FOLD_COLS)
+
+
 @register("live_state", positions_sql(_FINAL_SQL, fold_ctes(add_new=True),
                                       doubles=["latitud", "longitud"]))
 def live_state(spark, sf_dir):

@@ -13,7 +13,6 @@ so every oracle query starts from identical rows.
 from __future__ import annotations
 
 import datetime as _dt
-import re as _re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -99,21 +98,6 @@ def positions(spark: SparkSession, sf_dir: str, start: str | None = None,
     return positions_from_events(read_events(spark, sf_dir, start, end))
 
 
-def snapshot_positions(spark: SparkSession, sf_dir: str, uoid: str) -> DataFrame:
-    """Rows of one snapshot. In this fixture a uoid is a 6-hour block of
-    ``ts``, so the uoid filter is paired with the equivalent ``ts`` range,
-    which reaches the parquet scan (a uoid filter alone is on a derived
-    column and cannot be pushed down)."""
-    ev = spark.read.parquet(events_path(sf_dir))
-    m = _re.fullmatch(r"S(\d{8})", uoid)
-    if m:
-        lo = _dt.datetime(1970, 1, 1) + _dt.timedelta(seconds=int(m.group(1)) * SNAPSHOT_SECONDS)
-        hi = lo + _dt.timedelta(seconds=SNAPSHOT_SECONDS)
-        ev = ev.where((F.col("ts") >= F.lit(lo.isoformat(sep=" ")).cast("timestamp_ntz"))
-                      & (F.col("ts") < F.lit(hi.isoformat(sep=" ")).cast("timestamp_ntz")))
-    return positions_from_events(ev).where(F.col("uoid") == F.lit(uoid))
-
-
 # DuckDB text of the same derivation; oracle queries start with
 # ``WITH positions AS (...)``. Double literals carry an exponent: DuckDB reads
 # ``40.4`` as DECIMAL.

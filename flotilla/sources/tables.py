@@ -40,8 +40,12 @@ def write_positions(df: DataFrame, path: str, mode: str = "append",
 
 def read_positions(spark: SparkSession, path: str, start: str | None = None,
                    end: str | None = None, schema: T.StructType = POSITION_SCHEMA) -> DataFrame:
-    """Declared-schema scan; an inclusive ingestion-date range prunes partitions."""
-    df = spark.read.schema(schema).parquet(path)
+    """Scan with the declared types; an inclusive ingestion-date range prunes
+    partitions. NUMERIC columns at rest (decimals) are cast once here, a column
+    the table lacks is NULL."""
+    df = spark.read.parquet(path)
+    df = df.select(*[(F.col(f.name).cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType)).alias(f.name)
+                     for f in schema.fields])
     if start is not None:
         df = df.where(F.col("ingest_date") >= F.lit(start).cast("date"))
     if end is not None:
