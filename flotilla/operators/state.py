@@ -20,8 +20,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from flotilla.operators.snapshots import PLATE, dedupe_snapshots, snapshot_list
+from flotilla.session import cut_lineage
 
 _SEQ = "_seq"
+# Entries (two short strings each) that are broadcast; more are joined by shuffle.
+MAX_BROADCAST_ENTRIES = 100_000
 
 
 def initial_state(positions: DataFrame, cutoff: str, plate: str = PLATE) -> DataFrame:
@@ -51,9 +54,14 @@ def _observations(positions: DataFrame, day: str, keep: str) -> DataFrame:
     """One row per (list entry, plate): each (uoid, realTime) entry of the day
     carries the de-duplicated rows of its whole uoid, like the reference's
     per-entry query; ordered by ``_seq`` = (1, entry realTime, uoid)."""
-    entries = snapshot_list(positions, day).select("uoid", F.col("realTime").alias("_entry_rt"))
-    # A row per poll of the day; rows without a plate can't move anything.
-    rows = positions.where(F.col(PLATE).isNotNull()).join(entries.select("uoid").distinct(), "uoid", "left_semi")
+    # A row per poll of the day: written once, used by both joins, and broadcast
+    # after its size is checked (a shuffle on a few ids would be a few tasks).
+    entries = cut_lineage(snapshot_list(positions, day).select("uoid", F.col("realTime").alias("_entry_rt")), "entries")
+    ids = entries.select("uoid").distinct()
+    if entries.count() <= MAX_BROADCAST_ENTRIES:
+        entries, ids = F.broadcast(entries), F.broadcast(ids)
+    # Rows without a plate can't move anything.
+    rows = positions.where(F.col(PLATE).isNotNull()).join(ids, "uoid", "left_semi")
     snap = dedupe_snapshots(rows, keep=keep)
     obs = snap.join(entries, "uoid")
     return obs.withColumn(_SEQ, F.struct(F.lit(1).alias("k"), F.col("_entry_rt").alias("rt"),
