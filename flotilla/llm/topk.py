@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from flotilla.llm.shared import attempt_name, filesystem, open_output, read_bytes
 from flotilla.session import cut_lineage, fresh_path
 
-LEAF = 64
+LEAF = 128
 
 
 @dataclass
@@ -133,7 +133,7 @@ def integer_vectors(vec: Column, scale: int = 64) -> Column:
 
 
 def top_k(rows: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "id", vec_col: str = "vec",
-          shard_rows: int = 8192, block_rows: int = 256) -> DataFrame:
+          shard_rows: int = 8192, block_rows: int = 128) -> DataFrame:
     """(query_id, rank, vec_id, score): each query's ``k`` highest inner products.
 
     Both inputs have an integer id and an array of integers. Queries look at
@@ -161,7 +161,8 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "id",
         return pd.DataFrame({"dim": [dim], "file": [name]})
 
     trees = fresh_path(spark, "kd-manifest")
-    (rows.withColumn("shard", F.pmod(F.xxhash64("id", "vec"), F.lit(shards))).groupBy("dim", "shard")
+    # As many partitions as groups: every shard and every block may be a task.
+    (rows.withColumn("shard", F.pmod(F.xxhash64("id", "vec"), F.lit(shards))).repartition(2 * shards, "dim", "shard").groupBy("dim", "shard")
      .applyInPandas(plant, "dim int, file string").write.parquet(trees))
 
     def answer(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -176,5 +177,6 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "id",
                             columns=["query_id", "rank", "vec_id", "score"]).astype({"query_id": "int64", "rank": "int32", "vec_id": "int64", "score": "int64"})
 
     blocks = max(1, -(-queries.count() // block_rows))
-    return (cut_lineage(queries, "kd-queries").withColumn("block", F.pmod(F.xxhash64("id", "vec", F.lit(3)), F.lit(blocks))).groupBy("dim", "block")
+    return (cut_lineage(queries, "kd-queries").withColumn("block", F.pmod(F.xxhash64("id", "vec", F.lit(3)), F.lit(blocks)))
+            .repartition(2 * blocks, "dim", "block").groupBy("dim", "block")
             .applyInPandas(answer, "query_id long, rank int, vec_id long, score long"))
