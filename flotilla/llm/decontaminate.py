@@ -176,7 +176,7 @@ def matches(index: Index, texts: list[bytes], threshold: float, min_overlap: flo
 
 
 def contamination(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id_col: str = "item_id", question_col: str = "text",
-                  answer_col: str | None = None, threshold: float = 0.5, min_overlap: float = 0.6, shard_bytes: int = 16 << 20) -> DataFrame:
+                  answer_col: str | None = None, threshold: float = 0.4, min_overlap: float = 0.4, shard_bytes: int = 16 << 20) -> DataFrame:
     """``row`` (all input columns) and ``matches``, the benchmark items leaked into
     it, a row per row of ``docs``.
 

@@ -86,9 +86,23 @@ def test_questions_answers_and_cases(spark):
     assert all(not r.matches for r in D.contamination(docs, none).collect())
 
 
+def test_changed_items_are_found(spark):
+    """Case, punctuation, line breaks, one word in ten changed, a part left out."""
+    rng = random.Random(6)
+    words = [f"{rng.choice('abcdefgh')}{i}" for i in range(200)]
+    items = [" ".join(words[i:i + 40]) + "." for i in range(0, 200, 40)]
+    own = items[2].split()
+    texts = [" ".join(own).upper(), "\n".join(own), ", ".join(own), " ".join("x" if i % 10 == 9 else w for i, w in enumerate(own)), " ".join(own[:25]),
+             " ".join(own[:8]), " ".join(rng.sample(own, len(own)))]
+    index = D.build([(i, t, None) for i, t in enumerate(items)])
+    pad = " ".join(f"z{i}" for i in range(90))
+    got = [[m["item_id"] for m in r] for r in D.matches(index, [f"{pad} {t} {pad}".encode() for t in texts], 0.4, 0.4)]
+    assert got == [[2]] * 5 + [[], []]  # eight words, or all in another order, are no leak
+
+
 def test_query_finds_whole_items(spark):
     """On the fixture: every document that holds an item's words in a row is
-    found with it, and nothing that shares under half of its 5-grams."""
+    found with it, and nothing that shares under two fifths of its 5-grams."""
     docs = {r.doc_id: terms(r.text) for r in spark.read.parquet(f"{SF_MID}/documents.parquet").collect()}
     items = {r.item_id: terms(r.text) for r in spark.read.parquet(f"{SF_MID}/benchmark.parquet").collect()}
     got = {(r.doc_id, r.item_id) for r in QUERIES["op3_decontaminate"](spark, SF_MID).collect()}
@@ -98,4 +112,4 @@ def test_query_finds_whole_items(spark):
         own = {tuple(w[i:i + 5]) for i in range(len(w) - 4)}
         share |= {(d, j): len(own & g) / len(own) for d, g in grams.items() if own & g}
     assert {k for k, x in share.items() if x == 1.0} <= got
-    assert all(share.get(k, 0) >= 0.6 for k in got) and got
+    assert all(share.get(k, 0) >= 0.4 for k in got) and got

@@ -38,7 +38,7 @@ def test_stages_on_the_fixture(spark):
         own = {tuple(w[k:k + 5]) for k in range(len(w) - 4)}
         return max(len(g & own) / len(g) for g in grams)
     shares = {i: leaks(r.text) for i, r in single.items()}
-    assert not [i for i in clean if shares[i] >= 0.95] and {i for i, s in shares.items() if s < 0.5} <= set(clean) and len(clean) < len(single)
+    assert not [i for i in clean if shares[i] >= 0.95] and {i for i, s in shares.items() if s < 0.35} <= set(clean) and len(clean) < len(single)
     out = P.STAGES[-1][1](spark, kept[-1], SF_SMALL).collect()
     assert {r.doc_id: r.n_tokens for r in out} == {i: len(r.text.encode().split()) for i, r in clean.items()} and len(out) == len(clean)
     whole = {tuple(r) for r in P.run(spark, SF_SMALL).collect()}
