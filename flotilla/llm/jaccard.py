@@ -9,18 +9,24 @@ How it holds at scale:
   nodes into small groups: the nodes that share a prefix shingle. Shingles
   noted as frequent come last in the order, so a passage found everywhere makes
   no large group; the order never changes the result.
+* With a prefix longer by a twentieth, similar sets share not one but a
+  twentieth of their shingles there, so a node with fewer prefix shingles that
+  anyone shares is out before any pair is looked at: a common passage alone
+  keeps no document in.
 * Inside a group the candidates come from an R-tree over the shingles' group
-  counts (:mod:`flotilla.llm.rtree`).
-* Step A: every node joins its most popular group, with its whole set;
-  survivors of the tree are verified there and linked with union-find, so a
+  counts (:mod:`flotilla.llm.rtree`). A first pass over all groups notes the
+  nodes that have a candidate anywhere; the others, nearly all documents, need
+  no set, so whole sets are only built and moved for the nodes noted.
+* Step A: every noted node joins its two most popular groups, with its whole
+  set; survivors of the tree are verified there and linked with union-find, so a
   group of thousands of near copies costs no more than its spanning links.
-* Step B: all groups again, without sets, for pairs of nodes that step A put
-  into different components and didn't compare. Survivors are distinct pairs;
-  the sets are joined to them and verified.
+* Step B: all groups again, without sets, for pairs of nodes that didn't meet in
+  step A and aren't linked by it. Pairs that share enough prefix shingles (the
+  filter's count, not just one) get their sets joined and are verified.
 * Groups over a size are split into blocks by a hash, and every pair of blocks
   is a group of its own: no task gathers an unbounded group.
-* Components over the links of step B are found by label propagation between
-  the components of step A, each round cut to the shared folder.
+* Components over all links are found by star rounds, each cut to the shared
+  folder.
 """
 
 from __future__ import annotations
@@ -47,14 +53,31 @@ NOTE, NOTED, ORDER_LIMIT = 4, 64, 1 << 16
 FILTER_BITS = 26
 
 
-def prefix_length(n):
-    """Shingles of a set of ``n`` that must hold one shared with any similar set."""
-    return n - (4 * n + 4) // 5 + 1
+def least_common(n):
+    """Shingles two sets must share between the smaller's index prefix (``n``: its
+    size) and the larger's probe prefix."""
+    return np.maximum(1, n // 50)
+
+
+def probe_length(n):
+    """Shingles of a set of ``n`` to look up."""
+    return n - (4 * n + 4) // 5 + least_common(n)
 
 
 def index_length(n):
-    """The same against sets that are at least as large."""
-    return n - (8 * n + 8) // 9 + 1
+    """Shingles of a set of ``n`` to be found by sets that are at least as large."""
+    return n - (8 * n + 8) // 9 + least_common(n)
+
+
+def long_prefix_length(n):
+    """Shingles of a set of ``n`` that must hold :func:`least_shared` ones that any
+    similar set has in its own long prefix."""
+    return n - (4 * n + 4) // 5 + max(1, n // 20)
+
+
+def least_shared(n):
+    """As a similar set may have only four fifths of the shingles."""
+    return max(1, (4 * n + 4) // 5 // 20)
 
 
 def _sets(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -116,12 +139,12 @@ class Order:
         return out
 
     def prefixes(self, grams: np.ndarray, n: np.ndarray) -> list[np.ndarray]:
-        """Places of the prefix of each set, in the common order (ties by hash)."""
+        """Places of the long prefix of each set, in the common order (ties by hash)."""
         keys = self.keys(grams)
         ends = np.cumsum(n)
         out = []
         for a, b in zip((ends - n).tolist(), ends.tolist()):
-            p = prefix_length(b - a) if b > a else 0
+            p = long_prefix_length(b - a) if b > a else 0
             k = keys[a:b]
             if 0 < p < len(k):  # the sets are sorted by hash, so a stable sort breaks ties by it
                 cut = np.partition(k, p - 1)[p - 1]
@@ -148,10 +171,10 @@ def _prefix_rows(order):
 
 
 def _shared_rows(order, bits):
-    """Documents with a prefix shingle that the filter holds: their shared prefix
-    shingles, whether each lies in the index prefix, counts and whole set."""
+    """Documents with enough prefix shingles that the filter holds: these
+    shingles, their places in the prefix, and the set's group counts."""
     schema = pa.schema([("id", pa.int64()), ("node", pa.int64()), ("n", pa.int64()), ("toks", pa.list_(pa.int64())),
-                        ("index", pa.list_(pa.bool_())), ("vec", pa.binary()), ("elements", pa.binary())])
+                        ("places", pa.list_(pa.int64())), ("vec", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -163,15 +186,45 @@ def _shared_rows(order, bits):
                 hit = bits.value[_slot(grams) >> 3] >> (_slot(grams) & 7).astype(np.uint8) & 1
                 for i, place in enumerate(order.value.prefixes(grams, n)):
                     shared = np.flatnonzero(hit[place]) if len(place) else place
-                    if len(shared):
+                    if len(place) and len(shared) >= least_shared(int(n[i])):
                         whole = grams[ends[i] - n[i]:ends[i]]
                         rows.append({"id": ids[begin + i], "node": _digest(whole)[0], "n": int(n[i]), "toks": grams[place[shared]].view(np.int64),
-                                     "index": shared < index_length(int(n[i])), "vec": vec[i].tobytes(), "elements": whole.tobytes()})
+                                     "places": shared, "vec": vec[i].tobytes()})
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, schema=schema)
     return run
 
 
+def _whole_sets(bits):
+    """(id, node, elements) of the documents whose id the filter holds."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            slot = _slot(T.mix(batch.column("id").to_numpy().view(np.uint64)))
+            batch = batch.filter(pa.array((bits.value[slot >> 3] >> (slot & 7).astype(np.uint8) & 1).astype(bool)))
+            ids = batch.column("id")
+            for begin, end, grams, n in _sets(batch):
+                ends = np.cumsum(n)
+                sets = [grams[a:b] for a, b in zip(ends - n, ends)]
+                yield pa.RecordBatch.from_arrays([ids.slice(begin, end - begin), pa.array([_digest(x)[0] for x in sets], pa.int64()),
+                                                  pa.array([x.tobytes() for x in sets], pa.binary())], names=["id", "node", "elements"])
+    return run
+
+
+def _filter_of(slots: DataFrame):
+    """Broadcast bit filter of the slots (column ``slot``): at most
+    2 ** (FILTER_BITS - 3) rows reach the driver, 8 MB of bits in all."""
+    filled = (slots.selectExpr("cast(shiftright(slot, 3) AS int) AS at", "shiftleft(1, cast(slot & 7 AS int)) AS bit")
+              .groupBy("at").agg(F.bit_or("bit").cast("short").alias("bits")).toArrow())
+    bits = np.zeros(1 << (FILTER_BITS - 3), np.uint8)
+    bits[filled.column("at").to_numpy()] = filled.column("bits").to_numpy().astype(np.uint8)
+    return slots.sparkSession.sparkContext.broadcast(bits)
+
+
+def _id_slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([pa.array(_slot(T.mix(batch.column("id").to_numpy().view(np.uint64))))], names=["slot"])
+
+
 def groups_of(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
     """Runs of rows with equal keys of a sorted stream, as many whole runs at a
     time as one batch holds."""
@@ -226,13 +279,16 @@ def overlaps(elements: list[np.ndarray], one: np.ndarray) -> np.ndarray:
     return hits[ends] - hits[ends - [len(e) for e in elements]]
 
 
-def link_group(nodes: np.ndarray, sizes: np.ndarray, points: np.ndarray, elements: list[np.ndarray]) -> np.ndarray:
-    """Component (its smallest node) of each node of a group, by verified links."""
+def link_group(nodes: np.ndarray, sizes: np.ndarray, points: np.ndarray, elements: list[np.ndarray], side: np.ndarray | None = None) -> np.ndarray:
+    """Component (its smallest node) of each node of a group, by verified links;
+    with ``side`` only links between different sides are looked for."""
     union = Union(len(nodes))
     tree = rtree.RTree(points, sizes)
     for i in range(len(nodes)):
         found = tree.query(points[i], int(sizes[i]))
         found = found[found < i]
+        if side is not None:
+            found = found[side[found] != side[i]]
         for a in range(0, len(found), 64):
             root = union.find(i)
             some = [j for j in found[a:a + 64].tolist() if union.find(j) != root]
@@ -248,26 +304,26 @@ def link_group(nodes: np.ndarray, sizes: np.ndarray, points: np.ndarray, element
 
 
 def _link_homes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    keys = ["home", "block"]
+    keys = ["home", "i", "j"]
     for table in groups_of(batches, keys):
+        again = _runs(table, [*keys, "node"])[:-1]  # a node that came twice counts once
+        table = table.take(pa.array(again)) if len(again) < len(table) else table
         bounds = _runs(table, keys)
-        nodes, sizes = table.column("node").to_numpy(), table.column("n").to_numpy()
-        points = rtree.as_bounds(np.frombuffer(b"".join(table.column("vec").to_pylist()), np.uint8).reshape(-1, rtree.GROUPS))
+        x = _columns(table, ["node", "n", "i", "j", "own"])
         raw = table.column("elements")
-        comp = nodes.copy()
+        comp = x["node"].copy()
         for a, b in zip(bounds, bounds[1:]):
             if b - a > 1:
-                elements = [np.frombuffer(x.as_py(), np.uint64) for x in raw.slice(a, b - a)]
-                comp[a:b] = link_group(nodes[a:b], sizes[a:b], points[a:b], elements)
-        yield pa.RecordBatch.from_arrays([pa.array(nodes), table.column("home").combine_chunks(), table.column("block").combine_chunks(), pa.array(comp)],
-                                         names=["node", "home", "block", "comp"])
+                elements = [np.frombuffer(e.as_py(), np.uint64) for e in raw.slice(a, b - a)]
+                side = x["own"][a:b] if x["i"][a] != x["j"][a] else None
+                comp[a:b] = link_group(x["node"][a:b], x["n"][a:b], x["points"][a:b], elements, side)
+        yield pa.RecordBatch.from_arrays([pa.array(x["node"]), pa.array(comp)], names=["node", "comp"])
 
 
-def candidate_pairs(run: np.ndarray, left: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Row pairs (a, b) within each run that the tree lets pass and step A
-    didn't settle. Runs no larger than a leaf are compared point by point."""
-    n, points = left["n"], left["points"]
-    first, second = [], []
+def candidate_pairs(run: np.ndarray, x: dict[str, np.ndarray], wanted) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Row pairs (a, b) within each run that are ``wanted`` and that the tree lets
+    pass. Runs no larger than a leaf are compared point by point."""
+    n, points = x["n"], x["points"]
     sizes = np.diff(run)
     owner = np.repeat(np.arange(len(sizes)), sizes)
     small = np.repeat(sizes <= rtree.LEAF, sizes)
@@ -276,48 +332,81 @@ def candidate_pairs(run: np.ndarray, left: dict[str, np.ndarray]) -> tuple[np.nd
         if not len(a):
             break
         b = a + lag
-        ok = _open(left, a, b) & rtree.sizes_fit(n[a], n[b])
+        ok = wanted(x, a, b) & rtree.sizes_fit(n[a], n[b])
         a, b = a[ok], b[ok]
         ok = np.minimum(points[a], points[b]).sum(axis=1) >= rtree.least_overlap(n[a], n[b])
-        first.append(a[ok])
-        second.append(b[ok])
+        yield a[ok], b[ok]
     for g in np.flatnonzero(sizes > rtree.LEAF):
         lo, hi = run[g], run[g + 1]
         tree = rtree.RTree(points[lo:hi], n[lo:hi])
         for i in range(lo, hi):
             b = tree.query(points[i], int(n[i])) + lo
             b = b[b > i]
-            b = b[_open(left, np.full(len(b), i), b)]
-            first.append(np.full(len(b), i))
-            second.append(b)
-    if not first:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return np.concatenate(first), np.concatenate(second)
+            b = b[wanted(x, np.full(len(b), i), b)]
+            yield np.full(len(b), i), b
 
 
-def _open(x: dict[str, np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Pairs still to be compared: other components, not met in step A, from the
-    two sides of the block pair, and one shingle in the smaller set's index prefix."""
-    same_home = (x["home"][a] == x["home"][b]) & (x["block"][a] == x["block"][b])
+def _roles(x: dict[str, np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Pairs from the two sides of their block pair whose shingle lies in the
+    smaller set's index prefix."""
     sides = (x["i"][a] == x["j"][a]) | (x["own"][a] != x["own"][b])
     smaller = np.where(x["n"][a] < x["n"][b], x["index"][a], np.where(x["n"][a] > x["n"][b], x["index"][b], x["index"][a] | x["index"][b]))
-    return (x["comp"][a] != x["comp"][b]) & ~same_home & sides & smaller
+    return sides & smaller
+
+
+def _open(x: dict[str, np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Of these, pairs that didn't meet in step A and that it didn't link."""
+    met = np.zeros(len(a), bool)
+    for one in ("home_1", "home_2"):
+        for two in ("home_1", "home_2"):
+            met |= x[one][a] == x[two][b]
+    return _roles(x, a, b) & (x["comp"][a] != x["comp"][b]) & ~met
+
+
+def _columns(table: pa.Table, names: list[str]) -> dict[str, np.ndarray]:
+    out = {k: table.column(k).to_numpy() for k in names}
+    out["points"] = rtree.as_bounds(np.frombuffer(b"".join(table.column("vec").to_pylist()), np.uint8).reshape(-1, rtree.GROUPS))
+    return out
+
+
+GROUP = ["tok", "i", "j"]
+
+
+def _candidate_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    sent = np.zeros(0, np.int64)  # of this task: no more than its rows
+    for table in groups_of(batches, GROUP):
+        x = _columns(table, ["node", "n", "i", "j", "own", "index"])
+        noted = np.zeros(len(table), bool)
+        for a, b in candidate_pairs(_runs(table, GROUP), x, _roles):
+            noted[a] = noted[b] = True
+        new = np.setdiff1d(x["node"][noted], sent)
+        sent = np.union1d(sent, new)
+        yield pa.RecordBatch.from_arrays([pa.array(new)], names=["node"])
 
 
 def _pair_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    keys = ["tok", "i", "j"]
-    for table in groups_of(batches, keys):
-        cols = {k: table.column(k).to_numpy() for k in ("node", "n", "comp", "home", "block", "i", "j", "own", "index")}
-        cols["points"] = rtree.as_bounds(np.frombuffer(b"".join(table.column("vec").to_pylist()), np.uint8).reshape(-1, rtree.GROUPS))
-        a, b = candidate_pairs(_runs(table, keys), cols)
-        x, y = cols["node"][a], cols["node"][b]
-        pairs = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1), axis=0) if len(a) else np.zeros((0, 2), np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+    for table in groups_of(batches, GROUP):
+        x = _columns(table, ["node", "n", "comp", "home_1", "home_2", "i", "j", "own", "index"])
+        for a, b in candidate_pairs(_runs(table, GROUP), x, _open):
+            if len(a):
+                pair = np.sort(np.stack([x["node"][a], x["node"][b]]), axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array(pair[0]), pa.array(pair[1]), pa.array(least_common(np.minimum(x["n"][a], x["n"][b])))], names=["a", "b", "least"])
+
+
+def _grouped(members: DataFrame, *more: str, by: str = "tok") -> DataFrame:
+    """Members dealt and sorted by group; a group of several blocks is dealt once
+    for every pair of blocks."""
+    mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    dealt = (members.withColumn("own", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .select(by, F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "n", "vec", *more))
+    # A stated number of partitions: the work of a group is more than its bytes tell.
+    tasks = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return dealt.repartition(tasks, by, "i", "j").sortWithinPartitions(by, "i", "j", "n" if by == "tok" else "node", "node")
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        keep = [(ca, cb) for ca, cb, ea, eb in zip(*(batch.column(c).to_pylist() for c in ("comp_a", "comp_b", "el_a", "el_b")))
+        keep = [(a, b) for a, b, ea, eb in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "el_a", "el_b")))
                 if _similar(np.frombuffer(ea, np.uint64), np.frombuffer(eb, np.uint64))]
         yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keep], pa.int64()), pa.array([k[1] for k in keep], pa.int64())], names=["a", "b"])
 
@@ -330,7 +419,8 @@ def components(links: DataFrame) -> DataFrame:
     """(node, comp): the smallest node reachable over the links (a, b), for every
     node that has one. Alternates large-star and small-star rounds; each round
     is an aggregate and a join over the links, cut to the shared folder."""
-    edges = cut_lineage(links.filter("a <> b").distinct(), "links")
+    edges = cut_lineage(links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
+    was = _signature(edges)
     while True:
         both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
@@ -340,10 +430,16 @@ def components(links: DataFrame) -> DataFrame:
         star = cut_lineage(large.join(small, "a").select(F.explode(F.array(F.struct(F.col("a").alias("a"), F.col("m").alias("b")),
                                                                            F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
                            .select("e.a", "e.b").filter("a <> b").distinct(), "small-star")
-        if star.exceptAll(edges).isEmpty() and edges.exceptAll(star).isEmpty():
+        now = _signature(star)
+        if now == was:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("comp")).union(
                 edges.select(F.col("b").alias("node"), F.col("b").alias("comp"))).distinct()
-        edges = star
+        edges, was = star, now
+
+
+def _signature(edges: DataFrame) -> tuple:
+    """Tells sets of links apart: their number and two sums of hashes."""
+    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)")), F.sum(F.xxhash64("b", F.lit(1), "a").cast("decimal(20,0)"))).first())
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -370,53 +466,55 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     order = spark.sparkContext.broadcast(Order(np.array([r.tok for r in noted], np.int64).view(np.uint64)))
 
     counted = named.mapInArrow(_prefix_rows(order), "tok long").groupBy("tok").count().filter("count > 1")
-    # A byte of the filter per row: at most 2 ** (FILTER_BITS - 3) rows, 8 MB in all.
-    filled = (counted.selectExpr(f"cast(shiftright(tok & {(1 << FILTER_BITS) - 1}, 3) AS int) AS at", "shiftleft(1, cast(tok & 7 AS int)) AS bit")
-              .groupBy("at").agg(F.bit_or("bit").cast("short").alias("bits")).toArrow())
-    bits = np.zeros(1 << (FILTER_BITS - 3), np.uint8)
-    bits[filled.column("at").to_numpy()] = filled.column("bits").to_numpy().astype(np.uint8)
-    bits = spark.sparkContext.broadcast(bits)
+    bits = _filter_of(counted.selectExpr(f"tok & {(1 << FILTER_BITS) - 1} AS slot"))
 
     classes = cut_lineage(feats.filter("id IS NOT NULL AND n > 0").groupBy("node", "d2", "n").agg(F.min("id").alias("id")), "jaccard-classes")
-    shared = cut_lineage(named.mapInArrow(_shared_rows(order, bits), "id long, node long, n long, toks array<long>, index array<boolean>, vec binary, elements binary")
+    shared = cut_lineage(named.mapInArrow(_shared_rows(order, bits), "id long, node long, n long, toks array<long>, places array<long>, vec binary")
                          .join(classes.select("id", "node"), ["id", "node"], "left_semi"), "jaccard-shared")
 
-    # Exact groups: nodes by shared prefix shingle, of two nodes at least.
-    members = shared.select("node", "n", F.explode(F.arrays_zip("toks", "index")).alias("t")).select("node", "n", F.col("t.toks").alias("tok"), F.col("t.index").alias("index")).dropDuplicates(["node", "tok"])
+    # Nodes with enough prefix shingles that another node has too.
+    members = shared.select("node", "n", F.explode(F.arrays_zip("toks", "places")).alias("t")).select("node", "n", F.col("t.toks").alias("tok"), F.col("t.places").alias("place")).distinct()
+    twice = cut_lineage(members.groupBy("tok").count().filter("count > 1").select("tok"), "jaccard-shared-shingles")
+    least = F.greatest(F.lit(1), F.expr("((4 * n + 4) div 5) div 20"))
+    enough = cut_lineage(members.join(twice, "tok", "left_semi").groupBy("node", "n").count().filter(F.col("count") >= least)
+                         .join(shared.dropDuplicates(["node"]).select("node", "vec"), "node").select("node", "vec"), "jaccard-enough")
+
+    # Exact groups: nodes by shared shingle of the probe prefix, of two nodes at least.
+    common = "greatest(1, n div 50)"
+    members = (members.filter(F.expr(f"place < n - (4 * n + 4) div 5 + {common}")).join(enough, "node")
+               .withColumn("index", F.expr(f"place < n - (8 * n + 8) div 9 + {common}")).drop("place"))
     sizes = cut_lineage(members.groupBy("tok").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("total")).filter("size > 1")
                         .select("tok", "size", F.greatest(F.ceil(F.col("size") / BLOCK_NODES), F.ceil(F.col("total") / BLOCK_SHINGLES)).cast("int").alias("blocks")), "jaccard-groups")
     members = cut_lineage(members.join(sizes, "tok"), "jaccard-members")
+    noted = cut_lineage(_grouped(members, "index").mapInArrow(_candidate_nodes, "node long").distinct(), "jaccard-noted")
+    members = cut_lineage(members.join(noted, "node", "left_semi"), "jaccard-members")
+    reps = classes.join(noted, "node", "left_semi").select("id")
+    wanted = _filter_of(reps.mapInArrow(_id_slots, "slot long"))
+    # A few more documents may pass the filter; the joins on the node leave them out.
+    sets = cut_lineage(named.mapInArrow(_whole_sets(wanted), "id long, node long, elements binary").select("node", "elements"), "jaccard-sets")
 
     # Step A.
-    home = members.groupBy("node").agg(F.max(F.struct("size", "tok", "blocks")).alias("h"))
-    home = home.select("node", F.col("h.tok").alias("home"), F.pmod(F.xxhash64("node"), F.col("h.blocks")).cast("int").alias("block"))
-    own = shared.dropDuplicates(["node"])
-    settled = cut_lineage(own.join(home, "node").select("node", "n", "vec", "elements", "home", "block")
-                          .repartition("home", "block").sortWithinPartitions("home", "block", "node")
-                          .mapInArrow(_link_homes, "node long, home long, block int, comp long"), "jaccard-step-a")
-
-    # Step B: groups that hold more than one home.
-    rest = members.join(settled, "node")
-    open_groups = cut_lineage(rest.groupBy("tok").agg(F.min(F.struct("home", "block")).alias("x"), F.max(F.struct("home", "block")).alias("y"),
-                                                      F.min("comp").alias("p"), F.max("comp").alias("q"))
+    homes = members.groupBy("node", "n", "vec").agg(F.slice(F.sort_array(F.collect_list(F.struct("size", "tok", "blocks")), asc=False), 1, 2).alias("homes"))
+    homes = cut_lineage(homes, "jaccard-homes")
+    own = homes.join(sets, "node").select("node", "n", "vec", "elements", F.explode("homes").alias("h"))
+    own = own.select("node", "n", "vec", "elements", F.col("h.tok").alias("home"), F.col("h.blocks").alias("blocks"))
+    linked = cut_lineage(_grouped(own, "elements", by="home").mapInArrow(_link_homes, "node long, comp long"), "jaccard-step-a")
+
+    # Step B: groups with nodes of several homes. Equal labels are linked nodes.
+    label = linked.groupBy("node").agg(F.min("comp").alias("comp"))
+    rest = members.join(homes.select("node", F.col("homes")[0]["tok"].alias("home_1"), F.coalesce(F.get("homes", 1)["tok"], F.col("homes")[0]["tok"]).alias("home_2")).join(label, "node"), "node")
+    open_groups = cut_lineage(rest.groupBy("tok").agg(F.min("home_1").alias("x"), F.max("home_1").alias("y"), F.min("comp").alias("p"), F.max("comp").alias("q"))
                               .filter("x <> y AND p <> q").select("tok"), "jaccard-open")
-    rest = rest.join(open_groups, "tok", "left_semi").join(own.select("node", "vec"), "node")
-    mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    rest = (rest.withColumn("own", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .select("tok", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "n", "index", "home", "block", "comp", "vec"))
-    pairs = (rest.repartition("tok", "i", "j").sortWithinPartitions("tok", "i", "j", "n", "node")
-             .mapInArrow(_pair_groups, "a long, b long").distinct())
-    pairs = cut_lineage(pairs, "jaccard-pairs")
-    comp = settled.select("node", "comp")
-    side = own.select("node", "elements").join(comp, "node")
-    verified = (pairs.join(side.select(F.col("node").alias("a"), F.col("elements").alias("el_a"), F.col("comp").alias("comp_a")), "a")
-                .join(side.select(F.col("node").alias("b"), F.col("elements").alias("el_b"), F.col("comp").alias("comp_b")), "b")
-                .select("comp_a", "comp_b", "el_a", "el_b").mapInArrow(_verify, "a long, b long"))
-    merged = components(verified)
+    rest = rest.join(open_groups, "tok", "left_semi")
+    pairs = _grouped(rest, "index", "home_1", "home_2", "comp").mapInArrow(_pair_groups, "a long, b long, least long")
+    pairs = cut_lineage(pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.max("least").alias("least")).filter("n >= least").select("a", "b"), "jaccard-pairs")
+    verified = (pairs.join(sets.select(F.col("node").alias("a"), F.col("elements").alias("el_a")), "a")
+                .join(sets.select(F.col("node").alias("b"), F.col("elements").alias("el_b")), "b")
+                .mapInArrow(_verify, "a long, b long"))
+    merged = components(linked.select(F.col("node").alias("a"), F.col("comp").alias("b")).union(verified))
 
     # Components to their smallest document.
-    final = (comp.join(merged.select(F.col("node").alias("comp"), F.col("comp").alias("top")), "comp", "left")
-             .select("node", F.coalesce("top", "comp").alias("top")))
+    final = merged.select("node", F.col("comp").alias("top"))
     labelled = classes.select("node", "id").join(final, "node", "left").withColumn("top", F.coalesce("top", "node"))
     least = labelled.groupBy("top").agg(F.min("id").alias("component_id"))
     labels = cut_lineage(labelled.join(least, "top").select("node", "component_id").groupBy("node").agg(F.min("component_id").alias("component_id")), "jaccard-labels")

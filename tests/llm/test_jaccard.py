@@ -117,3 +117,27 @@ def test_frequent_groups_saturate():
     sets = np.sort(np.arange(40_000, dtype=np.uint64) << np.uint64(40))
     v = rtree.as_bounds(rtree.count_vectors(sets, np.array([len(sets)])))
     assert np.isinf(v).any()
+
+
+def test_prefixes_lose_no_similar_pair():
+    """Any two similar sets share enough shingles of their long prefixes, and one
+    of the smaller's index prefix in the larger's plain prefix."""
+    rng = np.random.default_rng(5)
+    noted = rng.integers(0, 1 << 63, 50).astype(np.uint64)
+    order = jaccard.Order(noted)
+    for n in [*range(1, 60), 100, 333, 1000]:
+        for _ in range(6):
+            shared = rng.integers(0, 1 << 63, n).astype(np.uint64)
+            shared[:min(n, 10)] = noted[:min(n, 10)]
+            extra = rng.integers(0, n // 8 + 1)
+            other = rng.integers(0, n // 8 + 1)
+            a, b = (np.unique(np.concatenate([shared, rng.integers(0, 1 << 63, k).astype(np.uint64)])) for k in (extra, other))
+            inter = len(np.intersect1d(a, b))
+            if 100 * inter < 80 * (len(a) + len(b) - inter):
+                continue
+            if len(a) > len(b):
+                a, b = b, a
+            p, q = order.prefixes(np.concatenate([a, b]), np.array([len(a), len(b)]))
+            x, y = a[p], b[q - len(a)]
+            assert len(np.intersect1d(x, y)) >= max(jaccard.least_shared(len(a)), jaccard.least_shared(len(b)))
+            assert len(np.intersect1d(x[:jaccard.index_length(len(a))], y[:jaccard.probe_length(len(b))])) >= jaccard.least_common(len(a))
