@@ -39,6 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from flotilla.llm import rtree, text as T
+from flotilla.llm.shared import Tables
 from flotilla.session import cut_lineage
 
 SHINGLE = 5
@@ -455,9 +456,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     - Other columns don't matter and aren't returned.
     """
     spark = docs.sparkSession
+    keep = Tables(spark, "jaccard")
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
     noted_schema = "id long, node long, d2 long, n long, tok long, cnt long"
-    first = cut_lineage(rows.mapInArrow(_features, noted_schema), "jaccard-features")
+    first = keep.cut(rows.mapInArrow(_features, noted_schema), "features")
     feats = first.filter("tok IS NULL").select("id", "node", "d2", "n")
     named = rows.filter("id IS NOT NULL")
     # At most ORDER_LIMIT rows reach the driver.
@@ -468,46 +470,48 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     counted = named.mapInArrow(_prefix_rows(order), "tok long").groupBy("tok").count().filter("count > 1")
     bits = _filter_of(counted.selectExpr(f"tok & {(1 << FILTER_BITS) - 1} AS slot"))
 
-    classes = cut_lineage(feats.filter("id IS NOT NULL AND n > 0").groupBy("node", "d2", "n").agg(F.min("id").alias("id")), "jaccard-classes")
-    shared = cut_lineage(named.mapInArrow(_shared_rows(order, bits), "id long, node long, n long, toks array<long>, places array<long>, vec binary")
-                         .join(classes.select("id", "node"), ["id", "node"], "left_semi"), "jaccard-shared")
+    classes = keep.cut(feats.filter("id IS NOT NULL AND n > 0").groupBy("node", "d2", "n").agg(F.min("id").alias("id")), "classes")
+    shared = keep.cut(named.mapInArrow(_shared_rows(order, bits), "id long, node long, n long, toks array<long>, places array<long>, vec binary")
+                         .join(classes.select("id", "node"), ["id", "node"], "left_semi"), "shared")
 
     # Nodes with enough prefix shingles that another node has too.
     members = shared.select("node", "n", F.explode(F.arrays_zip("toks", "places")).alias("t")).select("node", "n", F.col("t.toks").alias("tok"), F.col("t.places").alias("place")).distinct()
-    twice = cut_lineage(members.groupBy("tok").count().filter("count > 1").select("tok"), "jaccard-shared-shingles")
+    twice = keep.cut(members.groupBy("tok").count().filter("count > 1").select("tok"), "shared-shingles")
     least = F.greatest(F.lit(1), F.expr("((4 * n + 4) div 5) div 20"))
-    enough = cut_lineage(members.join(twice, "tok", "left_semi").groupBy("node", "n").count().filter(F.col("count") >= least)
-                         .join(shared.dropDuplicates(["node"]).select("node", "vec"), "node").select("node", "vec"), "jaccard-enough")
+    enough = keep.cut(members.join(twice, "tok", "left_semi").groupBy("node", "n").count().filter(F.col("count") >= least)
+                         .join(shared.dropDuplicates(["node"]).select("node", "vec"), "node").select("node", "vec"), "enough")
 
     # Exact groups: nodes by shared shingle of the probe prefix, of two nodes at least.
     common = "greatest(1, n div 50)"
     members = (members.filter(F.expr(f"place < n - (4 * n + 4) div 5 + {common}")).join(enough, "node")
                .withColumn("index", F.expr(f"place < n - (8 * n + 8) div 9 + {common}")).drop("place"))
-    sizes = cut_lineage(members.groupBy("tok").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("total")).filter("size > 1")
-                        .select("tok", "size", F.greatest(F.ceil(F.col("size") / BLOCK_NODES), F.ceil(F.col("total") / BLOCK_SHINGLES)).cast("int").alias("blocks")), "jaccard-groups")
-    members = cut_lineage(members.join(sizes, "tok"), "jaccard-members")
-    noted = cut_lineage(_grouped(members, "index").mapInArrow(_candidate_nodes, "node long").distinct(), "jaccard-noted")
-    members = cut_lineage(members.join(noted, "node", "left_semi"), "jaccard-members")
+    sizes = keep.cut(members.groupBy("tok").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("total")).filter("size > 1")
+                        .select("tok", "size", F.greatest(F.ceil(F.col("size") / BLOCK_NODES), F.ceil(F.col("total") / BLOCK_SHINGLES)).cast("int").alias("blocks")), "groups")
+    members = keep.cut(members.join(sizes, "tok"), "members")
+    keep.drop("shared", "shared-shingles", "enough", "groups")
+    noted = keep.cut(_grouped(members, "index").mapInArrow(_candidate_nodes, "node long").distinct(), "noted")
+    members = keep.cut(members.join(noted, "node", "left_semi"), "noted-members")
+    keep.drop("members")
     reps = classes.join(noted, "node", "left_semi").select("id")
     wanted = _filter_of(reps.mapInArrow(_id_slots, "slot long"))
     # A few more documents may pass the filter; the joins on the node leave them out.
-    sets = cut_lineage(named.mapInArrow(_whole_sets(wanted), "id long, node long, elements binary").select("node", "elements"), "jaccard-sets")
+    sets = keep.cut(named.mapInArrow(_whole_sets(wanted), "id long, node long, elements binary").select("node", "elements"), "sets")
 
     # Step A.
     homes = members.groupBy("node", "n", "vec").agg(F.slice(F.sort_array(F.collect_list(F.struct("size", "tok", "blocks")), asc=False), 1, 2).alias("homes"))
-    homes = cut_lineage(homes, "jaccard-homes")
+    homes = keep.cut(homes, "homes")
     own = homes.join(sets, "node").select("node", "n", "vec", "elements", F.explode("homes").alias("h"))
     own = own.select("node", "n", "vec", "elements", F.col("h.tok").alias("home"), F.col("h.blocks").alias("blocks"))
-    linked = cut_lineage(_grouped(own, "elements", by="home").mapInArrow(_link_homes, "node long, comp long"), "jaccard-step-a")
+    linked = keep.cut(_grouped(own, "elements", by="home").mapInArrow(_link_homes, "node long, comp long"), "step-a")
 
     # Step B: groups with nodes of several homes. Equal labels are linked nodes.
     label = linked.groupBy("node").agg(F.min("comp").alias("comp"))
     rest = members.join(homes.select("node", F.col("homes")[0]["tok"].alias("home_1"), F.coalesce(F.get("homes", 1)["tok"], F.col("homes")[0]["tok"]).alias("home_2")).join(label, "node"), "node")
-    open_groups = cut_lineage(rest.groupBy("tok").agg(F.min("home_1").alias("x"), F.max("home_1").alias("y"), F.min("comp").alias("p"), F.max("comp").alias("q"))
-                              .filter("x <> y AND p <> q").select("tok"), "jaccard-open")
+    open_groups = keep.cut(rest.groupBy("tok").agg(F.min("home_1").alias("x"), F.max("home_1").alias("y"), F.min("comp").alias("p"), F.max("comp").alias("q"))
+                              .filter("x <> y AND p <> q").select("tok"), "open")
     rest = rest.join(open_groups, "tok", "left_semi")
     pairs = _grouped(rest, "index", "home_1", "home_2", "comp").mapInArrow(_pair_groups, "a long, b long, least long")
-    pairs = cut_lineage(pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.max("least").alias("least")).filter("n >= least").select("a", "b"), "jaccard-pairs")
+    pairs = keep.cut(pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.max("least").alias("least")).filter("n >= least").select("a", "b"), "pairs")
     verified = (pairs.join(sets.select(F.col("node").alias("a"), F.col("elements").alias("el_a")), "a")
                 .join(sets.select(F.col("node").alias("b"), F.col("elements").alias("el_b")), "b")
                 .mapInArrow(_verify, "a long, b long"))
@@ -517,7 +521,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     final = merged.select("node", F.col("comp").alias("top"))
     labelled = classes.select("node", "id").join(final, "node", "left").withColumn("top", F.coalesce("top", "node"))
     least = labelled.groupBy("top").agg(F.min("id").alias("component_id"))
-    labels = cut_lineage(labelled.join(least, "top").select("node", "component_id").groupBy("node").agg(F.min("component_id").alias("component_id")), "jaccard-labels")
+    labels = keep.cut(labelled.join(least, "top").select("node", "component_id").groupBy("node").agg(F.min("component_id").alias("component_id")), "labels")
+    keep.drop("classes", "noted", "noted-members", "sets", "homes", "step-a", "open", "pairs")
     out = feats.join(labels, "node", "left")
     return out.select("id", F.col("n").alias("n_shingles"),
                       F.when(F.col("id").isNull(), F.lit(None).cast("long")).when(F.col("n") == 0, F.col("id")).otherwise(F.col("component_id")).alias("component_id"))

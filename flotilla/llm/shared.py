@@ -11,7 +11,9 @@ from __future__ import annotations
 import uuid
 
 from pyarrow import fs as pafs
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+from flotilla.session import fresh_path
 
 
 def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
@@ -37,6 +39,28 @@ def read_bytes(uri: str) -> bytes:
         return f.readall()
 
 
+class Tables:
+    """Intermediate tables of one operator run in the shared folder. Each is
+    removed as soon as everything made from it has been written itself, so no
+    later job (nor a repeated task of one) can need it again."""
+
+    def __init__(self, spark: SparkSession, label: str):
+        self.spark, self.label, self.paths = spark, label, {}
+
+    def cut(self, df: DataFrame, name: str) -> DataFrame:
+        """Write ``df`` and read it back."""
+        path = fresh_path(self.spark, f"{self.label}-{name}")
+        df.write.parquet(path)
+        self.paths[name] = path
+        return self.spark.read.parquet(path)
+
+    def drop(self, *names: str) -> None:
+        jvm = self.spark.sparkContext._jvm
+        for name in names:
+            path = jvm.org.apache.hadoop.fs.Path(self.paths.pop(name))
+            path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def one_task_per_row(manifest: DataFrame) -> DataFrame:
     """Deal a written manifest so that every row (a file) is a task of its own."""
     return manifest.coalesce(1).repartition(max(1, manifest.count()))
