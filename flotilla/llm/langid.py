@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from flotilla.llm.shared import whole_row
 from flotilla.llm.text import mix, slices
 from flotilla.session import cut_lineage
 
@@ -166,7 +167,7 @@ def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text", keep:
     learned. Ties go to the language first in the alphabet.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # 2 ** SLOT_BITS masks, a fixed size
-    row = F.struct(*(keep if keep is not None else [F.col(f"`{c}`").alias(c) for c in docs.columns]))
+    row = F.struct(*keep) if keep is not None else whole_row(docs)
     base = docs.select(row.alias("row"), F.col(f"`{text_col}`").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

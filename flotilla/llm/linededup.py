@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from flotilla.llm.shared import ascii_lower, whole_row
+from flotilla.llm.shared import ascii_lower
 from flotilla.session import cut_lineage
 
 #: Characters stripped at both ends of a line.

@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from flotilla.llm.langid import _schema
+from flotilla.llm.shared import whole_row
 from flotilla.llm.text import _GRAM, _power, mix, slices
 
 FEATURE_BITS = 20
@@ -188,7 +189,7 @@ def score(docs: DataFrame, model: QualityModel, text_col: str = "text", keep: li
     higher: label 1 likelier), a row per row. Null and empty texts score the
     model's bias."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # 2 ** FEATURE_BITS floats
-    row = F.struct(*(keep if keep is not None else [F.col(f"`{c}`").alias(c) for c in docs.columns]))
+    row = F.struct(*keep) if keep is not None else whole_row(docs)
     base = docs.select(row.alias("row"), F.col(f"`{text_col}`").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -35,7 +35,7 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Judge every page's url by the rule list."""
     index = urls.build_index(spark.createDataFrame(URL_RULES, "host string, path string, verdict string"))
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    return urls.url_filter(pages, index).select("page_id", "judged.host", "judged.path", "judged.rule", "judged.verdict")
+    return urls.url_filter(pages, index).select("row.page_id", "host", "path", "rule", "verdict")
 
 
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

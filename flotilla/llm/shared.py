@@ -66,11 +66,10 @@ def one_task_per_row(manifest: DataFrame) -> DataFrame:
     return manifest.coalesce(1).repartition(max(1, manifest.count()))
 
 
-def whole_row(df: DataFrame, *, replace: dict[str, Column] | None = None) -> Column:
-    """All columns of ``df`` as one struct, some replaced, so that names an
-    operator adds beside it can't clash with the input's."""
-    replace = replace or {}
-    return F.struct(*[(replace[c] if c in replace else F.col(f"`{c}`")).alias(c) for c in df.columns])
+def whole_row(df: DataFrame) -> Column:
+    """All columns of ``df`` as one struct, so that names an operator adds beside
+    it can't clash with the input's."""
+    return F.struct(*[F.col(f"`{c}`").alias(c) for c in df.columns])
 
 
 def ascii_lower(c: Column) -> Column:

@@ -24,7 +24,7 @@ from pyarrow import fs as pafs
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, functions as F
 
-from flotilla.llm.shared import ascii_lower, attempt_name, filesystem, open_output
+from flotilla.llm.shared import ascii_lower, attempt_name, filesystem, open_output, whole_row
 from flotilla.session import cut_lineage, fresh_path
 
 JUDGED = "host string, path string, rule string, verdict string"
@@ -164,19 +164,16 @@ def judge_batch(urls: list[str | None], shards: dict[int, Shard], lengths: tuple
     return [p[0] for p in parts], [p[1] for p in parts], rule, verdict
 
 
-def url_filter(df: DataFrame, index: UrlIndex, url_col: str = "url", out: str = "judged") -> DataFrame:
-    """``df`` with a struct column ``out`` (host, path, rule, verdict).
+def url_filter(df: DataFrame, index: UrlIndex, url_col: str = "url") -> DataFrame:
+    """``row`` (all input columns), ``host``, ``path``, ``rule`` and ``verdict``, a
+    row per row.
 
     A rule fits its own host and all subdomains when the url's path starts
     with the rule's path; of the rules that fit, the longest wins (of equally
     long ones that with the longer host). Without a fitting rule the digest
     array holds no match: the verdict is allow and the rule null. Null urls and
-    urls without ``://`` have an empty host and path. Rows stay one to one;
-    ``out`` must not name an input column.
+    urls without ``://`` have an empty host and path.
     """
-    if out in df.columns:
-        raise ValueError(f"column {out} exists; name another with out=")
-
     @F.pandas_udf(JUDGED)
     def judge(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         shards = {s: Shard(_local(f)) for s, f in index.files}
@@ -185,4 +182,4 @@ def url_filter(df: DataFrame, index: UrlIndex, url_col: str = "url", out: str =
             host, path, rule, verdict = judge_batch(values, shards, index.path_lengths)
             yield pd.DataFrame({"host": host, "path": path, "rule": pd.Series(rule, dtype=object), "verdict": verdict})
 
-    return df.withColumn(out, judge(F.col(f"`{url_col}`")))
+    return df.select(whole_row(df).alias("row"), judge(F.col(f"`{url_col}`")).alias("j")).select("row", "j.*")

@@ -31,7 +31,7 @@ def test_against_a_scan(spark):
     tests += [f"http://{rng.choice(['', 'www.', 'WWW.b.'])}{rng.choice(hosts)}{rng.choice(paths)}{rng.choice(['', 'more', '?q', '#f'])}" for _ in range(300)]
     index = urls.build_index(spark.createDataFrame(rules, "host string, path string, verdict string"))
     df = spark.createDataFrame([(i, u, "h", "r") for i, u in enumerate(tests)], "page_id int, url string, host string, rule string")
-    got = {r.page_id: tuple(r.judged) for r in urls.url_filter(df, index).collect()}
+    got = {r.row.page_id: tuple(r)[1:] for r in urls.url_filter(df, index).collect()}
     assert got == {i: plain(u, rules) for i, u in enumerate(tests)}
 
 
@@ -39,9 +39,9 @@ def test_conflicts_nulls_and_no_rules(spark):
     rules = spark.createDataFrame([("A.com", "/", "allow"), ("a.com", "/", "block"), (None, None, "block"), ("a.com", "/", "block")], "host string, path string, verdict string")
     index = urls.build_index(rules)
     df = spark.createDataFrame([("http://x.a.com/",), ("junk",), (None,)], "url string")
-    assert [tuple(r.judged)[2:] for r in urls.url_filter(df, index).collect()] == [("a.com/", "block"), ("", "block"), ("", "block")]
+    assert [tuple(r)[3:] for r in urls.url_filter(df, index).collect()] == [("a.com/", "block"), ("", "block"), ("", "block")]
     empty = urls.build_index(rules.limit(0))
-    assert [r.judged.verdict for r in urls.url_filter(df, empty).collect()] == ["allow"] * 3
+    assert [r.verdict for r in urls.url_filter(df, empty).collect()] == ["allow"] * 3
     assert urls.url_filter(df.limit(0), index).count() == 0
 
 
