@@ -12,7 +12,8 @@ in the shared folder and read again as the next one's input.
    bucket_tokens, batch_id, slot).
 
 Null, empty and repeated rows are treated as each operator states; extra
-columns are carried through stages 1 to 4. SQL can't express stages 1, 4 and 5,
+columns are carried through stages 1 to 4. The stages that run Python set the
+session's Arrow batches to 8 MB. SQL can't express stages 1, 4 and 5,
 so there is no ``ORACLE_SQL``; the tests hold the stages against brute force.
 """
 
@@ -23,7 +24,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from flotilla.llm import decontaminate, jaccard, langid, linededup, packing
-from flotilla.llm.shared import held_out
+from flotilla.llm.shared import held_out, small_batches
 from flotilla.session import cut_lineage
 
 MIN_LANGUAGE_SCORE = 0.3
@@ -32,6 +33,7 @@ MIN_LINE_DOCUMENTS = 10
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Learn from the rows that aren't held out, judge all."""
+    small_batches(spark)
     model = langid.fit(docs.filter(~held_out(F.col("doc_id"))))
     judged = langid.predict(docs, model)
     return judged.filter((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE)).select("row.*")
@@ -47,6 +49,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group stays."""
+    small_batches(spark)
     groups = jaccard.near_duplicates(docs)
     gone = cut_lineage(groups.filter("id <> component_id").select(F.col("id").alias("doc_id")).distinct(), "near-duplicates")
     return docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
@@ -54,6 +57,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a verified benchmark item go."""
+    small_batches(spark)
     found = decontaminate.contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return found.filter(F.size("matches") == 0).select("row.*")
 

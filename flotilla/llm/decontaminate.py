@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructField, StructType
 
 from flotilla.llm import text as T
+from flotilla.llm.shared import whole_row
 
 K1, B = 1.2, 0.75
 BLOCK = 8
@@ -195,26 +196,25 @@ def contamination(docs: DataFrame, items: DataFrame, text_col: str = "text", ite
     size = F.coalesce(F.octet_length("question"), F.lit(0)) + F.coalesce(F.octet_length("answer"), F.lit(0)) + 16
     total = bench.agg(F.sum(size)).first()[0] or 0
     shards = max(1, -(-total // shard_bytes))
-    row = F.struct(*[F.col(f"`{c}`").alias(c) for c in docs.columns])
-    out = docs.select(row.alias("row"), F.col(f"`{text_col}`").cast("string").alias("text"), F.array().cast(MATCHES).alias("matches"))
+    out = docs.select(whole_row(docs).alias("row"), F.array().cast(MATCHES).alias("matches"))
     for s in range(shards):
         # About shard_bytes of items by the size just counted.
         part = bench.filter(F.pmod(F.xxhash64("id", "question"), F.lit(shards)) == s).collect()
-        out = _apply(out, build([(r.id, r.question, r.answer) for r in part]), threshold, min_overlap)
-    return out.select("row", "matches")
+        out = _apply(out, text_col, build([(r.id, r.question, r.answer) for r in part]), threshold, min_overlap)
+    return out
 
 
-def _apply(base: DataFrame, index: Index, threshold: float, min_overlap: float) -> DataFrame:
+def _apply(base: DataFrame, text_col: str, index: Index, threshold: float, min_overlap: float) -> DataFrame:
     shared = base.sparkSession.sparkContext.broadcast(index)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = None
         for batch in batches:
             kind = kind or batch.schema.field("matches").type
-            for begin, end, texts in T.slices(batch):
+            for begin, end, texts in T.slices(batch, text_col, within="row"):
                 part = batch.slice(begin, end - begin)
                 found = matches(shared.value, texts, threshold, min_overlap)
                 old = part.column("matches").to_pylist()
-                yield pa.RecordBatch.from_arrays([part.column("row"), part.column("text"), pa.array([a + b for a, b in zip(old, found)], kind)], names=["row", "text", "matches"])
+                yield pa.RecordBatch.from_arrays([part.column("row"), pa.array([a + b for a, b in zip(old, found)], kind)], names=["row", "matches"])
 
     return base.mapInArrow(run, StructType([StructField("row", base.schema["row"].dataType), *base.schema.fields[1:]]))

@@ -48,7 +48,7 @@ BLOCK_NODES = 2000
 BLOCK_SHINGLES = 4_000_000
 #: Frequent shingles: noted when a task's slice of rows holds NOTE of them and the
 #: corpus NOTED; at most ORDER_LIMIT are used. They only order the shingles.
-NOTE, NOTED, ORDER_LIMIT = 4, 64, 1 << 16
+NOTE, NOTED, ORDER_LIMIT = 3, 64, 1 << 16
 #: Size of the filter for shingles that more than one document has: fixed bits;
 #: a full filter passes more rows to the exact join after it, never fewer.
 FILTER_BITS = 26
@@ -115,7 +115,7 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([ids.slice(begin, end - begin), pa.array([x[0] for x in d], pa.int64()),
                                               pa.array([x[1] for x in d], pa.int64()), pa.array(n, pa.int64()), none, none], schema=schema)
             held.append(grams)
-            if sum(map(len, held)) >= 4_000_000:
+            if sum(map(len, held)) >= 2_000_000:
                 yield noted()
     if held:
         yield noted()

@@ -168,11 +168,13 @@ def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text", keep:
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # 2 ** SLOT_BITS masks, a fixed size
     row = F.struct(*keep) if keep is not None else whole_row(docs)
-    base = docs.select(row.alias("row"), F.col(f"`{text_col}`").alias("text"))
+    # The text travels to the worker once: in the row, or beside what is kept of it.
+    base = docs.select(row.alias("row"), *[F.col(f"`{text_col}`").alias("text")] * (keep is not None))
+    where = {"text": text_col, "within": "row"} if keep is None else {}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for begin, end, texts in slices(batch):
+            for begin, end, texts in slices(batch, **where):
                 lang, score = judge(shared.value, texts)
                 yield pa.RecordBatch.from_arrays([batch.column("row").slice(begin, end - begin), pa.array(lang, pa.string()), pa.array(score)],
                                                  names=["row", "lang_pred", "score"])

@@ -66,6 +66,13 @@ def one_task_per_row(manifest: DataFrame) -> DataFrame:
     return manifest.coalesce(1).repartition(max(1, manifest.count()))
 
 
+def small_batches(spark: SparkSession, size: str = "8m") -> None:
+    """Bound what one Arrow batch between Spark and a worker holds. The default of
+    64 MB is held several times over (sender, receiver, copies) by every worker;
+    whole documents need no such batches."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+
+
 def whole_row(df: DataFrame) -> Column:
     """All columns of ``df`` as one struct, so that names an operator adds beside
     it can't clash with the input's."""

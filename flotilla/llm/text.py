@@ -97,10 +97,11 @@ def ngrams(hashes: np.ndarray, counts: np.ndarray, n: int, short: bool) -> tuple
     return np.insert(grams, at[few], one), out_counts
 
 
-def slices(batch: pa.RecordBatch, text: str = "text") -> Iterator[tuple[int, int, list[bytes]]]:
+def slices(batch: pa.RecordBatch, text: str = "text", within: str | None = None) -> Iterator[tuple[int, int, list[bytes]]]:
     """(first row, end, UTF-8 texts) of runs of rows with a bounded amount of
-    text, or one long text; null is the empty text."""
-    column = batch.column(text)
+    text, or one long text; null is the empty text. The text is a column, or a
+    field of the struct column ``within``."""
+    column = batch.column(within).field(text) if within else batch.column(text)
     begin, size, out = 0, 0, []
     for i, value in enumerate(column.cast(pa.large_binary())):
         raw = value.as_py() or b""
@@ -111,6 +112,8 @@ def slices(batch: pa.RecordBatch, text: str = "text") -> Iterator[tuple[int, int
         size += len(raw)
     if out:
         yield begin, batch.num_rows, out
+    del column, out
+    pa.default_memory_pool().release_unused()  # workers live on; what a batch took goes back
 
 
 def distinct_per_text(grams: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
