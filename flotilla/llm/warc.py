@@ -27,8 +27,11 @@ from flotilla.session import cut_lineage, fresh_path
 
 VERSIONS = (b"WARC/1.0\r\n", b"WARC/1.1\r\n")
 GZIP = b"\x1f\x8b\x08"
-HEADER_LIMIT = 1 << 16
+#: A header is read in steps of this size, until it ends.
+HEADER_STEP = 1 << 16
 CHUNK = 1 << 20
+#: No value of a column is as large, so every block the writer makes is smaller.
+MAX_BLOCK = (1 << 31) + HEADER_STEP
 
 RECORD_SCHEMA = ("archive string, kind string, offset long, length long, reason string, record_type string, record_id string, "
                  "target_uri string, refers_to string, payload_bytes long, payload_digest string, payload binary")
@@ -159,6 +162,7 @@ class Source:
 
     def __init__(self, f):
         self.f, self.size, self.at, self.window = f, f.size(), 0, b""
+        self.blank = (0, -1)
 
     def get(self, offset: int, n: int) -> bytes:
         n = max(0, min(n, self.size - offset))
@@ -194,15 +198,31 @@ def _headers(raw: bytes) -> dict[str, str]:
     return out
 
 
+def blank_line(src, offset: int) -> int:
+    """Where the first blank line from ``offset`` on is; the end if there is none.
+    The answer holds for every offset up to it, so bytes are searched once."""
+    begin, end = src.blank
+    if begin <= offset <= end:
+        return end
+    at, end = offset, src.size
+    while at < src.size:
+        chunk = src.get(at, HEADER_STEP)
+        if (i := chunk.find(b"\r\n\r\n")) >= 0:
+            end = at + i
+            break
+        at += max(1, len(chunk) - 3)
+    src.blank = (offset, end)
+    return end
+
+
 def parse_record(src, offset: int, max_bytes: int) -> Found:
     """The record at ``offset`` of ``src``; raises Damaged when a check fails."""
-    head = src.get(offset, HEADER_LIMIT)
-    if not head.startswith(VERSIONS):
+    if not src.get(offset, HEADER_STEP).startswith(VERSIONS):
         raise Damaged("no version line")
-    end = head.find(b"\r\n\r\n")
-    if end < 0:
+    end = blank_line(src, offset) - offset
+    if offset + end == src.size:
         raise Damaged("header without an end")
-    h = _headers(head[:end])
+    h = _headers(src.get(offset, end))
     if not h.get("content-length", "").isascii() or not h.get("content-length", "").isdigit():
         raise Damaged("no content length")
     n, at = int(h["content-length"]), offset + end + 4
@@ -225,15 +245,17 @@ class Bytes:
     """The same reads over bytes in memory."""
 
     def __init__(self, data: bytes):
-        self.data, self.size = data, len(data)
+        self.data, self.size, self.blank = data, len(data), (0, -1)
 
     def get(self, offset: int, n: int) -> bytes:
         return self.data[offset:offset + n]
 
 
 def inflate(src: Source, offset: int, max_bytes: int) -> tuple[bytes, int]:
-    """(data, compressed length) of the gzip member at ``offset``."""
+    """(data, compressed length) of the gzip member at ``offset``. The header of a
+    record at its start doesn't count towards ``max_bytes``, however long it is."""
     z, out, size, at = zlib.decompressobj(31), [], 0, offset
+    head, tail = 0, b""  # bytes of that header, None until it ends
     try:
         while not z.eof:
             # What the member doesn't use is read again for the next one, from the window.
@@ -243,8 +265,14 @@ def inflate(src: Source, offset: int, max_bytes: int) -> tuple[bytes, int]:
             at += len(chunk)
             while chunk and not z.eof:
                 out.append(z.decompress(chunk, CHUNK))
+                if not size and out[-1].startswith(VERSIONS):
+                    head = None
+                if head is None:
+                    i = (tail + out[-1]).find(b"\r\n\r\n")
+                    head = size - len(tail) + i if i >= 0 else None
+                    tail = (tail + out[-1])[-3:]
                 size += len(out[-1])
-                if size > max_bytes + HEADER_LIMIT:
+                if head is not None and size > head + max_bytes + HEADER_STEP:
                     raise Damaged("member over the size limit")
                 chunk = z.unconsumed_tail
     except zlib.error as e:
@@ -285,7 +313,7 @@ def next_start(src, offset: int) -> int:
     return src.size
 
 
-def salvage(src: Source, max_bytes: int = 1 << 30) -> Iterator[tuple]:
+def salvage(src: Source, max_bytes: int = MAX_BLOCK) -> Iterator[tuple]:
     """('record', offset, length, Found) and ('gap', offset, length, reason) in
     file order; together they cover the whole file. A record inside a gzip
     member has the offset and length of its member."""
@@ -344,12 +372,14 @@ def describe(f: Found, with_payload: bool) -> dict:
 
 
 def read_warc(archives: DataFrame, archive_col: str = "archive", with_payload: bool = True,
-              max_record_bytes: int = 1 << 30) -> DataFrame:
+              max_record_bytes: int = MAX_BLOCK) -> DataFrame:
     """Read the archives named in ``archives``, a task each.
 
     One row per record (kind 'record') and per quarantined byte range (kind
     'gap', with its offset, length and reason). Null names are passed over; an
-    archive that can't be opened fails the job.
+    archive that can't be opened fails the job. A record whose block is over
+    ``max_record_bytes`` is a gap; the default is more than any row can hold, so
+    it never meets a record of :func:`write_warc`. A header has no limit.
     """
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -361,7 +391,7 @@ def read_warc(archives: DataFrame, archive_col: str = "archive", with_payload: b
                         row = {"archive": name, "kind": kind, "offset": offset, "length": length}
                         row |= {"reason": what} if kind == "gap" else describe(what, with_payload)
                         rows.append(row)
-                        size += 200 + len(row.get("payload") or b"")
+                        size += 200 + len(row.get("payload") or b"") + len(row.get("target_uri") or "")
                         if size > 4 << 20:
                             yield pa.RecordBatch.from_pylist(rows, schema=_ARROW)
                             rows, size = [], 0

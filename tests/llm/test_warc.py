@@ -111,3 +111,33 @@ def test_repeated_ids(spark):
     big = "q" * 2000
     got = read_back(spark, [(3, "a", big), (3, "a", big), (1, "b", big), (None, "c", "k" * 1500), (None, "c", "k" * 1500)])
     assert [(r[0], r[5], r[6]) for r in got] == [(1, "revisit", 3), (3, "response", None), (3, "response", None), (None, "response", None), (None, "response", None)]
+
+
+def test_long_urls(spark):
+    rows = [(1, "http://h/" + "u" * 100_000, "a"), (2, "http://h/" + "\r\n" * 3_000_000, "b"), (3, "http://h/3", "c")]
+    got = read_back(spark, rows)
+    assert [(r[0], r[2], r[5]) for r in got] == [(1, "a", "response"), (2, "b", "response"), (3, "c", "response")]
+    assert [r[1] for r in got] == [u.replace("\r", "%0D").replace("\n", "%0A") for _, u, _ in rows]
+
+
+@pytest.mark.parametrize("packed", [True, False])
+def test_header_of_any_length(packed):
+    """Header ends around the borders of the steps in which it is read, and none at all."""
+    sha = hashlib.sha1(b"p").hexdigest()
+    own = len(warc.record_bytes(0, "", b"p", sha, None, "d").partition(b"\r\n\r\n")[0])
+    raw = [warc.record_bytes(i, "u" * (k * (1 << 16) - own + d), b"p", sha, None, "d") for i, (k, d) in enumerate((k, d) for k in (1, 2, 16) for d in range(-6, 7))]
+    data = b"".join(warc._member(r, 1) if packed else r for r in raw)
+    assert scan(data) == (list(range(len(raw))), [])
+    open_end = b"WARC/1.1\r\n" + b"x" * 200_000
+    lost = warc._member(open_end, 1) if packed else open_end
+    assert scan(data + lost) == (list(range(len(raw))), [(len(data), len(lost))])
+
+
+def test_a_block_over_a_gibibyte():
+    payload = bytes((1 << 30) + 1)
+    member = warc._member(record(1, payload), 1)
+    del payload
+    (kind, offset, length, found), = warc.salvage(warc.Source(File(member)))
+    assert (kind, offset, length) == ("record", 0, len(member)) and len(found.block) > 1 << 30
+    assert scan(warc._member(record(2, b"x"), 1))[0] == [2]
+    assert [k for k, *_ in warc.salvage(warc.Source(File(member)), 1 << 20)] == ["gap"]  # a limit of the caller's holds
