@@ -1,6 +1,7 @@
 """Language identification with a bit-sliced Bloom filter of n-grams.
 
-Each slot of one Bloom filter holds a bit per language; the slots of an
+Each slot of one Bloom filter holds a bit per language, in as many 64-bit
+words as the languages need; the slots of an
 n-gram, and-ed, name every language that holds it. A text is judged by the
 count of its n-grams under each language's bit, corrected for the rate at
 which that language's slice answers falsely.
@@ -9,7 +10,7 @@ The filter is filled from counts over all training documents: an n-gram
 enters a language's slice when at least a stated share of that language's
 documents hold it and its share there is not far below its largest share in
 any language. Counting is pre-aggregated per task; the slots are built by
-Spark and only the filter itself, of a fixed size, reaches the driver.
+Spark and only the filter itself, 4 MB per 64 languages, reaches the driver.
 """
 
 from __future__ import annotations
@@ -30,15 +31,19 @@ UNKNOWN = "und"
 GRAM = 3
 SLOT_BITS = 19
 HASHES = 3
-MAX_LANGUAGES = 64
+WORD = 64
 
 
 @dataclass(frozen=True)
 class LanguageModel:
     languages: tuple[str, ...]
-    slots: np.ndarray   # 2 ** SLOT_BITS masks of languages
+    slots: np.ndarray   # 2 ** SLOT_BITS masks of up to 64 languages; of more, a column of masks per 64
     false: np.ndarray   # rate of false answers per language
 
+    def words(self) -> np.ndarray:
+        """The masks as a row of 2 ** SLOT_BITS per 64 languages."""
+        return self.slots[None] if self.slots.ndim == 1 else self.slots.T
+
 
 @lru_cache(maxsize=1)
 def _letters() -> np.ndarray:
@@ -115,40 +120,41 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", min_sha
     An n-gram is a language's when at least ``min_share`` of its documents hold
     it, and at least ``near`` times as large a share as in the language where
     it is most common. So a language has at most (n-grams per document /
-    ``min_share``) of them. At most 64 languages. Rows without a language or
+    ``min_share``) of them. Any number of languages. Rows without a language or
     without text teach nothing.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(f"`{lang_col}`").cast("string").alias("lang"), F.col(f"`{text_col}`").alias("text")).filter("lang IS NOT NULL AND text IS NOT NULL")
-    totals = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES + 1).collect()}
-    if len(totals) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    totals = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     languages = tuple(sorted(totals))
-    slots = np.zeros(1 << SLOT_BITS, np.uint64)
+    words = np.zeros((max(1, -(-len(languages) // WORD)), 1 << SLOT_BITS), np.uint64)
     if languages:
-        of = spark.createDataFrame([(k, float(totals[k]), i) for i, k in enumerate(languages)], "lang string, total double, bit int")
+        of = spark.createDataFrame([(k, float(totals[k]), i) for i, k in enumerate(languages)], "lang string, total double, language int")
         share = (rows.mapInArrow(_document_counts, "lang string, gram long, docs long").groupBy("lang", "gram").agg(F.sum("docs").alias("docs"))
-                 .join(F.broadcast(of), "lang").select("gram", "bit", (F.col("docs") / F.col("total")).alias("share")))  # a row per language
+                 .join(F.broadcast(of), "lang").select("gram", "language", (F.col("docs") / F.col("total")).alias("share")))  # a row per language
         share = cut_lineage(share.filter(F.col("share") >= min_share), "language-grams")
         best = share.groupBy("gram").agg(F.max("share").alias("best"))
-        chosen = share.join(best, "gram").filter(F.col("share") >= near * F.col("best")).selectExpr("gram", "shiftleft(1L, bit) AS mask")
+        chosen = share.join(best, "gram").filter(F.col("share") >= near * F.col("best")).selectExpr("gram", f"language div {WORD} AS word", f"shiftleft(1L, language % {WORD}) AS mask")
         slot = "cast(shiftrightunsigned(gram, {}) & {} AS int)"
         each = ", ".join(slot.format(SLOT_BITS * k, (1 << SLOT_BITS) - 1) for k in range(HASHES))
-        # At most 2 ** SLOT_BITS rows.
-        filled = chosen.selectExpr("mask", f"explode(array({each})) AS slot").groupBy("slot").agg(F.bit_or("mask").alias("mask")).toArrow()
-        slots[filled.column("slot").to_numpy()] = filled.column("mask").to_numpy().view(np.uint64)
-    fill = np.array([((slots >> np.uint64(i)) & np.uint64(1)).mean() for i in range(len(languages))])
-    return LanguageModel(languages, slots, fill ** HASHES)
+        # At most 2 ** SLOT_BITS rows per word.
+        filled = chosen.selectExpr("word", "mask", f"explode(array({each})) AS slot").groupBy("word", "slot").agg(F.bit_or("mask").alias("mask")).toArrow()
+        words[filled.column("word").to_numpy(), filled.column("slot").to_numpy()] = filled.column("mask").to_numpy().view(np.uint64)
+    fill = np.array([((words[i // WORD] >> np.uint64(i % WORD)) & np.uint64(1)).mean() for i in range(len(languages))])
+    return LanguageModel(languages, words[0] if len(words) == 1 else words.T, fill ** HASHES)
 
 
 def judge(model: LanguageModel, texts: list[bytes]) -> tuple[list[str], np.ndarray]:
     """(language, score) of each text."""
     keys, n, letters = grams(texts)
-    mask = np.full(len(keys), np.uint64(0xFFFFFFFFFFFFFFFF))
-    for at in slots_of(keys):
-        mask &= model.slots[at]
-    owner = np.repeat(np.arange(len(texts)), n)
-    hits = np.stack([np.bincount(owner, (mask >> np.uint64(i)) & np.uint64(1), len(texts)) for i in range(len(model.languages))] or [np.zeros(len(texts))], axis=1)
+    at, owner = slots_of(keys), np.repeat(np.arange(len(texts)), n)
+    hits = np.zeros((len(texts), max(1, len(model.languages))))
+    for w, slots in enumerate(model.words()):
+        mask = np.full(len(keys), np.uint64(0xFFFFFFFFFFFFFFFF))
+        for a in at:
+            mask &= slots[a]
+        for i in range(w * WORD, min((w + 1) * WORD, len(model.languages))):
+            hits[:, i] = np.bincount(owner, (mask >> np.uint64(i % WORD)) & np.uint64(1), len(texts))
     false = model.false if len(model.languages) else np.zeros(1)
     true = np.maximum(hits - n[:, None] * false, 0) / (1 - np.minimum(false, 0.999))
     best = true.argmax(axis=1)
@@ -166,7 +172,7 @@ def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text", keep:
     letter are ``und`` with score 0, and so is everything if nothing was
     learned. Ties go to the language first in the alphabet.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # 2 ** SLOT_BITS masks, a fixed size
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # 2 ** SLOT_BITS masks per 64 languages
     row = F.struct(*keep) if keep is not None else whole_row(docs)
     # The text travels to the worker once: in the row, or beside what is kept of it.
     base = docs.select(row.alias("row"), *[F.col(f"`{text_col}`").alias("text")] * (keep is not None))

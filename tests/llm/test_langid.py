@@ -58,3 +58,14 @@ def test_held_out_accuracy(spark):
     assert len(got) == len(lang) and {r.held_out for r in got} == {True, False}
     held = [r for r in got if r.held_out]
     assert sum(r.lang_pred == lang[r.doc_id] for r in held) >= 0.97 * len(held)
+
+
+def test_more_languages_than_a_word_has_bits(spark):
+    """Languages in other letters each, the first, the 64th, the 65th and the last among them."""
+    names = [f"l{i:03}" for i in range(130)]
+    text = {n: " ".join("".join(chr(0x4E00 + 40 * i + (7 * k + j) % 40) for j in range(6)) for k in range(6)) for i, n in enumerate(names)}
+    model = model_of(spark, [(n, t) for n, t in text.items()] * 2)
+    assert model.languages == tuple(names) and (model.false < 0.01).all()
+    docs = spark.createDataFrame(list(text.items()), "want string, text string")
+    got = langid.predict(docs, model).collect()
+    assert len(got) == 130 and all(r.lang_pred == r.row.want and r.score > 0.9 for r in got)
