@@ -1,8 +1,10 @@
 """The corpus pipeline: five stages over ``documents``, each written as Parquet
 in the shared folder and read again as the next one's input.
 
-1. language ID: documents without a letter, or whose best language holds less
-   than three tenths of their n-grams, go;
+1. language ID: documents without a letter go, and those of whose n-grams every
+   language holds less than three tenths (or half its usual share, where that is
+   less) by more than chance explains in as few n-grams. Documents too short to
+   tell stay, and all with a letter if nothing was learned of some language;
 2. line dedup: lines found in ten documents or more go (an emptied document
    stays, with an empty text); ``n_chars`` follows the text;
 3. Jaccard join: of each group of near duplicates the document with the smallest
@@ -35,8 +37,11 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Learn from the rows that aren't held out, judge all."""
     small_batches(spark)
     model = langid.fit(docs.filter(~held_out(F.col("doc_id"))))
-    judged = langid.predict(docs, model)
-    return judged.filter((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE)).select("row.*")
+    judged = langid.predict(docs, model, least=MIN_LANGUAGE_SCORE)
+    # Two standard deviations at most; of overlapping n-grams one in GRAM tells something new.
+    chance = F.sqrt(F.lit(float(langid.GRAM)) / F.greatest(F.col("n_grams"), F.lit(1)))
+    low = (F.col("n_grams") > 0) & (F.col("excess") + chance < 0)
+    return judged.filter((F.col("letters") > 0) & ~low).select("row.*")
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

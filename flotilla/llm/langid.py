@@ -39,6 +39,7 @@ class LanguageModel:
     languages: tuple[str, ...]
     slots: np.ndarray   # 2 ** SLOT_BITS masks of up to 64 languages; of more, a column of masks per 64
     false: np.ndarray   # rate of false answers per language
+    usual: np.ndarray   # share of a training document's distinct n-grams that its language would hold without it
 
     def words(self) -> np.ndarray:
         """The masks as a row of 2 ** SLOT_BITS per 64 languages."""
@@ -89,14 +90,16 @@ def slots_of(keys: np.ndarray) -> list[np.ndarray]:
 
 
 def _document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lang, gram, documents), summed over a few million n-grams at a time."""
+    """(lang, gram, documents), summed over a few million n-grams at a time, and
+    with a null gram the sum of a language's."""
     held: dict[str, list[np.ndarray]] = {}
     size = 0
 
     def counts():
         for lang, parts in held.items():
             g, n = np.unique(np.concatenate(parts), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(g)), pa.array(g.view(np.int64)), pa.array(n)], names=["lang", "gram", "docs"])
+            gram = pa.concat_arrays([pa.array(g.view(np.int64)), pa.nulls(1, pa.int64())])
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(gram)), gram, pa.array(np.append(n, n.sum()))], names=["lang", "gram", "docs"])
         held.clear()
 
     for batch in batches:
@@ -128,24 +131,30 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", min_sha
     totals = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     languages = tuple(sorted(totals))
     words = np.zeros((max(1, -(-len(languages) // WORD)), 1 << SLOT_BITS), np.uint64)
+    usual = np.zeros(len(languages))
     if languages:
         of = spark.createDataFrame([(k, float(totals[k]), i) for i, k in enumerate(languages)], "lang string, total double, language int")
         share = (rows.mapInArrow(_document_counts, "lang string, gram long, docs long").groupBy("lang", "gram").agg(F.sum("docs").alias("docs"))
-                 .join(F.broadcast(of), "lang").select("gram", "language", (F.col("docs") / F.col("total")).alias("share")))  # a row per language
-        share = cut_lineage(share.filter(F.col("share") >= min_share), "language-grams")
+                 .join(F.broadcast(of), "lang").select("gram", "language", (F.col("docs") / F.col("total")).alias("share"), ((F.col("docs") - 1) / F.col("total")).alias("others")))  # a row per language
+        share = cut_lineage(share.filter(F.col("gram").isNull() | (F.col("share") >= min_share)), "language-grams")
         best = share.groupBy("gram").agg(F.max("share").alias("best"))
-        chosen = share.join(best, "gram").filter(F.col("share") >= near * F.col("best")).selectExpr("gram", f"language div {WORD} AS word", f"shiftleft(1L, language % {WORD}) AS mask")
+        chosen = share.join(best, "gram").filter(F.col("share") >= near * F.col("best"))
+        sums = (share.filter("gram IS NULL").selectExpr("language", "share AS all", "0D AS held").union(chosen.filter(F.col("others") >= min_share).selectExpr("language", "0D", "share"))
+                .groupBy("language").agg(F.sum("all").alias("all"), F.sum("held").alias("held")).collect())  # a row per language
+        for r in sums:
+            usual[r["language"]] = r["held"] / r["all"] if r["all"] else 0.0
+        chosen = chosen.selectExpr("gram", f"language div {WORD} AS word", f"shiftleft(1L, language % {WORD}) AS mask")
         slot = "cast(shiftrightunsigned(gram, {}) & {} AS int)"
         each = ", ".join(slot.format(SLOT_BITS * k, (1 << SLOT_BITS) - 1) for k in range(HASHES))
         # At most 2 ** SLOT_BITS rows per word.
         filled = chosen.selectExpr("word", "mask", f"explode(array({each})) AS slot").groupBy("word", "slot").agg(F.bit_or("mask").alias("mask")).toArrow()
         words[filled.column("word").to_numpy(), filled.column("slot").to_numpy()] = filled.column("mask").to_numpy().view(np.uint64)
     fill = np.array([((words[i // WORD] >> np.uint64(i % WORD)) & np.uint64(1)).mean() for i in range(len(languages))])
-    return LanguageModel(languages, words[0] if len(words) == 1 else words.T, fill ** HASHES)
+    return LanguageModel(languages, words[0] if len(words) == 1 else words.T, fill ** HASHES, usual)
 
 
-def judge(model: LanguageModel, texts: list[bytes]) -> tuple[list[str], np.ndarray]:
-    """(language, score) of each text."""
+def judge(model: LanguageModel, texts: list[bytes], least: float = 0.3) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(language, score, letters, n-grams, excess) of each text."""
     keys, n, letters = grams(texts)
     at, owner = slots_of(keys), np.repeat(np.arange(len(texts)), n)
     hits = np.zeros((len(texts), max(1, len(model.languages))))
@@ -161,16 +170,22 @@ def judge(model: LanguageModel, texts: list[bytes]) -> tuple[list[str], np.ndarr
     top = true[np.arange(len(texts)), best]
     known = (letters > 0) & (len(model.languages) > 0)
     score = np.where(known & (n > 0), np.minimum(top / np.maximum(n, 1), 1.0), 0.0)
-    return [model.languages[b] if k else UNKNOWN for b, k in zip(best, known)], score
+    excess = np.zeros(len(texts))
+    if len(model.languages):
+        excess = (true / np.maximum(n, 1)[:, None] - np.minimum(least, model.usual / 2)).max(axis=1)
+    return [model.languages[b] if k else UNKNOWN for b, k in zip(best, known)], score, letters, n, excess
 
 
-def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text", keep: list[Column] | None = None) -> DataFrame:
-    """``row`` (all input columns, or those of ``keep``), ``lang_pred`` and ``score``, a row per row.
+def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text", keep: list[Column] | None = None, least: float = 0.3) -> DataFrame:
+    """``row`` (all input columns, or those of ``keep``), ``lang_pred``, ``score``,
+    ``letters``, ``n_grams`` and ``excess``, a row per row.
 
     ``score`` (0 to 1) is the share of the text's n-grams that the predicted
     language holds, corrected for false answers. Null texts and texts without a
     letter are ``und`` with score 0, and so is everything if nothing was
-    learned. Ties go to the language first in the alphabet.
+    learned. Ties go to the language first in the alphabet. ``excess`` is by how
+    much the share of n-grams passes, in the language where it does so most, ``least`` or
+    half of what that language usually holds of its documents, whichever is less.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # 2 ** SLOT_BITS masks per 64 languages
     row = F.struct(*keep) if keep is not None else whole_row(docs)
@@ -181,11 +196,11 @@ def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text", keep:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for begin, end, texts in slices(batch, **where):
-                lang, score = judge(shared.value, texts)
-                yield pa.RecordBatch.from_arrays([batch.column("row").slice(begin, end - begin), pa.array(lang, pa.string()), pa.array(score)],
-                                                 names=["row", "lang_pred", "score"])
+                lang, *more = judge(shared.value, texts, least)
+                yield pa.RecordBatch.from_arrays([batch.column("row").slice(begin, end - begin), pa.array(lang, pa.string()), *map(pa.array, more)],
+                                                 names=["row", "lang_pred", "score", "letters", "n_grams", "excess"])
 
-    return base.mapInArrow(run, _schema(base, "row", "lang_pred string, score double"))
+    return base.mapInArrow(run, _schema(base, "row", "lang_pred string, score double, letters long, n_grams long, excess double"))
 
 
 def _schema(base: DataFrame, first: str, more: str):

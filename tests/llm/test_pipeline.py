@@ -1,8 +1,11 @@
 """The pipeline: every stage against brute force on its own input."""
 
+import random
+
 import corpus_pipeline as P
 import pytest
 from conftest import SF_SMALL
+from pyspark.sql import functions as F
 from test_decontaminate import terms
 from test_jaccard import brute as brute_groups
 from test_linededup import brute as brute_lines
@@ -64,3 +67,23 @@ def test_nulls_repeats_extra_columns_and_empty_table(spark):
 def test_queries_with_sql(spark, name):
     ok, message = compare(spark, duck(SF_SMALL), name, QUERIES[name], ORACLES[name], SF_SMALL)
     assert ok, message
+
+
+def test_documents_with_a_letter_stay_at_a_larger_size(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    want = {r.doc_id for r in docs.collect() if any(c.isalpha() for c in r.text or "")}
+    assert {r.doc_id for r in P.language_id(spark, docs, "").select("doc_id").collect()} == want
+
+
+def test_language_stage_rejects_on_evidence_only(spark):
+    rng = random.Random(3)
+    en = ["the house and the garden with the tree " * 3] * 60
+    zh = ["".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(40)) for _ in range(60)]  # hardly a trigram twice
+    odd = ["Ok", "A.", "q" * 30, "zxv " * 200]  # only the last is long enough to tell
+    rows = [(i, t, "en" if t in en else "zh" if t in zh else None) for i, t in enumerate(en + zh + odd)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert P.language_id(spark, docs, "").count() == len(rows)  # nothing known of zh: any text may be it
+    docs = docs.filter("lang IS NULL OR lang = 'en'")
+    assert {r.text for r in P.language_id(spark, docs, "").collect()} == {*en, *odd[:-1]}
+    unlearned = docs.withColumn("lang", F.lit(None).cast("string"))
+    assert P.language_id(spark, unlearned, "").count() == len(en) + len(odd)
