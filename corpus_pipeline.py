@@ -7,8 +7,9 @@ in the shared folder and read again as the next one's input.
    tell stay, and all with a letter if nothing was learned of some language;
 2. line dedup: lines found in ten documents or more go (an emptied document
    stays, with an empty text); ``n_chars`` follows the text;
-3. Jaccard join: of each group of near duplicates the document with the smallest
-   id stays. Empty documents, and rows without an id, stay;
+3. Jaccard join: of each group of near duplicates one row stays, that with the smallest
+   id (rows repeated under an id are judged by their own texts, and of equal ones
+   one stays). Empty documents, and rows without an id, stay;
 4. decontamination: documents that hold a benchmark item go;
 5. packing: length buckets and token-budget batches (doc_id, n_tokens,
    bucket_tokens, batch_id, slot).
@@ -53,11 +54,9 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays."""
+    """One row of each group stays."""
     small_batches(spark)
-    groups = jaccard.near_duplicates(docs)
-    gone = cut_lineage(groups.filter("id <> component_id").select(F.col("id").alias("doc_id")).distinct(), "near-duplicates")
-    return docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return jaccard.one_per_group(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -36,10 +36,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from flotilla.llm import rtree, text as T
-from flotilla.llm.shared import Tables
+from flotilla.llm.shared import Tables, whole_row
 from flotilla.session import cut_lineage
 
 SHINGLE = 5
@@ -94,9 +94,10 @@ def _digest(values: np.ndarray) -> tuple[int, int]:
     return int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)
 
 
-def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row per document (node, d2, n) and a row per locally frequent shingle."""
-    schema = pa.schema([("id", pa.int64()), ("node", pa.int64()), ("d2", pa.int64()), ("n", pa.int64()), ("tok", pa.int64()), ("cnt", pa.int64())])
+def _features(batches: Iterator[pa.RecordBatch], more: tuple[str, ...] = ()) -> Iterator[pa.RecordBatch]:
+    """A row per document (node, d2, n) and a row per locally frequent shingle.
+    ``more``: columns of longs that documents keep."""
+    schema = pa.schema([(c, pa.int64()) for c in ("id", "node", "d2", "n", "tok", "cnt", *more)])
     held: list[np.ndarray] = []
 
     def noted() -> pa.RecordBatch:
@@ -104,7 +105,7 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok, cnt = tok[cnt >= NOTE], cnt[cnt >= NOTE]
         held.clear()
         none = pa.nulls(len(tok), pa.int64())
-        return pa.RecordBatch.from_arrays([none, none, none, none, pa.array(tok.view(np.int64)), pa.array(cnt)], schema=schema)
+        return pa.RecordBatch.from_arrays([none, none, none, none, pa.array(tok.view(np.int64)), pa.array(cnt), *[none] * len(more)], schema=schema)
 
     for batch in batches:
         ids = batch.column("id")
@@ -113,7 +114,8 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             d = [_digest(grams[a:b]) for a, b in zip(ends - n, ends)]
             none = pa.nulls(end - begin, pa.int64())
             yield pa.RecordBatch.from_arrays([ids.slice(begin, end - begin), pa.array([x[0] for x in d], pa.int64()),
-                                              pa.array([x[1] for x in d], pa.int64()), pa.array(n, pa.int64()), none, none], schema=schema)
+                                              pa.array([x[1] for x in d], pa.int64()), pa.array(n, pa.int64()), none, none,
+                                              *[batch.column(c).slice(begin, end - begin) for c in more]], schema=schema)
             held.append(grams)
             if sum(map(len, held)) >= 2_000_000:
                 yield noted()
@@ -455,12 +457,51 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     - Rows repeated under one id are judged by their own texts.
     - Other columns don't matter and aren't returned.
     """
+    return _labelled(docs, id_col, text_col).select("id", "n_shingles", "component_id")
+
+
+def text_key(text_col: str) -> list[Column]:
+    """Two hashes of a row's text, t1 and t2."""
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    return [F.xxhash64(text).alias("t1"), F.xxhash64(F.lit("text"), text).alias("t2")]
+
+
+def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each group of near duplicates (:func:`near_duplicates`).
+
+    The row with the smallest id stays; of several under that id the one with
+    the smallest hashes of its text, and of rows equal in id and text the one with the
+    smallest hash of its other columns. Rows repeated under one id belong each to
+    the group of its own text. Rows without an id, or without words, all stay.
+    """
+    key = ["id", "t1", "t2"]
+    rows = _labelled(docs, id_col, text_col, text_key(text_col)).filter("component IS NOT NULL")
+    counted = cut_lineage(rows.groupBy("component", *key).agg(F.count(F.lit(1)).alias("n")), "group-rows")
+    first = counted.groupBy("component").agg(F.min(F.struct(*key)).alias("first"))
+    # A text has one component, so a key is here once: what goes, and what stays but has equals.
+    judged = cut_lineage(counted.join(first, "component").select(*key, (F.struct(*key) == F.col("first")).alias("stays"), "n")
+                         .filter("NOT stays OR n > 1").drop("n"), "group-verdicts")
+    base = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), *text_key(text_col), whole_row(docs).alias("row"))
+    out = base.join(judged.drop("stays"), key, "left_anti").select("row.*")
+    repeated = judged.filter("stays").drop("stays")
+    if not repeated.isEmpty():
+        plain = [F.col("row")[c] for c in docs.columns if not any(t in docs.schema[c].dataType.simpleString() for t in ("map<", "variant"))]
+        out = out.union(base.join(repeated, key, "left_semi").groupBy(*key).agg(F.min_by("row", F.xxhash64(*plain)).alias("row")).select("row.*"))
+    return out
+
+
+def _labelled(docs: DataFrame, id_col: str, text_col: str, more: list[Column] | None = None) -> DataFrame:
+    """The rows of :func:`near_duplicates`, with ``component`` (null for what links
+    with nothing by rule) and, if ``more`` is the text's key, t1 and t2. Two components
+    may have one smallest id, under which rows repeat; ``component`` tells them apart."""
     spark = docs.sparkSession
     keep = Tables(spark, "jaccard")
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
     noted_schema = "id long, node long, d2 long, n long, tok long, cnt long"
-    first = keep.cut(rows.mapInArrow(_features, noted_schema), "features")
-    feats = first.filter("tok IS NULL").select("id", "node", "d2", "n")
+    names = ("t1", "t2") if more else ()
+    keyed = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"), *more) if more else rows
+    first = keep.cut(keyed.mapInArrow(lambda batches: _features(batches, names), noted_schema + "".join(f", {c} long" for c in names)), "features")
+    feats = first.filter("tok IS NULL").select("id", "node", "d2", "n", *names)
     named = rows.filter("id IS NOT NULL")
     # At most ORDER_LIMIT rows reach the driver.
     noted = (first.filter("tok IS NOT NULL").groupBy("tok").agg(F.sum("cnt").alias("cnt")).filter(F.col("cnt") >= NOTED)
@@ -521,8 +562,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     final = merged.select("node", F.col("comp").alias("top"))
     labelled = classes.select("node", "id").join(final, "node", "left").withColumn("top", F.coalesce("top", "node"))
     least = labelled.groupBy("top").agg(F.min("id").alias("component_id"))
-    labels = keep.cut(labelled.join(least, "top").select("node", "component_id").groupBy("node").agg(F.min("component_id").alias("component_id")), "labels")
+    labels = keep.cut(labelled.join(least, "top").groupBy("node").agg(F.min("component_id").alias("component_id"), F.min("top").alias("top")), "labels")
     keep.drop("classes", "noted", "noted-members", "sets", "homes", "step-a", "open", "pairs")
     out = feats.join(labels, "node", "left")
-    return out.select("id", F.col("n").alias("n_shingles"),
+    return out.select("id", *names, F.when(F.col("id").isNotNull() & (F.col("n") > 0), F.col("top")).alias("component"), F.col("n").alias("n_shingles"),
                       F.when(F.col("id").isNull(), F.lit(None).cast("long")).when(F.col("n") == 0, F.col("id")).otherwise(F.col("component_id")).alias("component_id"))

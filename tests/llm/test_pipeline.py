@@ -87,3 +87,18 @@ def test_language_stage_rejects_on_evidence_only(spark):
     assert {r.text for r in P.language_id(spark, docs, "").collect()} == {*en, *odd[:-1]}
     unlearned = docs.withColumn("lang", F.lit(None).cast("string"))
     assert P.language_id(spark, unlearned, "").count() == len(en) + len(odd)
+
+
+def test_one_row_of_each_group_stays(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    rows = [(3, a, "x"), (5, a, "x"), (5, "all of its own", "x"),             # 5: a copy, and an unrelated row
+            (7, b, "x"), (7, b, "x"), (7, b, "y"), (7, b + " more", "x"), (8, b, "x"),  # repeated under the group's smallest id
+            (9, c, "x"), (9, "another " * 3, "x"), (10, c, "x"), (11, "another " * 3, "x"),  # two groups with the smallest id 9
+            (None, a, "x"), (None, a, "x"), (12, "", "x"), (12, None, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, t1 string").repartition(3)
+    out = P.near_duplicates(spark, docs, "")
+    assert out.columns == docs.columns
+    got = sorted(((r.doc_id, r.text) for r in out.collect()), key=repr)
+    sevens = [g for g in got if g[0] == 7]
+    assert len(sevens) == 1 and sevens[0][1] in (b, b + " more")
+    assert [g for g in got if g[0] != 7] == sorted([(3, a), (5, "all of its own"), (9, c), (9, "another " * 3), (None, a), (None, a), (12, ""), (12, None)], key=repr)
