@@ -7,7 +7,7 @@ from collections.abc import Callable
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from flotilla.llm import decontaminate, jaccard, langid, linededup, packing, quality, tokens_out, topk, urls, warc
+from flotilla.llm import decontaminate, jaccard, langid, linededup, negatives, packing, quality, tokens_out, topk, urls, warc
 from flotilla.llm.shared import held_out
 
 #: The rule list of the url query.
@@ -98,6 +98,13 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
                     ids("refers_to").alias("refers_to")))
 
 
+def op13_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first hard negatives of every 100th vector's nearest vectors of its label."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", label.alias("label"), topk.integer_vectors(F.col("embedding"), 256).alias("vec"))
+    return negatives.hard_negatives(rows, rows.filter("vec_id % 100 = 0"), id_col="vec_id")
+
+
 _URL_PARTS = r"""
 WITH u AS (
   SELECT page_id, CASE WHEN position('://' IN url) > 0 THEN substr(url, position('://' IN url) + 3) ELSE '' END AS r FROM pages
@@ -152,6 +159,25 @@ WITH v AS (
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 20
 """
 
+_NEGATIVES = r"""
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS vec FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, CAST(list_inner_product(a.vec, c.vec) AS BIGINT) AS score
+  FROM v a JOIN v c ON a.vec_id <> c.vec_id WHERE a.vec_id % 100 = 0
+), p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)
+QUALIFY row_number() OVER w <= 5
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_topk": op1_topk,
     "op2_url_filter": op2_url_filter,
@@ -163,6 +189,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_quality": op9_quality,
     "op10_warc": op10_warc,
+    "op13_negatives": op13_negatives,
 }
 
 ORACLES: dict[str, str] = {
@@ -170,4 +197,5 @@ ORACLES: dict[str, str] = {
     "op2_url_filter": _URL_PARTS,
     "op8_line_dedup": _LINE_DEDUP,
     "op10_warc": _WARC,
+    "op13_negatives": _NEGATIVES,
 }
