@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from flotilla.llm import decontaminate, jaccard, langid, linededup, negatives, packing, quality, tokens_out, topk, urls, warc
+from flotilla.llm import decontaminate, jaccard, langid, linededup, negatives, packing, quality, secret_scan, tokens_out, topk, urls, warc
 from flotilla.llm.shared import held_out
 
 #: The rule list of the url query.
@@ -98,6 +98,22 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
                     ids("refers_to").alias("refers_to")))
 
 
+def op12_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document: the fixed patterns', and tokens that look random."""
+    docs = table(spark, sf_dir, "documents")
+    found = secret_scan.scan(docs, secret_scan.fit_texts(docs), keep=[F.col("doc_id")])
+    base = F.filter("spans", lambda s: s.kind != "markov")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s.kind == kind)).cast("long").alias(f"n_{kind}")
+
+    def listed(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start, s.end)), ",")
+
+    return found.select("row.doc_id", count("assign"), count("access"), count("hex"),
+                        F.sha2(listed(base).cast("binary"), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
+
+
 def op13_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first hard negatives of every 100th vector's nearest vectors of its label."""
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -189,6 +205,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_quality": op9_quality,
     "op10_warc": op10_warc,
+    "op12_secrets": op12_secrets,
     "op13_negatives": op13_negatives,
 }
 
