@@ -7,7 +7,7 @@ from collections.abc import Callable
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from flotilla.llm import decontaminate, jaccard, langid, linededup, negatives, packing, quality, secret_scan, tokens_out, topk, urls, warc
+from flotilla.llm import decontaminate, jaccard, langid, linededup, negatives, packing, prefix_trie, quality, secret_scan, tokens_out, topk, urls, warc
 from flotilla.llm.shared import held_out
 
 #: The rule list of the url query.
@@ -98,6 +98,14 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
                     ids("refers_to").alias("refers_to")))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of all conversations, each with a few first turns of every twentieth."""
+    turns = prefix_trie.turn_digests(table(spark, sf_dir, "conversations"))
+    conv = F.col("conv_id")
+    heads = F.crc32(conv.cast("string").cast("binary")) % 4
+    return prefix_trie.prefix_trie(*prefix_trie.with_borrowed_heads(turns, conv - conv % 20, heads, most=3))
+
+
 def op12_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document: the fixed patterns', and tokens that look random."""
     docs = table(spark, sf_dir, "documents")
@@ -194,6 +202,36 @@ WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)
 QUALIFY row_number() OVER w <= 5
 """
 
+#: Unsigned crc32 of a text column ``{text}``, bit by bit.
+_CRC32 = """xor(list_reduce([4294967295] || list_transform(string_split({text}, ''), lambda c: CAST(ord(c) AS BIGINT)), lambda a, b:
+  list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)), 4294967295)"""
+
+_TRIE = r"""
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM conversations WHERE conv_id IS NOT NULL
+), ids AS (
+  SELECT conv_id, conv_id - conv_id % 20 AS base, crc32 % 4 AS h
+  FROM (SELECT conv_id, {crc32} AS crc32 FROM (SELECT DISTINCT conv_id FROM t))
+), r AS (
+  SELECT ids.conv_id, 0 AS part, i, role, text FROM ids JOIN t ON t.conv_id = base AND i <= h
+  UNION ALL SELECT conv_id, 1, i, role, text FROM ids JOIN t USING (conv_id) WHERE i > h
+), m AS (
+  SELECT conv_id, row_number() OVER w AS depth, list(md5(strlen(role) || ':' || role || text)) OVER w AS path,
+         len(regexp_extract_all(text, '[^ 	-]+')) AS words FROM r WINDOW w AS (PARTITION BY conv_id ORDER BY part, i)
+  UNION ALL SELECT conv_id, 0, [], 0 FROM ids
+), n AS (
+  SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE depth = ends), '')) AS ends_sha256
+  FROM m JOIN (SELECT conv_id, max(depth) AS ends FROM m GROUP BY conv_id) USING (conv_id) GROUP BY path, depth
+), k AS (SELECT path[1:depth - 1] AS up, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY ALL),
+v AS (SELECT path, unnest(range(depth + 1)) AS d, (n_convs - 1) * words AS saved, n_children IS NULL AS leaf FROM n LEFT JOIN k ON up = path),
+a AS (SELECT path[1:d] AS path, sum(saved) AS saved_tokens, count(*) FILTER (WHERE leaf) AS n_leaves FROM v GROUP BY ALL)
+SELECT n.conv_id, n.depth, u.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0) AS n_children, n_leaves,
+       CAST(saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM n JOIN a USING (path) LEFT JOIN k ON up = n.path LEFT JOIN n u ON n.depth > 0 AND u.path = n.path[1:n.depth - 1]
+""".replace("{crc32}", _CRC32.format(text="CAST(conv_id AS VARCHAR)"))
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_topk": op1_topk,
     "op2_url_filter": op2_url_filter,
@@ -205,6 +243,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_quality": op9_quality,
     "op10_warc": op10_warc,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_secrets": op12_secrets,
     "op13_negatives": op13_negatives,
 }
@@ -214,5 +253,6 @@ ORACLES: dict[str, str] = {
     "op2_url_filter": _URL_PARTS,
     "op8_line_dedup": _LINE_DEDUP,
     "op10_warc": _WARC,
+    "op11_prefix_trie": _TRIE,
     "op13_negatives": _NEGATIVES,
 }
