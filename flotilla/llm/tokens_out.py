@@ -1,7 +1,7 @@
 """Token ids of a corpus as Simple-8b files, in ascending document order.
 
-A range exchange on (id, hash of the text) orders the documents over the
-tasks, so rows that share an id, or have none, still spread. Each task
+A range exchange on (id, hash of the text, place in the input) orders the documents
+over the tasks, so rows that share an id, or have none, still spread, equal ones too. Each task
 streams its documents into one file of chunks; a chunk holds whole documents
 and, for every Simple-8b block, the offset of its first word. File numbers
 follow the range order; a document's place in the corpus is the number of ids
@@ -11,7 +11,7 @@ its own file.
 
 from __future__ import annotations
 
-import re
+import os
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -19,6 +19,7 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -28,11 +29,16 @@ from flotilla.session import cut_lineage, fresh_path
 
 MAGIC = b"FLTOK8\x01\x00"
 CHUNK_IDS = 1 << 20
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 4 << 20
 #: Pieces whose ids a task remembers before it forgets the rarer half.
-CACHE_PIECES = 800_000
-#: White space before a space: such a text isn't cut at its spaces.
-_WIDE = re.compile(r"\s ")
+CACHE_PIECES = 1_000_000
+#: White space (of any alphabet) before a space: such a text isn't cut at its spaces.
+_SPACE = r"[\t-\r\x1c-\x1f\x{85}\p{Z}]"
+_WIDE = _SPACE + " "
+#: A line end beside white space: such a text is cut at its spaces alone.
+_LINES = _SPACE + "\n|\n" + _SPACE
+#: Stands for a line end before a piece; a text that holds it isn't cut.
+LINE = "\x01"
 
 
 def _byte_letters() -> dict[int, str]:
@@ -48,20 +54,26 @@ class Encoder:
 
     The byte-level pattern never joins what stands on the two sides of a
     place where a space follows a character that isn't white space, so the ids
-    of a text are those of its pieces between such places, in order. Pieces
+    of a text are those of its pieces between such places, in order. A line end
+    between two characters that aren't white space is a token of its own, so
+    texts are cut there too (the line end goes with what follows it). Pieces
     repeat much more than texts; the ids of the more frequent are remembered.
+    A text that holds the string of a special token isn't cut: there the library
+    finds the token wherever it stands.
     A new piece that is one word of Latin letters, with at most a full stop or
     comma after it, goes straight to the library's model, any other through
     the whole tokenizer.
     """
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks share the cores already
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.model = self.tokenizer.model
         self.letters = _byte_letters()
         self.stops = {c: self.tokenizer.encode(c, add_special_tokens=False).ids for c in ".,"}
+        self.line = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.known: dict[str, int] = {}   # pieces after a space
         self.first: dict[str, int] = {}   # pieces at a text's begin
         self.flat = np.zeros(1 << 16, np.uint32)
@@ -81,22 +93,39 @@ class Encoder:
         self.known, self.first = ({k: int(place[v]) for k, v in d.items() if place[v] >= 0} for d in (self.known, self.first))
 
     def _word(self, word: str, prefix: str) -> list[int]:
-        return [t.id for t in self.model.tokenize((prefix + word).encode().decode("latin-1").translate(self.letters))]
+        if word.isascii():  # only the space is shown by another letter
+            shown = self.letters[0x20] + word if prefix else word
+        else:
+            shown = (prefix + word).encode().decode("latin-1").translate(self.letters)
+        return [t.id for t in self.model.tokenize(shown)]
 
     def _ids(self, names: list[str], prefix: str) -> list[list[int]]:
-        out, words, rest = [None] * len(names), {}, []
-        for i, x in enumerate(names):
-            stop = x[-1:] if x[-1:] in self.stops else ""
-            word = x[:-1] if stop else x
+        out, rest = [], []
+        words: dict[str, dict[str, list[int]]] = {"": {}, " ": {}}  # by what stands before
+        for x in names:
+            before, lead = prefix, None
+            if x[:1] == LINE:
+                x, before, lead = x[1:], "", self.line
+            last = x[-1:]
+            word = x[:-1] if last in self.stops else x
             if word.isalpha() and (word.isascii() or max(word) < "\u0250"):
-                ids = words.get(word)
+                ids = words[before].get(word)
                 if ids is None:
-                    ids = words[word] = self._word(word, prefix)
-                out[i] = ids + self.stops[stop] if stop else ids
+                    known = self.known.get(word) if before else None
+                    if known is None:
+                        ids = self._word(word, before)
+                    else:
+                        at = int(self.start[known])
+                        ids = self.flat[at:at + int(self.count[known])].tolist()
+                    words[before][word] = ids
+                if word is not x:
+                    ids = ids + self.stops[last]
+                out.append(lead + ids if lead else ids)
             else:
-                rest.append(i)
-        for i, e in zip(rest, self.tokenizer.encode_batch_fast([prefix + names[i] for i in rest], add_special_tokens=False)):
-            out[i] = e.ids
+                rest.append((len(out), lead, before + x))
+                out.append(None)
+        for (i, lead, _), e in zip(rest, self.tokenizer.encode_batch_fast([r[2] for r in rest], add_special_tokens=False)):
+            out[i] = lead + e.ids if lead else e.ids
         return out
 
     def _learn(self, names: list[str], where: dict[str, int], prefix: str) -> None:
@@ -123,45 +152,54 @@ class Encoder:
             codes[new] = [where[names[i]] for i in new]
         return codes
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(all ids, ids of each text)."""
-        if self.pieces > CACHE_PIECES:
-            self._forget()
-        split, first, rest, rest_n = [], [], [], []
-        for i, t in enumerate(texts):
-            if _WIDE.search(t) is None:
-                head, *tail = t.split(" ")
-                split.append(i)
-                first.append(head)
-                rest_n.append(len(tail))
-                rest += tail
-        codes = np.empty(len(first) + len(rest), np.int64)
-        heads = np.cumsum(np.array(rest_n, np.int64) + 1) - np.array(rest_n, np.int64) - 1
-        is_head = np.zeros(len(codes), bool)
-        is_head[heads] = True
-        codes[is_head] = self._codes(first, self.first, "")
-        codes[~is_head] = self._codes(rest, self.known, " ")
+    def _cut(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(all ids, ids of each text) by pieces. Texts are split, and equal pieces
+        brought together, as columns: each distinct piece is looked up once."""
+        parts = pc.split_pattern(texts, " ")
+        values, first = parts.values, parts.offsets.to_numpy()
+        codes = np.empty(len(values), np.int64)
+        is_head = np.zeros(len(values), bool)
+        is_head[first[:-1]] = True
+        codes[is_head] = self._codes(values.take(pa.array(first[:-1])).to_pylist(), self.first, "")
+        pieces = values.filter(pa.array(~is_head)).dictionary_encode()
+        known = self._codes(pieces.dictionary.to_pylist(), self.known, " ")
+        codes[~is_head] = known[pieces.indices.to_numpy()]
         self.hits[:self.pieces] += np.bincount(codes, minlength=self.pieces)
         n = self.count[codes]
         ends = np.cumsum(n)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = self.flat[np.arange(total) + np.repeat(self.start[codes] - ends + n, n)]
-        before = np.concatenate([[0], ends])
+        ids = self.flat[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(self.start[codes] - ends + n, n)]
+        return ids, np.diff(np.append(0, ends)[first])
+
+    def _whole(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts.to_pylist(), add_special_tokens=False)]
+        return np.array([i for x in ids for i in x], np.uint32), np.array([len(x) for x in ids], np.int64)
+
+    def encode(self, texts: list[str] | pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(all ids, ids of each text)."""
+        if self.pieces > CACHE_PIECES:
+            self._forget()
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string())
+
+        def holds(found: pa.Array) -> np.ndarray:
+            return found.to_numpy(zero_copy_only=False)
+
+        whole = holds(pc.match_substring_regex(texts, _WIDE))
+        for name in (*self.special, LINE):
+            whole = whole | holds(pc.match_substring(texts, name))
+        kind = np.where(whole, 2, holds(pc.match_substring_regex(texts, _LINES)).astype(np.int64))
+        ways = (lambda t: self._cut(pc.replace_substring(t, "\n", " " + LINE)), self._cut, self._whole)
+        if len(texts) and (kind == kind[0]).all():
+            return ways[kind[0]](texts)
+        # The texts of each kind, in their places among the others.
         lengths = np.zeros(len(texts), np.int64)
-        lengths[split] = before[np.append(heads[1:], len(codes))] - before[heads] if len(split) else 0
-        if len(split) == len(texts):
-            return ids, lengths
-        # The texts that aren't cut, in their places among the others.
-        whole = sorted(set(range(len(texts))) - set(split))
-        parts: list[np.ndarray] = [None] * len(texts)  # type: ignore[list-item]
-        at = 0
-        for i in split:
-            parts[i] = ids[at:at + lengths[i]]
-            at += lengths[i]
-        for i, e in zip(whole, self.tokenizer.encode_batch_fast([texts[i] for i in whole], add_special_tokens=False)):
-            parts[i] = np.array(e.ids, np.uint32)
-            lengths[i] = len(e.ids)
-        return np.concatenate(parts) if parts else ids, lengths
+        found = {}
+        for k in np.unique(kind).tolist():
+            found[k], lengths[kind == k] = ways[k](texts.filter(pa.array(kind == k)))
+        owner = np.repeat(kind, lengths)
+        out = np.empty(len(owner), np.uint32)
+        for k, ids in found.items():
+            out[owner == k] = ids
+        return out, lengths
 
 
 @lru_cache(maxsize=1)
@@ -209,19 +247,16 @@ def read_chunks(f) -> Iterator[tuple[list[int | None], np.ndarray, np.ndarray]]:
                simple8b.decode(words, first, odd, first_odd, n))
 
 
-def _slices(batch: pa.RecordBatch) -> Iterator[tuple[list, list[str]]]:
-    """Runs of rows with a bounded amount of text (or one long text)."""
-    ids, texts, size = [], [], 0
-    for d, t in zip(batch.column(0), batch.column(1)):
-        t = t.as_py() or ""
-        if texts and size + len(t) > SLICE_BYTES:
-            yield ids, texts
-            ids, texts, size = [], [], 0
-        ids.append(d.as_py())
-        texts.append(t)
-        size += len(t)
-    if texts:
-        yield ids, texts
+def _slices(batch: pa.RecordBatch) -> Iterator[tuple[list, pa.Array]]:
+    """Runs of rows with a bounded amount of text (or one long text); null is the empty text."""
+    texts = batch.column(1).cast(pa.large_string()).fill_null("")
+    ends = np.cumsum(pc.binary_length(texts).to_numpy())
+    begin = 0
+    while begin < batch.num_rows:
+        before = ends[begin - 1] if begin else 0
+        end = max(begin + 1, int(np.searchsorted(ends, before + SLICE_BYTES, "right")))
+        yield batch.column(0).slice(begin, end - begin).to_pylist(), texts.slice(begin, end - begin)
+        begin = end
 
 
 def write_tokens(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 0) -> DataFrame:
@@ -231,7 +266,9 @@ def write_tokens(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
     path of a byte-level tokenizer file that every worker can open (it comes
     with the installation). Null text is empty: its document is ``end_id``
     alone. Documents are in ascending order of id, nulls first, rows that share
-    an id by their text's hash. An empty table writes no file.
+    an id by their text's hash. An empty table writes no file. A special token's
+    string in a text is that token, as in the library's plain call. A long text is
+    encoded whole; other columns, whatever their names, play no part.
     """
     folder = fresh_path(docs.sparkSession, "tokens")
 
@@ -265,7 +302,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
 
     text = F.col(f"`{text_col}`")
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), text.alias("text"))
-    order = ("id", F.xxhash64("text"))
+    order = ("id", F.xxhash64("text"), F.monotonically_increasing_id())
     manifest = cut_lineage(rows.repartitionByRange(*order).sortWithinPartitions(*order)
                            .mapInArrow(write, "file_no int, file string, n_docs long, n_ids long"), "token-files")
     earlier = Window.orderBy("file_no").rowsBetween(Window.unboundedPreceding, -1)  # a row per file
