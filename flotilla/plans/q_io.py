@@ -114,6 +114,29 @@ def legacy_state_text_read(spark, sf_dir):
     return tables.read_legacy_text(spark, path, st.schema)
 
 
+#: Text that a cut at braces or a swap of quotes would break.
+_HARD = [("O'Brien {", "}, 'x': None"), ('say "', '" \\ True'), ("it's \"", "\"\t\n}{"), ("", "")]
+
+
+def _hard_sql(side: int) -> str:
+    texts = ", ".join("'" + pair[side].replace("'", "''") + "'" for pair in _HARD)
+    return f"(ARRAY[{texts}])[1 + event_id % {len(_HARD)}]"
+
+
+@register("legacy_repr_read", positions_sql(
+    f"SELECT event_id, {_hard_sql(0)} || matricula || {_hard_sql(1)} AS \"it's\", nullif({_hard_sql(1)}, '') AS \"{{k}}\", latitud, "
+    "latitud IS NOT NULL AS has_position FROM state", STATE_CTE, doubles=["latitud"]))
+def legacy_repr_read(spark, sf_dir):
+    """Dict reprs whose keys and values hold quotes of both styles, braces, escapes and None."""
+    def side(i: int):
+        return F.element_at(F.array(*[F.lit(pair[i]) for pair in _HARD]), (F.col("event_id") % len(_HARD) + 1).cast("int"))
+    path = fresh_path(spark, "legacy-repr")
+    st = state_of(spark, sf_dir).select("event_id", F.concat(side(0), "matricula", side(1)).alias("it's"),
+                                        F.nullif(side(1), F.lit("")).alias("{k}"), "latitud", F.col("latitud").isNotNull().alias("has_position"))
+    tables.write_legacy_text(st, path)
+    return tables.read_legacy_text(spark, path, st.schema)
+
+
 _HOLES = {"geo": 7, "clusterId": 11}  # every so many rows lack the column
 
 

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from flotilla.operators.pairs import DEFAULT_ORDER, row_numbers
 from flotilla.schema import POSITION_REQUIRED, POSITION_SCHEMA, TRIP_REQUIRED
+from flotilla.sources import pyrepr
 
 JSON_TS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
@@ -140,53 +141,32 @@ def read_json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame
 
 # -------------------------------------------------------------- legacy text
 
-def _py_literal(c: Column, t: T.DataType) -> Column:
-    """A column rendered the way Python's repr renders a value in a dict, with
-    backslashes, quotes, braces and line ends escaped, so a record stays one line
-    and a closing brace always ends it."""
-    if isinstance(t, T.StringType):
-        text = F.regexp_replace(c, r"\\", r"\\\\")
-        for char, escape in (("'", "\\x27"), ('"', "\\x22"), ("{", "\\x7b"), ("}", "\\x7d"), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
-            text = F.replace(text, F.lit(char), F.lit(escape))
-        v = F.concat(F.lit("'"), text, F.lit("'"))
-    elif isinstance(t, T.BooleanType):
-        v = F.when(c, F.lit("True")).when(~c, F.lit("False"))
-    else:
-        v = c.cast("string")
-    return F.coalesce(v, F.lit("None"))
-
-
 def write_legacy_text(df: DataFrame, path: str) -> None:
     """Rows as Python dict reprs, one per line (the reference's text hand-over)."""
     parts = []
     for i, f in enumerate(df.schema.fields):
-        parts += [F.lit(("" if i == 0 else ", ") + f"'{f.name}': "), _py_literal(F.col(f.name), f.dataType)]
+        parts += [F.lit(("" if i == 0 else ", ") + f"'{f.name}': "), pyrepr.literal(F.col(f"`{f.name}`"), f.dataType)]
     df.select(F.concat(F.lit("{"), *parts, F.lit("}")).alias("value")).write.text(path)
 
 
 def read_legacy_text(spark: SparkSession, path: str, schema: T.StructType, corrupt: str | None = None) -> DataFrame:
-    """Parse dict-repr text: split on '}', single-quoted strings and
-    True/False/None -> JSON, decode with ``from_json``; the empty tail piece is
-    dropped. A record that doesn't parse (an unescaped quote or brace in a value)
-    fails the read, as the reference does; with ``corrupt`` it is kept as a row
-    whose raw text is in that column and whose other columns are NULL."""
-    raw = spark.read.option("lineSep", "}").text(path)
-    body = F.regexp_replace(F.col("value"), r"^\s+|\s+$", "")  # trim() keeps newlines
-    js = F.regexp_replace(body, r"\\x([0-9a-f]{2})", r"\\u00$1")
-    js = F.regexp_replace(js, "'", '"')
-    js = F.regexp_replace(js, r"(: )True\b", "$1true")
-    js = F.regexp_replace(js, r"(: )False\b", "$1false")
-    js = F.regexp_replace(js, r"(: )None\b", "$1null")
-    bad = "_corrupt_record"
-    kind = T.StructType([*schema.fields, T.StructField(bad, T.StringType(), True)])
-    parsed = F.from_json(F.concat(js, F.lit("}")), kind, {"columnNameOfCorruptRecord": bad})
-    rows = raw.where(body != "").select(F.col("value").alias("_raw"), body.alias("_body"), parsed.alias("r"))
-    broken = F.col(f"r.{bad}").isNotNull() | F.col("r").isNull() | ~F.col("_body").startswith("{")
+    """Flat Python dict reprs (what ``repr`` writes, one or several on a line) with
+    the columns of ``schema``; see :mod:`flotilla.sources.pyrepr`. Braces, quotes of
+    both styles, escapes and the words None, True and False inside strings are
+    text. Blank lines and separators are passed over.
+
+    A record that isn't whole (cut off, nested, a value of another type) fails the
+    read, as the reference does; with ``corrupt`` it is kept as a row whose raw
+    text is in that column and whose other columns are NULL."""
+    pieces = spark.read.text(path).select(F.explode(pyrepr.pieces(F.col("value"))).alias("_raw"))
+    row, whole = pyrepr.parse(F.col("_raw"), schema)
+    rows = pieces.select("_raw", row.alias("r"), whole.alias("_whole"))
     if corrupt:
-        names = [F.when(~broken, F.col(f"r.{f.name}")).alias(f.name) for f in schema.fields]
-        return rows.select(*names, F.when(broken, F.col("_raw")).alias(corrupt))
-    checked = rows.withColumn("r", F.when(broken, F.raise_error(F.concat(F.lit("not a record: "), F.col("_raw")))).otherwise(F.col("r")))
-    return checked.select(*[F.col(f"r.{f.name}").alias(f.name) for f in schema.fields])
+        names = [F.when(F.col("_whole"), F.col("r")[f.name]).alias(f.name) for f in schema.fields]
+        return rows.select(*names, F.when(~F.col("_whole"), F.col("_raw")).alias(corrupt))
+    error = F.raise_error(F.concat(F.lit("not a record: "), F.col("_raw"))).cast(rows.schema["r"].dataType)
+    checked = rows.withColumn("r", F.when(F.col("_whole"), F.col("r")).otherwise(error))
+    return checked.select(*[F.col("r")[f.name].alias(f.name) for f in schema.fields])
 
 
 # ---------------------------------------------------------- REQUIRED fields

@@ -130,20 +130,51 @@ def test_write_with_rejects(spark):
     assert tables.read_trips(spark, path).count() == 702 - n_bad
 
 
-def test_legacy_text_with_quotes_and_braces(spark):
-    import pytest
-    schema = "name string, n long, ok boolean"
-    rows = [("O'Brien", 1, True), ("a}b{c", 2, False), ('say "x"\\y', 3, None), ("None True\nline\ttab", 4, True), (None, None, None), ("", 5, True)]
+HARD_TEXTS = ["O'Brien", "B}x", "a}b{c", 'say "x"\\y', "it's \"both\"", "None", "True, 'x': False", "line\n\ttab\r\x00\x7f\x85\u2028", "\\x41 \\", "\\\\'", "",
+              " , ", "é日本\U0001f600\U000e0001\ud7ff", "{'a': 1}", "'" * 3, '"' * 2, "x" * 300_000 + "'}", "}\n{"]
+
+
+def test_reprs_written_by_python(spark):
+    """Files of repr, with every kind of value, several records on a line, and lists of records."""
+    rows = [{"matricula": t, "n's": i, "lat": i / 7 if i % 3 else None, "ok": [True, False, None][i % 3], "more": t[::-1]} for i, t in enumerate(HARD_TEXTS)]
+    rows += [{"matricula": "inf", "n's": -(2 ** 40), "lat": float("-inf"), "ok": True, "more": None}, {"matricula": "exp", "n's": 0, "lat": 1e-300, "ok": None, "more": "x"}]
+    path = fresh_path(spark, "repr")
+    os.makedirs(path)
+    with open(os.path.join(path, "a.txt"), "w", newline="") as f:
+        f.write("\n".join(map(repr, rows[:6])) + "\n\n  \n" + "".join(map(repr, rows[6:10])) + "\r\n" + repr(rows[10:]) + "\n{}")
+    schema = spark.createDataFrame([], "matricula string, `n's` long, lat double, ok boolean, more string, gone int").schema
+    got = [r.asDict() for r in tables.read_legacy_text(spark, path, schema).collect()]
+    want = [{**r, "gone": None} for r in rows] + [dict.fromkeys(schema.names)]
+    assert sorted(map(repr, got)) == sorted(map(repr, want))
+
+
+def test_written_reprs_are_pythons(spark):
+    """Python reads what the writer writes, and the reader gives the rows back."""
+    import ast
+    rows = [(t, i, i / 3, i % 2 == 0) for i, t in enumerate(HARD_TEXTS)] + [(None, None, None, None)]
+    df = spark.createDataFrame(rows, "`a 'b' {c}` string, n long, d double, ok boolean").withColumnRenamed("a 'b' {c}", "k{e}y")
     path = fresh_path(spark, "legacy-hard")
-    df = spark.createDataFrame(rows, schema)
     tables.write_legacy_text(df, path)
+    lines = [r.value for r in spark.read.text(path).collect()]
+    assert sorted((tuple(ast.literal_eval(x).values()) for x in lines), key=repr) == sorted(rows, key=repr)
+    assert all(repr(ast.literal_eval(x)) == x for x in lines if x.isascii())
     assert sorted(map(tuple, tables.read_legacy_text(spark, path, df.schema).collect()), key=repr) == sorted(rows, key=repr)
-    raw = fresh_path(spark, "legacy-raw")
-    spark.createDataFrame([("{'name': 'O'Brien', 'n': 1, 'ok': True}",), ("{'name': 'fine', 'n': 2, 'ok': False}",)], "value string").coalesce(1).write.text(raw)
+
+
+def test_broken_reprs_are_rejected_with_their_text(spark):
+    import pytest
+    bad = ["{'name': 'O'Brien', 'n': 1}", "{'name': 'in', 'n': {'x': '}'}}", "{'name': ['l'], 'n': 1}", "{'name': 'cut off", "{'name' 'x'}", "{'name': 'x', 'n': 'text'}",
+           "{'name': 'x', 'n': 1.5}", "{'name': 'x',, 'n': 1}", "{name: 'x'}", "{'name': 'x', 'n': True}", "no record", "{'name': 'd', 'n': Decimal('1')}"]
+    path = fresh_path(spark, "legacy-raw")
+    os.makedirs(path)
+    with open(os.path.join(path, "a.txt"), "w") as f:
+        f.write("\n".join(x for b in bad for x in ("{'name': 'fine', 'n': 2}", b)))
+    schema = spark.createDataFrame([], "name string, n int").schema
     with pytest.raises(Exception, match="not a record"):
-        tables.read_legacy_text(spark, raw, df.schema).collect()
-    got = tables.read_legacy_text(spark, raw, df.schema, corrupt="bad").collect()
-    assert sorted((r.name, r.n, r.bad is None) for r in got if r.bad is None) == [("fine", 2, True)] and len(got) == 2
+        tables.read_legacy_text(spark, path, schema).collect()
+    got = tables.read_legacy_text(spark, path, schema, corrupt="bad").collect()
+    assert [tuple(r) for r in got if r.bad is None] == [("fine", 2, None)] * len(bad)
+    assert sorted(r.bad for r in got if r.bad is not None) == sorted(bad) and all(r.name is None and r.n is None for r in got if r.bad)
 
 
 def test_a_retried_batch_writes_the_same_keys(spark):
