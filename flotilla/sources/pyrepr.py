@@ -11,7 +11,7 @@ length is read, and nothing leaves the JVM.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
 _STRING = r"""'(?:[^'\\]++|\\.)*+'|"(?:[^"\\]++|\\.)*+\""""
@@ -37,21 +37,22 @@ def pieces(line: Column) -> Column:
     return F.filter(_all(line, _PIECE), lambda p: ~p.rlike(f"(?s)^{_BETWEEN}$"))
 
 
+def _char_of(table: dict[str, str], key: Column) -> Column:
+    return F.element_at(F.create_map(*[F.lit(x) for pair in table.items() for x in pair]), key)
+
+
 def _unescaped(run: Column) -> Column:
     """One run or escape of a string."""
-    short = F.lit(None).cast("string")
-    for code, char in _SHORT.items():
-        short = F.when(run == code, F.lit(char)).otherwise(short)
     point = F.decode(F.unhex(F.lpad(F.substring(run, 3, 8), 8, "0")), "UTF-32")
     return (F.when(~run.startswith("\\"), run).when(run.rlike(r"^\\[xuU]."), point)
-            .otherwise(F.coalesce(short, run)))
+            .otherwise(F.coalesce(_char_of(_SHORT, run), run)))
 
 
 def text_of(token: Column) -> Column:
     """The text of a quoted token."""
     inner = F.substring(token, F.lit(2), F.char_length(token) - 2)
     decoded = F.array_join(F.transform(_all(inner, _ESCAPE), _unescaped), "")
-    return F.when(F.instr(inner, "\\") == 0, inner).otherwise(decoded)
+    return F.when(F.instr(token, "\\") == 0, inner).otherwise(decoded)
 
 
 def _quoted(token: Column) -> Column:
@@ -72,31 +73,38 @@ def _value(token: Column, kind: T.DataType) -> tuple[Column, Column]:
     return F.when(~none, value), none | value.isNotNull()
 
 
-def parse(record: Column, schema: T.StructType) -> tuple[Column, Column]:
-    """(struct of ``schema``, the record is whole) of a record's text. A key the
-    record lacks is NULL, a key the schema lacks is passed over; a value of
-    another type, a nested value or a broken record isn't whole."""
-    tokens = _all(record, _TOKEN)
-    n = F.size(tokens)
+def parse(records: DataFrame, raw: str, schema: T.StructType, row: str, whole: str) -> DataFrame:
+    """``records`` with ``row``, a struct of ``schema``, and ``whole``, from the text of a record in
+    column ``raw``. A key the record lacks is NULL, a key the schema lacks is passed
+    over; a value of another type, a nested value or a broken record isn't whole."""
+    n = F.size("_tokens")
 
     def at(place: int) -> Column:
-        return F.filter(tokens, lambda _, i: (i % 4 == place) & (i > 0) & (i < n - 1))
+        return F.filter("_tokens", lambda _, i: (i % 4 == place) & (i > 0) & (i < n - 1))
+
+    def token(name: str) -> Column:
+        return F.get("_values", (F.array_position("_keys", F.lit(name)) - 1).cast("int"))
+
+    # A select a step: each is computed once, and the next refers to it.
+    steps = records.withColumn("_tokens", _all(F.col(raw), _TOKEN))
+    steps = steps.withColumns({"_keys": F.transform(at(1), text_of), "_values": at(3), "_flat": (
+        (F.get("_tokens", F.lit(0)) == "{") & (F.get("_tokens", n - 1) == "}") & ((n == 2) | (n % 4 == 1))
+        & F.forall(at(0), lambda t: t == ",") & F.forall(at(1), _quoted) & F.forall(at(2), lambda t: t == ":")
+        & F.forall(at(3), lambda t: ~t.rlike("""(?s)^(?:[{}:,]|['"])$""")))})
+    places = [f"_token{i}" for i in range(len(schema.fields))]
+    # Position 0 (the key is missing) asks for entry -1, which is none.
+    steps = steps.select(*records.columns, "_flat", *[token(f.name).alias(p) for p, f in zip(places, schema.fields)])
+    typed = [_value(F.col(p), f.dataType) for p, f in zip(places, schema.fields)]
+    steps = steps.select(*records.columns, "_flat", *[F.struct(v.cast(f.dataType).alias("v"), (F.col(p).isNull() | F.coalesce(ok, F.lit(False))).alias("ok")).alias(p)
+                                                      for p, f, (v, ok) in zip(places, schema.fields, typed)])
+    fine = F.coalesce(F.col("_flat"), F.lit(False))
+    for p in places:
+        fine = fine & F.col(p)["ok"]
+    return steps.select(*records.columns, F.struct(*[F.col(p)["v"].alias(f.name) for p, f in zip(places, schema.fields)]).alias(row), fine.alias(whole))
 
-    def each(place: int, ok) -> Column:
-        return F.forall(at(place), ok)
 
-    shape = ((F.get(tokens, F.lit(0)) == "{") & (F.get(tokens, n - 1) == "}") & ((n == 2) | (n % 4 == 1))
-             & each(0, lambda t: t == ",") & each(1, _quoted) & each(2, lambda t: t == ":")
-             & each(3, lambda t: ~t.rlike("""(?s)^(?:[{}:,]|['"])$""")))
-    keys, values = F.transform(at(1), text_of), at(3)
-    fields, whole = [], shape
-    for f in schema.fields:
-        token = F.get(values, (F.array_position(keys, F.lit(f.name)) - 1).cast("int"))
-        token = F.when(F.array_contains(keys, f.name), token)
-        value, ok = _value(token, f.dataType)
-        fields.append(value.cast(f.dataType).alias(f.name))
-        whole = whole & (token.isNull() | F.coalesce(ok, F.lit(False)))
-    return F.struct(*fields), F.coalesce(whole, F.lit(False))
+#: How a repr shows control characters and the backslash.
+_SHOWN = {chr(c): f"\\x{c:02x}" for c in (*range(0x20), 0x7F)} | {"\n": "\\n", "\r": "\\r", "\t": "\\t", "\\": "\\\\"}
 
 
 def literal(value: Column, kind: T.DataType) -> Column:
@@ -106,13 +114,11 @@ def literal(value: Column, kind: T.DataType) -> Column:
     if isinstance(kind, T.BooleanType):
         shown = F.when(value, F.lit("True")).when(~value, F.lit("False"))
     elif isinstance(kind, T.StringType):
-        text = F.replace(value, F.lit("\\"), F.lit("\\\\"))
-        for char in map(chr, (*range(0x20), 0x7F)):
-            code = {"\n": "\\n", "\r": "\\r", "\t": "\\t"}.get(char, f"\\x{ord(char):02x}")
-            text = F.replace(text, F.lit(char), F.lit(code))
-        text = F.when(value.rlike(r"[\x00-\x1f\x7f\\]"), text).otherwise(value)
-        double = F.contains(value, F.lit("'")) & ~F.contains(value, F.lit('"'))
-        shown = F.when(double, F.concat(F.lit('"'), text, F.lit('"'))).otherwise(F.concat(F.lit("'"), F.replace(text, F.lit("'"), F.lit("\\'")), F.lit("'")))
+        plain = F.concat(F.lit("'"), value, F.lit("'"))
+        quote = F.when(F.contains(value, F.lit('"')) | ~F.contains(value, F.lit("'")), F.lit("'")).otherwise(F.lit('"'))
+        runs = _all(value, r"([^\x00-\x1f\x7f\\']++|.)")
+        inner = F.array_join(F.transform(runs, lambda r: F.when((r == "'") & F.contains(value, F.lit('"')), F.lit("\\'")).otherwise(F.coalesce(_char_of(_SHOWN, r), r))), "")
+        shown = F.when(~value.rlike(r"[\x00-\x1f\x7f\\']"), plain).otherwise(F.concat(quote, inner, quote))
     elif isinstance(kind, T.FractionalType):
         shown = F.when(F.isnan(value.cast("double")), F.lit("nan")).otherwise(F.replace(value.cast("string"), F.lit("Infinity"), F.lit("inf")))
     else:

@@ -145,7 +145,7 @@ def write_legacy_text(df: DataFrame, path: str) -> None:
     """Rows as Python dict reprs, one per line (the reference's text hand-over)."""
     parts = []
     for i, f in enumerate(df.schema.fields):
-        parts += [F.lit(("" if i == 0 else ", ") + f"'{f.name}': "), pyrepr.literal(F.col(f"`{f.name}`"), f.dataType)]
+        parts += [F.lit(("" if i == 0 else ", ") + f"{f.name!r}: "), pyrepr.literal(F.col(f"`{f.name}`"), f.dataType)]
     df.select(F.concat(F.lit("{"), *parts, F.lit("}")).alias("value")).write.text(path)
 
 
@@ -159,8 +159,7 @@ def read_legacy_text(spark: SparkSession, path: str, schema: T.StructType, corru
     read, as the reference does; with ``corrupt`` it is kept as a row whose raw
     text is in that column and whose other columns are NULL."""
     pieces = spark.read.text(path).select(F.explode(pyrepr.pieces(F.col("value"))).alias("_raw"))
-    row, whole = pyrepr.parse(F.col("_raw"), schema)
-    rows = pieces.select("_raw", row.alias("r"), whole.alias("_whole"))
+    rows = pyrepr.parse(pieces, "_raw", schema, "r", "_whole")
     if corrupt:
         names = [F.when(F.col("_whole"), F.col("r")[f.name]).alias(f.name) for f in schema.fields]
         return rows.select(*names, F.when(~F.col("_whole"), F.col("_raw")).alias(corrupt))

@@ -152,7 +152,7 @@ def test_written_reprs_are_pythons(spark):
     """Python reads what the writer writes, and the reader gives the rows back."""
     import ast
     rows = [(t, i, i / 3, i % 2 == 0) for i, t in enumerate(HARD_TEXTS)] + [(None, None, None, None)]
-    df = spark.createDataFrame(rows, "`a 'b' {c}` string, n long, d double, ok boolean").withColumnRenamed("a 'b' {c}", "k{e}y")
+    df = spark.createDataFrame(rows, "`a 'b' {c}` string, n long, d double, ok boolean").withColumnRenamed("a 'b' {c}", "k{e}y's")
     path = fresh_path(spark, "legacy-hard")
     tables.write_legacy_text(df, path)
     lines = [r.value for r in spark.read.text(path).collect()]
