@@ -44,9 +44,7 @@ def upsert_state(state: DataFrame, updates: DataFrame, plate: str = PLATE,
     (see :func:`dedupe_snapshots`). add_new=False only replaces known plates.
     Updates without a plate have no key: they are rejected (left out), so a
     rerun never adds them again."""
-    upd = updates.select(*state.columns).where(F.col(plate).isNotNull())
-    if not add_new:
-        upd = upd.join(state.select(plate), plate, "left_semi")
+    upd = upsert_delta(state, updates, plate, add_new)
     return upd.unionByName(state.join(upd.select(plate), plate, "left_anti"))
 
 
@@ -69,14 +67,19 @@ def _observations(positions: DataFrame, day: str, keep: str) -> DataFrame:
 
 
 def changes(state: DataFrame, positions: DataFrame, day: str | None, add_new: bool = False,
-            keep: str = "first", plate: str = PLATE) -> DataFrame:
+            keep: str = "first", plate: str = PLATE, observed_only: bool = False) -> DataFrame:
     """State rows and accepted changes, one window pass per plate.
 
     The state is referenced once: whether a plate is known comes from the
     same per-plate window (is there a seq-0 row?) instead of a second join.
+    With ``observed_only`` the state rows of plates without an observation are left
+    out (a semi join), so only what the snapshots touch is sorted.
     """
     cols = state.columns
     obs = _observations(positions, day, keep).select(*cols, _SEQ)
+    if observed_only:
+        obs = cut_lineage(obs, "observations")
+        state = state.join(obs.select(plate).distinct(), plate, "left_semi").select(*cols)
     init = state.withColumn(_SEQ, F.struct(F.lit(0).alias("k"), F.lit(None).cast("string").alias("rt"),
                                            F.lit(None).cast("string").alias("u")))
     w = Window.partitionBy(plate).orderBy(_SEQ)
@@ -107,6 +110,18 @@ def state_of(ch: DataFrame, columns: list[str], plate: str = PLATE) -> DataFrame
     return ch.groupBy(plate).agg(F.max_by(row, F.col(_SEQ)).alias("_r")).select("_r.*")
 
 
+def changed_rows(ch: DataFrame, columns: list[str], plate: str = PLATE) -> DataFrame:
+    """The rows of :func:`state_of` that aren't the state's own: a delta of it."""
+    return state_of(ch.where(F.col(f"{_SEQ}.k") == 1), columns, plate)
+
+
+def upsert_delta(state: DataFrame, updates: DataFrame, plate: str = PLATE, add_new: bool = True) -> DataFrame:
+    """The rows that :func:`upsert_state` writes: the updates with a plate (a known
+    one, without ``add_new``). The state's other rows aren't touched."""
+    upd = updates.select(*state.columns).where(F.col(plate).isNotNull())
+    return upd if add_new else upd.join(state.select(plate), plate, "left_semi").select(*state.columns)
+
+
 def movement_log(state: DataFrame, positions: DataFrame, day: str, add_new: bool = False,
                  keep: str = "first", plate: str = PLATE) -> DataFrame:
     """Every accepted position change: old and new position, snapshot entry."""

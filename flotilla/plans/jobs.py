@@ -12,8 +12,8 @@ with ``--input-bytes`` / ``--cores`` to size the partitions.
 
 ``--state`` is a folder with a versioned plate state
 (:mod:`flotilla.sources.state_store`): the snapshot and fold jobs read its
-newest version and write the next one, and a rerun repeats its own step. The
-trips job keeps each vehicle's last seen row there (:mod:`flotilla.sources.last_seen`).
+newest version and write the rows they change as the next one, and a rerun repeats
+its own step. The trips job keeps each vehicle's last seen row there (:mod:`flotilla.sources.last_seen`).
 """
 
 from __future__ import annotations
@@ -70,8 +70,7 @@ def run_snapshot(spark: SparkSession, a) -> dict:
     state = state_store.read_version(spark, a.state, source)
     snap = S.cast_numeric(S.snapshot_by_id(pos, a.uoid)).select(*state.columns)
     S.compare_with_state(snap, state).write.mode("overwrite").parquet(a.out)
-    new = ST.upsert_state(state, S.dedupe_snapshots(snap, keep=a.keep))
-    path = state_store.write_version(new, a.state, target, step)
+    path = state_store.write_delta(ST.upsert_delta(state, S.dedupe_snapshots(snap, keep=a.keep)), a.state, target, step)
     return {"state_version": target, "state_path": path}
 
 
@@ -82,9 +81,9 @@ def run_fold(spark: SparkSession, a) -> dict:
     source, target = state_store.begin_step(spark, a.state, step)
     state = state_store.read_version(spark, a.state, source)
     pos = pos.select(*state.columns)
-    changes = cut_lineage(ST.changes(state, pos, a.day, add_new=a.add_new), "fold-changes")  # once, for both results
+    changes = cut_lineage(ST.changes(state, pos, a.day, add_new=a.add_new, observed_only=True), "fold-changes")  # once, for both results
     ST.log_of(changes).write.mode("overwrite").parquet(a.out)
-    path = state_store.write_version(ST.state_of(changes, state.columns), a.state, target, step)
+    path = state_store.write_delta(ST.changed_rows(changes, state.columns), a.state, target, step)
     return {"state_version": target, "state_path": path}
 
 

@@ -11,8 +11,8 @@ from flotilla.plans.q_snapshots import (
     DAY_FILTER, STATE_CTE, YOUNG_STATE_CTE, snapshot_positions, state_of, young_state_of,
 )
 from flotilla.plans.sqltext import POSITION_DOUBLES, positions_sql
-from flotilla.session import fresh_path
-from flotilla.sources import tables
+from flotilla.session import cut_lineage, fresh_path
+from flotilla.sources import state_store, tables
 from flotilla.sources.fixture import FOLD_DAY, SNAPSHOT_ID, positions
 from flotilla.streaming import live_state as LS
 
@@ -69,13 +69,37 @@ upd AS (SELECT * EXCLUDE (rk) FROM (SELECT *, row_number() OVER (PARTITION BY uo
     "SELECT * FROM upd UNION ALL SELECT * FROM state WHERE matricula NOT IN (SELECT matricula FROM upd)",
     _UPSERT_CTE, **_ALL))
 def state_upsert(spark, sf_dir):
-    """K4: upsert the de-duplicated snapshot into the state; written to a new
-    version path and read back."""
-    state = state_of(spark, sf_dir)
+    """K4: upsert the de-duplicated snapshot into the stored state: a delta of its
+    plates, merged on read."""
+    base = fresh_path(spark, "state")
+    state_store.write_version(state_of(spark, sf_dir), base, 0)
     snap = S.dedupe_snapshots(snapshot_positions(spark, sf_dir, SNAPSHOT_ID))
-    out = fresh_path(spark, "state")
-    ST.upsert_state(state, snap).write.parquet(out)
-    return spark.read.parquet(out)
+    state_store.write_delta(ST.upsert_delta(state_store.read_version(spark, base), snap), base, 1, f"snapshot:{SNAPSHOT_ID}")
+    return state_store.read_version(spark, base)
+
+
+_SERIES_SQL = f"""SELECT * EXCLUDE (rk, e_rt) FROM (SELECT *, row_number() OVER (PARTITION BY matricula ORDER BY e_rt DESC NULLS LAST, uoid DESC) AS rk FROM (
+  SELECT *, CAST(NULL AS VARCHAR) AS e_rt FROM state UNION ALL BY NAME
+  SELECT * EXCLUDE (rk, last_rt), last_rt AS e_rt FROM (SELECT p.*, last_rt, row_number() OVER (PARTITION BY p.uoid, matricula ORDER BY p.realTime NULLS FIRST, event_id) AS rk
+    FROM positions p JOIN (SELECT uoid, max(realTime) AS last_rt FROM positions WHERE {DAY_FILTER} GROUP BY uoid) e ON p.uoid = e.uoid WHERE matricula IS NOT NULL) WHERE rk = 1)) WHERE rk = 1"""
+
+
+@register("state_upsert_series", positions_sql(_SERIES_SQL, STATE_CTE, **_ALL))
+def state_upsert_series(spark, sf_dir):
+    """K4: every snapshot of a day upserted in turn, a delta each; compacted halfway,
+    and a snapshot repeated."""
+    base = fresh_path(spark, "state")
+    state_store.write_version(state_of(spark, sf_dir), base, 0)
+    pos = cut_lineage(positions(spark, sf_dir), "positions")
+    day = S.snapshot_list(pos, FOLD_DAY).groupBy("uoid").agg(F.max("realTime").alias("rt")).orderBy("rt", "uoid").collect()  # the polls of a day
+    steps = [r.uoid for r in day]
+    for i, uoid in enumerate(steps + steps[-1:]):
+        source, target = state_store.begin_step(spark, base, f"snapshot:{uoid}")
+        snap = S.dedupe_snapshots(S.snapshot_by_id(pos, uoid))
+        state_store.write_delta(ST.upsert_delta(state_store.read_version(spark, base, source), snap), base, target, f"snapshot:{uoid}")
+        if 2 * i == len(steps) - len(steps) % 2:
+            state_store.compact(spark, base)
+    return state_store.read_version(spark, base)
 
 
 @register("state_read", positions_sql("SELECT * FROM state", STATE_CTE, **_ALL))
