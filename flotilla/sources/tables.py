@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from flotilla.operators.pairs import DEFAULT_ORDER, row_numbers
 from flotilla.schema import POSITION_REQUIRED, POSITION_SCHEMA, TRIP_REQUIRED
+from flotilla.session import fresh_path
 from flotilla.sources import pyrepr
 
 JSON_TS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
@@ -77,37 +78,49 @@ def write_trips(trips: DataFrame, path: str, rerun_safe: bool = True, audit: boo
     reference, which duplicates rows when a range is processed twice).
     audit=True adds ``processed_at``. With ``rejects_path``, trips missing a
     REQUIRED column go there instead of the table, by the same dates.
+
+    The trips are computed once: where both tables or the dates ask for several
+    jobs, those start from a copy written to the shared folder.
     """
     out = trips if "trip_date" in trips.columns else trips.withColumn("trip_date", F.to_date("timestamp_end"))
     if dates:
         outside = ~F.col("trip_date").between(F.lit(dates[0]).cast("date"), F.lit(dates[1]).cast("date"))
         out = out.where(F.when(outside, F.raise_error(F.lit("a trip ends outside the range"))).otherwise(F.lit(True)))
-    parts = [(out, path)]
+    if audit:
+        out = out.withColumn("processed_at", processed_at())
+    parts, staged = [(out, path)], None
+    if rejects_path or (dates and rerun_safe):
+        staged = fresh_path(trips.sparkSession, "trips")
+        out.write.parquet(staged)
+        out = trips.sparkSession.read.parquet(staged)
+        parts = [(out, path)]
     if rejects_path:
         good, bad = split_required(out, [c for c in TRIP_REQUIRED if c in trips.columns])
         parts = [(good, path), (bad, rejects_path)]
     for df, target in parts:
-        if audit:
-            df = df.withColumn("processed_at", processed_at())
-        df = df.hint("rebalance", "trip_date")      # a few large files per date (see write_positions)
-        w = df.write.partitionBy("trip_date")
+        w = df.hint("rebalance", "trip_date").write.partitionBy("trip_date")  # a few large files per date (see write_positions)
         if not rerun_safe:
             w.mode("append").parquet(target)
             continue
         w.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(target)
         if dates:
             _drop_other_dates(trips.sparkSession, df, target, dates)
+    if staged:
+        _delete(trips.sparkSession, staged)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def _drop_other_dates(spark: SparkSession, written: DataFrame, path: str, dates: tuple[str, str]) -> None:
     """Remove the partitions of the range's dates that got no rows (at most one per day)."""
     have = {str(r[0]) for r in written.select("trip_date").distinct().collect()}
-    jvm = spark.sparkContext._jvm
     day, end = _dt.date.fromisoformat(dates[0]), _dt.date.fromisoformat(dates[1])
     while day <= end:
         if day.isoformat() not in have:
-            old = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/trip_date={day.isoformat()}")
-            old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(old, True)
+            _delete(spark, f"{path.rstrip('/')}/trip_date={day.isoformat()}")
         day += _dt.timedelta(days=1)
 
 

@@ -190,3 +190,25 @@ def test_a_retried_batch_writes_the_same_keys(spark):
     for _ in range(2):
         tables.write_keyed_batches(df, "key", put, batch_size=2)
     assert len(os.listdir(path)) == 3
+
+
+def test_trips_are_computed_once(spark):
+    """With dates and rejects: every input row is read once, and the counters are those of that run."""
+    from flotilla.plans.studies import trip_job
+    rows = positions(spark, SF_SMALL, "2024-01-05", "2024-01-20")
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+    out, bad, metrics = fresh_path(spark, "once"), fresh_path(spark, "once-bad"), {}
+    holes = rows.withColumn("geo", F.when(F.col("event_id") % 7 != 0, F.col("geo"))).mapInArrow(count, rows.schema).coalesce(2)
+    n = rows.count()
+    trip_job(holes, out, metrics=metrics, dates=("2024-01-05", "2024-01-20"), rejects_path=bad)
+    good, rejected = (spark.read.parquet(p).count() for p in (out, bad))
+    assert metrics["rows_in"] == n and metrics["trips"] == good + rejected and rejected > 0
+    once = seen.value
+    seen.value = 0
+    extract_trips(holes, with_date=True).write.format("noop").mode("overwrite").save()
+    assert once == seen.value  # as often as computing the trips takes, the sinks add nothing
