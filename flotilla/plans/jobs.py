@@ -2,6 +2,7 @@
 positions table.
 
     python -m flotilla.plans.jobs trips    --positions P --out O [--start D --end D] [--state S]
+    python -m flotilla.plans.jobs index    --positions P [--start D --end D]
     python -m flotilla.plans.jobs snapshot --positions P --state S --uoid U --out O
     python -m flotilla.plans.jobs fold     --positions P --state S --day D --out O [--add-new]
     python -m flotilla.plans.jobs features --positions P --out O [--start D --end D]
@@ -31,7 +32,7 @@ from flotilla.operators import state as ST
 from flotilla.operators.trips import last_rows, last_rows_before, trip_starts
 from flotilla.plans.studies import demand_study, trip_job
 from flotilla.session import cluster_settings, cut_lineage, get_session
-from flotilla.sources import last_seen, state_store, tables
+from flotilla.sources import last_seen, snapshot_index, state_store, tables
 
 
 def run_trips(spark: SparkSession, a) -> dict:
@@ -63,8 +64,28 @@ def _ingested(spark: SparkSession, a, day: str) -> DataFrame:
     return tables.read_positions(spark, a.positions, start.isoformat(), end.isoformat())
 
 
+def _index(spark: SparkSession, a) -> str | None:
+    """The snapshot index beside the positions, if there is one."""
+    path = a.index or f"{a.positions.rstrip('/')}-snapshots"
+    return path if a.index or snapshot_index.exists(spark, path) else None
+
+
+def run_index(spark: SparkSession, a) -> dict:
+    path = a.index or f"{a.positions.rstrip('/')}-snapshots"
+    snapshot_index.write_index(tables.read_positions(spark, a.positions, a.start, a.end), path)
+    return {"index": path}
+
+
 def run_snapshot(spark: SparkSession, a) -> dict:
-    pos = _ingested(spark, a, a.day) if a.day else tables.read_positions(spark, a.positions)
+    """One snapshot against the state. Its rows are found by ``--day``, else by the
+    snapshot index, else by a scan that skips what the files' uoid ranges rule out."""
+    index = _index(spark, a)
+    if a.day:
+        pos = _ingested(spark, a, a.day)
+    elif index:
+        pos = snapshot_index.read_snapshot(spark, a.positions, index, a.uoid)
+    else:
+        pos = tables.read_positions(spark, a.positions)
     step = f"snapshot:{a.uoid}"
     source, target = state_store.begin_step(spark, a.state, step)
     state = state_store.read_version(spark, a.state, source)
@@ -75,8 +96,12 @@ def run_snapshot(spark: SparkSession, a) -> dict:
 
 
 def run_fold(spark: SparkSession, a) -> dict:
-    # Every row of each uoid listed that day, if ingested within the margin.
-    pos = _ingested(spark, a, a.day)
+    index = _index(spark, a)
+    if index:  # every row of each uoid listed that day, whenever it was ingested
+        known = snapshot_index.read_index(spark, index)
+        pos = snapshot_index.read_dates(spark, a.positions, snapshot_index.dates_of(known, snapshot_index.entries_of_day(known, a.day)))
+    else:      # those ingested within the margin
+        pos = _ingested(spark, a, a.day)
     step = f"fold:{a.day}"
     source, target = state_store.begin_step(spark, a.state, step)
     state = state_store.read_version(spark, a.state, source)
@@ -120,12 +145,20 @@ def parser() -> argparse.ArgumentParser:
     t.add_argument("--audit", action="store_true")
     t.set_defaults(fn=run_trips)
 
+    i = sub.add_parser("index")
+    i.add_argument("--positions", required=True)
+    i.add_argument("--index", help="folder of the snapshot index (default: <positions>-snapshots)")
+    i.add_argument("--start")
+    i.add_argument("--end")
+    i.set_defaults(fn=run_index)
+
     s = sub.add_parser("snapshot")
     s.add_argument("--positions", required=True)
     s.add_argument("--state", required=True)
     s.add_argument("--uoid", required=True)
     s.add_argument("--out", required=True)
     s.add_argument("--day", help="ingestion day of the snapshot: prunes the scan")
+    s.add_argument("--index", help="folder of the snapshot index (default: <positions>-snapshots, if it is there)")
     s.add_argument("--margin", type=int, default=1, help="days around --day that are read")
     s.add_argument("--keep", choices=["first", "last"], default="first")
     s.set_defaults(fn=run_snapshot)
@@ -136,6 +169,7 @@ def parser() -> argparse.ArgumentParser:
     f.add_argument("--day", required=True)
     f.add_argument("--out", required=True)
     f.add_argument("--add-new", action="store_true")
+    f.add_argument("--index", help="folder of the snapshot index (default: <positions>-snapshots, if it is there)")
     f.add_argument("--margin", type=int, default=1, help="days around --day that are read")
     f.set_defaults(fn=run_fold)
 

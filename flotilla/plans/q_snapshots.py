@@ -9,6 +9,8 @@ from flotilla.operators.state import initial_state
 from flotilla.plans.catalog import register
 from flotilla.plans.sqltext import POSITION_DOUBLES, positions_sql
 from flotilla.schema import NUMERIC_TO_DOUBLE
+from flotilla.session import fresh_path
+from flotilla.sources import snapshot_index, tables
 from flotilla.sources.fixture import FOLD_DAY, SNAPSHOT_ID, STATE_CUTOFF, positions
 
 # Two fixture vehicles (present at every scale) for the two-vehicle query.
@@ -49,6 +51,30 @@ def snapshot_by_id(spark, sf_dir):
     return snapshot_positions(spark, sf_dir, SNAPSHOT_ID)
 
 
+def _stored(spark, sf_dir):
+    """The positions as a partitioned table, and its snapshot index."""
+    path = fresh_path(spark, "positions")
+    tables.write_positions(positions(spark, sf_dir), path)
+    snapshot_index.write_index(tables.read_positions(spark, path), f"{path}-snapshots")
+    return path, f"{path}-snapshots"
+
+
+@register("snapshot_by_index", positions_sql(f"SELECT * FROM positions WHERE uoid = '{SNAPSHOT_ID}'", **_ALL))
+def snapshot_by_index(spark, sf_dir):
+    """A snapshot from the stored table, found by the index: only its dates'
+    files are opened, and of those the pages that may hold it."""
+    path, index = _stored(spark, sf_dir)
+    return snapshot_index.read_snapshot(spark, path, index, SNAPSHOT_ID).select(*positions(spark, sf_dir).columns)
+
+
+@register("snapshot_index", positions_sql(
+    'SELECT uoid, realTime, min("timestamp") AS first_time, max("timestamp") AS last_time, count(*) AS "rows", ingest_date '
+    "FROM positions GROUP BY uoid, realTime, ingest_date", dates=["ingest_date"], timestamps=["first_time", "last_time"]))
+def snapshot_index_table(spark, sf_dir):
+    """The snapshot index, written and read back."""
+    return snapshot_index.read_index(spark, _stored(spark, sf_dir)[1])
+
+
 @register("positions_numeric_cast", positions_sql(
     "SELECT event_id, " + ", ".join(f"cast({c} AS DOUBLE) AS {c}" for c in NUMERIC_TO_DOUBLE)
     + " FROM positions", doubles=NUMERIC_TO_DOUBLE))

@@ -26,18 +26,28 @@ JSON_TS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 # ---------------------------------------------------------------- positions
 
+#: Column by which the files of a date are sorted and Bloom-filtered.
+SKIP_COLUMN = "uoid"
+
+
 def write_positions(df: DataFrame, path: str, mode: str = "append",
-                    rejects_path: str | None = None) -> None:
-    """Position rows partitioned by ingestion date (the snapshot copy sink).
+                    rejects_path: str | None = None, options: dict[str, str] | None = None) -> None:
+    """Position rows partitioned by ingestion date (the snapshot copy sink). Files
+    are sorted by ``uoid`` and carry a Bloom filter of it, so a scan for one snapshot
+    skips the row groups and pages of the others.
     With ``rejects_path``, rows missing a REQUIRED column go there instead, in
-    the same mode (an append run twice repeats both)."""
+    the same mode (an append run twice repeats both). ``options`` go to the writer."""
     if rejects_path:
         df, bad = split_required(df, [c for c in POSITION_REQUIRED if c in df.columns])
         bad.write.mode(mode).parquet(rejects_path)
     # REBALANCE by the partition column: AQE groups a date's rows into
     # advisory-size partitions (a hot date is split, small ones merged), so
     # each date gets a few large files instead of one file per task.
-    df.hint("rebalance", "ingest_date").write.mode(mode).partitionBy("ingest_date").parquet(path)
+    out = df.hint("rebalance", "ingest_date")
+    skip = {f"parquet.bloom.filter.enabled#{SKIP_COLUMN}": "true", f"parquet.bloom.filter.adaptive.enabled#{SKIP_COLUMN}": "true"} if SKIP_COLUMN in df.columns else {}
+    if skip:
+        out = out.sortWithinPartitions("ingest_date", SKIP_COLUMN)
+    out.write.mode(mode).options(**skip, **(options or {})).partitionBy("ingest_date").parquet(path)
 
 
 def read_positions(spark: SparkSession, path: str, start: str | None = None,
