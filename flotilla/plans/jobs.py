@@ -4,7 +4,7 @@ positions table.
     python -m flotilla.plans.jobs trips    --positions P --out O [--start D --end D] [--state S]
     python -m flotilla.plans.jobs index    --positions P [--start D --end D]
     python -m flotilla.plans.jobs snapshot --positions P --state S --uoid U --out O
-    python -m flotilla.plans.jobs fold     --positions P --state S --day D --out O [--add-new]
+    python -m flotilla.plans.jobs fold     --positions P --state S --day D [--until D] --out O [--add-new]
     python -m flotilla.plans.jobs features --positions P --out O [--start D --end D]
     python -m flotilla.plans.jobs study    --features F --out O --model linear ...
 
@@ -22,11 +22,13 @@ from __future__ import annotations
 import argparse
 import datetime as _dt
 import json
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
 from flotilla.operators import features as FT
 from flotilla.operators import models as M
+from flotilla.operators import replay as R
 from flotilla.operators import snapshots as S
 from flotilla.operators import state as ST
 from flotilla.operators.trips import last_rows, last_rows_before, trip_starts
@@ -56,10 +58,10 @@ def run_trips(spark: SparkSession, a) -> dict:
     return metrics
 
 
-def _ingested(spark: SparkSession, a, day: str) -> DataFrame:
-    """Positions ingested from ``day`` on, for ``--margin`` days: a scan of these
-    partitions only."""
-    end = _dt.date.fromisoformat(day) + _dt.timedelta(days=a.margin)
+def _ingested(spark: SparkSession, a, day: str, until: str | None = None) -> DataFrame:
+    """Positions ingested from ``day`` to ``until``, and ``--margin`` days around: a
+    scan of these partitions only."""
+    end = _dt.date.fromisoformat(until or day) + _dt.timedelta(days=a.margin)
     start = _dt.date.fromisoformat(day) - _dt.timedelta(days=a.margin)
     return tables.read_positions(spark, a.positions, start.isoformat(), end.isoformat())
 
@@ -96,19 +98,27 @@ def run_snapshot(spark: SparkSession, a) -> dict:
 
 
 def run_fold(spark: SparkSession, a) -> dict:
-    index = _index(spark, a)
-    if index:  # every row of each uoid listed that day, whenever it was ingested
+    """The snapshots of a day, or of the days from ``--day`` to ``--until``, over the state."""
+    index, until = _index(spark, a), a.until or a.day
+    days = [(_dt.date.fromisoformat(a.day) + _dt.timedelta(days=i)).isoformat() for i in range((_dt.date.fromisoformat(until) - _dt.date.fromisoformat(a.day)).days + 1)]
+    if index:  # every row of each uoid listed in those days, whenever it was ingested
         known = snapshot_index.read_index(spark, index)
-        pos = snapshot_index.read_dates(spark, a.positions, snapshot_index.dates_of(known, snapshot_index.entries_of_day(known, a.day)))
+        entries = reduce(DataFrame.unionByName, [snapshot_index.entries_of_day(known, d) for d in days])
+        pos = snapshot_index.read_dates(spark, a.positions, snapshot_index.dates_of(known, entries))
     else:      # those ingested within the margin
-        pos = _ingested(spark, a, a.day)
-    step = f"fold:{a.day}"
+        pos = _ingested(spark, a, a.day, until)
+    step = f"fold:{a.day}" if until == a.day else f"fold:{a.day}..{until}"
     source, target = state_store.begin_step(spark, a.state, step)
     state = state_store.read_version(spark, a.state, source)
     pos = pos.select(*state.columns)
-    changes = cut_lineage(ST.changes(state, pos, a.day, add_new=a.add_new, observed_only=True), "fold-changes")  # once, for both results
-    ST.log_of(changes).write.mode("overwrite").parquet(a.out)
-    path = state_store.write_delta(ST.changed_rows(changes, state.columns), a.state, target, step)
+    if until == a.day:
+        changes = cut_lineage(ST.changes(state, pos, a.day, add_new=a.add_new, observed_only=True), "fold-changes")  # once, for both results
+        log, delta = ST.log_of(changes), ST.changed_rows(changes, state.columns)
+    else:
+        changes = cut_lineage(R.replay_changes(state, pos, a.day, until, add_new=a.add_new), "replay-changes")
+        log, delta = R.replay_log(changes), R.replayed_rows(changes)
+    log.write.mode("overwrite").parquet(a.out)
+    path = state_store.write_delta(delta, a.state, target, step)
     return {"state_version": target, "state_path": path}
 
 
@@ -167,6 +177,7 @@ def parser() -> argparse.ArgumentParser:
     f.add_argument("--positions", required=True)
     f.add_argument("--state", required=True)
     f.add_argument("--day", required=True)
+    f.add_argument("--until", help="last day of a range that is replayed in one run")
     f.add_argument("--out", required=True)
     f.add_argument("--add-new", action="store_true")
     f.add_argument("--index", help="folder of the snapshot index (default: <positions>-snapshots, if it is there)")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from flotilla.operators import replay as R
 from flotilla.operators import snapshots as S
 from flotilla.operators import state as ST
 from flotilla.plans.catalog import register
@@ -116,6 +117,48 @@ def state_count(spark, sf_dir):
     return state_of(spark, sf_dir).agg(F.count(F.lit(1)).alias("vehicles"))
 
 
+REPLAY_START, REPLAY_END = "2024-01-06", "2024-01-31"  # the days after the state's cutoff
+
+
+def replay_ctes(add_new: bool = False, state: str = STATE_CTE) -> str:
+    """The fold's SQL with entries by day."""
+    sql = fold_ctes(add_new, state)
+    for old, new in ((f"SELECT DISTINCT uoid, realTime AS e_rt FROM positions WHERE {DAY_FILTER}",
+                      "SELECT DISTINCT CAST(\"timestamp\" AS DATE) AS e_day, uoid, realTime AS e_rt FROM positions "
+                      f"WHERE CAST(\"timestamp\" AS DATE) BETWEEN DATE '{REPLAY_START}' AND DATE '{REPLAY_END}'"),
+                     ("e.e_rt AS e_rt,", "e.e_day AS e_day, e.e_rt AS e_rt,"), ("0 AS k,", "0 AS k, CAST(NULL AS DATE) AS e_day,"),
+                     ("ORDER BY k, e_rt", "ORDER BY k, e_day, e_rt")):
+        assert old in sql
+        sql = sql.replace(old, new)
+    return sql
+
+
+_REPLAYED_SQL = _FINAL_SQL.replace("ORDER BY k DESC,", "ORDER BY k DESC, e_day DESC,")
+
+
+@register("state_replay", positions_sql(_REPLAYED_SQL, replay_ctes(), doubles=["latitud", "longitud"]))
+def state_replay(spark, sf_dir):
+    """T1 over a range of days in one run: segments by day, folded and combined."""
+    return R.replay_state(state_of(spark, sf_dir), positions(spark, sf_dir), REPLAY_START, REPLAY_END).select(*_FOLD_COLS)
+
+
+@register("state_replay_add_new_young_state", positions_sql(
+    _REPLAYED_SQL, replay_ctes(True, YOUNG_STATE_CTE), doubles=["latitud", "longitud"]))
+def state_replay_add_new_young_state(spark, sf_dir):
+    """T1 over a range of days, plates the state lacks inserted at their first sighting."""
+    return R.replay_state(young_state_of(spark, sf_dir), positions(spark, sf_dir), REPLAY_START, REPLAY_END, add_new=True).select(*_FOLD_COLS)
+
+
+@register("movement_log_replay", positions_sql(
+    "SELECT matricula, e_day AS day, e_u AS entry_uoid, e_rt AS entry_realTime, event_id, old_lat AS old_latitud, "
+    "old_lon AS old_longitud, latitud AS new_latitud, longitud AS new_longitud FROM ch WHERE pos > 1",
+    replay_ctes(), doubles=["old_latitud", "old_longitud", "new_latitud", "new_longitud"], dates=["day"]))
+def movement_log_replay(spark, sf_dir):
+    """T2 over a range of days: every accepted position change with its day."""
+    ch = R.replay_changes(state_of(spark, sf_dir), positions(spark, sf_dir), REPLAY_START, REPLAY_END)
+    return R.replay_log(ch)
+
+
 @register("chunk_rows", positions_sql(
     f"SELECT event_id, (row_number() OVER (ORDER BY idVehiculo NULLS FIRST, epochTime, event_id) - 1) "
     f"// {WRITE_BATCH} AS batch_id FROM positions"))
