@@ -3,11 +3,13 @@
 Each rule string (host and path) is hashed with xxhash64; the keys are kept
 sorted in files, one per range of the key's top bits, beside the full rule
 strings. A probe hashes every (host suffix, path prefix) of a url that could
-be a rule, finds the keys of a whole batch with a vectorised binary search
+be a rule (no suffix or prefix is longer than the longest of the rules, however
+long the url is), finds the keys of a whole batch with a vectorised binary search
 and confirms each hit against the stored string, so a digest collision never
 decides a verdict.
 
-The index is built by Spark (one task per key range) into the shared folder.
+The index is built by Spark (one task per key range, their number following the
+number of rules) into the shared folder.
 Tasks map the files read-only; a shared folder that isn't a file system path
 is brought to the executors with ``SparkContext.addFile``.
 """
@@ -28,17 +30,21 @@ from flotilla.llm.shared import ascii_lower, attempt_name, filesystem, open_outp
 from flotilla.session import cut_lineage, fresh_path
 
 JUDGED = "host string, path string, rule string, verdict string"
-SHARD_BITS = 4
+#: Rules of a key range, about.
+SHARD_RULES = 1 << 20
 
 
 @dataclass(frozen=True)
 class UrlIndex:
-    files: tuple[tuple[int, str], ...]  # (shard, file); at most 2 ** SHARD_BITS
+    files: tuple[tuple[int, str], ...]  # (shard, file); at most 2 ** bits
+    bits: int                           # of a key that name its shard
     path_lengths: tuple[int, ...]       # distinct lengths of the rules' paths
+    longest_host: int                   # characters of the rules' longest host
 
 
 def digest(key: bytes) -> int:
-    return xxhash.xxh64_intdigest(key)
+    """Spark's xxhash64 of a string, unsigned."""
+    return xxhash.xxh64_intdigest(key, seed=42)
 
 
 def pack_shard(rules: list[tuple[bytes, bool]]) -> bytes:
@@ -86,10 +92,12 @@ def build_index(rules: DataFrame) -> UrlIndex:
     spark = rules.sparkSession
     folder = fresh_path(spark, "url-index")
     host, path = F.coalesce(ascii_lower(F.col("host")), F.lit("")), F.coalesce("path", F.lit(""))
-    keyed = (rules.select(F.concat(host, path).alias("key"), F.char_length(path).alias("n"), (F.col("verdict") == "block").alias("block"))
-             .groupBy("key", "n").agg(F.max("block").alias("block")))
-    shard = F.udf(lambda k: digest(k.encode()) >> (64 - SHARD_BITS), "int")
-    keyed = cut_lineage(keyed.withColumn("shard", shard("key")), "url-rules")
+    keyed = (rules.select(F.concat(host, path).alias("key"), F.char_length(path).alias("n"), F.char_length(host).alias("h"), (F.col("verdict") == "block").alias("block"))
+             .groupBy("key", "n", "h").agg(F.max("block").alias("block")))
+    keyed = cut_lineage(keyed, "url-rules")
+    n, longest = keyed.agg(F.count("*"), F.max("h")).first()
+    bits = max(0, (-(-n // SHARD_RULES) - 1).bit_length())
+    keyed = keyed.withColumn("shard", F.shiftrightunsigned(F.xxhash64("key"), 64 - bits).cast("int") if bits else F.lit(0))
 
     def write(shard_key, pdf: pd.DataFrame) -> pd.DataFrame:
         name = attempt_name(folder, f"digests-{shard_key[0]:02d}", ".bin")
@@ -98,13 +106,13 @@ def build_index(rules: DataFrame) -> UrlIndex:
         return pd.DataFrame({"shard": [shard_key[0]], "file": [name]})
 
     written = cut_lineage(keyed.groupBy("shard").applyInPandas(write, "shard int, file string"), "url-index-files")
-    files = [(r.shard, r.file) for r in written.collect()]  # at most 2 ** SHARD_BITS rows
+    files = [(r.shard, r.file) for r in written.collect()]  # a row per SHARD_RULES rules
     # Distinct lengths: no more than the longest path has characters.
     lengths = sorted(r.n for r in keyed.select("n").distinct().collect())
     if files and not isinstance(filesystem(files[0][1])[0], pafs.LocalFileSystem):
         for _, f in files:
             spark.sparkContext.addFile(f)
-    return UrlIndex(tuple(files), tuple(lengths))
+    return UrlIndex(tuple(files), bits, tuple(lengths), longest or 0)
 
 
 def split_url(url: str | None) -> tuple[str, str]:
@@ -119,9 +127,14 @@ def split_url(url: str | None) -> tuple[str, str]:
     return host, path[:stop]
 
 
-def candidate_keys(host: str, path: str, lengths: tuple[int, ...]) -> Iterator[tuple[int, int, str]]:
+def candidate_keys(host: str, path: str, lengths: tuple[int, ...], longest_host: int) -> Iterator[tuple[int, int, str]]:
     """(length, host length, key) of each rule that would fit."""
     suffix = host
+    if len(host) > longest_host:  # the first suffix that a rule's host could be
+        dot = host.find(".", len(host) - longest_host - 1)
+        if dot < 0:
+            return
+        suffix = host[dot + 1:]
     while True:
         for n in lengths:
             if n > len(path):
@@ -138,19 +151,19 @@ def _local(uri: str) -> str:
     return path if isinstance(fs, pafs.LocalFileSystem) else SparkFiles.get(uri.rsplit("/", 1)[1])
 
 
-def judge_batch(urls: list[str | None], shards: dict[int, Shard], lengths: tuple[int, ...]):
+def judge_batch(urls: list[str | None], shards: dict[int, Shard], index: UrlIndex):
     """(host, path, rule, verdict) lists for a batch."""
     parts = [split_url(u) for u in urls]
     owner, rank, keys = [], [], []
     for i, (host, path) in enumerate(parts):
-        for n, h, key in candidate_keys(host, path, lengths):
+        for n, h, key in candidate_keys(host, path, index.path_lengths, index.longest_host):
             owner.append(i)
             rank.append((n, h))
             keys.append(key)
     raw = [k.encode() for k in keys]
     digests = np.fromiter(map(digest, raw), np.uint64, len(raw))
     found = np.full(len(raw), -1, np.int8)
-    home = digests >> np.uint64(64 - SHARD_BITS)
+    home = digests >> np.uint64(64 - index.bits) if index.bits else np.zeros(len(raw), np.uint64)
     for s, shard in shards.items():
         mine = np.flatnonzero(home == s)
         found[mine] = shard.find(digests[mine], [raw[i] for i in mine])
@@ -173,13 +186,16 @@ def url_filter(df: DataFrame, index: UrlIndex, url_col: str = "url") -> DataFram
     long ones that with the longer host). Without a fitting rule the digest
     array holds no match: the verdict is allow and the rule null. Null urls and
     urls without ``://`` have an empty host and path.
+    The work a url makes is bounded by the rules' lengths, not by its own; repeated rows
+    are judged one by one, an empty table gives an empty result, and other columns,
+    whatever their names, are carried in ``row``.
     """
     @F.pandas_udf(JUDGED)
     def judge(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         shards = {s: Shard(_local(f)) for s, f in index.files}
         for urls in batches:
             values = [None if pd.isna(u) else u for u in urls]
-            host, path, rule, verdict = judge_batch(values, shards, index.path_lengths)
+            host, path, rule, verdict = judge_batch(values, shards, index)
             yield pd.DataFrame({"host": host, "path": path, "rule": pd.Series(rule, dtype=object), "verdict": verdict})
 
     return df.select(whole_row(df).alias("row"), judge(F.col(f"`{url_col}`")).alias("j")).select("row", "j.*")

@@ -59,3 +59,30 @@ def test_collisions_are_confirmed(tmp_path_factory, rules):
         assert got.tolist() == [int(b) for _, b in rules] + [-1, -1]
     finally:
         urls.digest = real
+
+
+def test_very_long_hosts_and_paths(spark):
+    """A host and a path of 1 MB make no more candidates than the rules are long."""
+    rules = [("com", "/", "allow"), ("b.example.com", "/en/", "block"), ("example.com", "/" + "x" * 50, "block")]
+    index = urls.build_index(spark.createDataFrame(rules, "host string, path string, verdict string"))
+    host, path = "a." * 500_000 + "b.example.com", "/en/" + "x/" * 500_000
+    tests = [f"http://{host}{path}", "http://" + "a." * 500_000 + path, "http://" + "a" * 1_000_000 + ".com" + path, f"http://{host}/{'x' * 1_000_000}"]
+    assert all(len(list(urls.candidate_keys(*urls.split_url(t), index.path_lengths, index.longest_host))) <= 30 for t in tests)
+    df = spark.createDataFrame([(t,) for t in tests * 3], "url string").coalesce(1)
+    got = [(r.rule, r.verdict) for r in urls.url_filter(df, index).collect()]
+    assert sorted(set(map(str, got))) == sorted({str((plain(t, rules)[2:])) for t in tests}) and len(got) == 12
+
+
+def test_many_groups_of_rules(spark, monkeypatch):
+    monkeypatch.setattr(urls, "SHARD_RULES", 10)
+    rules = spark.range(300).selectExpr("concat('h', id, '.net') AS host", "'/' AS path", "if(id % 2 = 0, 'block', 'allow') AS verdict")
+    index = urls.build_index(rules)
+    assert index.bits == 5 and 16 <= len(index.files) <= 32
+    df = spark.range(310).selectExpr("concat('http://w.h', id, '.net/x') AS url", "id")
+    assert all(r.verdict == ("block" if r.row.id < 300 and r.row.id % 2 == 0 else "allow") and (r.rule is None) == (r.row.id >= 300) for r in urls.url_filter(df, index).collect())
+
+
+def test_digest_is_sparks(spark):
+    keys = ["", "a", "example.com/en/", "é日本", "x" * 100]
+    got = [r[0] % 2 ** 64 for r in spark.createDataFrame([(k,) for k in keys], "k string").selectExpr("xxhash64(k)").collect()]
+    assert got == [urls.digest(k.encode()) for k in keys]
