@@ -100,6 +100,37 @@ def test_changed_items_are_found(spark):
     assert got == [[2]] * 5 + [[], []]  # eight words, or all in another order, are no leak
 
 
+def test_results_do_not_depend_on_the_parts(spark):
+    """Partial copies, repeated items and documents: the same items, scores and overlaps from 1, 2 and many parts,
+    and the scores of the brute force over the whole benchmark."""
+    rng = random.Random(12)
+    vocabulary = [f"w{i}" for i in range(400)] + ["the", "of", "and"] * 30
+    items = [(i, " ".join(rng.choice(vocabulary) for _ in range(rng.randrange(6, 60)))) for i in range(200)]
+    items += [items[3], items[3], (500, items[4][1])]
+    texts = [" ".join(rng.choice(vocabulary) for _ in range(30)) + " " + " ".join(t.split()[:int(len(t.split()) * share)]) + " z" * rng.randrange(40)
+             for _, t in rng.sample(items, 80) for share in (0.45, 0.6, 1)]
+    texts += texts[:3]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    bench = spark.createDataFrame(items, "item_id long, text string").repartition(4)
+
+    def found(shard_bytes):
+        out = D.contamination(docs, bench, threshold=0.4, min_overlap=0.2, shard_bytes=shard_bytes)
+        return sorted((r.row.doc_id, m.item_id, m.score, m.question_overlap) for r in out.collect() for m in r.matches)
+    total = sum(len(t) + 16 for _, t in items)
+    one = found(1 << 20)
+    assert one == found(total // 2 + 1) == found(total // 16) and len(one) > 200
+    assert len(D.build_parts(bench.selectExpr("item_id AS id", "text AS question", "CAST(NULL AS STRING) AS answer"), total // 16)) >= 16
+    best = {}
+    index = D.build([(i, t, None) for i, t in items])
+    for d, i, s, _ in one[:60]:
+        words = terms(texts[d])
+        starts = range(0, max(1, -(-len(words) // index.stride) - 1) * index.stride, index.stride)
+        passages = [words[a:a + 2 * index.stride] for a in starts]
+        at = next(k for k, x in enumerate(items) if x[0] == i)
+        best[d, i] = max(scores([t for _, t in items], p)[at] for p in passages)
+        assert abs(best[d, i] - s) < 1e-9
+
+
 def test_query_finds_whole_items(spark):
     """On the fixture: every document that holds an item's words in a row is
     found with it, and nothing that shares under two fifths of its 5-grams."""
