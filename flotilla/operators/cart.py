@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from flotilla.operators.evaluate import row_key
+from flotilla.operators.evaluate import round_half_even, row_key
 from flotilla.session import cut_lineage
 
 LOCAL_ROWS = 50_000
@@ -170,6 +170,20 @@ def predict(train: DataFrame, test: DataFrame, features: Sequence[str], label: s
         *[F.col(n).alias(c) for n, c in zip(x, features)], "mean", "share_of_one", "top")
 
 
+def predict_rows(train: DataFrame, test: DataFrame, features: Sequence[str], label: str, kind: str,
+                 key_cols: Sequence[str], trees: int = 10, local_rows: int = LOCAL_ROWS) -> DataFrame:
+    """The rows of ``test`` with Real and Prediction. kind 'exact_tree': the share of
+    label 1 in the leaf, rounded half to even; 'exact_tree_class': its most frequent
+    label; 'exact_bagging': the mean of ``trees`` bootstrap trees' means."""
+    forest = kind == "exact_bagging"
+    found = predict(train, test, features, label, not forest, trees if forest else 1, key_cols if forest else None, local_rows)
+    value = {"exact_tree": round_half_even(F.col("share_of_one")), "exact_tree_class": F.col("top"), "exact_bagging": F.col("mean")}[kind]
+    found = found.select(*[F.col(c).alias(f"_f{i}") for i, c in enumerate(features)], value.alias("Prediction"))
+    same = [F.col(c).cast("double") == F.col(f"_f{i}") for i, c in enumerate(features)]
+    joined = test.join(found, same, "left").withColumn("Real", F.col(label).cast("double"))
+    return joined.select(*test.columns, "Real", "Prediction")
+
+
 def _finished(rows: DataFrame, x: list[str], classify: bool) -> DataFrame:
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         learn = pdf.w.to_numpy() > 0

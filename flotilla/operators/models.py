@@ -42,9 +42,10 @@ def _prepared(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
 
 
 def bins_of(train: DataFrame, features: Sequence[str]) -> int:
-    """Bins with which every distinct value of every feature is a split
-    candidate, so the splits are those of an exact tree: the largest number of
-    distinct values, counted."""
+    """The largest number of distinct values of a feature, counted. With as many
+    bins every value may be a split candidate, but Spark takes the candidates of a
+    continuous feature from a sample (max(bins squared, 10,000) rows), so on a larger
+    table rare values can be missing. :mod:`flotilla.operators.cart` has no such limit."""
     n = train.agg(*[F.countDistinct(c).alias(c) for c in features]).first()
     return max(MIN_BINS, *[int(x) for x in n])
 
@@ -64,7 +65,7 @@ def indexed(train: DataFrame, classes: Sequence[float]) -> DataFrame:
 
 def make_estimator(kind: str, train: DataFrame | None = None, seed: int = 1, alpha: float = RIDGE_ALPHA,
                    max_bins: int = MIN_BINS):
-    """Trees stop at Spark's depth of 30 (the reference's are unbounded)."""
+    """Trees stop at Spark's depth of 30 (:mod:`flotilla.operators.cart` doesn't)."""
     if kind in ("tree", "tree_class"):
         return DecisionTreeClassifier(featuresCol="_features", labelCol="_class", maxDepth=MAX_DEPTH,
                                       maxBins=max_bins, impurity="gini", seed=seed,

@@ -197,7 +197,7 @@ def parser() -> argparse.ArgumentParser:
     m.add_argument("--out", required=True)
     m.add_argument("--vehicle-type", choices=FT.VEHICLE_TYPES)
     m.add_argument("--label", choices=["numTrips", "tripYesNo"], default="numTrips")
-    m.add_argument("--model", choices=["tree", "tree_class", "linear", "ridge", "bagging"], default="linear")
+    m.add_argument("--model", choices=["tree", "tree_class", "linear", "ridge", "bagging", "exact_tree", "exact_tree_class", "exact_bagging"], default="linear")
     m.add_argument("--no-availability", action="store_true")
     m.set_defaults(fn=run_study)
     return p

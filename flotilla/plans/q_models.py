@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from flotilla.operators import cart
 from flotilla.operators import evaluate as E
 from flotilla.operators import features as FT
 from flotilla.operators import models as M
+from flotilla.operators.moments import cross_validate_linear
 from flotilla.plans.catalog import register
 from flotilla.plans.q_demand import KEYED_CTE
-from flotilla.plans.sqltext import ols_ctes, positions_sql
+from flotilla.plans.sqltext import hash_bucket_sql, ols_ctes, positions_sql
 from flotilla.session import cut_lineage
 from flotilla.plans.studies import KEY, demand_study, features_from, study_input
 
@@ -133,7 +135,117 @@ def ridge_r2(spark, sf_dir):
     return p.agg((F.lit(1.0) - ss_res / ss_tot).alias("r2"))
 
 
-# Model fits without a closed form: rows-only checks.
+# Cross-validation of the linear model: every fold's fit in closed form.
+
+_FOLD_SQL = hash_bucket_sql("concat(cast(r AS VARCHAR), '|', row_key)", E.CV_FOLDS)
+
+
+def _cv_ctes(alpha: float) -> str:
+    ols = ols_ctes("fitted GROUP BY r, f", _F3, "numTrips", alpha)
+    ols = ols.replace("SELECT count(*) AS n", "SELECT r, f, count(*) AS n").replace("SELECT w1, w2, w3,", "SELECT r, f, w1, w2, w3,")
+    return MOTO_CTES + f""",
+foldsr AS (SELECT train.*, r, {_FOLD_SQL} AS fold FROM train, (SELECT unnest(range({E.CV_REPEATS})) AS r)),
+fitted AS (SELECT foldsr.*, f FROM foldsr, (SELECT unnest(range({E.CV_FOLDS})) AS f) WHERE fold <> f),
+{ols},
+cv AS (SELECT foldsr.r AS repeat, fold, count(*) AS n, -avg(abs(numTrips - (b + w1 * "hour" + w2 * clusterId + w3 * numAvailable))) AS neg_mae
+       FROM foldsr JOIN coef ON foldsr.r = coef.r AND fold = f GROUP BY ALL)"""
+
+
+def _cv_linear(spark, sf_dir, alpha=0.0):
+    data = cut_lineage(E.with_split(study_input(features_from(spark, sf_dir), "moto"), [KEY]).where(F.col("is_train")))
+    return cross_validate_linear(data, _F3, "numTrips", [KEY], alpha=alpha)
+
+
+@register("cv_mae_linear", positions_sql("SELECT * FROM cv", _cv_ctes(0.0), doubles=["neg_mae"]))
+def cv_mae_linear(spark, sf_dir):
+    """M8: 10 x 3 repeated K-fold of the linear model, all fits from one aggregate of moments."""
+    return _cv_linear(spark, sf_dir)
+
+
+_SUMMARY_SQL = "SELECT avg(neg_mae) AS mean_neg_mae, stddev_pop(neg_mae) AS std_neg_mae, count(*) AS n_scores FROM cv"
+
+
+def _summary(scores):
+    return scores.agg(F.avg("neg_mae").alias("mean_neg_mae"), F.stddev_pop("neg_mae").alias("std_neg_mae"), F.count(F.lit(1)).alias("n_scores"))
+
+
+@register("cv_mae_linear_summary", positions_sql(_SUMMARY_SQL, _cv_ctes(0.0), doubles=["mean_neg_mae", "std_neg_mae"]))
+def cv_mae_linear_summary(spark, sf_dir):
+    """Mean and population std of the linear model's scores."""
+    return _summary(_cv_linear(spark, sf_dir))
+
+
+@register("cv_mae_ridge_summary", positions_sql(_SUMMARY_SQL, _cv_ctes(M.RIDGE_ALPHA), doubles=["mean_neg_mae", "std_neg_mae"]))
+def cv_mae_ridge_summary(spark, sf_dir):
+    """The same for the ridge model."""
+    return _summary(_cv_linear(spark, sf_dir, M.RIDGE_ALPHA))
+
+
+# What SQL can say of a tree: every candidate split of its root, and the weights of a bootstrap.
+
+_SPLITS_SQL = """SELECT f, v, (v + next) / 2 AS threshold, left2 / n + right2 / (total - n) AS score FROM (
+  SELECT f, v, lead(v) OVER (PARTITION BY f ORDER BY v) AS next, n, left2, right2, max(n) OVER (PARTITION BY f) AS total FROM (
+    SELECT a.f, a.v, sum(l) AS n, sum(l * l) AS left2, sum((t - l) * (t - l)) AS right2 FROM (
+      SELECT a.f, a.v, c.y, any_value(c.t) AS t, coalesce(sum(b.k), 0) AS l FROM (SELECT DISTINCT f, v FROM long) a
+      JOIN (SELECT f, y, sum(k) AS t FROM long GROUP BY f, y) c ON a.f = c.f
+      LEFT JOIN long b ON b.f = a.f AND b.v <= a.v AND b.y = c.y GROUP BY a.f, a.v, c.y) a GROUP BY a.f, a.v)) WHERE next IS NOT NULL"""
+_LONG_CTE = MOTO_CTES + ",\nlong AS (" + " UNION ALL ".join(
+    f'SELECT {i} AS f, cast("{c}" AS DOUBLE) AS v, cast(numTrips AS DOUBLE) AS y, count(*) AS k FROM train GROUP BY ALL' for i, c in enumerate(_F3)) + ")"
+
+
+@register("tree_root_splits", positions_sql(_SPLITS_SQL, _LONG_CTE, doubles=["v", "threshold", "score"]))
+def tree_root_splits(spark, sf_dir):
+    """M2: every split the exact tree weighs at its root, with its Gini score (moto training rows)."""
+    data = E.with_split(study_input(features_from(spark, sf_dir), "moto"), [KEY]).where(F.col("is_train"))
+    rows = data.select(F.lit(0).alias("tree"), F.lit("").alias("node"), *[F.col(c).cast("double").alias(c) for c in _F3],
+                       F.col("numTrips").cast("double").alias("y"), F.lit(1).alias("w"))
+    return cart.candidates(rows, _F3, True).select("f", "v", "threshold", "score")
+
+
+_U = "(('0x' || substr(md5(concat(cast(tree AS VARCHAR), '|', row_key)), 1, 8))::BIGINT)"
+
+
+@register("bootstrap_weights", positions_sql(
+    "SELECT row_key, tree, " + " + ".join(f"cast({_U} >= {t} AS BIGINT)" for t in cart._POISSON)
+    + f" AS weight FROM train, (SELECT unnest(range({M.BAGGING_TREES})) AS tree)", MOTO_CTES, ints=["weight"]))
+def bootstrap_weights(spark, sf_dir):
+    """M7: how often each training row is in each tree's sample."""
+    data = E.with_split(study_input(features_from(spark, sf_dir), "moto"), [KEY]).where(F.col("is_train"))
+    trees = data.select(KEY, F.explode(F.sequence(F.lit(0), F.lit(M.BAGGING_TREES - 1))).alias("tree"))
+    return trees.select(KEY, "tree", cart.bootstrap_weight(E.row_key([KEY]), F.col("tree")).alias("weight"))
+
+
+# Model fits without a closed form: rows-only checks, held against plain Python in the tests.
+
+@register("exact_tree_trips")
+def exact_tree_trips(spark, sf_dir):
+    """M2 / M4: the exact tree on all types; prediction = P(numTrips = 1) rounded."""
+    return demand_study(features_from(spark, sf_dir), None, _F3, "numTrips", "exact_tree")
+
+
+@register("exact_tree_trips_moto")
+def exact_tree_trips_moto(spark, sf_dir):
+    """M2: the exact tree on the moto rows, class predictions."""
+    return demand_study(features_from(spark, sf_dir), "moto", _F3, "numTrips", "exact_tree_class")
+
+
+@register("exact_tree_yes_no")
+def exact_tree_yes_no(spark, sf_dir):
+    """M3: does a trip happen -- the exact binary tree, P(yes) rounded."""
+    return demand_study(features_from(spark, sf_dir), None, _F3, "tripYesNo", "exact_tree")
+
+
+@register("exact_bagging_trips")
+def exact_bagging_trips(spark, sf_dir):
+    """M7: ten exact trees on bootstrap weights, trip counts of the moto rows."""
+    return demand_study(features_from(spark, sf_dir), "moto", _F3, "numTrips", "exact_bagging")
+
+
+@register("exact_bagging_yes_no_no_avail")
+def exact_bagging_yes_no_no_avail(spark, sf_dir):
+    """M7: the same for the yes/no label without numAvailable as a feature."""
+    return demand_study(features_from(spark, sf_dir), None, M.FEATURES_NO_AVAILABILITY, "tripYesNo", "exact_bagging", with_pct=False)
+
 
 @register("tree_trips")
 def tree_trips(spark, sf_dir):

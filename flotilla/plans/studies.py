@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from flotilla.operators import cart
 from flotilla.operators import evaluate as E
 from flotilla.operators import features as FT
 from flotilla.operators import models as M
@@ -93,7 +94,10 @@ def demand_study(features: DataFrame, vehicle_type: str | None, feature_cols: Se
     data = cut_lineage(E.with_split(study_input(features, vehicle_type), [KEY]))
     train = data.where(F.col("is_train")).drop("is_train")
     test = data.where(~F.col("is_train")).drop("is_train")
-    _, pred = M.fit_predict(train, test, feature_cols, label, kind, seed=seed)
+    if kind.startswith("exact_"):
+        pred = cart.predict_rows(train, test, feature_cols, label, kind, [KEY])
+    else:
+        _, pred = M.fit_predict(train, test, feature_cols, label, kind, seed=seed)
     out = E.errors(pred, available="numAvailable" if with_pct else None)
     cols = [KEY, *feature_cols, "numAvailable", "Real", "Prediction", "Err"]
     if with_pct:
