@@ -93,11 +93,13 @@ def pack(docs: DataFrame, length: Column, id_col: str = "doc_id", buckets: int =
     stays within the budget unless it is a single longer row; only the last of
     a bucket has fewer. ``batch_id`` is unique over buckets, ``slot`` counts
     from 0. ``length`` null counts as 0, and rows of length 0 are packed like
-    others. Rows repeated, or without an id, are packed row by row. Other
-    columns don't matter. An empty table gives no rows.
+    others. Rows repeated, or without an id, are packed row by row, and dealt to
+    parts by their place in the table, so equal ones spread like any others. Texts of
+    any length are only counted here. Other columns don't matter; an ``id_col`` that
+    has the name of a result column is returned as ``doc_id``. An empty table gives no rows.
     """
-    spark = docs.sparkSession
-    rows = docs.select(F.col(f"`{id_col}`").alias(id_col), F.coalesce(length, F.lit(0)).cast("long").alias("n_tokens"))
+    name = "doc_id" if id_col in ("n_tokens", "bucket_tokens", "batch_id", "slot") else id_col
+    rows = docs.select(F.col(f"`{id_col}`").alias("_id"), F.coalesce(length, F.lit(0)).cast("long").alias("n_tokens"), F.monotonically_increasing_id().alias("_row"))
     rows = cut_lineage(rows, "lengths")
     histogram = rows.groupBy("n_tokens").agg(F.count(F.lit(1)).alias("n")).toArrow()
     lengths, counts = histogram.column(0).to_pylist(), histogram.column(1).to_pylist()
@@ -105,18 +107,18 @@ def pack(docs: DataFrame, length: Column, id_col: str = "doc_id", buckets: int =
     parts = max(1, -(-sum(counts) // part_rows))
     array = F.array(*[F.lit(x).cast("long") for x in bounds]) if bounds else F.array(F.lit(0).cast("long"))
     bucketed = (rows.withColumn("_bucket", F.size(F.filter(array, lambda x: x < F.col("n_tokens"))))
-                .withColumn("_order", F.xxhash64(id_col, "n_tokens")))
+                .withColumn("_order", F.xxhash64("_id", "n_tokens", "_row")))
     bucketed = bucketed.withColumn("_part", F.pmod(F.xxhash64(F.col("_order"), F.lit(5)), F.lit(parts)))
     sizes = bucketed.groupBy("_bucket", "_part").agg(F.count(F.lit(1)).alias("_n"))
     # A row per bucket and part of part_rows rows.
     earlier = Window.partitionBy("_bucket").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = cut_lineage(sizes.withColumn("_offset", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).drop("_n"), "pack-offsets")
-    place = F.row_number().over(Window.partitionBy("_bucket", "_part").orderBy("_order", id_col))
+    place = F.row_number().over(Window.partitionBy("_bucket", "_part").orderBy("_order", "_row"))
     numbered = bucketed.withColumn("_place", place).join(offsets, ["_bucket", "_part"])
     bound = F.element_at(array, F.col("_bucket") + 1)
     capacity = F.greatest(F.lit(1), F.floor(F.lit(token_budget) / F.greatest(bound, F.lit(1)))).cast("long")
     at = F.col("_offset") + F.col("_place") - 1
     batch = F.floor(at / capacity).cast("long")
-    return numbered.select(id_col, "n_tokens", bound.alias("bucket_tokens"),
+    return numbered.select(F.col("_id").alias(name), "n_tokens", bound.alias("bucket_tokens"),
                            F.concat(F.col("_bucket").cast("string"), F.lit("-"), batch.cast("string")).alias("batch_id"),
                            (at - batch * capacity).cast("int").alias("slot"))

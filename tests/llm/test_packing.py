@@ -53,6 +53,25 @@ def test_batches(spark, part_rows):
     assert len({k[1] for k in batches}) == len(batches)
 
 
+def test_equal_rows_spread_over_parts(spark, monkeypatch):
+    """Half of the rows without an id and empty: no part is much larger than asked."""
+    seen = {}
+    real = packing.cut_lineage
+    monkeypatch.setattr(packing, "cut_lineage", lambda df, label: seen.setdefault(label, real(df, label)))
+    df = spark.range(40_000).selectExpr("if(id % 2 = 0, NULL, id) AS doc_id", "if(id % 2 = 0, 0, id % 50) AS n")
+    got = packing.pack(df, F.col("n"), part_rows=1000, token_budget=64)
+    assert got.count() == 40_000 and got.select("batch_id", "slot").distinct().count() == 40_000
+    offsets = seen["pack-offsets"].orderBy("_bucket", "_part").collect()
+    assert max(b._offset - a._offset for a, b in zip(offsets, offsets[1:]) if a._bucket == b._bucket) < 1000
+
+
+@pytest.mark.parametrize("name", ["n_tokens", "slot", "batch_id", "bucket_tokens", "_id", "_row"])
+def test_clashing_names(spark, name):
+    df = spark.createDataFrame([(7, 3, "x"), (8, 2, "y")], f"`{name}` long, n int, other string")
+    got = packing.pack(df, F.col("n"), id_col=name)
+    assert len(set(got.columns)) == 5 and sorted((r[0], r.n_tokens) for r in got.collect()) == [(7, 3), (8, 2)]
+
+
 def test_empty_table_and_words(spark):
     df = spark.createDataFrame([(1, " a\tb\x0bc d \n"), (2, ""), (3, None)], "doc_id long, text string")
     assert [r[0] for r in df.select(packing.word_count(F.col("text"))).collect()] == [3, 0, 0]
