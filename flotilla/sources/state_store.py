@@ -1,7 +1,7 @@
 """Versioned vehicle-state table, merged on read.
 
 A version is either *full* (one row per plate, in folders by a bucket of the
-plate) or a *delta* (only the plates a step changed). Reading a version takes the
+plate) or a *delta* (only the plates a step changed, a small table). Reading a version takes the
 newest full one up to it and the deltas since, and of each plate the newest row;
 deltas are small, so Spark broadcasts their plates and the full table isn't
 shuffled. An update writes what it changes; :func:`compact` rewrites the state
@@ -103,10 +103,17 @@ def _write(state: DataFrame, base: str, version: int, step: str | None, delta: b
     for old in (path, version_path(base, version, not delta)):
         _drop(spark, old)
     _note(spark, base, version, step, {**kept, **more, "schema": state.schema.json(), "plate": plate, "buckets": buckets})
-    _write_table(state, path, plate, buckets)
+    if delta:
+        _write_delta(state, path)
+    else:
+        _write_table(state, path, plate, buckets)
     return path
 
 
+def _write_delta(changed: DataFrame, path: str) -> None:
+    changed.write.mode("overwrite").parquet(path)
+
+
 def _write_table(state: DataFrame, path: str, plate: str, buckets: int) -> None:
     state.withColumn(BUCKET, _bucket(plate, buckets)).hint("rebalance", BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(path)
 
@@ -222,14 +229,15 @@ def read_version(spark: SparkSession, base: str, version: int | None = None, pla
     schema = T.StructType.fromJson(json.loads(note["schema"]))
     stored = T.StructType([*schema.fields, T.StructField(BUCKET, T.IntegerType())])
 
-    def table(path: str) -> DataFrame:
-        df = spark.read.schema(stored).parquet(path)
-        if plates is not None:
-            wanted = spark.createDataFrame([(p,) for p in plates], "p string").select(_bucket("p", buckets).alias("b")).distinct()
-            df = df.where(F.col(BUCKET).isin([r.b for r in wanted.collect()]) & F.col(plate).isin(list(plates)))  # at most ``buckets`` rows
-        return df.drop(BUCKET)
+    def table(path: str) -> DataFrame:  # a delta
+        df = spark.read.schema(schema).parquet(path)
+        return df if plates is None else df.where(F.col(plate).isin(list(plates)))
 
-    full = table(root)
+    full = spark.read.schema(stored).parquet(root)
+    if plates is not None:
+        wanted = spark.createDataFrame([(p,) for p in plates], "p string").select(_bucket("p", buckets).alias("b")).distinct()
+        full = full.where(F.col(BUCKET).isin([r.b for r in wanted.collect()]) & F.col(plate).isin(list(plates)))  # at most ``buckets`` rows
+    full = full.drop(BUCKET)
     if not deltas:
         return full
     # Each delta holds a plate once, so the newest row of a plate is that of the newest delta.

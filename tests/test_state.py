@@ -208,7 +208,7 @@ def test_a_stop_between_the_writes_of_a_version(spark, monkeypatch):
 
     def stop(*a, **k):
         raise RuntimeError("stopped")
-    for name in ("_write_table", "_note"):
+    for name in ("_write_delta", "_note"):
         for _ in range(2):                                                                 # first a new version, then a repeated one
             with monkeypatch.context() as m:
                 m.setattr(state_store, name, stop)
@@ -219,7 +219,7 @@ def test_a_stop_between_the_writes_of_a_version(spark, monkeypatch):
             state_store.write_delta(delta, base, 1, "fold:a")
             assert state_store.step_of(spark, base, 1)["step"] == "fold:a" and state_store.begin_step(spark, base, "fold:a") == (0, 1)
     with monkeypatch.context() as m:                                                       # another step after a stop takes its place
-        m.setattr(state_store, "_write_table", stop)
+        m.setattr(state_store, "_write_delta", stop)
         with pytest.raises(RuntimeError):
             state_store.write_delta(delta, base, 2, "fold:b")
     state_store.write_delta(delta, base, 2, "fold:c")
