@@ -45,7 +45,8 @@ def weekday_number(name: Column) -> Column:
     return F.create_map(*pairs)[name]
 
 
-def _keyed(df: DataFrame, ts: str, cluster: str, lat: str, lon: str, extra: list[Column]) -> DataFrame:
+def keyed(df: DataFrame, ts: str, cluster: str, lat: str, lon: str, extra: list[Column]) -> DataFrame:
+    """The feature keys of rows with a time and a cluster, and the ``extra`` columns."""
     return df.select(F.col("servicio"), F.col("tipoVehiculo"), *calendar_parts(F.col(ts)),
                      F.col(cluster).alias("clusterId"), F.col(lat).alias("clusterLatitude"),
                      F.col(lon).alias("clusterLongitude"), *extra).drop("date")
@@ -59,15 +60,15 @@ def cluster_hour_features(positions: DataFrame, trips: DataFrame, approx_rsd: fl
     HyperLogLog aggregate (``approx_count_distinct``) with that relative
     standard deviation: one shuffle less at scale, counts approximate.
     """
-    keyed = _keyed(positions, "timestamp", "clusterId", "clusterLatitude", "clusterLongitude",
+    placed = keyed(positions, "timestamp", "clusterId", "clusterLatitude", "clusterLongitude",
                    [F.col("idVehiculo")])
     if approx_rsd is None:
-        seen = (keyed.distinct()                                   # one row per vehicle and key
+        seen = (placed.distinct()                                  # one row per vehicle and key
                 .groupBy(*FEATURE_KEYS).agg(F.count("idVehiculo").alias("_avail")))
     else:
-        seen = keyed.groupBy(*FEATURE_KEYS).agg(
+        seen = placed.groupBy(*FEATURE_KEYS).agg(
             F.approx_count_distinct("idVehiculo", approx_rsd).alias("_avail"))
-    moved = (_keyed(trips, "timestamp_start", "clusterId_start", "clusterLatitude_start",
+    moved = (keyed(trips, "timestamp_start", "clusterId_start", "clusterLatitude_start",
                     "clusterLongitude_start", [])
              .groupBy(*FEATURE_KEYS).agg(F.count(F.lit(1)).alias("_trips")))
     both = (seen.withColumn("_trips", F.lit(None).cast("bigint"))

@@ -31,10 +31,18 @@ from flotilla.operators import models as M
 from flotilla.operators import replay as R
 from flotilla.operators import snapshots as S
 from flotilla.operators import state as ST
-from flotilla.operators.trips import last_rows, last_rows_before, trip_starts
+from flotilla.operators.trips import extract_trips, last_rows, last_rows_before, trip_starts
 from flotilla.plans.studies import demand_study, trip_job
 from flotilla.session import cluster_settings, cut_lineage, get_session
-from flotilla.sources import last_seen, snapshot_index, state_store, tables
+from flotilla.sources import feature_store, last_seen, snapshot_index, state_store, tables
+
+
+def _carry(spark: SparkSession, a) -> DataFrame | None:
+    """The row of each vehicle before the range, by a scan of the positions before it."""
+    if not a.start:
+        return None
+    before = (_dt.date.fromisoformat(a.start) - _dt.timedelta(days=1)).isoformat()
+    return last_rows_before(tables.read_positions(spark, a.positions, None, before), a.start)
 
 
 def run_trips(spark: SparkSession, a) -> dict:
@@ -45,11 +53,10 @@ def run_trips(spark: SparkSession, a) -> dict:
     metrics: dict = {}
     carry = None
     if a.start and a.pairing == "vehicle":
-        before = (_dt.date.fromisoformat(a.start) - _dt.timedelta(days=1)).isoformat()
         if a.state:
-            carry = last_seen.read(spark, a.state, before)
+            carry = last_seen.read(spark, a.state, (_dt.date.fromisoformat(a.start) - _dt.timedelta(days=1)).isoformat())
         else:
-            carry = last_rows_before(tables.read_positions(spark, a.positions, None, before), a.start)
+            carry = _carry(spark, a)
     trip_job(pos, a.out, pairing=a.pairing, compat=a.compat, metrics=metrics, carry_in=carry, audit=a.audit,
              dates=(a.start, a.end) if a.start and a.end else None, rejects_path=a.rejects or f"{a.out.rstrip('/')}-rejects")
     if a.state and a.end and a.pairing == "vehicle":
@@ -123,8 +130,17 @@ def run_fold(spark: SparkSession, a) -> dict:
 
 
 def run_features(spark: SparkSession, a) -> dict:
+    """The view of the range; with ``--store`` the range's dates are added to the
+    stored view (or replaced there), and the whole view is written out."""
     pos = tables.read_positions(spark, a.positions, a.start, a.end)
-    FT.cluster_hour_features(pos, trip_starts(pos, compat=True), approx_rsd=a.approx_rsd).write.mode("overwrite").parquet(a.out)
+    if a.store:
+        approximate = a.approx_rsd is not None
+        trips = extract_trips(pos, compat=True, carry_in=_carry(spark, a), with_date=True)
+        feature_store.write_increment(pos, trips, a.store, approximate=approximate)
+        view = feature_store.read_view(spark, a.store, approximate)
+    else:
+        view = FT.cluster_hour_features(pos, trip_starts(pos, compat=True), approx_rsd=a.approx_rsd)
+    view.write.mode("overwrite").parquet(a.out)
     return {}
 
 
@@ -189,6 +205,7 @@ def parser() -> argparse.ArgumentParser:
     e.add_argument("--out", required=True)
     e.add_argument("--start")
     e.add_argument("--end")
+    e.add_argument("--store", help="folder of the view by increments; with --approx-rsd it keeps sketches")
     e.add_argument("--approx-rsd", type=float, help="approximate numAvailable with this relative error")
     e.set_defaults(fn=run_features)
 

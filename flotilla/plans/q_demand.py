@@ -6,12 +6,15 @@ from pyspark.sql import functions as F
 
 from flotilla.operators import evaluate as E
 from flotilla.operators import features as FT
+from flotilla.operators.trips import extract_trips
 from flotilla.plans.catalog import register
 from flotilla.plans.sqltext import (
     CLEAN_CTE, FEATURES_CTES, hash_bucket_sql, positions_sql,
 )
 from flotilla.plans.studies import KEY, features_from, study_input
-from flotilla.sources.fixture import positions
+from flotilla.session import fresh_path
+from flotilla.sources import feature_store
+from flotilla.sources.fixture import RANGE_START, positions
 
 HEAD_N, TAIL_N = 5, 20
 # The six columns of the per-type table.
@@ -36,6 +39,21 @@ def cluster_hour_features(spark, sf_dir):
     return features_from(spark, sf_dir).select(*FT.FEATURE_COLUMNS)
 
 
+@register("feature_view_increments", positions_sql(
+    "SELECT * FROM features", FEATURES_CTES, doubles=_FEAT_DOUBLES))
+def feature_view_increments(spark, sf_dir):
+    """A8 by increments: the dates up to a day, the later ones, the later ones again.
+    Every other row comes a day late, so hours are seen on two dates."""
+    base = fresh_path(spark, "features")
+    p = positions(spark, sf_dir)
+    late = p.withColumn("ingest_date", F.date_add("ingest_date", (F.col("event_id") % 2).cast("int")))
+    trips = extract_trips(p, compat=True, with_date=True)
+    for early in (True, False, False):
+        def run(c): return (F.col(c) <= F.lit(RANGE_START).cast("date")) == F.lit(early)
+        feature_store.write_increment(late.where(run("ingest_date")), trips.where(run("trip_date")), base)
+    return feature_store.read_view(spark, base)
+
+
 @register("calendar_parts", positions_sql(
     'SELECT event_id, cast("timestamp" AS DATE) AS "date", year("timestamp") AS year, '
     'month("timestamp") AS month, day("timestamp") AS day, dayname("timestamp") AS weekday, '

@@ -30,6 +30,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from flotilla.sources.files import complete as _complete, delete as _drop, names as _names, path_and_system as _file
+
 PLATE = "matricula"
 BUCKET = "plate_bucket"
 BUCKETS = 8
@@ -45,32 +47,6 @@ def _merged_path(base: str, version: int) -> str:
     return os.path.join(base, "state-merged", f"v={version:010d}")
 
 
-def _file(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
-def _names(spark: SparkSession, folder: str) -> list[str]:
-    root, fs = _file(spark, folder)
-    return sorted(s.getPath().getName() for s in fs.listStatus(root)) if fs.exists(root) else []
-
-
-def _complete(spark: SparkSession, folder: str) -> list[str]:
-    """The tables of a folder that were written to the end."""
-    out = []
-    for name in _names(spark, folder):
-        mark, fs = _file(spark, os.path.join(folder, name, "_SUCCESS"))
-        if fs.exists(mark):
-            out.append(name)
-    return out
-
-
-def _drop(spark: SparkSession, path: str) -> None:
-    p, fs = _file(spark, path)
-    fs.delete(p, True)
-
-
 def _bucket(plate: str, buckets: int) -> Column:
     return F.pmod(F.xxhash64(plate), F.lit(buckets)).cast("int")
 
