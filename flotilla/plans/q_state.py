@@ -13,7 +13,7 @@ from flotilla.plans.q_snapshots import (
 )
 from flotilla.plans.sqltext import POSITION_DOUBLES, positions_sql
 from flotilla.session import cut_lineage, fresh_path
-from flotilla.sources import state_store, tables
+from flotilla.sources import keyed_store, state_store, tables
 from flotilla.sources.fixture import FOLD_DAY, SNAPSHOT_ID, positions
 from flotilla.streaming import live_state as LS
 
@@ -79,6 +79,20 @@ def state_upsert(spark, sf_dir):
     return state_store.read_version(spark, base)
 
 
+@register("keyed_documents", positions_sql(
+    f"SELECT {', '.join(_FOLD_COLS)} FROM (SELECT * FROM upd UNION ALL BY NAME SELECT * FROM state WHERE matricula NOT IN (SELECT matricula FROM upd))",
+    _UPSERT_CTE, doubles=["latitud", "longitud"]))
+def keyed_documents(spark, sf_dir):
+    """K6: the state and then a snapshot's rows written as keyed documents, in batches
+    that count from their commit on; read back as the newest of each key."""
+    path = fresh_path(spark, "documents")
+    state = state_of(spark, sf_dir).select(*_FOLD_COLS)
+    keyed_store.write_documents(state, path, "matricula", WRITE_BATCH)
+    snap = S.dedupe_snapshots(snapshot_positions(spark, sf_dir, SNAPSHOT_ID)).select(*_FOLD_COLS)
+    keyed_store.write_documents(snap, path, "matricula", WRITE_BATCH)
+    return keyed_store.read_documents(spark, path, state.schema).select("document.*")
+
+
 _SERIES_SQL = f"""SELECT * EXCLUDE (rk, e_rt) FROM (SELECT *, row_number() OVER (PARTITION BY matricula ORDER BY e_rt DESC NULLS LAST, uoid DESC) AS rk FROM (
   SELECT *, CAST(NULL AS VARCHAR) AS e_rt FROM state UNION ALL BY NAME
   SELECT * EXCLUDE (rk, last_rt), last_rt AS e_rt FROM (SELECT p.*, last_rt, row_number() OVER (PARTITION BY p.uoid, matricula ORDER BY p.realTime NULLS FIRST, event_id) AS rk
