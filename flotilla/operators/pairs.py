@@ -85,6 +85,14 @@ def _bucket_window(order: Sequence[str]):
         F.col("_carry").desc(), *[F.col(f"_row.{c}").asc_nulls_first() for c in order])
 
 
+def previous_in_groups(df: DataFrame, entity: str, order: Sequence[str], prev_col: str = "prev") -> DataFrame:
+    """``prev_col`` with one window group per entity, however large: one exchange, or
+    none where the rows are stored by ``entity``."""
+    row = F.struct(*[F.col(c) for c in df.columns])
+    w = Window.partitionBy(entity).orderBy(*[F.col(c).asc_nulls_first() for c in order])
+    return df.withColumn(prev_col, F.lag(row).over(w))
+
+
 def attach_previous(df: DataFrame, entity: str = "idVehiculo",
                     order: Sequence[str] = DEFAULT_ORDER,
                     scope: str = "vehicle", prev_col: str = "prev",

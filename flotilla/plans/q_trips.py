@@ -12,6 +12,8 @@ from flotilla.operators.trips import extract_trips, last_rows_before, position_p
 from flotilla.plans.catalog import register
 from flotilla.plans.present import sql_present
 from flotilla.plans.sqltext import TRIP_DOUBLES, TRIP_TIMESTAMPS, pairs_cte, positions_sql, trips_sql
+from flotilla.session import fresh_path
+from flotilla.sources import bucketed
 from flotilla.sources.fixture import RANGE_END, RANGE_START, positions
 
 _KEYS = ["event_id", "idVehiculo", "epochTime"]
@@ -71,6 +73,20 @@ def position_pairs_q(spark, sf_dir):
                      F.col("e.epochTime").alias("epochTime_end"))
 
 
+@register("position_pairs_stored", _PAIRS_SQL)
+def position_pairs_stored(spark, sf_dir):
+    """J1 over positions stored by vehicle, in two writes of which the second is repeated:
+    the window runs in the scan's tasks."""
+    path = fresh_path(spark, "by-vehicle")
+    cols = [*_KEYS, "ingest_date"]
+    bucketed.write_bucketed(positions(spark, sf_dir, end=_day_before(RANGE_START)).select(*cols), path, buckets=8)
+    for _ in range(2):
+        bucketed.write_bucketed(positions(spark, sf_dir, RANGE_START).select(*cols), path)
+    pr = bucketed.previous_stored(spark, path, _KEYS).where(F.col("prev").isNotNull())
+    return pr.select("idVehiculo", F.col("prev.event_id").alias("event_id_start"), F.col("event_id").alias("event_id_end"),
+                     F.col("prev.epochTime").alias("epochTime_start"), F.col("epochTime").alias("epochTime_end"))
+
+
 _HAV_SQL = positions_sql(
     "SELECT s_event_id AS event_id_start, event_id AS event_id_end, "
     f"{pair_distance_sql('s_latitud', 's_longitud', 'latitud', 'longitud', False)} AS dist_strict, "

@@ -30,3 +30,8 @@ def complete(spark: SparkSession, folder: str) -> list[str]:
 def delete(spark: SparkSession, path: str) -> None:
     p, fs = path_and_system(spark, path)
     fs.delete(p, True)
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    p, fs = path_and_system(spark, path)
+    fs.mkdirs(p)
