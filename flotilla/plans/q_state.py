@@ -15,6 +15,7 @@ from flotilla.plans.sqltext import POSITION_DOUBLES, positions_sql
 from flotilla.session import cut_lineage, fresh_path
 from flotilla.sources import keyed_store, state_store, tables
 from flotilla.sources.fixture import FOLD_DAY, SNAPSHOT_ID, positions
+from flotilla.streaming import keyed_state as KS
 from flotilla.streaming import live_state as LS
 
 # The reference's write batch size.
@@ -219,3 +220,16 @@ def live_state(spark, sf_dir):
         day.where(drop).write.mode("append").parquet(feed)
         LS.run_available(spark, feed, base, pos.schema)
     return LS.read_state(spark, base).select(*_FOLD_COLS)
+
+
+@register("live_state_keyed", positions_sql(_FINAL_SQL, fold_ctes(add_new=True), doubles=["latitud", "longitud"]))
+def live_state_keyed(spark, sf_dir):
+    """T4 with the state in the stream: the day's snapshots in two drops, a value per plate."""
+    base = fresh_path(spark, "live-keyed")
+    pos, state = positions(spark, sf_dir), cut_lineage(state_of(spark, sf_dir), "first-state")
+    day, feed = pos.where(S.day_filter(FOLD_DAY)), f"{base}/feed"
+    noon = F.lit(f"{FOLD_DAY} 12:00:00")
+    for drop in (F.col("realTime") < noon, F.col("realTime") >= noon):   # whole 6 h snapshots
+        day.where(drop).write.mode("append").parquet(feed)
+        KS.run_available(spark, feed, base, pos.schema, state)
+    return KS.current_state(spark, base, pos.schema, state).select(*_FOLD_COLS)
