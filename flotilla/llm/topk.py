@@ -1,18 +1,26 @@
 """Exact top-k by inner product with KD-trees per shard.
 
-Rows are dealt to shards of a bounded size by a hash; each shard's task builds
-a KD-tree (median splits on the widest side, tight bounding boxes) and writes
-it to the shared folder. Queries come in blocks; a block's task reads one
-tree at a time and searches it best first, by the largest inner product a box
-allows, and carries each query's k-th score from tree to tree, so a tree whose
-root can't beat it is passed over. Nothing grows in a task but one shard and
-one block, and every task can be run again.
+Rows are dealt to shards of a bounded size by place: the widest components are
+cut at their medians (one aggregate over the table), a cell with more rows than a
+shard takes is dealt on by a hash. Each shard's task builds a KD-tree (median splits
+on the widest side, tight bounding boxes), writes it to the shared folder, and its
+root box to a manifest. Queries come in blocks of one cell; a block's task goes
+through the manifest, the trees with the largest bound first, and loads a tree
+only if its root box can beat the k-th score of one of its queries; such queries search
+it best first, by the largest inner product a box allows. The k-th scores are carried
+from tree to tree. Nothing grows in a task but one shard, one block and a piece of the
+manifest, and every task can be run again.
+
+The result doesn't depend on where the cuts are. How much they save depends on the
+vectors: where all directions are equally wide, every box allows more than the k-th score
+and all trees are searched.
 """
 
 from __future__ import annotations
 
 import heapq
 import io
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,6 +32,10 @@ from flotilla.llm.shared import attempt_name, filesystem, open_output, read_byte
 from flotilla.session import cut_lineage, fresh_path
 
 LEAF = 128
+#: Components by which rows are dealt to cells, at most.
+CELL_BITS = 12
+#: Root boxes that a task holds at once.
+MANIFEST_ROWS = 4096
 
 
 @dataclass
@@ -140,7 +152,7 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "id",
     all rows but those with their own id. Ties go to the smaller id; a row that
     is repeated is found as often. Rows without an id or a vector take no part
     (nulls inside a vector: leave them out before). Vectors of different
-    lengths don't meet; empty vectors score 0. A query with fewer than ``k``
+    lengths don't meet; empty vectors score 0. Other columns are left out, whatever their names. A query with fewer than ``k``
     partners returns all of them. Inner products must fit a long.
     """
     spark = rows.sparkSession
@@ -152,31 +164,61 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "id",
     rows, queries = narrow(rows).withColumn("dim", F.size("vec")), narrow(queries).withColumn("dim", F.size("vec"))
     n = rows.count()
     shards = max(1, -(-n // shard_rows))
+    cell = _cell(rows, shards)
 
     def plant(pdf: pd.DataFrame) -> pd.DataFrame:
         dim = int(pdf.dim.iloc[0])
         tree = build(pdf.id.to_numpy(np.int64), np.array(pdf.vec.tolist(), np.int64).reshape(len(pdf), dim))
         name = attempt_name(folder, f"tree-{dim}", ".npz")
         tree.save(name)
-        return pd.DataFrame({"dim": [dim], "file": [name]})
+        return pd.DataFrame({"dim": [dim], "file": [name], "lo": [tree.lo[0].astype(np.int64)], "hi": [tree.hi[0].astype(np.int64)]})
 
     trees = fresh_path(spark, "kd-manifest")
     # As many partitions as groups: every shard and every block may be a task.
-    (rows.withColumn("shard", F.pmod(F.xxhash64("id", "vec"), F.lit(shards))).repartition(2 * shards, "dim", "shard").groupBy("dim", "shard")
-     .applyInPandas(plant, "dim int, file string").write.parquet(trees))
+    (_dealt(rows.withColumn("cell", cell), shard_rows).repartition(2 * shards, "dim", "cell", "part").groupBy("dim", "cell", "part")
+     .applyInPandas(plant, "dim int, file string, lo array<long>, hi array<long>").write.parquet(trees))
 
     def answer(pdf: pd.DataFrame) -> pd.DataFrame:
-        dim = int(pdf.dim.iloc[0])
-        fs, path = filesystem(trees)
-        files = pads.dataset(path, format="parquet", filesystem=fs).to_table().to_pandas()
-        own, q = pdf.id.to_numpy(np.int64), np.array(pdf.vec.tolist(), np.int64).reshape(len(pdf), dim)
-        best = [Best(k) for _ in own]
-        for name in sorted(files[files.dim == dim].file):
-            search(Tree.load(name), q, own, best)
+        own, q, best = _search_all(pdf, trees, k)
         return pd.DataFrame([(int(own[i]), r + 1, int(b.id[r]), int(b.score[r])) for i, b in enumerate(best) for r in range(len(b.id))],
                             columns=["query_id", "rank", "vec_id", "score"]).astype({"query_id": "int64", "rank": "int32", "vec_id": "int64", "score": "int64"})
 
     blocks = max(1, -(-queries.count() // block_rows))
-    return (cut_lineage(queries, "kd-queries").withColumn("block", F.pmod(F.xxhash64("id", "vec", F.lit(3)), F.lit(blocks)))
-            .repartition(2 * blocks, "dim", "block").groupBy("dim", "block")
+    placed = cut_lineage(queries.withColumn("cell", cell), "kd-queries")
+    return (_dealt(placed, block_rows).repartition(2 * blocks, "dim", "cell", "part").groupBy("dim", "cell", "part")
             .applyInPandas(answer, "query_id long, rank int, vec_id long, score long"))
+
+
+def _cell(rows: DataFrame, shards: int) -> Column:
+    """On which side of their medians the widest components lie, one bit each."""
+    bits = min(CELL_BITS, (shards - 1).bit_length())
+    if not bits:
+        return F.lit(0)
+    each = rows.select(F.posexplode("vec").alias("at", "x")).groupBy("at").agg(F.var_pop("x").alias("wide"), F.percentile_approx("x", 0.5).alias("median"))
+    widest = each.orderBy(F.desc("wide"), "at").limit(bits).collect()  # at most CELL_BITS rows
+    parts = [F.when(F.get("vec", F.lit(r["at"])) > F.lit(r.median), F.lit(1 << i)).otherwise(F.lit(0)) for i, r in enumerate(widest)]
+    return sum(parts, F.lit(0))
+
+
+def _dealt(rows: DataFrame, size: int) -> DataFrame:
+    """``rows`` with ``part``: those of a cell in parts of about ``size`` rows."""
+    parts = rows.groupBy("dim", "cell").agg(F.ceil(F.count(F.lit(1)) / F.lit(size)).alias("parts"))
+    return rows.join(parts, ["dim", "cell"]).withColumn("part", F.pmod(F.xxhash64("id", "vec"), "parts")).drop("parts")
+
+
+def _search_all(pdf: pd.DataFrame, trees: str, k: int, load: Callable[[str], Tree] = Tree.load) -> tuple[np.ndarray, np.ndarray, list[Best]]:
+    """(ids, vectors, best) of a block of queries, over all trees of the manifest."""
+    dim = int(pdf.dim.iloc[0])
+    own, q = pdf.id.to_numpy(np.int64), np.array(pdf.vec.tolist(), np.int64).reshape(len(pdf), dim)
+    best, wide = [Best(k) for _ in own], q.astype(np.float64)
+    fs, path = filesystem(trees)
+    for piece in pads.dataset(path, format="parquet", filesystem=fs).to_batches(filter=pads.field("dim") == dim, batch_size=MANIFEST_ROWS):
+        files = piece.column("file").to_pylist()
+        lo, hi = (np.array(piece.column(c).to_pylist(), np.float64).reshape(len(files), dim) for c in ("lo", "hi"))
+        # No less than the largest inner product in the box: rounding is allowed for.
+        bound = np.maximum(wide, 0) @ hi.T + np.minimum(wide, 0) @ lo.T + 1e-12 * (np.abs(wide) @ np.maximum(np.abs(lo), np.abs(hi)).T)
+        for t in np.argsort(-bound.max(axis=0), kind="stable").tolist():
+            able = np.flatnonzero(bound[:, t] >= np.array([b.kth for b in best]))
+            if len(able):
+                search(load(files[t]), q[able], own[able], [best[i] for i in able])
+    return own, q, best

@@ -1,6 +1,7 @@
 """Exact top-k against brute force."""
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -56,6 +57,26 @@ def test_tree_is_tight_and_prunes():
     assert topk.search(far, points[:1], np.array([0]), best) == 0 and best[0].kth == first
 
 
+def test_trees_that_cannot_beat_the_kth_score_are_not_loaded(spark, monkeypatch):
+    """Clusters far apart: a block of one cell loads few trees; extra columns don't clash."""
+    rng = np.random.default_rng(5)
+    centres = rng.choice([-100, 100], (16, 8))
+    v = np.concatenate([c + rng.integers(-3, 4, (60, 8)) for c in centres])
+    rows = [(i, x) for i, x in enumerate(v.tolist())]
+    written = []
+    monkeypatch.setattr(topk, "fresh_path", lambda spark, label, real=topk.fresh_path: written.append(real(spark, label)) or written[-1])
+    frame = spark.createDataFrame([(i, x, 1, 2, 3, 4) for i, x in rows], "id long, vec array<long>, cell int, part int, dim int, file int")
+    got = topk.top_k(frame, frame.filter("id % 20 = 0"), k=5, shard_rows=60, block_rows=16)
+    assert sorted(map(tuple, got.collect())) == brute(rows, rows[::20], 5)
+    trees = written[1]
+    files = spark.read.parquet(trees).count()
+    loaded = []
+    block = pd.DataFrame({"dim": 8, "id": [0, 20], "vec": [rows[0][1], rows[20][1]]})
+    own, _, best = topk._search_all(block, trees, 5, load=lambda name: loaded.append(name) or topk.Tree.load(name))
+    assert files >= 8 and len(set(loaded)) == len(loaded) <= files // 2
+    assert [b.id.tolist() for b in best] == [[i for q, _, i, _ in brute(rows, [rows[o]], 5)] for o in own]
+
+
 def test_integer_vectors(spark):
     nan, inf = float("nan"), float("inf")
     df = spark.createDataFrame([([0.5, -0.001, 1.0],), ([nan],), ([inf],), ([-inf],), ([None],), (None,), ([],)], "v array<float>")
