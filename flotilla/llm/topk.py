@@ -7,7 +7,7 @@ on the widest side, tight bounding boxes), writes it to the shared folder, and i
 root box to a manifest. Queries come in blocks of one cell; a block's task goes
 through the manifest, the trees with the largest bound first, and loads a tree
 only if its root box can beat the k-th score of one of its queries; such queries search
-it best first, by the largest inner product a box allows. The k-th scores are carried
+it together, best first by the largest inner product a box allows. The k-th scores are carried
 from tree to tree. Nothing grows in a task but one shard, one block and a piece of the
 manifest, and every task can be run again.
 
@@ -108,32 +108,37 @@ class Best:
 
 
 def search(tree: Tree, queries: np.ndarray, own: np.ndarray, best: list[Best]) -> int:
-    """Best-first search of one tree for a block of queries; returns the leaves visited."""
+    """Best-first search of one tree for a block of queries; returns the leaves visited.
+
+    Nodes are taken by the largest inner product their box allows any query of the
+    block; a node concerns those queries alone whose k-th score it can still beat."""
     kind = _exact(queries, tree)
     q, points = queries.astype(kind), tree.points.astype(kind)
     # The largest inner product in each node's box, for all queries at once.
     bound = np.maximum(q, 0) @ tree.hi.astype(kind).T + np.minimum(q, 0) @ tree.lo.astype(kind).T
-    left, begin, end = tree.left.tolist(), tree.begin.tolist(), tree.end.tolist()
-    visited = 0
-    for i in np.argsort(-bound[:, 0], kind="stable").tolist():
-        b, limit = best[i], bound[i].tolist()
-        heap = [(-limit[0], 0)]
-        while heap:
-            top, node = heapq.heappop(heap)
-            if -top < b.kth:  # an equal bound may hold an equal score with a smaller id
-                break
-            child = left[node]
-            if child >= 0:
-                for c in (child, child + 1):
-                    if limit[c] >= b.kth:
-                        heapq.heappush(heap, (-limit[c], c))
-                continue
-            visited += 1
-            at = slice(begin[node], end[node])
-            score, ids = points[at] @ q[i], tree.ids[at]
-            good = (score >= b.kth) & (ids != own[i])
-            if good.any():
-                b.add(score[good].astype(np.int64), ids[good])
+    left, begin, end, highest = tree.left.tolist(), tree.begin.tolist(), tree.end.tolist(), bound.max(axis=0).tolist()
+    kth = np.array([b.kth for b in best], np.float64)
+    heap, visited = [(-highest[0], 0)], 0
+    while heap:
+        top, node = heapq.heappop(heap)
+        if -top < kth.min():
+            break
+        able = np.flatnonzero(bound[:, node] >= kth)  # an equal bound may hold an equal score with a smaller id
+        if not len(able):
+            continue
+        child = left[node]
+        if child >= 0:
+            for c in (child, child + 1):
+                heapq.heappush(heap, (-highest[c], c))
+            continue
+        visited += 1
+        at = slice(begin[node], end[node])
+        score, ids = q[able] @ points[at].T, tree.ids[at]
+        good = (score >= kth[able, None]) & (ids != own[able, None])
+        for j in np.flatnonzero(good.any(axis=1)).tolist():
+            i = able[j]
+            best[i].add(score[j, good[j]].astype(np.int64), ids[good[j]])
+            kth[i] = best[i].kth
     return visited
 
 
